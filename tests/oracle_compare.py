@@ -28,7 +28,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
@@ -38,6 +38,8 @@ def _norm(v):
         # dates and midnight timestamps normalise alike (DuckDB hands DATE to
         # pandas as datetime64)
         t = pd.Timestamp(v)
+        if pd.isna(t):
+            return None
         return t.date().isoformat() if t == t.normalize() else t.isoformat()
     if hasattr(v, "item"):
         return _norm(v.item())

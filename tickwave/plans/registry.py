@@ -21,4 +21,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tickwave.plans import gold_queries  # noqa: F401
+    from tickwave.plans import fx_queries, gold_queries  # noqa: F401

@@ -5,7 +5,8 @@ events   -> trades: series by ``user_id`` parity (even = premium venue T,
             ``props``, taker side buy = ``event_type = 'purchase'``,
             trade id = ``event_id``.
 orders   -> daily reference rate on business days: average ``o_totalprice``
-            per weekday ``o_orderdate``.
+            per weekday ``o_orderdate`` (summed in integer cents, so every
+            engine gets the same double).
 lineitem -> facts to convert by local date (``l_shipdate``).
 """
 
@@ -50,4 +51,6 @@ def weekday_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     d = F.to_date("o_orderdate")
     return (o.where(F.dayofweek(d).between(2, 6))
-            .groupBy(d.alias("fecha")).agg(F.round(F.avg("o_totalprice"), 4).alias("valor")))
+            .groupBy(d.alias("fecha"))
+            .agg((F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")) / F.count(F.lit(1)) / 100.0)
+                 .alias("valor")))
