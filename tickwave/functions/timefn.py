@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 # The local market calendar that daily reference rates are
 # published in, and the epoch origin.
 LOCAL_ZONE = "America/Santiago"
-EPOCH = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+
+
+def EPOCH() -> Column:  # noqa: N802 - reads as the constant it stands for
+    """The epoch origin as a TIMESTAMP_NTZ literal (built lazily: a Column
+    needs an active session)."""
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
 def _c(c) -> Column:
@@ -24,12 +29,12 @@ def _c(c) -> Column:
 
 def ms_to_ts(ms) -> Column:
     """Epoch milliseconds (BIGINT) -> UTC wall clock as TIMESTAMP_NTZ."""
-    return EPOCH + _c(ms) * F.expr("INTERVAL '0.001' SECOND")
+    return EPOCH() + _c(ms) * F.expr("INTERVAL '0.001' SECOND")
 
 
 def epoch_seconds(ts) -> Column:
     """TIMESTAMP_NTZ (UTC wall clock) -> seconds since epoch, DECIMAL(20,6)."""
-    return (_c(ts) - EPOCH).cast("interval second").cast("decimal(20,6)")
+    return (_c(ts) - EPOCH()).cast("interval second").cast("decimal(20,6)")
 
 
 def epoch_ms(ts) -> Column:
@@ -64,7 +69,7 @@ def floor_to(ts, width: str) -> Column:
     ``window``."""
     w = width_seconds(width)
     secs = F.floor(epoch_seconds(ts) / F.lit(w)) * F.lit(w)
-    return EPOCH + secs * F.expr("INTERVAL '1' SECOND")
+    return EPOCH() + secs * F.expr("INTERVAL '1' SECOND")
 
 
 def local_wallclock(ts, zone: str = LOCAL_ZONE) -> Column:

@@ -54,3 +54,25 @@ def weekday_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy(d.alias("fecha"))
             .agg((F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")) / F.count(F.lit(1)) / 100.0)
                  .alias("valor")))
+
+
+def event_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rate series for the event month: average ``value`` (in integer
+    cents) of all events per Santiago calendar date, as ``(date, rate)``.  Its
+    first and last dates bracket every event, so kline minutes are covered."""
+    from tickwave.functions.timefn import local_date
+    ev = table(spark, sf_dir, "events")
+    return ev.groupBy(local_date("ts").alias("date")).agg(
+        (F.sum(F.round(F.col("value") * 100).cast("bigint")) / F.count(F.lit(1)) / 100.0).alias("rate"))
+
+
+def day_periods(spark: SparkSession, sf_dir: str, symbol: str, extra_days: int = 0) -> DataFrame:
+    """Half-open UTC-day periods ``(symbol, start_ms, end_ms)`` covering the
+    event range (plus ``extra_days`` after it, which hold no data)."""
+    from tickwave.functions.timefn import epoch_ms
+    ev = table(spark, sf_dir, "events")
+    days = ev.agg(F.to_date(F.min("ts")).alias("a"), F.date_add(F.to_date(F.max("ts")), extra_days).alias("b"))
+    d = days.select(F.explode(F.sequence("a", "b")).alias("d"))
+    start = epoch_ms(F.col("d").cast("timestamp_ntz"))
+    return d.select(F.lit(symbol).alias("symbol"), start.alias("start_ms"),
+                    (start + F.lit(86_400_000)).alias("end_ms"))
