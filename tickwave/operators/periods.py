@@ -96,7 +96,7 @@ def adaptive_periods(est: DataFrame, symbol: str, monthly_max: float = MONTHLY_M
     nxt = F.add_months("_first", 1)
     bounds = F.transform("_starts", lambda d, i: F.struct(
         F.make_date("year", "month", d).alias("s"),
-        F.coalesce(F.make_date("year", "month", F.element_at("_starts", i + 2)), nxt).alias("e")))
+        F.coalesce(F.make_date("year", "month", F.try_element_at("_starts", i + 2)), nxt).alias("e")))
     p = m.select("year", "month", "granularity", "lambda_time_est_s", F.inline(bounds))
     return p.select(F.lit(symbol).alias("symbol"), "year", "month", "granularity", "lambda_time_est_s",
                     _date_ms(F.col("s")).alias("start_ms"), _date_ms(F.col("e")).alias("end_ms"))

@@ -21,4 +21,11 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tickwave.plans import bronze_queries, fx_queries, gold_queries, quality_queries  # noqa: F401
+    from tickwave.plans import (  # noqa: F401
+        bronze_queries,
+        fx_queries,
+        gold_queries,
+        io_queries,
+        planning_queries,
+        quality_queries,
+    )
