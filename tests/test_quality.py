@@ -139,3 +139,14 @@ def test_alignment(spark):
 def test_scratch_under_checkpoint_dir(spark):
     p = scratch_path(spark, "x")
     assert p.startswith(spark.sparkContext.getCheckpointDir())
+
+
+def test_kline_job_reports_missing_rate_dates(spark, tmp_path):
+    import datetime as _dt
+    d = str(tmp_path / "k2")
+    row = lambda t: [str(t), "1", "2", "0.5", "1", "3", str(t + 59999), "0", "4", "1", "0", "0"]
+    _write(d, "a.json", json.dumps({"metadata": {"symbol": "k", "ingestion_timestamp_utc": "2024-01-01T00:00:00+00:00"},
+                                    "data": [row(1704153600000), row(1704153660000)]}))
+    rates = spark.createDataFrame([(_dt.date(2023, 12, 1), 1.0)], "date date, rate double")
+    with pytest.raises(ValueError, match="2024-01-01"):
+        silver.run_klines_refresh(spark, d, rates, str(tmp_path / "out"), "k")

@@ -74,12 +74,20 @@ def gap_segments(bars: DataFrame, step: str = "1 minute",
 
 def continuous_bars(bars: DataFrame, step: str = "1 minute",
                     keys: Sequence[str] = ("venue",), span: str = "1 day",
-                    bucket: str = "bucket") -> DataFrame:
+                    bucket: str = "bucket", materialize: bool = True) -> DataFrame:
     """Real bars plus flat filled bars for every empty bucket between the first
     and last real bucket of each key.  Adds ``is_interpolated``.
 
     Expects bar columns open/high/low/close/volume/buy_volume/sell_volume/
-    trade_count (see :func:`tickwave.operators.bars.ohlcv_bars`)."""
+    trade_count (see :func:`tickwave.operators.bars.ohlcv_bars`).
+
+    The real bars feed three branches (pass-through, successor window, span
+    firsts), each pruning different columns, so Spark cannot reuse one
+    exchange for them.  ``materialize`` writes them once with a reliable
+    ``checkpoint()`` (to ``spark.checkpoint.dir``) so the raw trades are
+    scanned and shuffled once, and lineage is cut for executor loss."""
+    if materialize:
+        bars = bars.checkpoint()
     one = interval_expr(step)
     segs = gap_segments(bars, step, keys, span, bucket)
     filled = (segs.repartition(*keys, "seg_span")

@@ -111,7 +111,7 @@ def q_klines_to_candles(spark, sf_dir):
     bronze = _kline_bronze(spark, sf_dir)
     rates = fill_daily(event_rates(spark, sf_dir))
     root = scratch_path(spark, "silver-candles")
-    silver.run_refresh(silver.klines_to_candles(spark, bronze, rates, VENUE_K), root, VENUE_K)
+    silver.run_klines_refresh(spark, bronze, rates, root, VENUE_K)
     return read_candles(spark, root).select(*CANDLE_COLUMNS)
 
 

@@ -108,13 +108,13 @@ l AS (SELECT exchange, "timestamp", close_clp,
              LAG(close_clp) OVER (PARTITION BY exchange ORDER BY "timestamp") AS prev_close
       FROM candles)
 SELECT exchange, "timestamp", prev_close, close_clp,
-       round((close_clp / prev_close - 1) * 100, 4) AS change_pct
-FROM l WHERE abs(close_clp / prev_close - 1) > 0.10""")
+       round((close_clp / nullif(prev_close, 0) - 1) * 100, 4) AS change_pct
+FROM l WHERE abs(close_clp / nullif(prev_close, 0) - 1) > 0.10""")
 def q_jump_report(spark, sf_dir):
     """One-bar moves above 10 %, reported, never filtered out of the table."""
     c = events_candles(spark, sf_dir, "1 minute").select("exchange", "timestamp", "close_clp")
     p = previous_value(c, ["exchange"], "timestamp", "close_clp", "prev_close")
-    ratio = F.col("close_clp") / F.col("prev_close") - 1
+    ratio = F.try_divide(F.col("close_clp"), F.col("prev_close")) - 1
     return p.where(F.abs(ratio) > 0.10).select(
         "exchange", "timestamp", "prev_close", "close_clp", F.round(ratio * 100, 4).alias("change_pct"))
 

@@ -41,9 +41,10 @@ def events_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_candles(spark: SparkSession, sf_dir: str, width: str = "1 minute") -> DataFrame:
-    """Both venues as continuous unified candles."""
+    """Both venues as continuous unified candles, materialised once (the
+    stand-in for reading the Silver table, which gold queries scan per venue)."""
     bars = ohlcv_bars(events_trades(spark, sf_dir), width)
-    return to_unified(continuous_bars(bars, width))
+    return to_unified(continuous_bars(bars, width)).checkpoint()
 
 
 def weekday_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
