@@ -201,3 +201,55 @@ def q_fx_join_check(spark, sf_dir):
     return j.agg(F.count(F.lit(1)).alias("candles"), F.count("_hit").alias("joined"),
                  (F.count(F.lit(1)) - F.count("_hit")).alias("unmatched"),
                  (F.count(F.lit(1)) == F.count("_hit")).alias("no_rows_lost"))
+
+
+IVK_SQL = """iv AS (SELECT l_returnflag AS source, CAST(l_orderkey AS VARCHAR) AS label, min(l_shipdate) AS "start",
+              max(l_shipdate) AS "end" FROM lineitem GROUP BY l_returnflag, l_orderkey),
+nb AS (SELECT *, LAG("end") OVER (PARTITION BY source ORDER BY "start", "end", label) AS prev_end FROM iv),
+rm AS (SELECT *, max("end") OVER (PARTITION BY source ORDER BY "start", "end", label
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS run_end FROM iv),
+v AS (SELECT nb.source, count(*) AS intervals,
+             sum(CASE WHEN nb."start" > prev_end THEN 1 ELSE 0 END) AS gaps,
+             sum(CASE WHEN nb."start" < prev_end THEN 1 ELSE 0 END) AS "overlaps",
+             sum(CASE WHEN rm."start" > run_end THEN 1 ELSE 0 END) AS gaps_running_max,
+             sum(CASE WHEN rm."start" < run_end THEN 1 ELSE 0 END) AS overlaps_running_max,
+             min(nb."start") AS first_start, arg_max(nb."end", (nb."start", nb."end", nb.label)) AS last_end,
+             round(sum(epoch(nb."end") - epoch(nb."start")) / 86400, 4) AS covered_days
+      FROM nb JOIN rm USING (source, label) GROUP BY nb.source)"""
+
+
+def flag_intervals(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_returnflag", "l_orderkey").agg(
+        F.min("l_shipdate").alias("start"), F.max("l_shipdate").alias("end")).select(
+        F.col("l_returnflag").alias("source"), F.col("l_orderkey").cast("string").alias("label"), "start", "end")
+
+
+@register("interval_verdict_by_source", f"""WITH {IVK_SQL}
+SELECT source, intervals, gaps, "overlaps", gaps_running_max, overlaps_running_max, first_start, last_end,
+       covered_days, CAST(0 AS BIGINT) AS failed, gaps = 0 AND "overlaps" = 0 AS ok FROM v""")
+def q_interval_verdict_by_source(spark, sf_dir):
+    """One coverage verdict per source (orders grouped by return flag stand in
+    for three file sources), each source partitioned on its own."""
+    return interval_verdict(flag_intervals(spark, sf_dir), keys=["source"])
+
+
+@register("coverage_rollup", f"""WITH {IVK_SQL}
+SELECT count(*) AS sources, CAST(sum(CASE WHEN gaps = 0 AND "overlaps" = 0 THEN 1 ELSE 0 END) AS BIGINT) AS sources_ok,
+       bool_and(gaps = 0 AND "overlaps" = 0) AS all_ok FROM v""")
+def q_coverage_rollup(spark, sf_dir):
+    """All-sources pass/fail roll-up of the per-source verdicts."""
+    v = interval_verdict(flag_intervals(spark, sf_dir), keys=["source"])
+    return v.agg(F.count(F.lit(1)).alias("sources"),
+                 F.sum(F.col("ok").cast("bigint")).alias("sources_ok"),
+                 F.every("ok").alias("all_ok"))
+
+
+@register("dedup_latest", """SELECT user_id, event_type, event_id, ts, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
+def q_dedup_latest(spark, sf_dir):
+    """Keep-latest per key: one row per ``(user_id, event_type)``, the latest by
+    ``(ts, event_id)`` (the repeated-``open_time`` rule on a derived key)."""
+    from tickwave.operators.dedup import keep_latest
+    ev = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    return keep_latest(ev, ["user_id", "event_type"], ["ts", "event_id"])
