@@ -125,46 +125,35 @@ def asof_backward(left: DataFrame, right: DataFrame, left_on: str, right_on: str
     the greatest ``right_on <= left_on`` (same keys), or NULLs when there is
     none or it is more than ``tolerance_days`` older.
 
-    Built as a union + window per ``(keys, month)``: right rows and left rows
-    are sorted together and the latest right row is carried forward
-    (``last(..., ignorenulls)``).  The first rows of a month take the key's
-    last right row from earlier months from a calendar-bounded carry table,
-    so no partition holds more than one month of one key and no pairs are
-    formed."""
+    The right side is a daily series (bounded by the calendar), so the as-of
+    is re-expressed as fill + equality: every right row is expanded to the
+    days it serves -- up to the day before the next right date, and at most
+    ``tolerance_days`` past its own date -- and the left side is equi-joined on
+    ``(keys, day)`` against that table, broadcast behind a row-count check.
+    The fact side is never windowed, sorted or shuffled, so a hot key or hot
+    day costs nothing extra.  Without a tolerance the last right row serves
+    every later left day (bounded by the left side's last date)."""
     keys = list(keys)
-    payload = F.struct(F.col(right_on).alias("_rdate"), *[F.col(v) for v in values])
-    r = right.select(*keys, F.col(right_on).alias("_t"), payload.alias("_r"), F.lit(0).alias("_side"))
-    span = F.trunc(F.col("_t"), "month")
-    r = r.withColumn("_span", span)
-    lasts = r.groupBy(*keys, "_span").agg(F.max_by("_r", "_t").alias("_carry"))
-    lcols = left.columns
-    lft = left.withColumn("_t", F.col(left_on)).withColumn("_span", F.trunc(F.col("_t"), "month"))
-    # months with left rows but no right rows also need the carried value
-    spans = lft.select(*keys, "_span").distinct().join(lasts.select(*keys, "_span"), [*keys, "_span"], "left_anti")
-    all_spans = lasts.select(*keys, "_span").unionByName(spans)
-    wall = Window.partitionBy(*keys).orderBy("_span")
-    carry = (all_spans.join(lasts, [*keys, "_span"], "left")
-             .withColumn("_carry_prev", F.last("_carry", ignorenulls=True).over(
-                 wall.rowsBetween(Window.unboundedPreceding, -1)))
-             .select(*keys, "_span", F.col("_carry_prev").alias("_carry")))
-    lft = lft.join(carry, [*keys, "_span"], "left")
-    u = lft.withColumn("_side", F.lit(1)).withColumn("_r", F.lit(None).cast(payload_type(right, right_on, values)))
-    rr = r.withColumn("_carry", F.lit(None).cast(u.schema["_carry"].dataType))
-    for c in lcols:
-        if c not in rr.columns:
-            rr = rr.withColumn(c, F.lit(None).cast(left.schema[c].dataType))
-    both = u.unionByName(rr.select(*u.columns))
-    w = Window.partitionBy(*keys, "_span").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    got = F.coalesce(F.last("_r", ignorenulls=True).over(w), F.col("_carry"))
-    res = both.withColumn("_m", got).where(F.col("_side") == 1)
+    w = Window.partitionBy(*keys).orderBy(right_on)
+    r = right.select(*keys, right_on, *values).withColumn("_next", F.lead(right_on).over(w))
+    last = F.date_sub(F.col("_next"), 1)
     if tolerance_days is not None:
-        res = res.withColumn("_m", F.when(F.datediff("_t", F.col("_m._rdate")) <= tolerance_days, F.col("_m")))
-    return res.select(*lcols, F.col("_m._rdate").alias(right_on + "_matched"),
-                      *[F.col("_m")[v].alias(v) for v in values])
-
-
-def payload_type(right: DataFrame, right_on: str, values: Sequence[str]):
-    return right.select(F.struct(F.col(right_on).alias("_rdate"), *[F.col(v) for v in values])).schema[0].dataType
+        cap = F.date_add(F.col(right_on), tolerance_days)
+        last = F.least(F.coalesce(last, cap), cap)
+    else:
+        # open end: serve up to the last left date of the key
+        if keys:
+            lmax = left.groupBy(*keys).agg(F.max(left_on).alias("_lmax"))
+            r = r.join(lmax, keys, "left")
+        else:  # one scalar from an aggregate
+            r = r.withColumn("_lmax", F.lit(left.agg(F.max(left_on)).first()[0]).cast("date"))
+        last = F.coalesce(last, F.greatest(F.col("_lmax"), F.col(right_on)))
+    cal = r.select(*keys, F.col(right_on).alias(right_on + "_matched"), *values,
+                   F.explode(F.sequence(F.col(right_on), last)).alias("_day"))
+    cal = bounded_broadcast(cal)
+    cond = [left[k] == cal[k] for k in keys] + [left[left_on] == cal["_day"]]
+    j = left.join(cal, cond, "left")
+    return j.select(*[left[c] for c in left.columns], cal[right_on + "_matched"], *[cal[v] for v in values])
 
 
 def apply_policy(filled: DataFrame, policy: str = "keep") -> DataFrame:

@@ -28,14 +28,17 @@ def assign_periods(rows: DataFrame, periods: DataFrame, ts_ms: str = "ts_ms",
 
     A range join would be a nested loop; instead each period is expanded to the
     UTC days it touches (at most 31 per period) and rows are equi-joined on
-    ``(keys, day)`` then filtered to ``start <= ts < end``."""
+    ``(keys, day)`` (broadcast) then filtered to ``start <= ts < end``."""
     keys = list(keys)
     pdays = periods.select(
         *keys, "start_ms", "end_ms",
         F.explode(F.sequence(F.to_date(ms_to_ts("start_ms")),
                              F.to_date(ms_to_ts(F.col("end_ms") - 1)))).alias("_day"))
     r = rows.withColumn("_day", F.to_date(ms_to_ts(ts_ms)))
-    j = r.join(pdays, [*keys, "_day"])
+    # period-days are bounded (periods x 31): broadcast after a size check so
+    # a hot (symbol, day) never lands in one join task
+    from tickwave.operators.fx import bounded_broadcast
+    j = r.join(bounded_broadcast(pdays), [*keys, "_day"])
     return j.where((F.col(ts_ms) >= F.col("start_ms")) & (F.col(ts_ms) < F.col("end_ms"))).drop("_day")
 
 
