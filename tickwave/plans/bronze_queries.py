@@ -165,3 +165,59 @@ def q_streaming_bars(spark, sf_dir):
     run_incremental(spark, bronze, out, ckpt, "1 minute", watermark="40 days", max_files=8)
     return current_bars(spark, out).select("symbol", "bucket", "open", "high", "low", "close", "volume",
                                            "buy_volume", "sell_volume", "trade_count")
+
+
+@register("gold_from_silver", sql.episodes("15 minutes", 900, 0.01, 5)
+          + "\nSELECT start_local, end_local, minutes, hours, mean_spread_pct, max_spread_pct, area_pct_minutes"
+          + " FROM out ORDER BY rank_metric DESC, a LIMIT 20")
+def q_gold_from_silver(spark, sf_dir):
+    """Entry C as deployed: both venues refresh the shared candle table, then
+    the episode query scans it (venue filter prunes ``exchange=``, the time
+    range prunes ``year=/month=``) -- the top 20 of 15-minute episodes."""
+    import datetime as dt
+    from tickwave.operators.spread import spread_episodes
+    from tickwave.sources.silver_tables import load_candles
+    c = events_candles(spark, sf_dir, "15 minutes")
+    root = scratch_path(spark, "silver-15m")
+    write_candles_refresh(c, root, VENUE_T)
+    write_candles_refresh(c, root, VENUE_K)
+    rng = c.agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).first()
+    table_c = load_candles(spark, root, rng["a"], rng["b"] + dt.timedelta(minutes=15),
+                           venues=[VENUE_T, VENUE_K])
+    return spread_episodes(table_c, VENUE_T, VENUE_K, 0.01, min_bars=5, top=20, bar_seconds=900)
+
+
+@register("silver_run_summary", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {sql.grid('1 minute')}
+SELECT 'venue_t' AS venue, count(*) AS rows_out, CAST(sum(CASE WHEN is_interpolated THEN 1 ELSE 0 END) AS BIGINT)
+       AS interpolated, round(sum(CASE WHEN is_interpolated THEN 1 ELSE 0 END) * 100.0 / count(*), 4)
+       AS pct_interpolated, min("timestamp") AS range_start, max("timestamp") AS range_end
+FROM candles WHERE exchange = 'venue_t'""")
+def q_silver_run_summary(spark, sf_dir):
+    """The one-row run summary of job A, gathered with ``observe`` during the
+    write (no second pass over the output)."""
+    import datetime as dt
+    bronze = _trade_bronze(spark, sf_dir)
+    root = scratch_path(spark, "silver-candles")
+    m = silver.run_refresh(silver.trades_to_candles(spark, bronze, VENUE_T), root, VENUE_T)
+    row = (m["venue"], int(m["rows_out"]), int(m["interpolated"]), float(m["pct_interpolated"]),
+           dt.datetime.fromisoformat(m["range_start"]), dt.datetime.fromisoformat(m["range_end"]))
+    return spark.createDataFrame([row], "venue string, rows_out bigint, interpolated bigint, "
+                                        "pct_interpolated double, range_start timestamp_ntz, "
+                                        "range_end timestamp_ntz")
+
+
+@register("fx_lookup_ms", f"""WITH {EVENT_RATES_SQL}
+SELECT event_id, epoch_ms(date_trunc('millisecond', ts)) AS ts_ms, efilled.date AS local_date, v AS rate
+FROM events JOIN efilled
+  ON CAST((date_trunc('millisecond', ts) AT TIME ZONE 'UTC') AT TIME ZONE 'America/Santiago' AS DATE) = efilled.date""")
+def q_fx_lookup_ms(spark, sf_dir):
+    """Point lookup for any frame with an epoch-ms column: the rate of the
+    Santiago date of each instant (strict: an instant outside the coverage
+    fails the query)."""
+    from tickwave.functions.timefn import ms_to_ts
+    from tickwave.operators.fx import convert_by_local_date
+    from tickwave.plans.standins import table
+    ev = table(spark, sf_dir, "events").select("event_id", epoch_ms("ts").alias("ts_ms"))
+    rates = fill_daily(event_rates(spark, sf_dir))
+    j = convert_by_local_date(ev.withColumn("_t", ms_to_ts("ts_ms")), rates, "_t", [])
+    return j.select("event_id", "ts_ms", "local_date", "rate")
