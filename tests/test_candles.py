@@ -84,3 +84,13 @@ def test_volume_identity_and_no_gaps(spark):
     span = c.groupBy("venue").agg(F.count(F.lit(1)).alias("n"), F.min("bucket").alias("a"), F.max("bucket").alias("b"))
     for r in span.collect():
         assert r["n"] == (r["b"] - r["a"]) // dt.timedelta(minutes=1) + 1
+
+
+def test_schema_contract(spark):
+    from tickwave.operators.candles import CANDLE_COLUMNS, schema_matches
+    from tickwave.plans.standins import events_candles
+    from conftest import SF001
+    c = events_candles(spark, SF001, "1 minute")
+    assert schema_matches(c)
+    assert not schema_matches(c.select(*reversed(CANDLE_COLUMNS)))
+    assert not schema_matches(c.withColumn("trade_count", F.col("trade_count").cast("int")))
