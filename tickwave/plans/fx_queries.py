@@ -39,7 +39,7 @@ def q_fx_daily_filled(spark, sf_dir):
 
 @register("fx_year_stats", """WITH r AS (SELECT CAST(o_orderdate AS DATE) AS d, sum(CAST(round(o_totalprice * 100) AS BIGINT)) / count(*) / 100.0 AS v
       FROM orders WHERE dayofweek(o_orderdate) BETWEEN 1 AND 5 GROUP BY 1),
-y AS (SELECT year(d) AS year, count(*) AS records_in_year, min(d) AS date_first, max(d) AS date_last,
+y AS (SELECT CAST(year(d) AS INTEGER) AS year, count(*) AS records_in_year, min(d) AS date_first, max(d) AS date_last,
              arg_min(v, d) AS value_first, arg_max(v, d) AS value_last FROM r GROUP BY 1)
 SELECT *, year = (SELECT max(year) FROM y) AS is_partial FROM y""")
 def q_fx_year_stats(spark, sf_dir):

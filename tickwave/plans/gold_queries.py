@@ -122,7 +122,7 @@ def q_jump_report(spark, sf_dir):
 @register("ranked_episodes_text", sql.episodes("15 minutes", 900, 0.01, 5) + """,
 top AS (SELECT * FROM out ORDER BY rank_metric DESC, a LIMIT 20),
 r AS (SELECT *, row_number() OVER (ORDER BY mean_spread_pct DESC, rank_metric DESC, a) AS rank FROM top)
-SELECT rank, strftime(start_local, '%Y-%m-%d %H:%M') AS start_text,
+SELECT CAST(rank AS INTEGER) AS rank, strftime(start_local, '%Y-%m-%d %H:%M') AS start_text,
        strftime(end_local, '%Y-%m-%d %H:%M') AS end_text,
        CASE WHEN minutes < 60 THEN CAST(minutes AS VARCHAR) || ' min'
             WHEN minutes % 60 = 0 THEN CAST(minutes // 60 AS VARCHAR) || 'h'

@@ -107,11 +107,12 @@ def q_source_alignment_orders(spark, sf_dir):
 
 
 @register("invariant_report", """SELECT 'customer' AS source, count(*) AS "rows",
-       sum(CASE WHEN c_acctbal <= 0 THEN 1 ELSE 0 END) AS nonpositive_price, CAST(0 AS BIGINT) AS negative_volume,
+       CAST(sum(CASE WHEN c_acctbal <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS nonpositive_price,
+       CAST(0 AS BIGINT) AS negative_volume,
        min(CASE WHEN c_acctbal <= 0 THEN c_custkey END) AS first_violation,
        max(CASE WHEN c_acctbal <= 0 THEN c_custkey END) AS last_violation FROM customer
 UNION ALL
-SELECT 'supplier', count(*), sum(CASE WHEN s_acctbal <= 0 THEN 1 ELSE 0 END), 0,
+SELECT 'supplier', count(*), CAST(sum(CASE WHEN s_acctbal <= 0 THEN 1 ELSE 0 END) AS BIGINT), 0,
        min(CASE WHEN s_acctbal <= 0 THEN s_suppkey END), max(CASE WHEN s_acctbal <= 0 THEN s_suppkey END)
 FROM supplier""")
 def q_invariant_report(spark, sf_dir):
@@ -127,8 +128,8 @@ def q_invariant_report(spark, sf_dir):
 
 @register("candle_invariants", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {sql.grid('1 minute')}
 SELECT exchange, count(*) AS "rows",
-       sum(CASE WHEN close_clp <= 0 THEN 1 ELSE 0 END) AS nonpositive_price,
-       sum(CASE WHEN volume_btc < 0 THEN 1 ELSE 0 END) AS negative_volume,
+       CAST(sum(CASE WHEN close_clp <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS nonpositive_price,
+       CAST(sum(CASE WHEN volume_btc < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negative_volume,
        min(CASE WHEN close_clp <= 0 OR volume_btc < 0 THEN "timestamp" END) AS first_violation,
        max(CASE WHEN close_clp <= 0 OR volume_btc < 0 THEN "timestamp" END) AS last_violation
 FROM candles GROUP BY 1""")
@@ -209,10 +210,10 @@ nb AS (SELECT *, LAG("end") OVER (PARTITION BY source ORDER BY "start", "end", l
 rm AS (SELECT *, max("end") OVER (PARTITION BY source ORDER BY "start", "end", label
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS run_end FROM iv),
 v AS (SELECT nb.source, count(*) AS intervals,
-             sum(CASE WHEN nb."start" > prev_end THEN 1 ELSE 0 END) AS gaps,
-             sum(CASE WHEN nb."start" < prev_end THEN 1 ELSE 0 END) AS "overlaps",
-             sum(CASE WHEN rm."start" > run_end THEN 1 ELSE 0 END) AS gaps_running_max,
-             sum(CASE WHEN rm."start" < run_end THEN 1 ELSE 0 END) AS overlaps_running_max,
+             CAST(sum(CASE WHEN nb."start" > prev_end THEN 1 ELSE 0 END) AS BIGINT) AS gaps,
+             CAST(sum(CASE WHEN nb."start" < prev_end THEN 1 ELSE 0 END) AS BIGINT) AS "overlaps",
+             CAST(sum(CASE WHEN rm."start" > run_end THEN 1 ELSE 0 END) AS BIGINT) AS gaps_running_max,
+             CAST(sum(CASE WHEN rm."start" < run_end THEN 1 ELSE 0 END) AS BIGINT) AS overlaps_running_max,
              min(nb."start") AS first_start, arg_max(nb."end", (nb."start", nb."end", nb.label)) AS last_end,
              round(sum(epoch(nb."end") - epoch(nb."start")) / 86400, 4) AS covered_days
       FROM nb JOIN rm USING (source, label) GROUP BY nb.source)"""
