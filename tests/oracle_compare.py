@@ -33,7 +33,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return v + 0.0 if os.environ.get("EXACT") else round(v, 6) + 0.0
     if hasattr(v, "isoformat") and not isinstance(v, str):
         # dates and midnight timestamps normalise alike (DuckDB hands DATE to
         # pandas as datetime64)

@@ -83,11 +83,12 @@ def continuous_bars(bars: DataFrame, step: str = "1 minute",
 
     The real bars feed three branches (pass-through, successor window, span
     firsts), each pruning different columns, so Spark cannot reuse one
-    exchange for them.  ``materialize`` writes them once with a reliable
-    ``checkpoint()`` (to ``spark.checkpoint.dir``) so the raw trades are
-    scanned and shuffled once, and lineage is cut for executor loss."""
+    exchange for them.  ``materialize`` writes them once to the shared
+    checkpoint folder (:func:`tickwave.session.materialize`) so the raw trades
+    are scanned and shuffled once, and lineage is cut for executor loss."""
     if materialize:
-        bars = bars.checkpoint()
+        from tickwave.session import materialize as _write_once
+        bars = _write_once(bars, "real-bars")
     one = interval_expr(step)
     segs = gap_segments(bars, step, keys, span, bucket)
     filled = (segs.repartition(*keys, "seg_span")

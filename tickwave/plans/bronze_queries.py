@@ -16,7 +16,7 @@ from tickwave.operators.quality import envelope_ranges, ingest_health
 from tickwave.plans import silver, sql
 from tickwave.plans.registry import register
 from tickwave.plans.standins import VENUE_K, VENUE_T, day_periods, event_rates, events_candles, events_trades
-from tickwave.session import scratch_path
+from tickwave.session import materialize, scratch_path
 from tickwave.sinks.writers import (
     kline_envelopes,
     read_candles,
@@ -46,6 +46,7 @@ def _kline_bronze(spark, sf_dir):
     k = b.select(F.col("venue").alias("symbol"), epoch_ms("bucket").alias("open_time_ms"),
                  (epoch_ms("bucket") + 59_999).alias("close_time_ms"),
                  "open", "high", "low", "close", "volume", "trade_count", "buy_volume")
+    k = materialize(k, "klines-src")
     path = scratch_path(spark, "bronze-klines")
     periods = day_periods(spark, sf_dir, VENUE_K)
     write_envelopes(kline_envelopes(k, periods, INGESTED), path + "/run1")

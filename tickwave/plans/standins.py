@@ -44,7 +44,8 @@ def events_candles(spark: SparkSession, sf_dir: str, width: str = "1 minute") ->
     """Both venues as continuous unified candles, materialised once (the
     stand-in for reading the Silver table, which gold queries scan per venue)."""
     bars = ohlcv_bars(events_trades(spark, sf_dir), width)
-    return to_unified(continuous_bars(bars, width)).checkpoint()
+    from tickwave.session import materialize
+    return materialize(to_unified(continuous_bars(bars, width)), "candles")
 
 
 def weekday_rates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,3 +54,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet to a fresh folder of the shared checkpoint
+    directory and read it back.
+
+    Used where one intermediate feeds several branches.  Unlike
+    ``DataFrame.checkpoint()`` (which runs the plan a second time to write its
+    files unless the data is also cached), this computes the plan once, stores
+    it columnar and compressed, and cuts lineage: a lost executor re-reads the
+    files instead of recomputing upstream stages."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
