@@ -91,3 +91,17 @@ def test_asof_matches_brute_force(spark):
         prior = [(rd, v) for rd, v in rvals if rd <= d]
         want = prior[-1] if prior and (d - prior[-1][0]).days <= 7 else (None, None)
         assert got[i] == want, (i, d)
+
+
+def test_zone_calendar_agrees_with_row_conversion(spark):
+    """Every 7 minutes through 2024 (both DST changes included): the local date
+    found through the UTC-bucket calendar equals convert_timezone per row."""
+    days = spark.range(0, 368).select(F.date_add(F.lit("2023-12-31").cast("date"), F.col("id").cast("int"))
+                                      .alias("date"), F.lit(1.0).alias("rate"))
+    facts = spark.range(0, 366 * 24 * 60 // 7).select(
+        (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.col("id") * F.expr("INTERVAL '7' MINUTE"))
+        .alias("ts"))
+    got = convert_by_local_date(facts, days, "ts", [], missing="raise")
+    bad = got.where(F.col("local_date") != local_date("ts"))
+    assert bad.count() == 0
+    assert got.count() == facts.count()

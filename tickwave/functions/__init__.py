@@ -11,6 +11,7 @@ from tickwave.functions.timefn import (  # noqa: F401
     width_seconds,
     local_date,
     local_wallclock,
+    longer_than,
     ms_to_ts,
     seconds_between,
 )

@@ -47,6 +47,12 @@ def seconds_between(earlier, later) -> Column:
     return (_c(later) - _c(earlier)).cast("interval second").cast("decimal(20,6)")
 
 
+def interval_of(width: str) -> Column:
+    """``'15 minutes'`` -> ``INTERVAL '15' MINUTE``."""
+    n, unit = width.split()
+    return F.expr(f"INTERVAL '{n}' {unit.upper().rstrip('S')}")
+
+
 def bucket_start(ts, width: str) -> Column:
     """Start of the fixed-width bucket holding ``ts`` (e.g. ``'1 minute'``).
 
@@ -64,14 +70,24 @@ def width_seconds(width: str) -> int:
 
 
 def floor_to(ts, width: str) -> Column:
-    """Start of the ``width`` bucket holding ``ts`` (epoch-aligned), as plain
-    interval arithmetic -- usable several times in one projection, unlike
-    ``window``."""
+    """Start of the epoch-aligned ``width`` bucket holding ``ts``.
+
+    Same value as :func:`bucket_start` (a tumbling ``window``: long arithmetic
+    inside codegen) -- use that, once per projection.  This form is plain
+    decimal/interval arithmetic, several times slower per row, and only for
+    places that need two buckets in one expression."""
     w = width_seconds(width)
     secs = F.floor(epoch_seconds(ts) / F.lit(w)) * F.lit(w)
     return EPOCH() + secs * F.expr("INTERVAL '1' SECOND")
 
 
+def longer_than(earlier, later, seconds: float) -> Column:
+    """``later - earlier > seconds`` compared as day-time intervals (exact
+    microseconds, no decimal conversion per row)."""
+    micros = int(round(seconds * 1_000_000))
+    return (_c(later) - _c(earlier)) > F.expr(f"INTERVAL '{micros / 1_000_000:.6f}' SECOND")
+
+
 def local_wallclock(ts, zone: str = LOCAL_ZONE) -> Column:
     """UTC wall clock -> wall clock in ``zone`` (TIMESTAMP_NTZ)."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(ts))

@@ -13,12 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwave.functions.timefn import LOCAL_ZONE, local_date
+from tickwave.functions.timefn import LOCAL_ZONE, bucket_start, interval_of, local_date
 
 # Forward-fill bound of the daily rate (days) and the most rows
 # a dimension may have to be broadcast.
 DEFAULT_MAX_BACK_DAYS = 7
 MAX_BROADCAST_ROWS = 2_000_000
+# UTC bucket of the zone calendar: every offset of current zone rules is a
+# multiple of 15 minutes, so such a bucket never straddles a local midnight.
+ZONE_STEP = "15 minutes"
 
 
 def latest_per_date(src: DataFrame, date: str = "fecha", value: str = "valor",
@@ -74,6 +77,32 @@ def with_local_date(facts: DataFrame, ts: str, zone: str = LOCAL_ZONE,
     return facts.withColumn(out, local_date(ts, zone))
 
 
+def zone_calendar(daily: DataFrame, zone: str = LOCAL_ZONE, rate: str = "rate",
+                  carry: Sequence[str] = (), step: str = ZONE_STEP) -> DataFrame:
+    """The daily table re-keyed by UTC time: one row per ``step`` bucket of
+    every local day it holds, ``(_q, _ld, _rate, carry...)``.
+
+    A local day is ``[convert(zone->UTC, d 00:00), convert(zone->UTC, d+1
+    00:00))`` in UTC, 23, 24 or 25 hours long across DST changes (a skipped
+    local midnight starts the day at the first existing instant).  96 rows per
+    day: bounded by the calendar, not by the facts."""
+    one = interval_of(step)
+    d = daily.select(F.col("date").alias("_ld"), F.col(rate).alias("_rate"), *carry)
+    d = d.withColumn("_s", F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col("_ld").cast("timestamp_ntz"))) \
+        .withColumn("_e", F.convert_timezone(F.lit(zone), F.lit("UTC"), F.date_add("_ld", 1).cast("timestamp_ntz")))
+    return d.select("_ld", "_rate", *carry, F.explode(F.sequence("_s", F.col("_e") - one, one)).alias("_q"))
+
+
+def _attach_calendar(facts: DataFrame, daily: DataFrame, ts: str, zone: str, rate: str,
+                     carry: Sequence[str], how: str) -> DataFrame:
+    """Facts + ``(_ld, _rate, carry)`` by one broadcast hash probe on the UTC
+    bucket of ``ts``: the time-zone rules are evaluated per calendar bucket,
+    not per fact row."""
+    cal = bounded_broadcast(zone_calendar(daily, zone, rate, carry))
+    f = facts.withColumn("_q", bucket_start(ts, ZONE_STEP))
+    return f.join(cal, "_q", how).drop("_q")
+
+
 def convert_by_local_date(facts: DataFrame, daily: DataFrame, ts: str,
                           price_cols: Sequence[str], zone: str = LOCAL_ZONE,
                           missing: str = "raise", rate: str = "rate",
@@ -82,11 +111,14 @@ def convert_by_local_date(facts: DataFrame, daily: DataFrame, ts: str,
     ``zone`` (not its UTC date).  One rate per row keeps low <= open,close <=
     high.  A row whose local date has no rate fails the query naming that
     date (``missing="raise"``), keeps NULL prices (``"null"``) or is left out
-    (``"drop"``, an inner join).  The filled rate table is broadcast behind a
-    row-count check, so the fact side is never shuffled."""
-    d = bounded_broadcast(daily.select(F.col("date").alias("local_date"), F.col(rate).alias("_rate"),
-                                       *carry))
-    j = with_local_date(facts, ts, zone).join(d, "local_date", "inner" if missing == "drop" else "left")
+    (``"drop"``, an inner join).
+
+    The rate table is re-keyed by UTC 15-minute bucket (:func:`zone_calendar`)
+    and broadcast behind a row-count check, so the fact side is neither
+    shuffled nor converted row by row; only rows outside the calendar compute
+    their local date directly (for the error / NULL case)."""
+    j = _attach_calendar(facts, daily, ts, zone, rate, carry, "inner" if missing == "drop" else "left")
+    j = j.withColumn("local_date", F.coalesce(F.col("_ld"), local_date(ts, zone))).drop("_ld")
     r: Column = F.col("_rate")
     if missing == "raise":
         r = F.when(r.isNull(), F.raise_error(F.concat(
@@ -101,9 +133,11 @@ def convert_by_local_date(facts: DataFrame, daily: DataFrame, ts: str,
 def missing_rate_dates(facts: DataFrame, daily: DataFrame, ts: str,
                        zone: str = LOCAL_ZONE, limit: int | None = 10) -> DataFrame:
     """Local dates of facts with no rate, with how many facts each, earliest
-    first (the first ``limit`` are what an error message shows)."""
-    d = bounded_broadcast(daily.select(F.col("date").alias("local_date")))
-    m = (with_local_date(facts, ts, zone).join(d, "local_date", "left_anti")
+    first (the first ``limit`` are what an error message shows).  Only the
+    unmatched rows evaluate time-zone rules."""
+    j = _attach_calendar(facts.select(ts), daily.select("date", F.lit(1.0).alias("rate")), ts, zone,
+                         "rate", (), "left")
+    m = (j.where(F.col("_ld").isNull()).select(local_date(ts, zone).alias("local_date"))
          .groupBy("local_date").agg(F.count(F.lit(1)).alias("rows")))
     m = m.orderBy("local_date")
     return m.limit(limit) if limit is not None else m

@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwave.functions.timefn import floor_to
+from tickwave.functions.timefn import bucket_start
 
 
 def interval_expr(width: str):
@@ -42,7 +42,7 @@ def gap_segments(bars: DataFrame, step: str = "1 minute",
     """Missing-bucket runs between real bars, one row per run and span:
     ``(keys, seg_span, seg_first, seg_last, fill_close)`` (inclusive ends)."""
     one = interval_expr(step)
-    real = bars.select(*keys, bucket, close).withColumn("_span", floor_to(bucket, span))
+    real = bars.select(*keys, bucket, close).withColumn("_span", bucket_start(bucket, span))
     w = Window.partitionBy(*keys, "_span").orderBy(bucket)
     with_next = real.withColumn("_next", F.lead(bucket).over(w))
 
@@ -62,9 +62,11 @@ def gap_segments(bars: DataFrame, step: str = "1 minute",
         F.col(close).alias("fill_close"))
     gaps = gaps.where(F.col("_lo") <= F.col("_hi"))
     span_iv = interval_expr(span)
+    # one window() per projection: bucket each end in its own step
+    gaps = gaps.withColumn("_slo", bucket_start("_lo", span)).withColumn("_shi", bucket_start("_hi", span))
     segs = gaps.select(
         *keys, "_lo", "_hi", "fill_close",
-        F.explode(F.sequence(floor_to("_lo", span), floor_to("_hi", span), span_iv)).alias("seg_span"))
+        F.explode(F.sequence("_slo", "_shi", span_iv)).alias("seg_span"))
     return segs.select(
         *keys, "seg_span",
         F.greatest("_lo", "seg_span").alias("seg_first"),

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwave.functions.timefn import floor_to, seconds_between
+from tickwave.functions.timefn import bucket_start, longer_than
 
 
 def islands(rows: DataFrame, ts: str, value: str, max_gap_seconds: float,
@@ -28,12 +28,11 @@ def islands(rows: DataFrame, ts: str, value: str, max_gap_seconds: float,
 
     Returns ``(keys, island_start, island_end, n, v_sum, v_max, v_min)``."""
     keys = list(keys)
-    gap = F.lit(max_gap_seconds).cast("decimal(20,6)")
     r = rows.select(*keys, F.col(ts).alias("_ts"), F.col(value).alias("_v")) \
-        .withColumn("_span", floor_to("_ts", span))
+        .withColumn("_span", bucket_start("_ts", span))
     w = Window.partitionBy(*keys, "_span").orderBy("_ts")
     prev = F.lag("_ts").over(w)
-    r = r.withColumn("_new", F.when(prev.isNull() | (seconds_between(prev, F.col("_ts")) > gap), 1)
+    r = r.withColumn("_new", F.when(prev.isNull() | longer_than(prev, F.col("_ts"), max_gap_seconds), 1)
                      .otherwise(0))
     r = r.withColumn("_local", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     r = r.withColumn("_nlocal", F.max("_local").over(Window.partitionBy(*keys, "_span")))
@@ -48,7 +47,7 @@ def islands(rows: DataFrame, ts: str, value: str, max_gap_seconds: float,
     edges = partial.where(F.col("_edge")).select(*cols)
     we = Window.partitionBy(*keys).orderBy("island_start")
     pe = F.lag("island_end").over(we)
-    edges = edges.withColumn("_new", F.when(pe.isNull() | (seconds_between(pe, F.col("island_start")) > gap), 1)
+    edges = edges.withColumn("_new", F.when(pe.isNull() | longer_than(pe, F.col("island_start"), max_gap_seconds), 1)
                              .otherwise(0))
     edges = edges.withColumn("_gid", F.sum("_new").over(we.rowsBetween(Window.unboundedPreceding, 0)))
     merged = edges.groupBy(*keys, "_gid").agg(
@@ -63,10 +62,9 @@ def islands_naive(rows: DataFrame, ts: str, value: str, max_gap_seconds: float,
     """Reference form: one window per key ordered by time (single task per key).
     Kept as the check for :func:`islands`."""
     keys = list(keys)
-    gap = F.lit(max_gap_seconds).cast("decimal(20,6)")
     w = Window.partitionBy(*keys).orderBy(ts)
     prev = F.lag(ts).over(w)
-    r = rows.withColumn("_new", F.when(prev.isNull() | (seconds_between(prev, F.col(ts)) > gap), 1).otherwise(0))
+    r = rows.withColumn("_new", F.when(prev.isNull() | longer_than(prev, F.col(ts), max_gap_seconds), 1).otherwise(0))
     r = r.withColumn("_id", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return r.groupBy(*keys, "_id").agg(
         F.min(ts).alias("island_start"), F.max(ts).alias("island_end"),

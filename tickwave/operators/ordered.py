@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwave.functions.timefn import floor_to
+from tickwave.functions.timefn import bucket_start
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], ts: str, value: str,
@@ -17,7 +17,7 @@ def previous_value(df: DataFrame, keys: Sequence[str], ts: str, value: str,
     first row of a span takes the last value of the key's previous non-empty
     span from a calendar-bounded (keys x spans) carry table."""
     keys = list(keys)
-    d = df.withColumn("_span", floor_to(ts, span))
+    d = df.withColumn("_span", bucket_start(ts, span))
     w = Window.partitionBy(*keys, "_span").orderBy(ts)
     d = d.withColumn(out, F.lag(value).over(w))
     lasts = d.groupBy(*keys, "_span").agg(F.max_by(value, ts).alias("_last"))

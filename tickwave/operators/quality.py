@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwave.functions.timefn import floor_to, ms_to_ts, seconds_between
+from tickwave.functions.timefn import bucket_start, ms_to_ts, seconds_between
 
 
 # -- envelopes ---------------------------------------------------------------
@@ -65,7 +65,7 @@ def interval_neighbours(iv: DataFrame, keys: Sequence[str] = (), start: str = "s
     Adds ``prev_end``, ``prev_label``, ``kind`` (gap / overlap / NULL) and
     ``amount_seconds``."""
     keys = list(keys)
-    d = iv.withColumn("_span", floor_to(start, span))
+    d = iv.withColumn("_span", bucket_start(start, span))
     order = [F.col(start), F.col(end), F.col(label)]
     w = Window.partitionBy(*keys, "_span").orderBy(*order)
     if mode == "neighbour":
