@@ -39,15 +39,37 @@ def test_interval_rules(spark):
     assert kinds(nested, "running_max") == [("overlap", 25.0), (None, None)]
 
 
-def test_interval_rules_across_days(spark):
-    # neighbours on different days are compared through the carried value
+def test_interval_rules_across_chunks(spark):
+    # one interval per chunk at most: every comparison goes through the carry
     nested = iv(spark, [(0, 3000), (5, 10), (3000, 4000), (4000, 6000)])
-    assert kinds(nested) == [("overlap", 2995.0), ("gap", 2990.0), (None, None)]
-    assert kinds(nested, "running_max") == [("overlap", 2995.0), (None, None), (None, None)]
+    for chunks in (1, 2, 4, 8):
+        n = interval_neighbours(nested, chunks=chunks).orderBy("start", "end", "label").collect()
+        assert [(r["kind"], r["prev_label"]) for r in n] == [(None, None), ("overlap", "f0"), ("gap", "f1"),
+                                                             (None, "f2")]
+        r = interval_neighbours(nested, mode="running_max", chunks=chunks).orderBy("start").collect()
+        assert [x["kind"] for x in r] == [None, "overlap", None, None]
     v = interval_verdict(nested).first()
     assert (v["intervals"], v["gaps"], v["overlaps"], v["gaps_running_max"], v["ok"]) == (4, 1, 1, 0, False)
 
 
+def test_interval_chunks_with_keys_and_hot_key(spark):
+    """A key holding most rows spreads over chunks; results equal one window."""
+    from pyspark.sql import Window
+    rows = [("hot", i * 2, i * 2 + 3, f"h{i}") for i in range(400)] + \
+           [(f"k{j}", j, j + 1, f"c{j}") for j in range(0, 40, 3)]
+    base = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(k, base + dt.timedelta(minutes=a), base + dt.timedelta(minutes=b), l)
+                                for k, a, b, l in rows], "src string, start timestamp_ntz, `end` timestamp_ntz, label string")
+    w = Window.partitionBy("src").orderBy("start", "end", "label")
+    want = df.select("src", "label", F.lag("end").over(w).alias("prev_end"),
+                     F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("run"))
+    for chunks in (3, 16):
+        got = interval_neighbours(df, ["src"], chunks=chunks).select("src", "label", "prev_end")
+        assert got.exceptAll(want.select("src", "label", "prev_end")).count() == 0
+        got = interval_neighbours(df, ["src"], mode="running_max", chunks=chunks).select("src", "label", "prev_end")
+        assert got.exceptAll(want.select("src", "label", F.col("run").alias("prev_end"))).count() == 0
+
+
 def _period_file(name):
     return os.path.join(REF, "backfill_inputs", name)
 

@@ -52,58 +52,66 @@ def ingest_health(docs: DataFrame) -> DataFrame:
 
 def interval_neighbours(iv: DataFrame, keys: Sequence[str] = (), start: str = "start",
                         end: str = "end", label: str = "label", mode: str = "neighbour",
-                        span: str = "1 day") -> DataFrame:
+                        chunks: int | None = None) -> DataFrame:
     """Each interval with the end it is compared against.
 
-    Intervals are sorted by ``(start, end, label)``.  ``mode="neighbour"``
+    Intervals are sorted by ``(keys, start, end, label)``.  ``mode="neighbour"``
     (the reference rule) compares with the previous interval's end, so an
     interval nested in an earlier one can report a false gap;
     ``mode="running_max"`` compares with the greatest end so far.
 
-    Partitioned by ``(keys, day of start)``; the first interval of a day takes
-    the carried value from a calendar-bounded per-key table of earlier days.
+    A balanced ordered scan, whatever the skew: ``repartitionByRange`` cuts the
+    sorted intervals into ``chunks`` ranges of about equal size (sampled
+    bounds), each ``(chunk, key)`` is windowed on its own, and the one value
+    that crosses a chunk edge comes from a carry table with one row per
+    ``(key, chunk)`` (bounded by keys + chunks, never by rows).  A key or a
+    day holding a third of all intervals is spread over many chunks.
     Adds ``prev_end``, ``prev_label``, ``kind`` (gap / overlap / NULL) and
     ``amount_seconds``."""
     keys = list(keys)
-    d = iv.withColumn("_span", bucket_start(start, span))
+    n = chunks or int(iv.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(start), F.col(end), F.col(label)]
-    w = Window.partitionBy(*keys, "_span").orderBy(*order)
+    d = iv.repartitionByRange(n, *[F.col(k) for k in keys], *order) \
+        .withColumn("_chunk", F.spark_partition_id())
+    w = Window.partitionBy("_chunk", *keys).orderBy(*order)
+    per_cols = [F.max_by(F.struct(F.col(end).alias("e"), F.col(label).alias("l")), F.struct(*order)).alias("_last"),
+                F.max(end).alias("_m")]
     if mode == "neighbour":
         d = d.withColumn("prev_end", F.lag(end).over(w)).withColumn("prev_label", F.lag(label).over(w))
-        per = d.groupBy(*keys, "_span").agg(F.max_by(F.struct(F.col(end).alias("e"), F.col(label).alias("l")),
-                                                     F.struct(*order)).alias("_last"))
-        ws = Window.partitionBy(*keys).orderBy("_span")
-        carry = per.select(*keys, "_span", F.lag("_last").over(ws).alias("_carry"))
-        d = d.join(carry, [*keys, "_span"], "left")
+        per = d.groupBy(*keys, "_chunk").agg(*per_cols)
+        wc = Window.partitionBy(*keys).orderBy("_chunk")
+        carry = per.select(*keys, "_chunk", F.lag("_last").over(wc).alias("_carry"))
+        d = d.join(carry, [*keys, "_chunk"], "left")
         d = d.withColumn("prev_label", F.when(F.col("prev_end").isNull(), F.col("_carry.l"))
                          .otherwise(F.col("prev_label")))
         d = d.withColumn("prev_end", F.coalesce("prev_end", F.col("_carry.e")))
     elif mode == "running_max":
         d = d.withColumn("prev_end", F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-        per = d.groupBy(*keys, "_span").agg(F.max(end).alias("_m"))
-        ws = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-        carry = per.select(*keys, "_span", F.max("_m").over(ws).alias("_carry"))
-        d = d.join(carry, [*keys, "_span"], "left")
-        d = d.withColumn("prev_end", F.greatest("prev_end", "_carry")).withColumn("prev_label", F.lit(None).cast("string"))
+        per = d.groupBy(*keys, "_chunk").agg(*per_cols)
+        wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        carry = per.select(*keys, "_chunk", F.max("_m").over(wc).alias("_carry"))
+        d = d.join(carry, [*keys, "_chunk"], "left")
+        d = d.withColumn("prev_end", F.greatest("prev_end", "_carry")) \
+            .withColumn("prev_label", F.lit(None).cast("string"))
     else:
         raise ValueError(mode)
     kind = (F.when(F.col(start) < F.col("prev_end"), "overlap")
             .when(F.col(start) > F.col("prev_end"), "gap"))
     amt = F.when(kind == "overlap", seconds_between(start, "prev_end")) \
         .when(kind == "gap", seconds_between("prev_end", start))
-    return d.drop("_span", "_carry").withColumn("kind", kind).withColumn("amount_seconds", amt)
+    return d.drop("_chunk", "_carry").withColumn("kind", kind).withColumn("amount_seconds", amt)
 
 
 def interval_verdict(iv: DataFrame, keys: Sequence[str] = (), start: str = "start",
                      end: str = "end", label: str = "label", failed: DataFrame | None = None,
-                     span: str = "1 day") -> DataFrame:
+                     chunks: int | None = None) -> DataFrame:
     """Coverage verdict per key: intervals, gaps and overlaps by both rules,
     first start, end of the last interval in sort order, covered days
     (sum of lengths), and ``ok`` = no gap, overlap or failed file (and at
     least one interval)."""
     keys = list(keys)
-    nb = interval_neighbours(iv, keys, start, end, label, "neighbour", span)
-    rm = interval_neighbours(iv, keys, start, end, label, "running_max", span).select(
+    nb = interval_neighbours(iv, keys, start, end, label, "neighbour", chunks)
+    rm = interval_neighbours(iv, keys, start, end, label, "running_max", chunks).select(
         *keys, start, end, label, F.col("kind").alias("kind_rm"))
     j = nb.join(rm, [*keys, start, end, label])
     order = F.struct(F.col(start), F.col(end), F.col(label))
