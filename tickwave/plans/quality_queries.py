@@ -254,3 +254,18 @@ def q_dedup_latest(spark, sf_dir):
     from tickwave.operators.dedup import keep_latest
     ev = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts", "value")
     return keep_latest(ev, ["user_id", "event_type"], ["ts", "event_id"])
+
+
+@register("interval_samples", f"""WITH {IV_SQL},
+o AS (SELECT 'overlap' AS kind, prev_label, label, "start", "end" FROM nb WHERE "start" < prev_end
+      ORDER BY "start", "end", label LIMIT 5),
+g AS (SELECT 'gap' AS kind, prev_label, label, "start", "end" FROM nb WHERE "start" > prev_end
+      ORDER BY "start", "end", label LIMIT 10)
+SELECT * FROM o UNION ALL SELECT * FROM g""")
+def q_interval_samples(spark, sf_dir):
+    """The report's samples: the first 5 overlaps and the first 10 gaps in
+    interval order (a top-k per kind, the limit is the feature)."""
+    n = interval_neighbours(order_intervals(spark, sf_dir))
+    cols = ["kind", "prev_label", "label", "start", "end"]
+    first = lambda k, m: n.where(F.col("kind") == k).orderBy("start", "end", "label").limit(m).select(*cols)
+    return first("overlap", 5).unionByName(first("gap", 10))
