@@ -61,17 +61,19 @@ def interval_neighbours(iv: DataFrame, keys: Sequence[str] = (), start: str = "s
     ``mode="running_max"`` compares with the greatest end so far.
 
     A balanced ordered scan, whatever the skew: ``repartitionByRange`` cuts the
-    sorted intervals into ``chunks`` ranges of about equal size (sampled
-    bounds), each ``(chunk, key)`` is windowed on its own, and the one value
+    sorted intervals into ranges of about equal size (sampled bounds;
+    ``chunks`` fixes their number, otherwise AQE sizes them), each ``(chunk, key)`` is windowed on its own, and the one value
     that crosses a chunk edge comes from a carry table with one row per
     ``(key, chunk)`` (bounded by keys + chunks, never by rows).  A key or a
     day holding a third of all intervals is spread over many chunks.
     Adds ``prev_end``, ``prev_label``, ``kind`` (gap / overlap / NULL) and
     ``amount_seconds``."""
     keys = list(keys)
-    n = chunks or int(iv.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(start), F.col(end), F.col(label)]
-    d = iv.repartitionByRange(n, *[F.col(k) for k in keys], *order) \
+    by = [*[F.col(k) for k in keys], *order]
+    # without an explicit count AQE sizes the chunks by bytes; coalescing only
+    # merges neighbouring ranges, so chunk ids stay in sort order
+    d = (iv.repartitionByRange(chunks, *by) if chunks else iv.repartitionByRange(*by)) \
         .withColumn("_chunk", F.spark_partition_id())
     w = Window.partitionBy("_chunk", *keys).orderBy(*order)
     per_cols = [F.max_by(F.struct(F.col(end).alias("e"), F.col(label).alias("l")), F.struct(*order)).alias("_last"),
