@@ -33,3 +33,26 @@ def test_refresh_one_venue_keeps_the_other(spark):
     assert read_candles(spark, root).where(F.col("exchange") == VENUE_K).count() == \
         c.where(F.col("exchange") == VENUE_K).count()
     assert any("month=01" in p for p in k_after)
+
+
+def test_splitting_bronze_files_does_not_change_candles(spark):
+    """Metamorphic: the same trades landed as daily files or as 7-hour files
+    (period edges anywhere in the day) give identical Silver candles."""
+    from tickwave.functions.timefn import epoch_ms
+    from tickwave.plans import silver
+    from tickwave.plans.standins import events_trades
+    from tickwave.sinks.writers import trade_envelopes, write_envelopes
+    t = events_trades(spark, SF001).where(F.col("venue") == VENUE_T).select(
+        F.col("venue").alias("symbol"), epoch_ms("ts").alias("ts_ms"), "trade_id", "amount", "price", "side")
+    rng = t.agg(F.min("ts_ms").alias("a"), F.max("ts_ms").alias("b")).first()
+    out = []
+    for step in (86_400_000, 7 * 3_600_000):
+        first = rng["a"] - rng["a"] % step
+        periods = spark.range(first, rng["b"] + 1, step).select(
+            F.lit(VENUE_T).alias("symbol"), F.col("id").alias("start_ms"), (F.col("id") + step).alias("end_ms"))
+        path = scratch_path(spark, "split")
+        write_envelopes(trade_envelopes(t, periods, "2024-02-01T00:00:00+00:00"), path)
+        out.append(silver.trades_to_candles(spark, path, VENUE_T))
+    a, b = out
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

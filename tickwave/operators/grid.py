@@ -26,14 +26,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwave.functions.timefn import bucket_start
+from tickwave.functions.timefn import bucket_start, interval_of
 
 
 def interval_expr(width: str):
     """``'15 minutes'`` -> ``INTERVAL '15' MINUTE`` column."""
-    n, unit = width.split()
-    unit = unit.upper().rstrip("S")
-    return F.expr(f"INTERVAL '{n}' {unit}")
+    return interval_of(width)
 
 
 def gap_segments(bars: DataFrame, step: str = "1 minute",

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwave.functions.timefn import bucket_start, ms_to_ts, seconds_between
+from tickwave.functions.timefn import ms_to_ts, seconds_between
 
 
 # -- envelopes ---------------------------------------------------------------
