@@ -30,6 +30,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # no per-call Python call-site capture while building plans (it only
+        # enriches error messages and costs a session lookup per function)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
