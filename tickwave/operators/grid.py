@@ -5,9 +5,10 @@ bucket followed by a global forward fill.  A global ``Window.orderBy`` would
 send a whole series to one task, so instead:
 
 1. Real bars are windowed per ``(keys, span)`` (span = one day by default) and
-   each learns the next real bucket with ``lead``.  The last bar of a span gets
-   its successor from a per-``(key, span)`` table of first buckets, which is
-   bounded by the calendar (keys x days), not by the data.
+   each learns the next real bucket with ``lead``.  The gap after the last bar
+   of a span comes from a per-``(key, span)`` boundary table (first bucket,
+   last bucket and close) and ``lead`` over it per key; that table is bounded
+   by the calendar (keys x days), not by the data.
 2. Only gaps survive (next bucket further than one step away).  Each gap is
    cut at span edges into segments, the small segment table is re-partitioned
    by ``(keys, span)`` and only then exploded into flat bars, so a long outage
@@ -42,22 +43,22 @@ def gap_segments(bars: DataFrame, step: str = "1 minute",
     one = interval_expr(step)
     real = bars.select(*keys, bucket, close).withColumn("_span", bucket_start(bucket, span))
     w = Window.partitionBy(*keys, "_span").orderBy(bucket)
-    with_next = real.withColumn("_next", F.lead(bucket).over(w))
-
-    # successor of the last bar of a span: first bucket of the next non-empty
-    # span of the same key (keys x days rows, windowed per key)
-    firsts = real.groupBy(*keys, "_span").agg(F.min(bucket).alias("_first"))
+    nxt = F.lead(bucket).over(w)
+    inside = real.select(*keys, (F.col(bucket) + one).alias("_lo"), (nxt - one).alias("_hi"),
+                         F.col(close).alias("fill_close"))
+    inside = inside.where(F.col("_hi").isNotNull())
+
+    # gaps across span edges: one boundary row per (key, span) -- first bucket,
+    # last bucket and its close -- and the next span's first bucket per key
+    # (keys x days rows, windowed per key)
+    edges = real.groupBy(*keys, "_span").agg(
+        F.min(bucket).alias("_first"), F.max(bucket).alias("_last"),
+        F.max_by(close, bucket).alias("fill_close"))
     ws = Window.partitionBy(*keys).orderBy("_span")
-    span_next = firsts.select(*keys, "_span", F.lead("_first").over(ws).alias("_span_next"))
-
-    inside = with_next.where(F.col("_next").isNotNull() & (F.col("_next") > F.col(bucket) + one))
-    last = (with_next.where(F.col("_next").isNull()).drop("_next")
-            .join(span_next, [*keys, "_span"])
-            .where(F.col("_span_next").isNotNull())
-            .withColumnRenamed("_span_next", "_next"))
-    gaps = inside.unionByName(last).select(
-        *keys, (F.col(bucket) + one).alias("_lo"), (F.col("_next") - one).alias("_hi"),
-        F.col(close).alias("fill_close"))
+    across = edges.select(*keys, (F.col("_last") + one).alias("_lo"),
+                          (F.lead("_first").over(ws) - one).alias("_hi"), "fill_close")
+    across = across.where(F.col("_hi").isNotNull())
+    gaps = inside.unionByName(across)
     gaps = gaps.where(F.col("_lo") <= F.col("_hi"))
     span_iv = interval_expr(span)
     # one window() per projection: bucket each end in its own step
