@@ -130,6 +130,17 @@ def convert_by_local_date(facts: DataFrame, daily: DataFrame, ts: str,
     return j.withColumnRenamed("_rate", "rate")
 
 
+def attach_local_date(facts: DataFrame, ts: str, days: DataFrame, zone: str = LOCAL_ZONE,
+                      out: str = "local_date") -> DataFrame:
+    """``facts`` plus the calendar date of ``ts`` in ``zone``, resolved through
+    the UTC-bucket calendar of ``days`` (a ``date`` column: the local days that
+    matter, e.g. a rate table's range) by one broadcast hash probe; rows
+    outside those days fall back to per-row conversion."""
+    d = days.select("date", F.lit(1.0).alias("rate"))
+    j = _attach_calendar(facts, d, ts, zone, "rate", (), "left")
+    return j.withColumn(out, F.coalesce(F.col("_ld"), local_date(ts, zone))).drop("_ld", "_rate")
+
+
 def missing_rate_dates(facts: DataFrame, daily: DataFrame, ts: str,
                        zone: str = LOCAL_ZONE, limit: int | None = 10) -> DataFrame:
     """Local dates of facts with no rate, with how many facts each, earliest
@@ -184,10 +195,12 @@ def asof_backward(left: DataFrame, right: DataFrame, left_on: str, right_on: str
         last = F.coalesce(last, F.greatest(F.col("_lmax"), F.col(right_on)))
     cal = r.select(*keys, F.col(right_on).alias(right_on + "_matched"), *values,
                    F.explode(F.sequence(F.col(right_on), last)).alias("_day"))
-    cal = bounded_broadcast(cal)
-    cond = [left[k] == cal[k] for k in keys] + [left[left_on] == cal["_day"]]
-    j = left.join(cal, cond, "left")
-    return j.select(*[left[c] for c in left.columns], cal[right_on + "_matched"], *[cal[v] for v in values])
+    cal = bounded_broadcast(cal).alias("_r")
+    lft = left.alias("_l")
+    cond = [F.col(f"_l.{k}") == F.col(f"_r.{k}") for k in keys] + [F.col(f"_l.{left_on}") == F.col("_r._day")]
+    j = lft.join(cal, cond, "left")
+    return j.select(*[F.col(f"_l.{c}") for c in left.columns], F.col(f"_r.{right_on}_matched"),
+                    *[F.col(f"_r.{v}") for v in values])
 
 
 def apply_policy(filled: DataFrame, policy: str = "keep") -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tickwave.functions.timefn import local_date
 from tickwave.operators.fx import (
     apply_policy,
     asof_backward,
+    attach_local_date,
     convert_by_local_date,
     fill_daily,
     missing_rate_dates,
@@ -106,9 +106,12 @@ SELECT l_orderkey, l_linenumber, local_date,
 FROM a""")
 def q_fx_asof(spark, sf_dir):
     """Backward as-of lookup of the source (unfilled) rate, 7-day tolerance."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", local_date("l_shipdate").alias("local_date"))
     src = weekday_rates(spark, sf_dir).select(F.col("fecha").alias("date"), F.col("valor").alias("rate"))
+    # local dates through the zone calendar of the days the rates can serve
+    days = src.agg(F.min("date").alias("a"), (F.max("date") + 7).alias("b")) \
+        .select(F.explode(F.sequence("a", "b")).alias("date"))
+    li = attach_local_date(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"),
+                           "l_shipdate", days).drop("l_shipdate")
     return asof_backward(li, src, "local_date", "date", ["rate"], tolerance_days=7)
 
 
