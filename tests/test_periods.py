@@ -62,3 +62,14 @@ def test_weekly_split_february(spark):
     p = adaptive_periods(est, "s")
     counts = {(r["year"], r["month"]): r["count"] for r in p.groupBy("year", "month").count().collect()}
     assert counts == {(2023, 2): 4, (2024, 2): 5, (2024, 3): 2}
+
+
+def test_published_row_arithmetic(spark):
+    import datetime as dt
+    from tickwave.operators.fx import fill_daily
+    src = spark.createDataFrame([(dt.date(2015, 1, 2), 1.0), (dt.date(2026, 5, 6), 2.0)], "date date, rate double")
+    assert fill_daily(src, max_back_days=None).count() == 4143
+    def months(a, b):
+        return spark.range(1).select(F.size(months_between(F.lit(a).cast("date"), F.lit(b).cast("date")))).first()[0]
+    assert months("2015-03-01", "2026-04-30") == 134
+    assert months("2017-08-17", "2026-04-30") == 105
