@@ -15,7 +15,7 @@ def test_registry_consistent():
     import __spark_entry__ as e
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"tolerant_scan", "ingest_health"}
+    assert set(q) == set(o)
 
 
 def _names():

@@ -130,10 +130,26 @@ def q_silver_refresh(spark, sf_dir):
     return read_candles(spark, root)
 
 
-@register("tolerant_scan")
+DAYS_SQL = """days AS (SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE) + {extra},
+                                              INTERVAL 1 DAY)) AS DATE) AS day FROM events)"""
+
+
+@register("tolerant_scan", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {DAYS_SQL.format(extra=1)},
+t AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM trades WHERE venue = 'venue_t' GROUP BY 1),
+k AS (SELECT CAST(bucket AS DATE) AS day, count(*) AS n, epoch_ms(min(bucket)) AS s,
+             epoch_ms(max(bucket)) + 60000 AS e FROM bars WHERE venue = 'venue_k' GROUP BY 1),
+kd AS (SELECT k.* FROM k WHERE day <= (SELECT max(day) - 1 FROM days))
+SELECT 'range' AS class, epoch_ms(CAST(day AS TIMESTAMP)) AS start_ms,
+       epoch_ms(CAST(day AS TIMESTAMP)) + 86400000 AS end_ms, CAST(coalesce(t.n, 0) AS BIGINT) AS records
+FROM days LEFT JOIN t USING (day)
+UNION ALL SELECT 'derived', s, e, n FROM kd
+UNION ALL SELECT 'derived', s, e, n FROM kd WHERE day = (SELECT min(day) FROM days)
+UNION ALL SELECT 'failed', NULL, NULL, CAST(0 AS BIGINT)""")
 def q_tolerant_scan(spark, sf_dir):
     """Scan a folder of trade envelopes (with an empty trailing period), kline
-    envelopes and one truncated file without failing; classify every file."""
+    envelopes (the first day ingested twice) and one truncated file without
+    failing; classify every file and give its range (file names are random,
+    so they are left out of the compared result)."""
     tpath = _trade_bronze(spark, sf_dir, extra_days=1)
     kpath = _kline_bronze(spark, sf_dir)
     bad = scratch_path(spark, "bronze-bad")
@@ -141,10 +157,15 @@ def q_tolerant_scan(spark, sf_dir):
     one.select(F.substring("value", 1, 200).alias("value")).write.mode("overwrite").text(bad)
     docs = read_json_docs(spark, [tpath, kpath], S.ANY_ENVELOPE_DDL, tolerant=True).unionByName(
         read_json_docs(spark, bad, S.ANY_ENVELOPE_DDL, tolerant=True, glob="*.txt"))
-    return envelope_ranges(docs)
+    return envelope_ranges(docs).drop("file")
 
 
-@register("ingest_health")
+@register("ingest_health", f"""WITH {sql.TRADES}, {DAYS_SQL.format(extra=0)},
+t AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM trades WHERE venue = 'venue_t' GROUP BY 1)
+SELECT 0.5 AS nominal_rps, count(*) AS runs, CAST(0 AS BIGINT) AS throttle_429_events,
+       CAST(sum(ceil(coalesce(t.n, 0) / 100.0)) AS BIGINT) AS pages, CAST(sum(coalesce(t.n, 0)) AS BIGINT) AS records,
+       CAST(NULL AS DOUBLE) AS mean_effective_rps
+FROM days LEFT JOIN t USING (day)""")
 def q_ingest_health(spark, sf_dir):
     """Roll-up of the ingestion metadata carried by the trade envelopes."""
     docs = read_json_docs(spark, _trade_bronze(spark, sf_dir), S.TRADE_ENVELOPE_DDL)
