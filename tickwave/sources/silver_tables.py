@@ -26,12 +26,18 @@ def load_candles(spark: SparkSession, root: str, ts_from: dt.datetime | None = N
     if year_max is not None:
         df = df.where(F.col("year") <= year_max)
     if ts_from is not None:
-        df = df.where(ym >= ts_from.year * 100 + ts_from.month).where(F.col("timestamp") >= F.lit(ts_from).cast("timestamp_ntz"))
+        df = df.where(ym >= ts_from.year * 100 + ts_from.month).where(F.col("timestamp") >= _ntz(ts_from))
     if ts_to is not None:
-        df = df.where(ym <= ts_to.year * 100 + ts_to.month).where(F.col("timestamp") < F.lit(ts_to).cast("timestamp_ntz"))
+        df = df.where(ym <= ts_to.year * 100 + ts_to.month).where(F.col("timestamp") < _ntz(ts_to))
     return df
 
 
+def _ntz(t: dt.datetime):
+    """A wall-clock literal parsed as TIMESTAMP_NTZ (no session or driver zone
+    involved, unlike a Python datetime literal)."""
+    return F.to_timestamp_ntz(F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")))
+
+
 def load_rates(spark: SparkSession, path: str) -> DataFrame:
     """The daily rate dimension ``(date, usdclp, is_ffilled)``."""
     return spark.read.parquet(path)
