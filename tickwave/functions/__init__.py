@@ -8,6 +8,7 @@ from tickwave.functions.timefn import (  # noqa: F401
     epoch_ms,
     epoch_seconds,
     floor_to,
+    interval_of,
     width_seconds,
     local_date,
     local_wallclock,
