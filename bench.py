@@ -60,6 +60,42 @@ def silver_jobs(spark, sf_dir: str, times: dict) -> dict:
     return out
 
 
+def scale_point(spark, sf_dir: str, target_trades: int = 2_670_000) -> dict:
+    """Job A at the published baseline's size: the stand-in trades repeated in
+    time-shifted copies (31 days apart, ids offset) up to ~2.67 M trades, landed
+    as weekly envelopes (untimed), then trades -> written candle table, timed."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from tickwave.functions.timefn import epoch_ms
+    from tickwave.plans import silver
+    from tickwave.plans.standins import VENUE_T, events_trades
+    from tickwave.session import materialize, scratch_path
+    from tickwave.sinks.writers import trade_envelopes, write_envelopes
+    t = events_trades(spark, sf_dir).where(F.col("venue") == VENUE_T).select(
+        F.col("venue").alias("symbol"), epoch_ms("ts").alias("ts_ms"), "trade_id", "amount", "price", "side")
+    n = t.count()
+    copies = max(1, min(60, math.ceil(target_trades / max(n, 1))))
+    shift, week = 31 * 86_400_000, 7 * 86_400_000
+    big = t.withColumn("rep", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint")))).select(
+        "symbol", (F.col("ts_ms") + F.col("rep") * shift).alias("ts_ms"),
+        (F.col("trade_id") + F.col("rep") * 1_000_000_000).alias("trade_id"), "amount", "price", "side")
+    big = materialize(big, "scale-trades")
+    rng = big.agg(F.min("ts_ms").alias("a"), F.max("ts_ms").alias("b")).first()
+    first = rng["a"] - rng["a"] % week
+    periods = spark.range(first, rng["b"] + 1, week).select(
+        F.lit(VENUE_T).alias("symbol"), F.col("id").alias("start_ms"), (F.col("id") + week).alias("end_ms"))
+    bronze = scratch_path(spark, "scale-bronze")
+    write_envelopes(trade_envelopes(big, periods, "2024-02-01T00:00:00+00:00"), bronze)
+    t0 = time.perf_counter()
+    m = silver.run_refresh(silver.trades_to_candles(spark, bronze, VENUE_T), scratch_path(spark, "scale-silver"),
+                           VENUE_T)
+    sec = time.perf_counter() - t0
+    return {"trades": n * copies, "files": periods.count(), "candles": m["rows_out"], "sec": round(sec, 3),
+            "candles_per_sec": round(m["rows_out"] / sec), "trades_per_sec": round(n * copies / sec)}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -78,9 +114,11 @@ def main() -> None:
         QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[n] = round(time.perf_counter() - t0, 3)
     rates = silver_jobs(spark, sf_dir, times)
+    scale = scale_point(spark, sf_dir) if os.environ.get("BENCH_SCALE_POINT", "1") == "1" else None
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "rows_per_sec": rates}))
+                      "unit": "sec", "queries": times, "sf": sf, "rows_per_sec": rates,
+                      "baseline_size_trades_to_candles": scale}))
     spark.stop()
 
 
