@@ -96,6 +96,53 @@ def scale_point(spark, sf_dir: str, target_trades: int = 2_670_000) -> dict:
             "candles_per_sec": round(m["rows_out"] / sec), "trades_per_sec": round(n * copies / sec)}
 
 
+def scale_point_klines(spark, sf_dir: str, target_klines: int = 4_567_534) -> dict:
+    """Job B at the published size: the stand-in 1-minute klines and their
+    daily rate series repeated in 31-day shifted copies (the rate series of
+    one copy covers exactly 31 local dates, so copies tile without overlap) up
+    to ~4.57 M klines, landed as monthly envelopes (untimed); then klines ->
+    dedup -> grid -> rate of the Santiago date -> written table, timed."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from tickwave.functions.timefn import epoch_ms, ms_to_ts
+    from tickwave.operators.bars import ohlcv_bars
+    from tickwave.operators.fx import fill_daily
+    from tickwave.plans import silver
+    from tickwave.plans.standins import VENUE_K, event_rates, events_trades
+    from tickwave.session import materialize, scratch_path
+    from tickwave.sinks.writers import kline_envelopes, write_envelopes
+    b = ohlcv_bars(events_trades(spark, sf_dir).where(F.col("venue") == VENUE_K), "1 minute")
+    k = b.select(F.col("venue").alias("symbol"), epoch_ms("bucket").alias("open_time_ms"),
+                 "open", "high", "low", "close", "volume", "trade_count", "buy_volume")
+    k = materialize(k, "scale-k0")
+    n = k.count()
+    copies = max(1, min(150, math.ceil(target_klines / max(n, 1))))
+    shift = 31 * 86_400_000
+    rep = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint")))
+    big = k.withColumn("rep", rep).withColumn("open_time_ms", F.col("open_time_ms") + F.col("rep") * shift) \
+        .withColumn("close_time_ms", F.col("open_time_ms") + 59_999).drop("rep")
+    big = materialize(big, "scale-klines")
+    r0 = event_rates(spark, sf_dir)
+    rates = r0.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))) \
+        .select(F.date_add("date", F.col("rep") * 31).alias("date"), "rate")
+    rates = materialize(fill_daily(rates), "scale-rates")
+    month = F.trunc(F.to_date(ms_to_ts("open_time_ms")), "month")
+    months = big.select(month.alias("m")).distinct()
+    start = epoch_ms(F.col("m").cast("timestamp_ntz"))
+    periods = months.select(F.lit(VENUE_K).alias("symbol"), start.alias("start_ms"),
+                            epoch_ms(F.add_months("m", 1).cast("timestamp_ntz")).alias("end_ms"))
+    periods = materialize(periods, "scale-kperiods")
+    bronze = scratch_path(spark, "scale-kbronze")
+    write_envelopes(kline_envelopes(big, periods, "2024-02-01T00:00:00+00:00"), bronze)
+    t0 = time.perf_counter()
+    m = silver.run_klines_refresh(spark, bronze, rates, scratch_path(spark, "scale-ksilver"), VENUE_K)
+    sec = time.perf_counter() - t0
+    return {"klines": n * copies, "files": periods.count(), "candles": m["rows_out"], "sec": round(sec, 3),
+            "candles_per_sec": round(m["rows_out"] / sec)}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -114,11 +161,14 @@ def main() -> None:
         QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[n] = round(time.perf_counter() - t0, 3)
     rates = silver_jobs(spark, sf_dir, times)
-    scale = scale_point(spark, sf_dir) if os.environ.get("BENCH_SCALE_POINT", "1") == "1" else None
+    on = os.environ.get("BENCH_SCALE_POINT", "1") == "1"
+    scale = scale_point(spark, sf_dir) if on else None
+    scale_k = scale_point_klines(spark, sf_dir) if on else None
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "rows_per_sec": rates,
-                      "baseline_size_trades_to_candles": scale}))
+                      "baseline_size_trades_to_candles": scale,
+                      "baseline_size_klines_to_candles": scale_k}))
     spark.stop()
 
 
