@@ -134,10 +134,11 @@ def interval_verdict(iv: DataFrame, keys: Sequence[str] = (), start: str = "star
                           & (F.col("intervals") > 0))
 
 
-def ms_intervals(ranges: DataFrame, label: str = "file") -> DataFrame:
-    """Envelope ranges in ms -> timestamp intervals for the checks above."""
+def ms_intervals(ranges: DataFrame, label: str = "file", keep: Sequence[str] = ()) -> DataFrame:
+    """Envelope ranges in ms -> timestamp intervals for the checks above
+    (empty and failed files carry no range and are skipped)."""
     return ranges.where(F.col("class").isin("range", "derived")).select(
-        ms_to_ts("start_ms").alias("start"), ms_to_ts("end_ms").alias("end"), F.col(label).alias("label"))
+        *keep, ms_to_ts("start_ms").alias("start"), ms_to_ts("end_ms").alias("end"), F.col(label).alias("label"))
 
 
 # -- alignment ---------------------------------------------------------------

@@ -12,7 +12,7 @@ from tickwave.functions.timefn import epoch_ms
 from tickwave.operators.bars import ohlcv_bars
 from tickwave.operators.candles import CANDLE_COLUMNS
 from tickwave.operators.fx import fill_daily
-from tickwave.operators.quality import envelope_ranges, ingest_health
+from tickwave.operators.quality import envelope_ranges, ingest_health, interval_verdict
 from tickwave.plans import silver, sql
 from tickwave.plans.registry import register
 from tickwave.plans.standins import VENUE_K, VENUE_T, day_periods, event_rates, events_candles, events_trades
@@ -243,3 +243,44 @@ def q_fx_lookup_ms(spark, sf_dir):
     rates = fill_daily(event_rates(spark, sf_dir))
     j = convert_by_local_date(ev.withColumn("_t", ms_to_ts("ts_ms")), rates, "_t", [])
     return j.select("event_id", "ts_ms", "local_date", "rate")
+
+
+@register("bronze_coverage", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {DAYS_SQL.format(extra=1)},
+k AS (SELECT CAST(bucket AS DATE) AS day, epoch_ms(min(bucket)) AS s, epoch_ms(max(bucket)) + 60000 AS e
+      FROM bars WHERE venue = 'venue_k' GROUP BY 1),
+kd AS (SELECT * FROM k WHERE day <= (SELECT max(day) - 1 FROM days)),
+iv AS (SELECT 'tape' AS source, epoch_ms(CAST(day AS TIMESTAMP)) AS s,
+              epoch_ms(CAST(day AS TIMESTAMP)) + 86400000 AS e FROM days
+       UNION ALL SELECT 'kline', s, e FROM kd
+       UNION ALL SELECT 'kline', s, e FROM kd WHERE day = (SELECT min(day) FROM days)),
+nb AS (SELECT *, LAG(e) OVER (PARTITION BY source ORDER BY s, e) AS pe FROM iv),
+v AS (SELECT source, count(*) AS intervals,
+             CAST(sum(CASE WHEN s > pe THEN 1 ELSE 0 END) AS BIGINT) AS gaps,
+             CAST(sum(CASE WHEN s < pe THEN 1 ELSE 0 END) AS BIGINT) AS "overlaps",
+             make_timestamp(min(s) * 1000) AS first_start, make_timestamp(arg_max(e, (s, e)) * 1000) AS last_end,
+             round(sum(e - s) / 1000.0 / 86400, 4) AS covered_days FROM nb GROUP BY source),
+f AS (SELECT 'tape' AS source, CAST(1 AS BIGINT) AS failed UNION ALL SELECT 'kline', CAST(0 AS BIGINT))
+SELECT v.source, intervals, gaps, "overlaps", first_start, last_end, covered_days, failed,
+       gaps = 0 AND "overlaps" = 0 AND failed = 0 AS ok FROM v JOIN f USING (source)""")
+def q_bronze_coverage(spark, sf_dir):
+    """End-to-end Bronze check per source: classify every envelope file
+    (tolerant scan), compare neighbouring ranges, count failed files, verdict.
+    The tape source has a truncated file (not ok); the kline source has its
+    first day ingested twice (an overlap)."""
+    from tickwave.operators.quality import ms_intervals
+    tpath = _trade_bronze(spark, sf_dir, extra_days=1)
+    kpath = _kline_bronze(spark, sf_dir)
+    bad = scratch_path(spark, "bronze-bad")
+    spark.read.text(tpath, wholetext=True).limit(1).select(F.substring("value", 1, 200).alias("value")) \
+        .write.mode("overwrite").text(bad)
+    tape = read_json_docs(spark, tpath, S.ANY_ENVELOPE_DDL, tolerant=True).unionByName(
+        read_json_docs(spark, bad, S.ANY_ENVELOPE_DDL, tolerant=True, glob="*.txt"))
+    kline = read_json_docs(spark, kpath, S.ANY_ENVELOPE_DDL, tolerant=True)
+    r = envelope_ranges(tape).withColumn("source", F.lit("tape")).unionByName(
+        envelope_ranges(kline).withColumn("source", F.lit("kline")))
+    iv = ms_intervals(r, keep=["source"])
+    failed = r.groupBy("source").agg(F.sum(F.when(F.col("class") == "failed", 1).otherwise(0)).cast("bigint")
+                                     .alias("failed"))
+    v = interval_verdict(iv, keys=["source"], failed=failed)
+    return v.select("source", "intervals", "gaps", "overlaps", "first_start", "last_end", "covered_days",
+                    "failed", "ok")
