@@ -26,7 +26,7 @@ def q_ohlcv_bars(spark, sf_dir):
 @register("candles_continuous", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {sql.grid('1 minute')}
 SELECT * FROM candles""")
 def q_candles_continuous(spark, sf_dir):
-    return events_candles(spark, sf_dir, "1 minute")
+    return events_candles(spark, sf_dir, "1 minute", materialize=False)
 
 
 @register("episodes_hourly", sql.episodes("60 minutes", 3600, 0.01, 2) + f"\nSELECT {EP_COLS} FROM out")
@@ -82,7 +82,7 @@ SELECT exchange, "timestamp",
        (buy_volume_btc - sell_volume_btc) / nullif(volume_btc, 0) AS imbalance
 FROM candles""")
 def q_flow_imbalance(spark, sf_dir):
-    c = events_candles(spark, sf_dir, "15 minutes")
+    c = events_candles(spark, sf_dir, "15 minutes", materialize=False)
     return c.select("exchange", "timestamp",
                     F.try_divide(F.col("buy_volume_btc") - F.col("sell_volume_btc"),
                                  F.col("volume_btc")).alias("imbalance"))
@@ -95,7 +95,7 @@ SELECT exchange, CAST("timestamp" AS DATE) AS day, count(*) AS minutes,
        round(avg(CASE WHEN is_interpolated THEN 0.0 ELSE 1.0 END) * 100, 4) AS active_pct
 FROM candles GROUP BY 1, 2""")
 def q_activity_density(spark, sf_dir):
-    c = events_candles(spark, sf_dir, "1 minute")
+    c = events_candles(spark, sf_dir, "1 minute", materialize=False)
     return c.groupBy("exchange", F.to_date("timestamp").alias("day")).agg(
         F.count(F.lit(1)).alias("minutes"),
         F.sum("trade_count").cast("bigint").alias("trades"),

@@ -134,7 +134,7 @@ SELECT exchange, count(*) AS "rows",
        max(CASE WHEN close_clp <= 0 OR volume_btc < 0 THEN "timestamp" END) AS last_violation
 FROM candles GROUP BY 1""")
 def q_candle_invariants(spark, sf_dir):
-    c = events_candles(spark, sf_dir, "1 minute")
+    c = events_candles(spark, sf_dir, "1 minute", materialize=False)
     r = invariant_report(c, "close_clp", "volume_btc", "timestamp", ["exchange"])
     return r.select("exchange", "rows", F.col("nonpositive_price").cast("bigint").alias("nonpositive_price"),
                     F.col("negative_volume").cast("bigint").alias("negative_volume"),
@@ -149,7 +149,7 @@ FROM candles GROUP BY 1, 2""")
 def q_interpolation_by_period(spark, sf_dir):
     """Interpolated share per venue and day (the per-year table of the
     reference, at the grain the stand-in month allows)."""
-    c = events_candles(spark, sf_dir, "1 minute")
+    c = events_candles(spark, sf_dir, "1 minute", materialize=False)
     return interpolation_by(c, F.to_date("timestamp"))
 
 
@@ -159,7 +159,7 @@ SELECT exchange, count(*) AS minutes,
        round(avg(CASE WHEN is_interpolated THEN 1.0 ELSE 0.0 END) * 100, 4) AS pct_interpolated
 FROM candles GROUP BY 1""")
 def q_interpolation_totals(spark, sf_dir):
-    c = events_candles(spark, sf_dir, "1 minute")
+    c = events_candles(spark, sf_dir, "1 minute", materialize=False)
     return interpolation_by(c, F.lit(1), digits=4).drop("period")
 
 
@@ -196,7 +196,7 @@ FROM k LEFT JOIN efilled ON k.ld = efilled.date""")
 def q_fx_join_check(spark, sf_dir):
     """Candle x rate join loses no rows: count, matched, unmatched."""
     from tickwave.functions.timefn import local_date
-    c = events_candles(spark, sf_dir, "1 minute").where(F.col("exchange") == VENUE_K)
+    c = events_candles(spark, sf_dir, "1 minute", materialize=False).where(F.col("exchange") == VENUE_K)
     rates = fill_daily(event_rates(spark, sf_dir)).select(F.col("date").alias("ld"), F.lit(1).alias("_hit"))
     j = c.select(local_date("timestamp").alias("ld")).join(F.broadcast(rates), "ld", "left")
     return j.agg(F.count(F.lit(1)).alias("candles"), F.count("_hit").alias("joined"),

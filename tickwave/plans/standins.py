@@ -40,12 +40,17 @@ def events_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def events_candles(spark: SparkSession, sf_dir: str, width: str = "1 minute") -> DataFrame:
-    """Both venues as continuous unified candles, materialised once (the
-    stand-in for reading the Silver table, which gold queries scan per venue)."""
+def events_candles(spark: SparkSession, sf_dir: str, width: str = "1 minute",
+                   materialize: bool = True) -> DataFrame:
+    """Both venues as continuous unified candles.  ``materialize`` writes them
+    once (the stand-in for the Silver table, which the spread reads once per
+    venue); a query that reads them once passes ``False``."""
     bars = ohlcv_bars(events_trades(spark, sf_dir), width)
-    from tickwave.session import materialize
-    return materialize(to_unified(continuous_bars(bars, width)), "candles")
+    c = to_unified(continuous_bars(bars, width))
+    if not materialize:
+        return c
+    from tickwave.session import materialize as write_once
+    return write_once(c, "candles")
 
 
 def weekday_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
