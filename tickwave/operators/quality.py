@@ -50,24 +50,20 @@ def ingest_health(docs: DataFrame) -> DataFrame:
 
 # -- intervals -----------------------------------------------------------------
 
-def interval_neighbours(iv: DataFrame, keys: Sequence[str] = (), start: str = "start",
-                        end: str = "end", label: str = "label", mode: str = "neighbour",
-                        chunks: int | None = None) -> DataFrame:
-    """Each interval with the end it is compared against.
-
-    Intervals are sorted by ``(keys, start, end, label)``.  ``mode="neighbour"``
-    (the reference rule) compares with the previous interval's end, so an
-    interval nested in an earlier one can report a false gap;
-    ``mode="running_max"`` compares with the greatest end so far.
+def interval_scan(iv: DataFrame, keys: Sequence[str] = (), start: str = "start",
+                  end: str = "end", label: str = "label", chunks: int | None = None) -> DataFrame:
+    """Each interval with what both coverage rules compare it against, in one
+    ordered pass: ``prev_end``/``prev_label`` (the previous interval in
+    ``(keys, start, end, label)`` order -- the reference's neighbour rule) and
+    ``run_end`` (the greatest end so far -- the running-max rule).
 
     A balanced ordered scan, whatever the skew: ``repartitionByRange`` cuts the
     sorted intervals into ranges of about equal size (sampled bounds;
-    ``chunks`` fixes their number, otherwise AQE sizes them), each ``(chunk, key)`` is windowed on its own, and the one value
-    that crosses a chunk edge comes from a carry table with one row per
-    ``(key, chunk)`` (bounded by keys + chunks, never by rows).  A key or a
-    day holding a third of all intervals is spread over many chunks.
-    Adds ``prev_end``, ``prev_label``, ``kind`` (gap / overlap / NULL) and
-    ``amount_seconds``."""
+    ``chunks`` fixes their number, otherwise AQE sizes them), each
+    ``(chunk, key)`` is windowed on its own, and the values that cross a chunk
+    edge come from a carry table with one row per ``(key, chunk)`` (bounded by
+    keys + chunks, never by rows).  A key or a day holding a third of all
+    intervals is spread over many chunks."""
     keys = list(keys)
     order = [F.col(start), F.col(end), F.col(label)]
     by = [*[F.col(k) for k in keys], *order]
@@ -76,32 +72,49 @@ def interval_neighbours(iv: DataFrame, keys: Sequence[str] = (), start: str = "s
     d = (iv.repartitionByRange(chunks, *by) if chunks else iv.repartitionByRange(*by)) \
         .withColumn("_chunk", F.spark_partition_id())
     w = Window.partitionBy("_chunk", *keys).orderBy(*order)
-    per_cols = [F.max_by(F.struct(F.col(end).alias("e"), F.col(label).alias("l")), F.struct(*order)).alias("_last"),
-                F.max(end).alias("_m")]
-    if mode == "neighbour":
-        d = d.withColumn("prev_end", F.lag(end).over(w)).withColumn("prev_label", F.lag(label).over(w))
-        per = d.groupBy(*keys, "_chunk").agg(*per_cols)
-        wc = Window.partitionBy(*keys).orderBy("_chunk")
-        carry = per.select(*keys, "_chunk", F.lag("_last").over(wc).alias("_carry"))
-        d = d.join(carry, [*keys, "_chunk"], "left")
-        d = d.withColumn("prev_label", F.when(F.col("prev_end").isNull(), F.col("_carry.l"))
-                         .otherwise(F.col("prev_label")))
-        d = d.withColumn("prev_end", F.coalesce("prev_end", F.col("_carry.e")))
-    elif mode == "running_max":
-        d = d.withColumn("prev_end", F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-        per = d.groupBy(*keys, "_chunk").agg(*per_cols)
-        wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        carry = per.select(*keys, "_chunk", F.max("_m").over(wc).alias("_carry"))
-        d = d.join(carry, [*keys, "_chunk"], "left")
-        d = d.withColumn("prev_end", F.greatest("prev_end", "_carry")) \
+    d = d.select("*", F.lag(end).over(w).alias("prev_end"), F.lag(label).over(w).alias("prev_label"),
+                 F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("run_end"))
+    per = d.groupBy(*keys, "_chunk").agg(
+        F.max_by(F.struct(F.col(end).alias("e"), F.col(label).alias("l")), F.struct(*order)).alias("_last"),
+        F.max(end).alias("_m"))
+    wc = Window.partitionBy(*keys).orderBy("_chunk")
+    carry = per.select(*keys, "_chunk", F.lag("_last").over(wc).alias("_carry"),
+                       F.max("_m").over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_m"))
+    d = d.join(carry, [*keys, "_chunk"], "left")
+    first = F.col("prev_end").isNull()
+    return d.select(
+        *[F.col(c) for c in iv.columns],
+        F.when(first, F.col("_carry.e")).otherwise(F.col("prev_end")).alias("prev_end"),
+        F.when(first, F.col("_carry.l")).otherwise(F.col("prev_label")).alias("prev_label"),
+        F.greatest("run_end", "_carry_m").alias("run_end"))
+
+
+def _kind(start: str, against: str):
+    return (F.when(F.col(start) < F.col(against), "overlap")
+            .when(F.col(start) > F.col(against), "gap"))
+
+
+def interval_neighbours(iv: DataFrame, keys: Sequence[str] = (), start: str = "start",
+                        end: str = "end", label: str = "label", mode: str = "neighbour",
+                        chunks: int | None = None) -> DataFrame:
+    """Each interval with the end it is compared against (see
+    :func:`interval_scan`).  ``mode="neighbour"`` (the reference rule)
+    compares with the previous interval's end, so an interval nested in an
+    earlier one can report a false gap; ``mode="running_max"`` compares with
+    the greatest end so far.  Adds ``prev_end``, ``prev_label``, ``kind``
+    (gap / overlap / NULL) and ``amount_seconds``."""
+    d = interval_scan(iv, keys, start, end, label, chunks)
+    if mode == "running_max":
+        d = d.drop("prev_end").withColumnRenamed("run_end", "prev_end") \
             .withColumn("prev_label", F.lit(None).cast("string"))
+    elif mode == "neighbour":
+        d = d.drop("run_end")
     else:
         raise ValueError(mode)
-    kind = (F.when(F.col(start) < F.col("prev_end"), "overlap")
-            .when(F.col(start) > F.col("prev_end"), "gap"))
+    kind = _kind(start, "prev_end")
     amt = F.when(kind == "overlap", seconds_between(start, "prev_end")) \
         .when(kind == "gap", seconds_between("prev_end", start))
-    return d.drop("_chunk", "_carry").withColumn("kind", kind).withColumn("amount_seconds", amt)
+    return d.withColumn("kind", kind).withColumn("amount_seconds", amt)
 
 
 def interval_verdict(iv: DataFrame, keys: Sequence[str] = (), start: str = "start",
@@ -110,12 +123,10 @@ def interval_verdict(iv: DataFrame, keys: Sequence[str] = (), start: str = "star
     """Coverage verdict per key: intervals, gaps and overlaps by both rules,
     first start, end of the last interval in sort order, covered days
     (sum of lengths), and ``ok`` = no gap, overlap or failed file (and at
-    least one interval)."""
+    least one interval).  One ordered pass feeds both rules."""
     keys = list(keys)
-    nb = interval_neighbours(iv, keys, start, end, label, "neighbour", chunks)
-    rm = interval_neighbours(iv, keys, start, end, label, "running_max", chunks).select(
-        *keys, start, end, label, F.col("kind").alias("kind_rm"))
-    j = nb.join(rm, [*keys, start, end, label])
+    j = interval_scan(iv, keys, start, end, label, chunks) \
+        .withColumn("kind", _kind(start, "prev_end")).withColumn("kind_rm", _kind(start, "run_end"))
     order = F.struct(F.col(start), F.col(end), F.col(label))
     out = j.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("intervals"),
