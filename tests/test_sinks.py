@@ -56,3 +56,22 @@ def test_splitting_bronze_files_does_not_change_candles(spark):
     a, b = out
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_dynamic_overwrite_replaces_only_given_partitions(spark):
+    import datetime as dt
+    from tickwave.operators.candles import CANDLE_SCHEMA
+    from tickwave.sinks.writers import write_candles_dynamic
+
+    def rows(venue, month, close):
+        return [(dt.datetime(2024, month, d, 0, 0), venue, close, close, close, close, 1.0, 0.5, 0.5, 1, False)
+                for d in (1, 2)]
+    root = scratch_path(spark, "t-dyn").replace("file:", "")
+    first = rows("a", 1, 1.0) + rows("a", 2, 1.0) + rows("b", 1, 1.0)
+    write_candles_dynamic(spark.createDataFrame(first, CANDLE_SCHEMA), root)
+    b_before = {p: m for p, m in _files(root).items() if "exchange=b" in p}
+    write_candles_dynamic(spark.createDataFrame(rows("a", 2, 9.0), CANDLE_SCHEMA), root)
+    got = {(r["exchange"], r["month"]): r["c"] for r in read_candles(spark, root).groupBy("exchange", "month")
+           .agg(F.max("close_clp").alias("c")).collect()}
+    assert got == {("a", 1): 1.0, ("a", 2): 9.0, ("b", 1): 1.0}
+    assert {p: m for p, m in _files(root).items() if "exchange=b" in p} == b_before
