@@ -172,3 +172,20 @@ def test_kline_job_reports_missing_rate_dates(spark, tmp_path):
     rates = spark.createDataFrame([(_dt.date(2023, 12, 1), 1.0)], "date date, rate double")
     with pytest.raises(ValueError, match="2024-01-01"):
         silver.run_klines_refresh(spark, d, rates, str(tmp_path / "out"), "k")
+
+
+def test_failed_kline_refresh_keeps_previous_data(spark, tmp_path):
+    import datetime as _dt
+    d = str(tmp_path / "k3")
+    row = lambda t: [str(t), "1", "2", "0.5", "1", "3", str(t + 59999), "0", "4", "1", "0", "0"]
+    _write(d, "a.json", json.dumps({"metadata": {"symbol": "k", "ingestion_timestamp_utc": "2024-01-01T00:00:00+00:00"},
+                                    "data": [row(1704153600000), row(1704153780000)]}))
+    out = str(tmp_path / "silver")
+    good = spark.createDataFrame([(_dt.date(2024, 1, 1), 900.0)], "date date, rate double")
+    m = silver.run_klines_refresh(spark, d, good, out, "k")
+    assert m["rows_out"] == 4
+    bad = spark.createDataFrame([(_dt.date(2023, 12, 1), 1.0)], "date date, rate double")
+    with pytest.raises(ValueError, match="2024-01-01"):
+        silver.run_klines_refresh(spark, d, bad, out, "k")
+    kept = spark.read.parquet(out)
+    assert kept.count() == 4 and kept.agg(F.max("close_clp")).first()[0] == 900.0

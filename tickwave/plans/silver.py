@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from tickwave.operators.bars import ohlcv_bars
 from tickwave.operators.candles import to_unified
 from tickwave.operators.dedup import keep_latest
+from tickwave.functions.timefn import LOCAL_ZONE, local_date
 from tickwave.operators.fx import (
-    assert_rate_coverage,
     convert_by_local_date,
     fill_daily,
     latest_per_date,
 )
 from tickwave.operators.grid import continuous_bars
+from tickwave.session import materialize
 from tickwave.sinks.writers import write_candles_refresh, write_rates
 from tickwave.sources import schemas as S
 from tickwave.sources.bronze import assert_rates_present, decode_klines, decode_trades, rate_rows, read_json_docs
@@ -46,38 +47,60 @@ def klines_usdt(spark: SparkSession, bronze_path: str) -> tuple[DataFrame, DataF
     return k.where(on_grid), k.where(~on_grid)
 
 
-def klines_grid_usdt(spark: SparkSession, bronze_path: str) -> DataFrame:
+def klines_real_bars(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """De-duplicated on-grid klines as bars, written once to the shared
+    checkpoint folder (they feed the grid's branches and the coverage probe)."""
     k, _ = klines_usdt(spark, bronze_path)
     bars = k.select("symbol", F.col("ts").alias("bucket"), "open", "high", "low", "close", "volume",
                     "buy_volume", (F.col("volume") - F.col("buy_volume")).alias("sell_volume"),
                     "trade_count")
-    return continuous_bars(bars, "1 minute", keys=["symbol"])
+    return materialize(bars, "kline-bars")
+
+
+def klines_grid_usdt(spark: SparkSession, bronze_path: str, bars: DataFrame | None = None) -> DataFrame:
+    bars = bars if bars is not None else klines_real_bars(spark, bronze_path)
+    return continuous_bars(bars, "1 minute", keys=["symbol"], materialize=False)
 
 
 def klines_to_candles(spark: SparkSession, bronze_path: str, daily_rates: DataFrame,
-                      venue: str) -> DataFrame:
+                      venue: str, bars: DataFrame | None = None) -> DataFrame:
     """Klines in USDT -> continuous grid filled in USDT -> converted with the
     rate of each minute's Santiago date (fill first, convert after, as the
     reference does) -> unified candles.  A minute without a rate fails the job
-    in-line (no extra pass when coverage is complete); use
-    :func:`run_klines_refresh` to get the report of missing dates."""
-    grid = klines_grid_usdt(spark, bronze_path)
+    in-line; :func:`run_klines_refresh` checks coverage before writing."""
+    grid = klines_grid_usdt(spark, bronze_path, bars)
     conv = convert_by_local_date(grid, daily_rates, "bucket", ["open", "high", "low", "close"])
     return to_unified(conv, exchange=venue)
 
 
+def missing_grid_dates(bars: DataFrame, daily_rates: DataFrame, keys=("symbol",), bucket: str = "bucket",
+                       zone: str = LOCAL_ZONE, limit: int = 10) -> DataFrame:
+    """Local dates the continuous grid will need but the rate table lacks.
+
+    The grid is continuous from each key's first to last real bar, so the
+    dates it needs are exactly the calendar dates between the local dates of
+    those two instants: a calendar-sized check on two aggregates of the real
+    bars, not a pass over the grid."""
+    rng = bars.groupBy(*keys).agg(F.min(bucket).alias("_a"), F.max(bucket).alias("_b"))
+    need = rng.select(F.explode(F.sequence(local_date("_a", zone), local_date("_b", zone))).alias("local_date")) \
+        .distinct()
+    have = daily_rates.select(F.col("date").alias("local_date"))
+    return need.join(have, "local_date", "left_anti").orderBy("local_date").limit(limit)
+
+
 def run_klines_refresh(spark: SparkSession, bronze_path: str, daily_rates: DataFrame,
                        silver_root: str, venue: str) -> dict:
-    """Job B: write the venue refresh; if the in-line coverage check fires,
-    re-raise with the first 10 missing Santiago dates (a bounded probe that
-    only runs on failure)."""
-    try:
-        return run_refresh(klines_to_candles(spark, bronze_path, daily_rates, venue), silver_root, venue)
-    except Exception as e:  # noqa: BLE001 - re-raised with the report
-        if "rate coverage gap" not in str(e):
-            raise
-        assert_rate_coverage(klines_grid_usdt(spark, bronze_path), daily_rates, "bucket")
-        raise
+    """Job B.  Rate coverage is checked *before* the venue's refresh starts
+    (a static overwrite clears the venue first, so a failure mid-write would
+    lose its previous data): the check needs only the real bars' first and last
+    instants, and raises naming up to 10 missing Santiago dates.  The in-line
+    check inside the conversion stays as a safety net."""
+    bars = klines_real_bars(spark, bronze_path)
+    missing = [r["local_date"] for r in missing_grid_dates(bars, daily_rates).collect()]  # <= 10 rows
+    if missing:
+        raise ValueError("rate coverage gap; missing local dates (up to 10 shown): "
+                         + ", ".join(str(d) for d in missing))
+    return run_refresh(klines_to_candles(spark, bronze_path, daily_rates, venue, bars), silver_root, venue)
 
 
 def rates_from_envelope(spark: SparkSession, path: str, max_back_days: int = 7) -> DataFrame:
