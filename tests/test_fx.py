@@ -105,3 +105,41 @@ def test_zone_calendar_agrees_with_row_conversion(spark):
     bad = got.where(F.col("local_date") != local_date("ts"))
     assert bad.count() == 0
     assert got.count() == facts.count()
+
+
+def _brute_fill(src, max_back):
+    """Walk every day from the first to the last source date, carrying the
+    last value; fail when a filled day is more than ``max_back`` days old."""
+    vals = {}
+    for d, v in src:
+        vals[d] = v  # later rows win
+    out, d, last = [], min(vals), None
+    while d <= max(vals):
+        if d in vals:
+            last = (d, vals[d])
+        elif max_back is not None and (d - last[0]).days > max_back:
+            raise ValueError("gap")
+        out.append((d, last[1], d != last[0], (d - last[0]).days))
+        d += dt.timedelta(days=1)
+    return out
+
+
+def test_fill_matches_brute_force(spark):
+    import random
+    for seed in range(6):
+        rnd = random.Random(seed)
+        base = dt.date(2024, 1, 1)
+        src = [(base + dt.timedelta(days=rnd.randrange(0, 60)), float(i)) for i in range(rnd.randrange(5, 25))]
+        src = list(dict(src).items())  # one value per date (duplicates resolved before filling)
+        for bound in (7, 3, None):
+            try:
+                want = _brute_fill(src, bound)
+            except ValueError:
+                want = None
+            df = fill_daily(spark.createDataFrame(src, "date date, rate double"), bound)
+            if want is None:
+                with pytest.raises(Exception, match="exceeds max_back_days"):
+                    df.collect()
+            else:
+                got = sorted((r["date"], r["rate"], r["is_ffilled"], r["age_days"]) for r in df.collect())
+                assert got == want, (seed, bound)
