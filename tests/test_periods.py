@@ -73,3 +73,18 @@ def test_published_row_arithmetic(spark):
         return spark.range(1).select(F.size(months_between(F.lit(a).cast("date"), F.lit(b).cast("date")))).first()[0]
     assert months("2015-03-01", "2026-04-30") == 134
     assert months("2017-08-17", "2026-04-30") == 105
+
+
+def test_adaptive_periods_tile_the_range(spark):
+    """Whatever the estimates, the periods tile the months exactly."""
+    import random
+    from tickwave.functions.timefn import ms_to_ts
+    from tickwave.operators.quality import interval_verdict
+    rnd = random.Random(11)
+    rows = [(y, m, float(rnd.choice([0, 350, 401, 999, 1001, 5000]))) for y in range(2015, 2031) for m in range(1, 13)]
+    p = adaptive_periods(spark.createDataFrame(rows, "year int, month int, lambda_time_est_s double"), "s")
+    iv = p.select(ms_to_ts("start_ms").alias("start"), ms_to_ts("end_ms").alias("end"),
+                  F.col("start_ms").cast("string").alias("label"))
+    v = interval_verdict(iv).first()
+    assert (v["gaps"], v["overlaps"], v["ok"]) == (0, 0, True)
+    assert str(v["first_start"]) == "2015-01-01 00:00:00" and str(v["last_end"]) == "2031-01-01 00:00:00"
