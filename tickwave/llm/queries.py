@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickwave.llm import near_duplicates, quality_classifier, quality_rules
+from tickwave.llm import decontamination, mixing, near_duplicates, quality_classifier, quality_rules
 from tickwave.session import ensure_checkpoint_dir
 
 QUERIES: dict = {}
@@ -30,6 +30,16 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op3_source_mixing", mixing.ORACLE)
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+@register("op5_decontamination", decontamination.ORACLE)
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op9_near_duplicates")
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
