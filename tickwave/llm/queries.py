@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickwave.llm import decontamination, mixing, near_duplicates, quality_classifier, quality_rules
+from tickwave.llm import arc_to_warc, decontamination, mixing, near_duplicates, quality_classifier, quality_rules, token_records
 from tickwave.session import ensure_checkpoint_dir
 
 QUERIES: dict = {}
@@ -25,11 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 @register("op1_quality_classifier")
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op2_arc_to_warc")
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc_to_warc.archive_report(table(spark, sf_dir, "pages"))
+
+
 @register("op3_source_mixing", mixing.ORACLE)
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
@@ -40,6 +50,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op6_token_records")
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.token_records(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @register("op9_near_duplicates")
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
