@@ -23,7 +23,7 @@ from tickwave.session import materialize
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 SEED = 17
 
 
@@ -62,12 +62,14 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, mo
                     .otherwise(F.col("at") * F.col("weight")).alias("target"))
 
 
-def mix_plan(docs: DataFrame, seed: int = SEED) -> DataFrame:
+def mix_plan(docs: DataFrame, seed: int = SEED, size: Column | None = None) -> DataFrame:
     """``docs`` with mix_size, mix_source_size, mix_target and mix_copies added
-    (columns of those names are replaced)."""
+    (columns of those names are replaced).  ``size``: a document's size, its
+    number of words by default."""
+    size = words_count("text") if size is None else size
     own = [c for c in docs.columns if c not in ("mix_size", "mix_source_size", "mix_target", "mix_copies")]
     rows = docs.select(F.struct(*own).alias("row"), F.col("doc_id").cast("string").alias("id"),
-                       F.col("source").cast("string").alias("source"), words_count("text").alias("size"))
+                       F.col("source").cast("string").alias("source"), size.alias("size"))
     per = materialize(rows.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("source_size")), "sources")
     plan = targets(per).withColumn("buckets", F.ceil(F.col("docs") / BUCKET_ROWS).cast("long"))
     plan = materialize(plan.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
@@ -81,7 +83,7 @@ def mix_plan(docs: DataFrame, seed: int = SEED) -> DataFrame:
         return x.withColumn("name", name).join(p, "name").withColumn("bucket", spread)
 
     light = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("source").cast("string").alias("source"),
-                        words_count("text").alias("size"))
+                        size.alias("size"))
     many = plan.filter("buckets > 1").limit(1).count() > 0
     rows = placed(rows)
     if many:  # running count of documents before each bucket
@@ -117,8 +119,9 @@ def mix_report(docs: DataFrame, seed: int = SEED) -> DataFrame:
     same in every run.  An empty table gives an empty result; other columns
     are ignored.
     """
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source")
-    return mix_plan(d, seed).select(
+    # sizes are counted once and stored; no text is shuffled
+    d = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words_count("text").alias("words")), "sizes")
+    return mix_plan(d, seed, F.col("words")).select(
         "doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
         F.col("mix_target").alias("target"), (F.col("mix_copies") * F.col("mix_size")).alias("taken"))
 
@@ -135,7 +138,7 @@ a AS (SELECT *, first_value(CASE WHEN level * weight < source_size * 2.0 THEN le
         OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lift FROM l),
 t AS (SELECT *, CASE WHEN lift IS NULL THEN source_size * 2.0 ELSE lift * weight END AS target,
         CAST('0x' || substr(md5(coalesce(source, '') || ':17'), 1, 12) AS BIGINT) / 281474976710656.0 AS shift,
-        CAST(ceil(docs / 20000.0) AS BIGINT) AS buckets FROM a),
+        CAST(ceil(docs / 2000.0) AS BIGINT) AS buckets FROM a),
 p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.shift,
         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
         row_number() OVER (PARTITION BY t.source ORDER BY
