@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickwave.llm import arc_to_warc, decontamination, mixing, near_duplicates, quality_classifier, quality_rules, token_records
+from tickwave.llm import arc_to_warc, decontamination, language_id, mixing, near_duplicates, personal_data, quality_classifier, quality_rules, token_records
 from tickwave.session import ensure_checkpoint_dir
 
 QUERIES: dict = {}
@@ -45,6 +45,11 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+@register("op4_personal_data")
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
 @register("op5_decontamination", decontamination.ORACLE)
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -55,6 +60,11 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.token_records(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@register("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 @register("op9_near_duplicates")
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
