@@ -94,3 +94,21 @@ def test_sketch_agreement_is_close_to_similarity():
         s = N.sketches(np.concatenate((x, y)), np.repeat([0, 1], [len(x), len(y)]), 2, 128)
         assert (s < np.iinfo(np.uint64).max).all()
         assert abs((s[0] == s[1]).mean() - j) < 0.13
+
+
+def test_prefix_join_equals_brute_force(spark, monkeypatch):
+    """A group of near copies around the threshold, forced through every step."""
+    monkeypatch.setattr(N, "HUB_ROUNDS", 1)
+    monkeypatch.setattr(N, "PAIRS_A_ROW", 0)
+    rng = random.Random(9)
+    word = lambda: "w%d" % rng.randrange(9000)
+    base, rows = [word() for _ in range(150)], []
+    for i in range(150):
+        t = list(base)
+        for _ in range(rng.randrange(0, 7)):
+            t[rng.randrange(150)] = word()
+        rows.append((i, " ".join(t)))
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert len({c for _, c in want.values()}) > 3

@@ -10,32 +10,47 @@ Chernoff-like concentration.
 
 Banding proposes candidates (``rows`` equal coordinates in one band), and each
 candidate is confirmed on the documents' full shingle sets.  With 32 bands of
-4 rows a pair at the threshold 0.85 is missed with probability 6e-11.
+6 rows a pair at the threshold 0.85 is missed with probability 3e-7.
 
 Scale: documents with equal sets are collapsed to one representative before
-any pairing, so a group of copies costs one row.  Within a band bucket only
-edges to one hub are verified at first; after connected components, only pairs
-that are still in different components are looked at, so a large group of near
-copies costs linear work, while no link that could join two components is
-lost.  Shuffled per representative: band hashes and a 16-bit fingerprint
-sketch; texts move only for documents in some candidate pair.
+any pairing, so a group of copies costs one row.  Within a band bucket each
+round verifies links to one hub only, then merges components; buckets that lie
+in one component drop out.  What is left are buckets with several components.
+If their cross pairs are few they are listed; otherwise their members are
+joined by prefix filtering: a set that reaches the threshold with another one
+shares one of its rarest ``n - ceil(0.85 n) + 1`` elements, whatever the order
+of rarity.  So a large group of near copies costs linear work, members with
+many own words pair with nobody, and no link that could join two components is
+lost.  Two bits of every coordinate travel with a bucket row, and a pair whose
+bits differ too much is dropped inside the join.  Texts move only for
+documents in some remaining pair.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwave.llm import words as W
 from tickwave.session import materialize
 
-BINS, ROWS = 128, 4
+BINS, ROWS = 192, 6
 WORDS, PERCENT = 5, 85
-#: Candidates whose sketches agree on less than this share are not verified: a
-#: pair at the threshold falls below it with probability under 1e-12.
-LEAST_AGREEMENT = 0.55
+#: Each candidate has two bits of every coordinate compared first.  At the
+#: threshold a share of 0.075 of the bits differs on average; pairs that differ
+#: by more than this many standard deviations above it are not verified.
+DEVIATIONS = 5.5
+#: Rounds of links to bucket hubs, at most, before the rest is joined by prefixes.
+HUB_ROUNDS = 4
+#: Rarity of elements is counted in so many hashed cells (4 bytes each, sent to
+#: every task); any order gives right results, a finer one fewer candidates.
+RARITY_CELLS = 1 << 20
+#: Cross pairs are listed as soon as there are at most so many a bucket row.
+PAIRS_A_ROW = 2
+#: Ids of documents to fetch texts for are broadcast (8 bytes each) up to here.
+BROADCAST_IDS = 2_000_000
 
 
 def _seed(i: int) -> np.uint64:
@@ -69,7 +84,7 @@ def sketches(h: np.ndarray, doc: np.ndarray, n_docs: int, bins: int) -> np.ndarr
 
 
 def _describe(k: int, bins: int, rows: int):
-    bands = bins // rows
+    bands, longs = bins // rows, 2 * bins // 64
 
     def run(batches):
         for b in batches:
@@ -81,17 +96,19 @@ def _describe(k: int, bins: int, rows: int):
                 for j, s in enumerate(sig):  # a set's signature: 128-bit sum of element hashes
                     np.add.at(s, doc, W.mix(h + _seed(1000 + j)))
                 s = sketches(h, doc, hi - lo, bins)
-                band = np.zeros((hi - lo, bands), np.uint64)
+                band = np.tile(np.arange(bands, dtype=np.uint64), (hi - lo, 1))
                 for j in range(rows):
                     band = W.mix(band + s[:, j::rows] + np.uint64(j + 1))
-                short = W.mix(s).astype(np.uint16)
+                bits = np.unpackbits(W.mix(s).view(np.uint8).reshape(hi - lo, bins, 8)[:, :, :1], axis=2)[:, :, :2]
+                bits = np.packbits(bits.reshape(hi - lo, 2 * bins), axis=1)
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(lo, hi - lo), pa.array(n, pa.int64()),
                     pa.array(sig[0].view(np.int64)), pa.array(sig[1].view(np.int64)),
                     pa.ListArray.from_arrays(np.arange(0, (hi - lo) * bands + 1, bands, dtype=np.int32),
                                              pa.array(band.view(np.int64).ravel())),
-                    pa.array([x.tobytes() for x in short], pa.binary()),
-                ], names=["doc_id", "n", "s0", "s1", "bands", "sketch"])
+                    pa.ListArray.from_arrays(np.arange(0, (hi - lo) * longs + 1, longs, dtype=np.int32),
+                                             pa.array(bits.view(np.int64).ravel())),
+                ], names=["doc_id", "n", "s0", "s1", "bands", "bits"])
 
     return run
 
@@ -101,14 +118,13 @@ def _confirm(k: int, percent: int):
     def run(batches):
         for b in batches:
             a_id, b_id, ta, tb = (b.column(i) for i in range(4))
-            both = pa.concat_arrays([ta.cast(pa.large_string()), tb.cast(pa.large_string())])
             size = np.diff(W.texts_of(ta).offset) + np.diff(W.texts_of(tb).offset)
             low = 0
             while low < b.num_rows:
                 high = low + max(1, int(np.searchsorted(np.cumsum(size[low:]), W.SLICE_BYTES, "right")))
                 n = min(high, b.num_rows) - low
-                pick = np.concatenate((np.arange(low, low + n), b.num_rows + np.arange(low, low + n)))
-                h, doc = shingle_sets(both.take(pa.array(pick)), k)
+                both = pa.concat_arrays([x.slice(low, n).cast(pa.large_string()) for x in (ta, tb)])
+                h, doc = shingle_sets(both, k)
                 count = np.bincount(doc, minlength=2 * n)
                 pair = doc % n  # an element that occurs twice for a pair is in both sets
                 order = np.lexsort((h, pair))
@@ -124,19 +140,6 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def _agree(least: float):
-    """Rows (a, b, sketch_a, sketch_b) -> (a, b) whose sketches agree enough."""
-    def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x, y = (np.array([np.frombuffer(v, np.uint16) for v in b.column(i).to_pylist()]) for i in (2, 3))
-            ok = pa.array((x == y).mean(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], names=["a", "b"])
-
-    return run
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the graph with edges (a, b): every node takes the
     smallest label around it, then labels jump to their label's label; stored
@@ -158,6 +161,120 @@ def components(edges: DataFrame) -> DataFrame:
         labels = step.select("node", "component")
 
 
+def _linked(reps: DataFrame, src: DataFrame, k: int, percent: int, bins: int) -> DataFrame:
+    """(node, component) of representatives that have a link to another one."""
+    slots = reps.select("rep", F.explode("bands").alias("h"))
+    shared = slots.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1").select("h")
+    info = reps.select("rep", "n", "bits")
+    open_ = materialize(slots.join(shared, "h").join(info, "rep").withColumn("c", F.col("rep")), "buckets")
+    limit = int(2 * bins * 0.075 + DEVIATIONS * (bins * 0.2025) ** 0.5)
+    differ = sum((F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("bits2", F.lit(i))))
+                  for i in range(2 * bins // 64)), F.lit(0))
+    fits = (F.col("c") != F.col("c2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (differ <= limit)
+    found, tested = None, None
+    turn = 0
+    while True:
+        # buckets that still hold several components, and their cross pairs
+        by = (open_.groupBy("h", "c").agg(F.count("*").cast("double").alias("k"))
+              .groupBy("h").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("own"), F.count("*").alias("parts"))
+              .filter("parts > 1"))
+        by = materialize(by, "mixed")
+        sums = by.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("own")) / 2)).first()
+        if not sums[0]:
+            break
+        rest = materialize(open_.join(by.select("h"), "h", "left_semi"), "open")
+        second = rest.select("h", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "bits", "c")))
+        few = sums[1] <= PAIRS_A_ROW * sums[0]
+        last = few or turn >= HUB_ROUNDS
+        if few:
+            pairs = rest.join(second, "h").filter((F.col("rep") < F.col("rep2")) & fits)
+        elif last:
+            one, other = _prefix_rows(rest.select("rep", "n", "bits", "c").dropDuplicates(["rep"]), src, k, percent)
+            pairs = one.join(other, "token").filter(fits)
+        else:
+            hub = rest.groupBy("h").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("x"), "rep", "n", "bits", "c")).alias("u"))
+            hub = hub.select("h", *(F.col(f"u.{x}").alias(f"{x}2") for x in ("rep", "n", "bits", "c")))
+            pairs = rest.join(hub, "h").filter(fits)
+        pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        edges = _verified(pairs, src, k, percent)
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        merged = edges if found is None else edges.unionByName(
+            found.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b"))
+        found = components(merged)
+        if last:
+            break
+        new = found.withColumnRenamed("node", "rep")
+        open_ = rest.drop("c").join(new, "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
+        turn += 1
+    if found is None:
+        found = reps.select(F.col("rep").alias("node"), F.col("rep").alias("component")).limit(0)
+    return found
+
+
+def _texts_of(ids: DataFrame, src: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents with those ids, stored."""
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return materialize(src.join(ids, "doc_id", "left_semi"), "texts")
+
+
+def _prefix_rows(members: DataFrame, src: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Prefix tokens of the members, as two sides to join on ``token``.
+
+    Tokens whose holders are all in one component are left out, and the first
+    side leaves out each token's largest component, so pairs inside a large
+    component are never met."""
+    texts = _texts_of(members.select(F.col("rep").alias("doc_id")), src)
+
+    def cells(batches):
+        seen = np.zeros(RARITY_CELLS, np.int64)
+        for b in batches:
+            for lo, hi in W.slices(b.column(1)):
+                h, _ = shingle_sets(b.column(1).slice(lo, hi - lo), k)
+                seen += np.bincount((h % np.uint64(RARITY_CELLS)).astype(np.int64), minlength=RARITY_CELLS)
+        at = np.flatnonzero(seen)
+        for i in range(0, len(at), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(at[i:i + (1 << 16)]), pa.array(seen[at[i:i + (1 << 16)]])], names=["cell", "n"])
+
+    total = texts.mapInArrow(cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    rarity = np.zeros(RARITY_CELLS, np.int32)  # at most RARITY_CELLS rows, whatever the input
+    rarity[total["cell"].to_numpy()] = np.minimum(total["n"].to_numpy(), np.iinfo(np.int32).max)
+
+    def prefixes(batches):
+        for b in batches:
+            for lo, hi in W.slices(b.column(1)):
+                h, doc = shingle_sets(b.column(1).slice(lo, hi - lo), k)
+                order = np.lexsort((h, rarity[(h % np.uint64(RARITY_CELLS)).astype(np.int64)], doc))
+                first, n = W.first_and_count(doc, hi - lo)
+                take = n - (-(-percent * n // 100)) + 1
+                own = doc[order]
+                keep = np.arange(len(h)) - first[own] < take[own]
+                yield pa.RecordBatch.from_arrays([
+                    b.column(0).slice(lo, hi - lo).take(pa.array(own[keep])), pa.array(h[order][keep].view(np.int64))],
+                    names=["rep", "token"])
+
+    rows = texts.mapInArrow(prefixes, "rep long, token long").join(members, "rep")
+    rows = materialize(rows, "prefixes")
+    by = rows.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(
+        F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+    rows = rows.join(by.select("token", F.col("top.c").alias("top")), "token")
+    one = rows.filter("c <> top").drop("top")
+    other = rows.select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "bits", "c")))
+    return one, other
+
+
+def _verified(pairs: DataFrame, src: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets meet the threshold."""
+    t = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), src)
+    ta = t.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
+    tb = t.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    return materialize(pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
+                       .mapInArrow(_confirm(k, percent), "a long, b long"), "edges")
+
+
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
                     bins: int = BINS, rows: int = ROWS) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
@@ -182,50 +299,12 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
             src.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
     all_ = materialize(src.mapInArrow(
         _describe(k, bins, rows),
-        "doc_id long, n long, s0 long, s1 long, bands array<long>, sketch binary"), "sketches")
-    mine = all_.filter("n > 0 and doc_id is not null")
+        "doc_id long, n long, s0 long, s1 long, bands array<long>, bits array<long>"), "sketches")
+    # one representative per distinct set; equal sets have equal bands and bits
     key = ["n", "s0", "s1"]
-    # one representative per distinct set; equal rows agree in bands and sketch
-    reps = materialize(mine.groupBy(*key).agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "reps")
-    slots = reps.select("rep", F.posexplode("bands").alias("band", "h"))
-    buckets = slots.groupBy("band", "h").agg(F.min("rep").alias("hub"), F.count("*").alias("m")).filter("m > 1")
-    bucketed = materialize(slots.join(buckets, ["band", "h"]).select("band", "h", "rep", "hub"), "buckets")
-    info = reps.select(F.col("rep"), "n", "sketch")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of representatives that pass size, sketch and full-set checks."""
-        a = info.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
-        b = info.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
-        fit = pairs.join(a, "a").join(b, "b").filter(
-            f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b", "ka", "kb")
-        close = materialize(fit.mapInArrow(_agree(LEAST_AGREEMENT), "a long, b long"), "candidates")
-        need = close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        t = materialize(src.join(need, "doc_id", "left_semi"), "texts")
-        ta = t.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-        tb = t.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-        return materialize(close.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
-                           .mapInArrow(_confirm(k, percent), "a long, b long"), "edges")
-
-    hub = bucketed.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    edges = verified(hub)
-    found = components(edges)
-
-    # what is left: pairs of one bucket whose components differ
-    at = bucketed.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "h", "rep", F.coalesce("component", "rep").alias("c"))
-    mixed = at.groupBy("band", "h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi")
-    rest = materialize(at.join(mixed.select("band", "h"), ["band", "h"], "left_semi")
-                       .join(info.select("rep", "n"), "rep"), "mixed")
-    left = rest.select("band", "h", F.col("rep").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
-    right = rest.select("band", "h", F.col("rep").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
-    cross = (left.join(right, ["band", "h"])
-             .filter(f"a < b and ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-             .select("a", "b").distinct().join(hub.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
-                                               ["a", "b"], "left_anti"))
-    more = verified(cross)
-    if more.limit(1).count():
-        found = components(edges.unionByName(more))
+    reps = materialize(all_.filter("n > 0 and doc_id is not null").groupBy(*key).agg(
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "reps")
+    found = _linked(reps, src, k, percent, bins)
 
     label = (reps.select(*key, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
              .select(*key, F.coalesce("component", "rep").alias("component")))
@@ -239,3 +318,18 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
         ids = rows_in.select("doc_id")
         out = ids.filter("doc_id is not null").join(out, "doc_id").unionByName(out.filter("doc_id is null"))
     return out
+
+
+def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` whose document is kept, all columns; rows that share
+    a doc_id are one document, of which one row of the smallest text stays."""
+    gone = materialize(near_duplicates(docs, **how).filter("not kept").select("doc_id").distinct(), "dropped")
+    if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = materialize(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    if repeated.limit(1).count():
+        once = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+        some = out.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(once)).filter("_row = 1")
+        out = out.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(some.select(*docs.columns))
+    return out
