@@ -143,6 +143,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` without any item window, all columns."""
+    windows = materialize(item_windows(benchmark, window).select("words").distinct()
+                          .withColumn("window", F.sha1(F.concat_ws(" ", "words"))), "item_windows")
+    hit = materialize(occurrences(docs, windows).filter("start is not null").select(
+        F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct(), "contaminated")
+    d = docs.withColumn("_key", F.xxhash64("text"))
+    out = d.join(_maybe_broadcast(hit, _few(hit)), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left_anti")
+    return out.select(*docs.columns)
+
+
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),

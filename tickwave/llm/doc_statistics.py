@@ -124,14 +124,16 @@ def document_statistics(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("string").alias("text")).mapInArrow(_run, schema)
 
 
-def labelled_sample(stats: DataFrame, labels: DataFrame, label: str, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """(features, label 0/1) of at most about ``limit`` labelled documents.
-
-    The rows are chosen by a hash of doc_id, so reruns agree and the bound is
-    independent of the table's size; only these rows reach the driver."""
+def labelled_ids(labels: DataFrame, label: str, limit: int) -> DataFrame:
+    """(doc_id, y) of at most about ``limit`` labelled documents, chosen by a
+    hash of doc_id, so that reruns agree and the bound holds at every size."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).filter(
         F.col("y").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("y").alias("y"))
     n = max(1, known.count())
-    known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, limit / n)))
-    rows = stats.select("doc_id", *SHARES).join(known, "doc_id").orderBy("doc_id", *SHARES).toPandas()
+    return known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, limit / n)))
+
+
+def labelled_sample(stats: DataFrame, labels: DataFrame, label: str, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(features, label 0/1) of the sample; only these rows reach the driver."""
+    rows = stats.select("doc_id", *SHARES).join(labelled_ids(labels, label, limit), "doc_id").orderBy("doc_id", *SHARES).toPandas()
     return rows[SHARES].to_numpy(np.float64).reshape(len(rows), len(SHARES)), rows["y"].to_numpy(np.int64)

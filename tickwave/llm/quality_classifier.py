@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwave.llm.doc_statistics import SHARES, document_statistics, labelled_sample
+from tickwave.llm import words as W
+from tickwave.llm.doc_statistics import SHARES, describe_texts, document_statistics, labelled_ids, labelled_sample
 from tickwave.session import materialize
 
 #: At most about this many labelled documents are fitted on.
@@ -132,3 +133,24 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
     scored = score_statistics(stats, train(stats, labels, sample))
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score",
                          F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, all columns.
+
+    Statistics for training are computed for the sampled labelled documents
+    only; then one pass scores and filters every row where it lies."""
+    known = labels.filter(~held_out(4, 2))
+    some = docs.join(F.broadcast(labelled_ids(known, "quality", sample).select("doc_id")), "doc_id", "left_semi")
+    model = fit_trees(*labelled_sample(document_statistics(some), known, "quality", sample))
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            texts = b.column(place)
+            for lo, hi in W.slices(texts):
+                s = describe_texts(texts.slice(lo, hi - lo))
+                score = model.score(np.stack([s[c] for c in SHARES], 1).astype(np.float64))
+                yield b.slice(lo, hi - lo).filter(pa.array(score >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickwave.llm import arc_to_warc, decontamination, language_id, mixing, near_duplicates, personal_data, quality_classifier, quality_rules, token_records
+from tickwave.llm import arc_to_warc, decontamination, language_id, mixing, near_duplicates, personal_data, pitman_yor, quality_classifier, quality_rules, token_records
 from tickwave.session import ensure_checkpoint_dir
 
 QUERIES: dict = {}
@@ -60,6 +60,11 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.token_records(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@register("op7_pitman_yor")
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_texts(table(spark, sf_dir, "documents"))
+
+
 @register("op8_language_id")
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
