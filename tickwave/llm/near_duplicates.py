@@ -28,6 +28,8 @@ documents in some remaining pair.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -271,8 +273,21 @@ def _verified(pairs: DataFrame, src: DataFrame, k: int, percent: int) -> DataFra
     t = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), src)
     ta = t.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     tb = t.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return materialize(pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
-                       .mapInArrow(_confirm(k, percent), "a long, b long"), "edges")
+    with small_batches(src.sparkSession):
+        return materialize(pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
+                           .mapInArrow(_confirm(k, percent), "a long, b long"), "edges")
+
+
+@contextmanager
+def small_batches(spark, rows: int = 256):
+    """Few rows an Arrow batch while rows of two whole texts go to Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
