@@ -189,3 +189,29 @@ def test_failed_kline_refresh_keeps_previous_data(spark, tmp_path):
         silver.run_klines_refresh(spark, d, bad, out, "k")
     kept = spark.read.parquet(out)
     assert kept.count() == 4 and kept.agg(F.max("close_clp")).first()[0] == 900.0
+
+
+def test_interval_scan_with_payload_and_small_partitions(spark):
+    """Extra columns and many chunks change nothing, and runs agree."""
+    from pyspark.sql import Window
+    from tickwave.operators.quality import interval_scan
+    iv = spark.range(20_000).select(
+        (F.col("id") % 3).alias("k"), F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(10_000_000))).alias("start"),
+        F.col("id").cast("string").alias("label"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    iv = iv.withColumn("end", F.col("start") + F.expr("make_dt_interval(0, 0, 0, pmod(xxhash64(label), 5000))"))
+    w = Window.partitionBy("k").orderBy("start", "end", "label")
+    cols = ["label", "prev_end", "prev_label", "run_end"]
+    want = sorted(map(str, iv.select("label", F.lag("end").over(w).alias("prev_end"), F.lag("label").over(w).alias("prev_label"),
+                                     F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("run_end")).collect()))
+    for chunks in (8, 8, 31):
+        got = interval_scan(iv, ["k"], chunks=chunks).select(*cols).collect()
+        assert sorted(map(str, got)) == want
+
+
+def test_verdict_keeps_sources_with_only_failed_files(spark):
+    from tickwave.operators.quality import interval_verdict
+    iv = spark.sql("select 'a' source, timestamp_ntz'2024-01-01' start, timestamp_ntz'2024-01-02' end, 'f' label")
+    failed = spark.createDataFrame([("b", 3)], "source string, failed long")
+    rows = {r.source: r for r in interval_verdict(iv, ["source"], failed=failed).collect()}
+    assert rows["a"].ok and rows["a"].failed == 0
+    assert (rows["b"].ok, rows["b"].failed, rows["b"].intervals) == (False, 3, 0)

@@ -75,3 +75,19 @@ def test_dynamic_overwrite_replaces_only_given_partitions(spark):
            .agg(F.max("close_clp").alias("c")).collect()}
     assert got == {("a", 1): 1.0, ("a", 2): 9.0, ("b", 1): 1.0}
     assert {p: m for p, m in _files(root).items() if "exchange=b" in p} == b_before
+
+
+def test_files_are_sorted_by_time(spark, tmp_path):
+    import glob
+    import pyarrow.parquet as pq
+    from tickwave.operators.candles import CANDLE_COLUMNS
+    from tickwave.sinks.writers import write_candles_refresh
+    hours = spark.range(4000).select(F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, int(id), 0, 0)").alias("timestamp"))
+    cols = [F.lit("v").alias(c) if c == "exchange" else F.lit(False).alias(c) if c == "is_interpolated" else F.lit(1.0).alias(c)
+            for c in CANDLE_COLUMNS if c != "timestamp"]
+    write_candles_refresh(hours.select("timestamp", *cols).orderBy(F.rand(3)), str(tmp_path), "v")
+    files = glob.glob(f"{tmp_path}/exchange=v/*/*/*.parquet")
+    assert len(files) > 3
+    for f in files:
+        t = pq.read_table(f, partitioning=None)["timestamp"].to_pylist()
+        assert t == sorted(t)

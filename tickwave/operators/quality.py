@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwave.session import materialize
 from tickwave.functions.timefn import ms_to_ts, seconds_between
 
 
@@ -69,10 +70,11 @@ def interval_scan(iv: DataFrame, keys: Sequence[str] = (), start: str = "start",
     by = [*[F.col(k) for k in keys], *order]
     # without an explicit count AQE sizes the chunks by bytes; coalescing only
     # merges neighbouring ranges, so chunk ids stay in sort order
-    d = (iv.repartitionByRange(chunks, *by) if chunks else iv.repartitionByRange(*by)) \
-        .withColumn("_chunk", F.spark_partition_id())
+    # the chunk id is written with the rows, so both branches below read the same one
+    d = materialize((iv.repartitionByRange(chunks, *by) if chunks else iv.repartitionByRange(*by))
+                    .withColumn("_chunk", F.spark_partition_id()), "interval_chunks")
     w = Window.partitionBy("_chunk", *keys).orderBy(*order)
-    d = d.select("*", F.lag(end).over(w).alias("prev_end"), F.lag(label).over(w).alias("prev_label"),
+    d = d.select("*", (F.row_number().over(w) == 1).alias("_first"), F.lag(end).over(w).alias("prev_end"), F.lag(label).over(w).alias("prev_label"),
                  F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("run_end"))
     per = d.groupBy(*keys, "_chunk").agg(
         F.max_by(F.struct(F.col(end).alias("e"), F.col(label).alias("l")), F.struct(*order)).alias("_last"),
@@ -81,7 +83,7 @@ def interval_scan(iv: DataFrame, keys: Sequence[str] = (), start: str = "start",
     carry = per.select(*keys, "_chunk", F.lag("_last").over(wc).alias("_carry"),
                        F.max("_m").over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_m"))
     d = d.join(carry, [*keys, "_chunk"], "left")
-    first = F.col("prev_end").isNull()
+    first = F.col("_first")
     return d.select(
         *[F.col(c) for c in iv.columns],
         F.when(first, F.col("_carry.e")).otherwise(F.col("prev_end")).alias("prev_end"),
@@ -138,7 +140,11 @@ def interval_verdict(iv: DataFrame, keys: Sequence[str] = (), start: str = "star
         F.max_by(end, order).alias("last_end"),
         F.round(F.sum(seconds_between(start, end)) / 86400, 4).cast("double").alias("covered_days"))
     if failed is not None:
-        out = out.join(failed, keys, "left").fillna(0, ["failed"])
+        if not keys:
+            raise ValueError("failed files need keys to be counted by")
+        # a source that only has failed files is a source without intervals
+        counts = [c for c in out.columns if c not in (*keys, "first_start", "last_end")]
+        out = out.join(failed, keys, "full").fillna(0, [*counts, "failed"])
     else:
         out = out.withColumn("failed", F.lit(0).cast("bigint"))
     return out.withColumn("ok", (F.col("gaps") == 0) & (F.col("overlaps") == 0) & (F.col("failed") == 0)

@@ -52,7 +52,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickwave-ckpt-")
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+        d = tempfile.mkdtemp(prefix="tickwave-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
 

@@ -120,7 +120,7 @@ def write_candles_refresh(candles: DataFrame, root: str, venue: str,
                         F.count(F.lit(1)).alias("rows"),
                         F.sum(F.col("is_interpolated").cast("bigint")).alias("interpolated"),
                         F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
-    (df.repartition("year", "month").sortWithinPartitions("timestamp")
+    (df.repartition("year", "month").sortWithinPartitions("year", "month", "timestamp")
      .write.mode("overwrite").partitionBy("year", "month").parquet(f"{root}/exchange={venue}"))
 
 
@@ -128,7 +128,7 @@ def write_candles_dynamic(candles: DataFrame, root: str) -> None:
     """Incremental write: replace only the ``(exchange, year, month)``
     partitions present in ``candles``."""
     df = candle_partitions(candles)
-    (df.repartition("exchange", "year", "month").sortWithinPartitions("timestamp")
+    (df.repartition("exchange", "year", "month").sortWithinPartitions("exchange", "year", "month", "timestamp")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("exchange", "year", "month").parquet(root))
 
