@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickwave.llm import decontamination, mixing, near_duplicates, quality_classifier, token_records
-from tickwave.llm.queries import table, tokenizer_path
+from tickwave.llm.queries import prepare, table, tokenizer_path
 from tickwave.session import materialize
 
 
@@ -21,6 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the smallest doc_id."""
+    prepare(spark)
     return near_duplicates.drop_near_duplicates(docs)
 
 
@@ -36,6 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of what is left; one row a document copy, from the files."""
+    prepare(spark)
     return token_records.token_records(docs, tokenizer_path())
 
 

@@ -89,3 +89,11 @@ def open_input(uri: str):
 def open_random(uri: str):
     store, path = open_store(uri)
     return store.open_input_file(path)
+
+
+def discard(df) -> None:
+    """Delete a stored intermediate table that nothing reads any more."""
+    found = df.inputFiles()
+    if found:
+        store, path = open_store(posixpath.dirname(found[0]))
+        store.delete_dir(path)

@@ -29,6 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwave.llm import files
 from tickwave.llm import words as W
 from tickwave.llm.quality_classifier import held_out
 from tickwave.session import materialize
@@ -37,7 +38,7 @@ CONTEXTS = 64
 BURN_IN, SAMPLES = 3, 3
 DISCOUNT = (0.5, 0.75)
 STRENGTH = (10.0, 10.0)
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Customers seated one by one; later ones in blocks growing by this share,
 #: inside which the chance of a new table is held fixed.
 ONE_BY_ONE, GROWTH = 32, 0.1
@@ -81,6 +82,20 @@ _PACKED = ["block", "shard", "a", "b", "c", "n"]
 _PACKED_TYPE = "block string, shard int, a binary, b binary, c binary, n long"
 
 
+def _larger(batches):
+    """Consecutive batches joined up to about the size of a block."""
+    held, size = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            size += b.column(2).nbytes
+        if size >= BLOCK_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _blocks(shards: int):
     """(doc_id, held_out, text) -> a row for each block and a row for what it
     asks of each shard.
@@ -90,21 +105,22 @@ def _blocks(shards: int):
     are ordered by shard.  Ask row: a = words, b = contexts, c = training
     counts, in that order."""
     def run(batches):
-        for batch in batches:
+        for batch in _larger(batches):
             for lo, hi in W.slices(batch.column(2), BLOCK_BYTES):
                 b = batch.slice(lo, hi - lo)
                 held = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 parts = []
                 for x, z in W.slices(b.column(2)):
                     w, c, d = tokens(b.column(2).slice(x, z - x))
-                    parts.append((w, c, d + x))
+                    parts.append((w, c.astype(np.uint8), (d + x).astype(np.int32)))
                 word, context, doc = (np.concatenate(x) for x in zip(*parts))
                 shard = (W.mix(word) % np.uint64(shards)).astype(np.int32)
                 order = np.lexsort((context, word, shard))
                 w, c, s = word[order], context[order], shard[order]
                 new = np.concatenate(([True], (w[1:] != w[:-1]) | (c[1:] != c[:-1])))
                 place = np.empty(len(word), np.uint32)
-                place[order] = np.cumsum(new) - 1
+                place[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
+                del word, context, shard, order
                 w, c, s = w[new], c[new], s[new]
                 counts = np.bincount(place, weights=~held[doc], minlength=len(w)).astype(np.uint32)
                 ids = b.column(0)
@@ -273,7 +289,8 @@ def score_texts(docs: DataFrame, burn_in: int = BURN_IN) -> DataFrame:
     totals = _totals(state)
     train_tokens, vocabulary = int(totals["customers"].sum()), int(totals["vocabulary"])
     for number in range(burn_in + SAMPLES):
-        state = materialize(state.mapInArrow(_sweep(number, totals, number >= burn_in), _STATE_TYPE), "seating")
+        old, state = state, materialize(state.mapInArrow(_sweep(number, totals, number >= burn_in), _STATE_TYPE), "seating")
+        files.discard(old)  # the new state is stored
         totals = _totals(state)
     answers = (asks.select("shard", "block", "a", "b", "n").groupBy("shard").cogroup(state.groupBy("shard"))
                .applyInArrow(_answer, "block string, at long, logp binary, count binary"))

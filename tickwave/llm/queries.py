@@ -20,8 +20,19 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows a batch that goes to Python: whole texts are long, and a batch is built
+#: in the executor's memory outside the heap.
+ARROW_ROWS = 512
+
+
+def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, str(min(ARROW_ROWS, int(spark.conf.get(name)))))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
