@@ -19,7 +19,7 @@ in one component drop out.  What is left are buckets with several components.
 If their cross pairs are few they are listed; otherwise their members are
 joined by prefix filtering: a set that reaches the threshold with another one
 shares one of its rarest ``n - ceil(0.85 n) + 1`` elements, whatever the order
-of rarity.  So a large group of near copies costs linear work, members with
+of rarity, at places that leave room for enough shared elements.  So a large group of near copies costs linear work, members with
 many own words pair with nobody, and no link that could join two components is
 lost.  Two bits of every coordinate travel with a bucket row, and a pair whose
 bits differ too much is dropped inside the join.  Texts move only for
@@ -192,7 +192,10 @@ def _linked(reps: DataFrame, src: DataFrame, k: int, percent: int, bins: int) ->
             pairs = rest.join(second, "h").filter((F.col("rep") < F.col("rep2")) & fits)
         elif last:
             one, other = _prefix_rows(rest.select("rep", "n", "bits", "c").dropDuplicates(["rep"]), src, k, percent)
-            pairs = one.join(other, "token").filter(fits)
+            # at a shared token, what can be shared before it, it, and what can be after it
+            most = F.least("before", "before2") + 1 + F.least("after", "after2")
+            enough = (100 + percent) * most >= percent * (F.col("n") + F.col("n2"))
+            pairs = one.join(other, "token").filter(fits & enough)
         else:
             hub = rest.groupBy("h").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("x"), "rep", "n", "bits", "c")).alias("u"))
             hub = hub.select("h", *(F.col(f"u.{x}").alias(f"{x}2") for x in ("rep", "n", "bits", "c")))
@@ -252,19 +255,22 @@ def _prefix_rows(members: DataFrame, src: DataFrame, k: int, percent: int) -> tu
                 order = np.lexsort((h, rarity[(h % np.uint64(RARITY_CELLS)).astype(np.int64)], doc))
                 first, n = W.first_and_count(doc, hi - lo)
                 take = n - (-(-percent * n // 100)) + 1
-                own = doc[order]
-                keep = np.arange(len(h)) - first[own] < take[own]
+                own, place = doc[order], np.arange(len(h)) - first[doc[order]]
+                met = rarity[(h[order] % np.uint64(RARITY_CELLS)).astype(np.int64)] > 1  # others cannot match
+                before = np.concatenate(([0], np.cumsum(met)))
+                before = before[:-1] - before[first][own]
+                keep = (place < take[own]) & met
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(lo, hi - lo).take(pa.array(own[keep])), pa.array(h[order][keep].view(np.int64))],
-                    names=["rep", "token"])
+                    b.column(0).slice(lo, hi - lo).take(pa.array(own[keep])), pa.array(h[order][keep].view(np.int64)),
+                    pa.array(before[keep]), pa.array((n[own] - place - 1)[keep])], names=["rep", "token", "before", "after"])
 
-    rows = texts.mapInArrow(prefixes, "rep long, token long").join(members, "rep")
+    rows = texts.mapInArrow(prefixes, "rep long, token long, before long, after long").join(members, "rep")
     rows = materialize(rows, "prefixes")
     by = rows.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(
         F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
     rows = rows.join(by.select("token", F.col("top.c").alias("top")), "token")
     one = rows.filter("c <> top").drop("top")
-    other = rows.select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "bits", "c")))
+    other = rows.select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "bits", "c", "before", "after")))
     return one, other
 
 
