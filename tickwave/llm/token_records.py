@@ -11,10 +11,10 @@ that a checksum stored inside checked data is not itself a valid checksum.
 ``<file>.idx`` holds one little-endian uint64 record offset each, for reads in
 any order.
 
-Texts are split at single spaces between other non-space characters.  Every
-pre-token of a byte-level BPE starts at such a space or ends before it, so
-pieces are encoded independently and equal pieces once (a bounded cache per
-worker); the ids are those of the whole text.
+Texts are split at single spaces and line ends between non-space characters.
+Every pre-token of a byte-level BPE ends before such a place, so pieces are
+encoded independently and equal pieces once (a bounded cache per worker); the
+ids are those of the whole text.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import os
 import re
 import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +31,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwave.llm import files
+from tickwave.llm import words as W
 from tickwave.session import materialize
 
 END = 2
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_000_000
 _MASK = 0xA282EAD8
 _HEAD = "<QI"
 _ID = "<qBB"
-#: A space next to other white space (or at an end) does not always part pre-tokens.
-_UNSAFE = re.compile(r" \s|\s |^ | $")
+MARKS = ".,;:!?"
+#: Other white space next to a space (or a space at an end) need not part pre-tokens.
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -83,7 +85,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if max(self.tokenizer.get_vocab_size(with_added_tokens=True), END + 1) <= 1 << 16 else 4
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = 2 if max(*vocabulary.values(), END) < 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.end = np.array([END], self.kind).tobytes()
         pre = self.tokenizer.pre_tokenizer
@@ -91,32 +94,74 @@ class Encoder:
         # pieces are independent only for plain byte-level pre-tokens
         self.by_piece = (self.tokenizer.normalizer is None and b'"type":"ByteLevel"' in state
                          and b'"add_prefix_space":false' in state and b'"use_regex":true' in state)
+        self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes a token: one character each
+        for token, i in vocabulary.items():
+            self.size[i] = len(token)
         self.pieces: dict[str, bytes] = {}
 
-    def _fill(self, wanted: set[str]) -> None:
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_new(self, new: list[str]) -> None:
+        """Pieces that begin with a space are encoded end to end and cut by byte counts."""
+        have = self.pieces
+        joined = [w for w in new if len(w) > 1 and w[0] == " " and w[-1:].strip()]
+        for i in range(0, len(joined), 512):
+            some = joined[i:i + 512]
+            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, np.int64)
+            ends = np.cumsum(self.size[ids])
+            cut = np.cumsum([len(w.encode()) for w in some])
+            at = np.searchsorted(ends, cut)
+            if at[-1] >= len(ends) or (ends[at] != cut).any():
+                have.update(zip(some, self._plain(some)))
+                continue
+            data, at = ids.astype(self.kind).tobytes(), (at + 1) * self.width
+            have.update(zip(some, (data[x:y] for x, y in zip([0, *at], at))))
+        rest = [w for w in new if w not in have]
+        have.update(zip(rest, self._plain(rest)))
+
+    def _fill(self, missing: list[str]) -> None:
+        # ASCII letters and the marks after them are separate pre-tokens
+        parted = {}
+        for w in missing:
+            word = w.rstrip(MARKS)
+            if len(word) < len(w) and word and word[-1].isascii() and word[-1].isalpha():
+                parted[w] = word, w[len(word):]
+        new = {x for w in missing for x in parted.get(w, (w,))}
+        self._encode_new([w for w in new if w not in self.pieces])
+        for w, (word, marks) in parted.items():
+            self.pieces[w] = self.pieces[word] + self.pieces[marks]
+
+    def _join(self, parts: list[str]) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, parts)) + self.end
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        if not self.by_piece:
+            return [x + self.end for x in self._plain([t or "" for t in texts])]
+        split = [pieces_of(t) if t else [] for t in texts]
+        wanted = set().union(*split)
         if len(self.pieces) + len(wanted) > CACHE_PIECES:
             self.pieces.clear()
-        new = [w for w in wanted if w not in self.pieces]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.pieces[w] = np.array(e.ids, self.kind).tobytes()
+        self._fill(list(wanted.difference(self.pieces)))
+        return [self._join(parts) for parts in split]
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return self.end
-        if not self.by_piece:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, self.kind).tobytes() + self.end
-        parts = _SAFE_SPACE.split(text) if _UNSAFE.search(text) else text.split(" ")
-        parts = [parts[0], *(" " + p for p in parts[1:])]
-        have = self.pieces
-        try:
-            return b"".join([have[p] for p in parts]) + self.end
-        except KeyError:
-            out = []
-            for i in range(0, len(parts), 100_000):  # a very long text may hold more pieces than the cache
-                self._fill(set(parts[i:i + 100_000]))
-                out += [have[p] for p in parts[i:i + 100_000]]
-            return b"".join(out) + self.end
+
+def pieces_of(text: str) -> list[str]:
+    if text.split() != text.replace("\n", " ").split(" "):  # other or neighbouring white space
+        parts = _SAFE_SPACE.split(text)
+        return [parts[0], *(" " + p for p in parts[1:])]
+    parts = []
+    for line in text.split("\n"):
+        first, *others = line.split(" ")
+        parts += first, *[" " + w for w in others], "\n"
+    parts.pop()
+    return parts
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder a worker process, so that its cache serves all its tasks."""
+    return Encoder(path)
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, file_bytes: int = files.FILE_BYTES) -> DataFrame:
@@ -129,7 +174,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, file_bytes:
         F.col("doc_id").asc_nulls_first(), "text")
 
     def run(batches):
-        encoder, out, state = None, None, None
+        enc, out, state = None, None, None
         rows_out = []
 
         def finish():
@@ -139,17 +184,17 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, file_bytes:
                 out.close()
 
         for b in batches:
-            for i in range(b.num_rows):
+            for lo, hi in W.slices(b.column(1)):
                 if out is None:
-                    encoder, out = Encoder(tokenizer), files.Roller(folder, "tok", file_bytes)
-                if out.full():
-                    finish()
-                    out.begin()
-                    state = {"at": [], "ids": 0}
-                doc = b.column(0)[i].as_py()
-                ids = encoder.encode(b.column(1)[i].as_py())
-                state["at"].append(out.write(frame(struct.pack(_ID, doc or 0, doc is None, encoder.width) + ids)))
-                state["ids"] += len(ids) // encoder.width
+                    enc, out = encoder(tokenizer), files.Roller(folder, "tok", file_bytes)
+                part = b.slice(lo, hi - lo)
+                for doc, ids in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist())):
+                    if out.full():
+                        finish()
+                        out.begin()
+                        state = {"at": [], "ids": 0}
+                    state["at"].append(out.write(frame(struct.pack(_ID, doc or 0, doc is None, enc.width) + ids)))
+                    state["ids"] += len(ids) // enc.width
         finish()
         if rows_out:
             yield pa.RecordBatch.from_arrays(
