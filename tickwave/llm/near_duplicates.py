@@ -22,7 +22,10 @@ shares one of its rarest ``n - ceil(0.85 n) + 1`` elements, whatever the order
 of rarity, at places that leave room for enough shared elements.  So a large group of near copies costs linear work, members with
 many own words pair with nobody, and no link that could join two components is
 lost.  Two bits of every coordinate travel with a bucket row, and a pair whose
-bits differ too much is dropped inside the join.  Texts move only for
+bits differ too much is dropped inside the join.  Prefix rows also carry the
+parities of the set's elements in hashed cells: each element of only one of two
+sets flips one cell, so as many elements differ as cells do, or more, and a pair
+with too many differing cells is dropped without loss.  Texts move only for
 documents in some remaining pair.
 """
 
@@ -49,6 +52,8 @@ HUB_ROUNDS = 4
 #: Rarity of elements is counted in so many hashed cells (4 bytes each, sent to
 #: every task); any order gives right results, a finer one fewer candidates.
 RARITY_CELLS = 1 << 20
+#: Cells of a set's element parities, a multiple of 64; few cells only let more pairs through.
+PARITY_CELLS = 512
 #: Cross pairs are listed as soon as there are at most so many a bucket row.
 PAIRS_A_ROW = 2
 #: Ids of documents to fetch texts for are broadcast (8 bytes each) up to here.
@@ -195,7 +200,12 @@ def _linked(reps: DataFrame, src: DataFrame, k: int, percent: int, bins: int) ->
             # at a shared token, what can be shared before it, it, and what can be after it
             most = F.least("before", "before2") + 1 + F.least("after", "after2")
             enough = (100 + percent) * most >= percent * (F.col("n") + F.col("n2"))
-            pairs = one.join(other, "token").filter(fits & enough)
+            # elements in one of the two sets only: at least as many as parities that differ
+            apart = sum((F.bit_count(F.get("parity", F.lit(i)).bitwiseXOR(F.get("parity2", F.lit(i))))
+                         for i in range(PARITY_CELLS // 64)), F.lit(0))
+            both = F.col("n") + F.col("n2")
+            near = (100 + percent) * (both - apart) >= 2 * percent * both
+            pairs = one.join(other, "token").filter(fits & enough & near)
         else:
             hub = rest.groupBy("h").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("x"), "rep", "n", "bits", "c")).alias("u"))
             hub = hub.select("h", *(F.col(f"u.{x}").alias(f"{x}2") for x in ("rep", "n", "bits", "c")))
@@ -260,17 +270,23 @@ def _prefix_rows(members: DataFrame, src: DataFrame, k: int, percent: int) -> tu
                 before = np.concatenate(([0], np.cumsum(met)))
                 before = before[:-1] - before[first][own]
                 keep = (place < take[own]) & met
+                cell = (W.mix(h + _seed(2000)) % np.uint64(PARITY_CELLS)).astype(np.int64)
+                odd = np.bincount(doc * PARITY_CELLS + cell, minlength=(hi - lo) * PARITY_CELLS) & 1
+                odd = np.packbits(odd.astype(np.uint8).reshape(hi - lo, PARITY_CELLS), axis=1).view(np.int64)
+                odd = odd[own[keep]]
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(lo, hi - lo).take(pa.array(own[keep])), pa.array(h[order][keep].view(np.int64)),
-                    pa.array(before[keep]), pa.array((n[own] - place - 1)[keep])], names=["rep", "token", "before", "after"])
+                    pa.array(before[keep]), pa.array((n[own] - place - 1)[keep]),
+                    pa.ListArray.from_arrays(np.arange(0, odd.size + 1, odd.shape[1], dtype=np.int32), pa.array(odd.ravel()))],
+                    names=["rep", "token", "before", "after", "parity"])
 
-    rows = texts.mapInArrow(prefixes, "rep long, token long, before long, after long").join(members, "rep")
+    rows = texts.mapInArrow(prefixes, "rep long, token long, before long, after long, parity array<long>").join(members, "rep")
     rows = materialize(rows, "prefixes")
     by = rows.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(
         F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
     rows = rows.join(by.select("token", F.col("top.c").alias("top")), "token")
     one = rows.filter("c <> top").drop("top")
-    other = rows.select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "bits", "c", "before", "after")))
+    other = rows.select("token", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "bits", "c", "before", "after", "parity")))
     return one, other
 
 
