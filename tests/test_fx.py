@@ -143,3 +143,16 @@ def test_fill_matches_brute_force(spark):
             else:
                 got = sorted((r["date"], r["rate"], r["is_ffilled"], r["age_days"]) for r in df.collect())
                 assert got == want, (seed, bound)
+
+
+def test_offsets_off_the_quarter_hour(spark):
+    """Santiago in 1905 was 4:42:46 behind UTC: local midnight cuts a bucket."""
+    fx = rates(spark, [(dt.date(1905, 6, d), float(d)) for d in (2, 3, 4)])
+    start = dt.datetime(1905, 6, 3)
+    facts = spark.createDataFrame([(start + dt.timedelta(minutes=m), 1.0) for m in range(0, 24 * 60, 3)],
+                                  "ts timestamp_ntz, p double")
+    for missing in ("raise", "null", "drop"):
+        got = convert_by_local_date(facts, fx, "ts", ["p"], missing=missing).withColumn("want", local_date("ts")).collect()
+        assert len(got) == 480
+        assert all(r["local_date"] == r["want"] and r["p"] == r["want"].day for r in got)
+        assert {r["want"].day for r in got} == {2, 3}

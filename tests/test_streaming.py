@@ -34,3 +34,18 @@ def test_restart_resumes_and_equals_batch(spark):
     a, b = got.select(*cols), want.select(*cols)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_watermark_removes_old_state(spark):
+    """Days far apart: buckets the watermark has passed leave the state."""
+    day = 86_400_000
+    rows = [("s", 20 * i * day + 1000, i, 1.0, 10.0 + i, "buy") for i in range(5)]
+    t = spark.createDataFrame(rows, "symbol string, ts_ms long, trade_id long, amount double, price double, side string")
+    root, out, ckpt = scratch_path(spark, "w-bronze"), scratch_path(spark, "w-out"), scratch_path(spark, "w-ckpt")
+    for i in range(5):
+        p = spark.createDataFrame([("s", 20 * i * day, (20 * i + 1) * day)], "symbol string, start_ms long, end_ms long")
+        write_envelopes(trade_envelopes(t, p, "2024-02-01T00:00:00+00:00"), f"{root}/p{i}")
+        q = run_incremental(spark, root, out, ckpt)
+    state = q.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] <= 1
+    assert current_bars(spark, out).count() == 5

@@ -16,7 +16,8 @@ BAR_COLUMNS = ["open", "high", "low", "close", "volume", "buy_volume",
 def ohlcv_bars(trades: DataFrame, width: str = "1 minute",
                keys: Sequence[str] = ("venue",), ts: str = "ts",
                price: str = "price", amount: str = "amount", side: str = "side",
-               trade_id: str = "trade_id", buy_side: str = "buy") -> DataFrame:
+               trade_id: str = "trade_id", buy_side: str = "buy",
+               as_window: bool = False) -> DataFrame:
     """One row per ``(keys, bucket)`` that holds at least one trade.
 
     open/close are the first/last price by ``(ts, trade_id)`` so trades in the
@@ -24,13 +25,17 @@ def ohlcv_bars(trades: DataFrame, width: str = "1 minute",
     the sum over taker-buy trades (0 when a bucket has none), sell volume the
     residual ``volume - buy``, and trade_count counts the trades.
 
+    ``as_window`` groups by the ``window`` column itself, which a stream needs
+    to carry its watermark into the aggregate's state.
+
     Plan: one hash exchange on ``(keys, bucket)`` with a map-side partial
     aggregate, so a hot key is spread over its buckets before the shuffle.
     """
     order = F.struct(F.col(ts), F.col(trade_id))
     amt = F.col(amount)
+    bucket = F.window(ts, width).alias("bucket") if as_window else bucket_start(ts, width).alias("bucket")
     bars = (
-        trades.groupBy(*keys, bucket_start(ts, width).alias("bucket"))
+        trades.groupBy(*keys, bucket)
         .agg(
             F.min_by(price, order).alias("open"),
             F.max(price).alias("high"),

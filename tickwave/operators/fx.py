@@ -13,14 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwave.functions.timefn import LOCAL_ZONE, bucket_start, interval_of, local_date
+from tickwave.functions.timefn import LOCAL_ZONE, bucket_start, floor_to, interval_of, local_date
 
 # Forward-fill bound of the daily rate (days) and the most rows
 # a dimension may have to be broadcast.
 DEFAULT_MAX_BACK_DAYS = 7
 MAX_BROADCAST_ROWS = 2_000_000
-# UTC bucket of the zone calendar: every offset of current zone rules is a
-# multiple of 15 minutes, so such a bucket never straddles a local midnight.
+# UTC bucket of the zone calendar.  A bucket that straddles a local midnight
+# has a row for each of its days.
 ZONE_STEP = "15 minutes"
 
 
@@ -80,17 +80,21 @@ def with_local_date(facts: DataFrame, ts: str, zone: str = LOCAL_ZONE,
 def zone_calendar(daily: DataFrame, zone: str = LOCAL_ZONE, rate: str = "rate",
                   carry: Sequence[str] = (), step: str = ZONE_STEP) -> DataFrame:
     """The daily table re-keyed by UTC time: one row per ``step`` bucket of
-    every local day it holds, ``(_q, _ld, _rate, carry...)``.
+    every local day it holds, ``(_q, _ld, _rate, _s, _e, carry...)``.
 
     A local day is ``[convert(zone->UTC, d 00:00), convert(zone->UTC, d+1
     00:00))`` in UTC, 23, 24 or 25 hours long across DST changes (a skipped
-    local midnight starts the day at the first existing instant).  96 rows per
-    day: bounded by the calendar, not by the facts."""
+    local midnight starts the day at the first existing instant).  Zone offsets
+    need not be multiples of ``step``: a bucket cut by a local midnight is listed
+    for both days, and a fact belongs to the row whose ``[_s, _e)`` holds it.
+    About 97 rows per day: bounded by the calendar, not by the facts."""
     one = interval_of(step)
     d = daily.select(F.col("date").alias("_ld"), F.col(rate).alias("_rate"), *carry)
     d = d.withColumn("_s", F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col("_ld").cast("timestamp_ntz"))) \
         .withColumn("_e", F.convert_timezone(F.lit(zone), F.lit("UTC"), F.date_add("_ld", 1).cast("timestamp_ntz")))
-    return d.select("_ld", "_rate", *carry, F.explode(F.sequence("_s", F.col("_e") - one, one)).alias("_q"))
+    d = d.where(F.col("_s") < F.col("_e"))  # a zone may skip a whole day
+    last = floor_to(F.col("_e") - F.expr("INTERVAL '0.000001' SECOND"), step)
+    return d.select("_ld", "_rate", "_s", "_e", *carry, F.explode(F.sequence(floor_to("_s", step), last, one)).alias("_q"))
 
 
 def _attach_calendar(facts: DataFrame, daily: DataFrame, ts: str, zone: str, rate: str,
@@ -99,8 +103,10 @@ def _attach_calendar(facts: DataFrame, daily: DataFrame, ts: str, zone: str, rat
     bucket of ``ts``: the time-zone rules are evaluated per calendar bucket,
     not per fact row."""
     cal = bounded_broadcast(zone_calendar(daily, zone, rate, carry))
+    cal = cal.withColumnRenamed("_q", "_cq")
     f = facts.withColumn("_q", bucket_start(ts, ZONE_STEP))
-    return f.join(cal, "_q", how).drop("_q")
+    inside = (F.col("_q") == F.col("_cq")) & (F.col(ts) >= F.col("_s")) & (F.col(ts) < F.col("_e"))
+    return f.join(cal, inside, how).drop("_q", "_cq", "_s", "_e")
 
 
 def convert_by_local_date(facts: DataFrame, daily: DataFrame, ts: str,

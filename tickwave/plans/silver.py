@@ -31,11 +31,21 @@ from tickwave.sources.bronze import assert_rates_present, decode_klines, decode_
 
 def trades_to_candles(spark: SparkSession, bronze_path: str, venue: str,
                       width: str = "1 minute") -> DataFrame:
-    """Trade envelopes -> continuous 1-min candles for ``venue`` (per symbol)."""
+    """Trade envelopes of one symbol -> continuous candles for ``venue``.  The
+    candle contract has no symbol, so several symbols are refused."""
     env = read_json_docs(spark, bronze_path, S.TRADE_ENVELOPE_DDL)
     trades = decode_trades(env).drop("file")
-    bars = ohlcv_bars(trades, width, keys=["symbol"])
-    return to_unified(continuous_bars(bars, width, keys=["symbol"]), exchange=venue)
+    bars = _one_symbol(materialize(ohlcv_bars(trades, width, keys=["symbol"]), "trade-bars"), venue)
+    return to_unified(continuous_bars(bars, width, keys=["symbol"], materialize=False), exchange=venue)
+
+
+def _one_symbol(bars: DataFrame, venue: str) -> DataFrame:
+    """``bars`` (stored) if they hold at most one symbol: the candle table is
+    keyed by ``(timestamp, exchange)``, and a second symbol would repeat its keys."""
+    r = bars.agg(F.min("symbol").alias("a"), F.max("symbol").alias("b")).first()
+    if r["a"] != r["b"]:
+        raise ValueError(f"candles of {venue}: more than one symbol ({r['a']}, {r['b']}, ...); write each to its own venue")
+    return bars
 
 
 def klines_usdt(spark: SparkSession, bronze_path: str) -> tuple[DataFrame, DataFrame]:
@@ -58,7 +68,7 @@ def klines_real_bars(spark: SparkSession, bronze_path: str) -> DataFrame:
 
 
 def klines_grid_usdt(spark: SparkSession, bronze_path: str, bars: DataFrame | None = None) -> DataFrame:
-    bars = bars if bars is not None else klines_real_bars(spark, bronze_path)
+    bars = _one_symbol(bars if bars is not None else klines_real_bars(spark, bronze_path), "klines")
     return continuous_bars(bars, "1 minute", keys=["symbol"], materialize=False)
 
 

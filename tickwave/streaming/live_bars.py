@@ -39,8 +39,8 @@ def stream_bars(trades: DataFrame, width: str = "1 minute", watermark: str = "10
     clock (``TIMESTAMP_NTZ``) through epoch milliseconds, independent of the
     session time zone."""
     t = trades.withColumn("event_time", F.timestamp_millis("ts_ms")).withWatermark("event_time", watermark)
-    bars = ohlcv_bars(t, width, keys=["symbol"], ts="event_time")
-    return bars.withColumn("bucket", ms_to_ts(F.unix_millis("bucket")))
+    bars = ohlcv_bars(t, width, keys=["symbol"], ts="event_time", as_window=True)
+    return bars.withColumn("bucket", ms_to_ts(F.unix_millis("bucket.start")))
 
 
 def run_incremental(spark: SparkSession, bronze_path: str, out_path: str, checkpoint: str,
