@@ -3,6 +3,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import REF
@@ -138,6 +139,17 @@ def test_klines_dedup_latest_and_off_grid(spark, tmp_path):
     on, off = silver.klines_usdt(spark, d)
     assert sorted((r["open_time_ms"], r["close"]) for r in on.collect()) == [(60000, 10.0), (120000, 12.0)]
     assert [r["open_time_ms"] for r in off.collect()] == [150000]
+    counts = Observation("klines-test")
+    assert silver.klines_real_bars(spark, d, counts).count() == 2
+    assert counts.get == {"klines": 3, "off_grid": 1}
+
+
+def test_candles_refuse_a_second_symbol(spark, tmp_path):
+    d = str(tmp_path / "two")
+    for s in ("a", "b"):
+        _write(d, f"{s}.json", json.dumps({"metadata": {"symbol": s}, "data": [["50", "1", "100", "buy", 7]]}))
+    with pytest.raises(ValueError, match="more than one symbol"):
+        silver.trades_to_candles(spark, d, "venue_t")
 
 
 def test_keep_latest(spark):

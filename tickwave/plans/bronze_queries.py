@@ -179,12 +179,15 @@ SELECT venue AS symbol, bucket, open, high, low, close, volume, buy_volume,
        volume - buy_volume AS sell_volume, trade_count FROM bars WHERE venue = 'venue_t'""")
 def q_streaming_bars(spark, sf_dir):
     """Incremental job over the landed envelopes (a few files per micro-batch)
-    equals the batch bars once drained.  The watermark is set to the span of
-    the fixture because the files of one write land in no particular order."""
+    equals the batch bars once drained.  The watermark is the span of the tape
+    because the files of one write land in no particular order."""
+    from tickwave.plans.standins import table
     from tickwave.streaming.live_bars import current_bars, run_incremental
     bronze = _trade_bronze(spark, sf_dir)
     out, ckpt = scratch_path(spark, "stream-bars"), scratch_path(spark, "stream-ckpt")
-    run_incremental(spark, bronze, out, ckpt, "1 minute", watermark="40 days", max_files=8)
+    span = table(spark, sf_dir, "events").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    days = (span["b"] - span["a"]).days + 2
+    run_incremental(spark, bronze, out, ckpt, "1 minute", watermark=f"{days} days", max_files=8)
     return current_bars(spark, out).select("symbol", "bucket", "open", "high", "low", "close", "volume",
                                            "buy_volume", "sell_volume", "trade_count")
 

@@ -51,16 +51,29 @@ def _one_symbol(bars: DataFrame, venue: str) -> DataFrame:
 def klines_usdt(spark: SparkSession, bronze_path: str) -> tuple[DataFrame, DataFrame]:
     """Kline envelopes -> de-duplicated on-grid klines (latest ingestion wins)
     and the off-grid rows that the minute grid drops (reported, not kept)."""
+    k = _klines_latest(spark, bronze_path)
+    return k.where(_on_grid()), k.where(~_on_grid())
+
+
+def _klines_latest(spark: SparkSession, bronze_path: str) -> DataFrame:
     env = read_json_docs(spark, bronze_path, S.KLINE_ENVELOPE_DDL)
-    k = keep_latest(decode_klines(env), ["symbol", "open_time_ms"], ["ingestion_ts", "file"]).drop("file")
-    on_grid = F.col("open_time_ms") % 60000 == 0
-    return k.where(on_grid), k.where(~on_grid)
+    return keep_latest(decode_klines(env), ["symbol", "open_time_ms"], ["ingestion_ts", "file"]).drop("file")
+
+
+def _on_grid():
+    return F.col("open_time_ms") % 60000 == 0
 
 
-def klines_real_bars(spark: SparkSession, bronze_path: str) -> DataFrame:
+def klines_real_bars(spark: SparkSession, bronze_path: str, counts: Observation | None = None) -> DataFrame:
     """De-duplicated on-grid klines as bars, written once to the shared
-    checkpoint folder (they feed the grid's branches and the coverage probe)."""
-    k, _ = klines_usdt(spark, bronze_path)
+    checkpoint folder (they feed the grid's branches and the coverage probe).
+    ``counts`` observes in the same pass the klines left after de-duplication
+    and those among them that lie off the minute grid and are not kept."""
+    k = _klines_latest(spark, bronze_path)
+    if counts is not None:
+        k = k.observe(counts, F.count(F.lit(1)).alias("klines"),
+                      F.count(F.when(~_on_grid(), 1)).alias("off_grid"))
+    k = k.where(_on_grid())
     bars = k.select("symbol", F.col("ts").alias("bucket"), "open", "high", "low", "close", "volume",
                     "buy_volume", (F.col("volume") - F.col("buy_volume")).alias("sell_volume"),
                     "trade_count")
@@ -105,12 +118,15 @@ def run_klines_refresh(spark: SparkSession, bronze_path: str, daily_rates: DataF
     lose its previous data): the check needs only the real bars' first and last
     instants, and raises naming up to 10 missing Santiago dates.  The in-line
     check inside the conversion stays as a safety net."""
-    bars = klines_real_bars(spark, bronze_path)
+    counts = Observation(f"klines_{venue}")
+    bars = klines_real_bars(spark, bronze_path, counts)
     missing = [r["local_date"] for r in missing_grid_dates(bars, daily_rates).collect()]  # <= 10 rows
     if missing:
         raise ValueError("rate coverage gap; missing local dates (up to 10 shown): "
                          + ", ".join(str(d) for d in missing))
-    return run_refresh(klines_to_candles(spark, bronze_path, daily_rates, venue, bars), silver_root, venue)
+    done = run_refresh(klines_to_candles(spark, bronze_path, daily_rates, venue, bars), silver_root, venue)
+    seen = counts.get
+    return done | {"klines": seen["klines"], "off_grid": seen["off_grid"]}
 
 
 def rates_from_envelope(spark: SparkSession, path: str, max_back_days: int = 7) -> DataFrame:
