@@ -195,10 +195,11 @@ SELECT count(*) AS candles, count(efilled.date) AS joined, count(*) - count(efil
 FROM k LEFT JOIN efilled ON k.ld = efilled.date""")
 def q_fx_join_check(spark, sf_dir):
     """Candle x rate join loses no rows: count, matched, unmatched."""
-    from tickwave.functions.timefn import local_date
+    from tickwave.operators.fx import convert_by_local_date
     c = events_candles(spark, sf_dir, "1 minute", materialize=False).where(F.col("exchange") == VENUE_K)
-    rates = fill_daily(event_rates(spark, sf_dir)).select(F.col("date").alias("ld"), F.lit(1).alias("_hit"))
-    j = c.select(local_date("timestamp").alias("ld")).join(F.broadcast(rates), "ld", "left")
+    rates = fill_daily(event_rates(spark, sf_dir)).select("date", F.lit(1).alias("_hit"))
+    j = convert_by_local_date(c.select("timestamp"), rates, "timestamp", [], missing="null", rate="_hit") \
+        .withColumnRenamed("rate", "_hit")
     return j.agg(F.count(F.lit(1)).alias("candles"), F.count("_hit").alias("joined"),
                  (F.count(F.lit(1)) - F.count("_hit")).alias("unmatched"),
                  (F.count(F.lit(1)) == F.count("_hit")).alias("no_rows_lost"))
