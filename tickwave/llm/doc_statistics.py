@@ -121,7 +121,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
     """
     schema = ", ".join(["doc_id long", *(f"{c} long" for c in COUNTS), *(f"{c} double" for c in SHARES)])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")).mapInArrow(_run, schema)
+                       F.col("text").cast("string").alias("text")).mapInArrow(W.trimmed(_run), schema)
 
 
 def labelled_ids(labels: DataFrame, label: str, limit: int) -> DataFrame:

@@ -254,7 +254,7 @@ def _prefix_rows(members: DataFrame, src: DataFrame, k: int, percent: int) -> tu
         for i in range(0, len(at), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(at[i:i + (1 << 16)]), pa.array(seen[at[i:i + (1 << 16)]])], names=["cell", "n"])
 
-    total = texts.mapInArrow(cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    total = texts.mapInArrow(W.trimmed(cells), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     rarity = np.zeros(RARITY_CELLS, np.int32)  # at most RARITY_CELLS rows, whatever the input
     rarity[total["cell"].to_numpy()] = np.minimum(total["n"].to_numpy(), np.iinfo(np.int32).max)
 
@@ -280,7 +280,7 @@ def _prefix_rows(members: DataFrame, src: DataFrame, k: int, percent: int) -> tu
                     pa.ListArray.from_arrays(np.arange(0, odd.size + 1, odd.shape[1], dtype=np.int32), pa.array(odd.ravel()))],
                     names=["rep", "token", "before", "after", "parity"])
 
-    rows = texts.mapInArrow(prefixes, "rep long, token long, before long, after long, parity array<long>").join(members, "rep")
+    rows = texts.mapInArrow(W.trimmed(prefixes), "rep long, token long, before long, after long, parity array<long>").join(members, "rep")
     rows = materialize(rows, "prefixes")
     by = rows.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(
         F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
@@ -297,7 +297,7 @@ def _verified(pairs: DataFrame, src: DataFrame, k: int, percent: int) -> DataFra
     tb = t.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     with small_batches(src.sparkSession):
         return materialize(pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
-                           .mapInArrow(_confirm(k, percent), "a long, b long"), "edges")
+                           .mapInArrow(W.trimmed(_confirm(k, percent)), "a long, b long"), "edges")
 
 
 @contextmanager
@@ -335,7 +335,7 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
         src = src.join(repeated, "doc_id", "left_anti").unionByName(
             src.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
     all_ = materialize(src.mapInArrow(
-        _describe(k, bins, rows),
+        W.trimmed(_describe(k, bins, rows)),
         "doc_id long, n long, s0 long, s1 long, bands array<long>, bits array<long>"), "sketches")
     # one representative per distinct set; equal sets have equal bands and bits
     key = ["n", "s0", "s1"]

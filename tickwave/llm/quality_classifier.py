@@ -107,7 +107,7 @@ def score_statistics(stats: DataFrame, model: Trees) -> DataFrame:
             x = np.stack([b.column(c).to_numpy() for c in SHARES], 1)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(model.score(x))], names=["doc_id", "score"])
 
-    return stats.select("doc_id", *SHARES).mapInArrow(run, "doc_id long, score double")
+    return stats.select("doc_id", *SHARES).mapInArrow(W.trimmed(run), "doc_id long, score double")
 
 
 def held_out(divisor: int, remainder: int):
@@ -153,4 +153,4 @@ def good_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, thr
                 score = model.score(np.stack([s[c] for c in SHARES], 1).astype(np.float64))
                 yield b.slice(lo, hi - lo).filter(pa.array(score >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(W.trimmed(run), docs.schema)
