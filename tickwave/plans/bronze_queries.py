@@ -6,6 +6,9 @@ production job uses."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwave.functions.timefn import epoch_ms
@@ -29,30 +32,37 @@ from tickwave.sources.bronze import decode_trades, read_json_docs
 
 INGESTED = "2024-02-01T00:00:00+00:00"
 REINGESTED = "2024-02-02T00:00:00+00:00"
+# The venue each query's SQL fixes, and for the ``_all`` queries every venue.
+ALL_VENUES = (VENUE_T, VENUE_K)
+
+
+def _periods(spark, sf_dir, venues, extra_days=0):
+    return reduce(DataFrame.unionByName, [day_periods(spark, sf_dir, v, extra_days) for v in venues])
 
 
-def _trade_bronze(spark, sf_dir, extra_days=0):
-    t = events_trades(spark, sf_dir).where(F.col("venue") == VENUE_T)
+def _trade_bronze(spark, sf_dir, extra_days=0, venues=(VENUE_T,)):
+    t = events_trades(spark, sf_dir).where(F.col("venue").isin(*venues))
     t = t.select(F.col("venue").alias("symbol"), epoch_ms("ts").alias("ts_ms"), "trade_id", "amount",
                  "price", "side")
     path = scratch_path(spark, "bronze-trades")
-    env = trade_envelopes(t, day_periods(spark, sf_dir, VENUE_T, extra_days), INGESTED, nominal_rps=0.5)
+    env = trade_envelopes(t, _periods(spark, sf_dir, venues, extra_days), INGESTED, nominal_rps=0.5)
     write_envelopes(env, path)
     return path
 
 
-def _kline_bronze(spark, sf_dir):
-    b = ohlcv_bars(events_trades(spark, sf_dir).where(F.col("venue") == VENUE_K), "1 minute")
+def _kline_bronze(spark, sf_dir, venues=(VENUE_K,)):
+    b = ohlcv_bars(events_trades(spark, sf_dir).where(F.col("venue").isin(*venues)), "1 minute")
     k = b.select(F.col("venue").alias("symbol"), epoch_ms("bucket").alias("open_time_ms"),
                  (epoch_ms("bucket") + 59_999).alias("close_time_ms"),
                  "open", "high", "low", "close", "volume", "trade_count", "buy_volume")
     k = materialize(k, "klines-src")
     path = scratch_path(spark, "bronze-klines")
-    periods = day_periods(spark, sf_dir, VENUE_K)
+    periods = _periods(spark, sf_dir, venues)
     write_envelopes(kline_envelopes(k, periods, INGESTED), path + "/run1")
     # a second ingestion run re-fetches the first day: the same open times
     # arrive twice and the later ingestion must win
-    first = periods.orderBy("start_ms").limit(1)
+    first = periods.groupBy("symbol").agg(F.min("start_ms").alias("start_ms"),
+                                          F.min_by("end_ms", "start_ms").alias("end_ms"))
     write_envelopes(kline_envelopes(k, first, REINGESTED), path + "/run2")
     return path
 
@@ -63,23 +73,37 @@ FROM trades WHERE venue = 'venue_t'"""
 
 
 @register("bronze_roundtrip_trades", TRADES_BACK_SQL)
-def q_bronze_roundtrip_trades(spark, sf_dir):
+def q_bronze_roundtrip_trades(spark, sf_dir, venues=(VENUE_T,)):
     """Trades -> per-day envelopes (JSON, text tuples) -> read back and decode
     with strict casts: every trade returns once, at millisecond precision."""
-    path = _trade_bronze(spark, sf_dir)
+    path = _trade_bronze(spark, sf_dir, venues=venues)
     back = decode_trades(read_json_docs(spark, path, S.TRADE_ENVELOPE_DDL))
     return back.select("symbol", "ts", "trade_id", "price", "amount", "side")
 
 
+@register("bronze_roundtrip_trades_all", f"""WITH {sql.TRADES}
+SELECT venue AS symbol, date_trunc('millisecond', ts) AS ts, trade_id, price, amount, side FROM trades""")
+def q_bronze_roundtrip_trades_all(spark, sf_dir):
+    """The same over every venue."""
+    return q_bronze_roundtrip_trades(spark, sf_dir, ALL_VENUES)
+
+
 @register("bronze_roundtrip_klines", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}
 SELECT venue AS symbol, bucket AS ts, open, high, low, close, volume, trade_count, buy_volume
 FROM bars WHERE venue = 'venue_k'""")
-def q_bronze_roundtrip_klines(spark, sf_dir):
+def q_bronze_roundtrip_klines(spark, sf_dir, venues=(VENUE_K,)):
     """Klines -> envelopes (one day ingested twice) -> decode -> keep latest."""
-    k, _ = silver.klines_usdt(spark, _kline_bronze(spark, sf_dir))
+    k, _ = silver.klines_usdt(spark, _kline_bronze(spark, sf_dir, venues))
     return k.select("symbol", "ts", "open", "high", "low", "close", "volume", "trade_count", "buy_volume")
 
 
+@register("bronze_roundtrip_klines_all", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}
+SELECT venue AS symbol, bucket AS ts, open, high, low, close, volume, trade_count, buy_volume FROM bars""")
+def q_bronze_roundtrip_klines_all(spark, sf_dir):
+    """The same over every venue."""
+    return q_bronze_roundtrip_klines(spark, sf_dir, ALL_VENUES)
+
+
 @register("trades_to_candles", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {sql.grid('1 minute')}
 SELECT * FROM candles WHERE exchange = 'venue_t'""")
 def q_trades_to_candles(spark, sf_dir):
@@ -145,13 +169,13 @@ FROM days LEFT JOIN t USING (day)
 UNION ALL SELECT 'derived', s, e, n FROM kd
 UNION ALL SELECT 'derived', s, e, n FROM kd WHERE day = (SELECT min(day) FROM days)
 UNION ALL SELECT 'failed', NULL, NULL, CAST(0 AS BIGINT)""")
-def q_tolerant_scan(spark, sf_dir):
+def q_tolerant_scan(spark, sf_dir, tape=(VENUE_T,), kline=(VENUE_K,)):
     """Scan a folder of trade envelopes (with an empty trailing period), kline
     envelopes (the first day ingested twice) and one truncated file without
     failing; classify every file and give its range (file names are random,
     so they are left out of the compared result)."""
-    tpath = _trade_bronze(spark, sf_dir, extra_days=1)
-    kpath = _kline_bronze(spark, sf_dir)
+    tpath = _trade_bronze(spark, sf_dir, extra_days=1, venues=tape)
+    kpath = _kline_bronze(spark, sf_dir, kline)
     bad = scratch_path(spark, "bronze-bad")
     one = spark.read.text(tpath, wholetext=True).limit(1)
     one.select(F.substring("value", 1, 200).alias("value")).write.mode("overwrite").text(bad)
@@ -160,30 +184,56 @@ def q_tolerant_scan(spark, sf_dir):
     return envelope_ranges(docs).drop("file")
 
 
+@register("tolerant_scan_all", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {DAYS_SQL.format(extra=1)},
+t AS (SELECT venue, CAST(ts AS DATE) AS day, count(*) AS n FROM trades GROUP BY 1, 2),
+k AS (SELECT venue, CAST(bucket AS DATE) AS day, count(*) AS n, epoch_ms(min(bucket)) AS s,
+             epoch_ms(max(bucket)) + 60000 AS e FROM bars GROUP BY 1, 2),
+v AS (SELECT DISTINCT venue FROM trades)
+SELECT 'range' AS class, epoch_ms(CAST(day AS TIMESTAMP)) AS start_ms,
+       epoch_ms(CAST(day AS TIMESTAMP)) + 86400000 AS end_ms, CAST(coalesce(t.n, 0) AS BIGINT) AS records
+FROM days CROSS JOIN v LEFT JOIN t USING (venue, day)
+UNION ALL SELECT 'derived', s, e, n FROM k
+UNION ALL SELECT 'derived', s, e, n FROM k WHERE day = (SELECT min(day) FROM days)
+UNION ALL SELECT 'failed', NULL, NULL, CAST(0 AS BIGINT)""")
+def q_tolerant_scan_all(spark, sf_dir):
+    """The same over every venue's envelopes of both kinds."""
+    return q_tolerant_scan(spark, sf_dir, ALL_VENUES, ALL_VENUES)
+
+
 @register("ingest_health", f"""WITH {sql.TRADES}, {DAYS_SQL.format(extra=0)},
 t AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM trades WHERE venue = 'venue_t' GROUP BY 1)
 SELECT 0.5 AS nominal_rps, count(*) AS runs, CAST(0 AS BIGINT) AS throttle_429_events,
        CAST(sum(ceil(coalesce(t.n, 0) / 100.0)) AS BIGINT) AS pages, CAST(sum(coalesce(t.n, 0)) AS BIGINT) AS records,
        CAST(NULL AS DOUBLE) AS mean_effective_rps
 FROM days LEFT JOIN t USING (day)""")
-def q_ingest_health(spark, sf_dir):
+def q_ingest_health(spark, sf_dir, venues=(VENUE_T,)):
     """Roll-up of the ingestion metadata carried by the trade envelopes."""
-    docs = read_json_docs(spark, _trade_bronze(spark, sf_dir), S.TRADE_ENVELOPE_DDL)
+    docs = read_json_docs(spark, _trade_bronze(spark, sf_dir, venues=venues), S.TRADE_ENVELOPE_DDL)
     return ingest_health(docs)
 
 
+@register("ingest_health_all", f"""WITH {sql.TRADES}, {DAYS_SQL.format(extra=0)},
+t AS (SELECT venue, CAST(ts AS DATE) AS day, count(*) AS n FROM trades GROUP BY 1, 2),
+v AS (SELECT DISTINCT venue FROM trades)
+SELECT 0.5 AS nominal_rps, count(*) AS runs, CAST(0 AS BIGINT) AS throttle_429_events,
+       CAST(sum(ceil(coalesce(t.n, 0) / 100.0)) AS BIGINT) AS pages, CAST(sum(coalesce(t.n, 0)) AS BIGINT) AS records,
+       CAST(NULL AS DOUBLE) AS mean_effective_rps
+FROM days CROSS JOIN v LEFT JOIN t USING (venue, day)""")
+def q_ingest_health_all(spark, sf_dir):
+    """The same over every venue."""
+    return q_ingest_health(spark, sf_dir, ALL_VENUES)
 
 
 @register("streaming_bars", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}
 SELECT venue AS symbol, bucket, open, high, low, close, volume, buy_volume,
        volume - buy_volume AS sell_volume, trade_count FROM bars WHERE venue = 'venue_t'""")
-def q_streaming_bars(spark, sf_dir):
+def q_streaming_bars(spark, sf_dir, venues=(VENUE_T,)):
     """Incremental job over the landed envelopes (a few files per micro-batch)
     equals the batch bars once drained.  The watermark is the span of the tape
     because the files of one write land in no particular order."""
     from tickwave.plans.standins import table
     from tickwave.streaming.live_bars import current_bars, run_incremental
-    bronze = _trade_bronze(spark, sf_dir)
+    bronze = _trade_bronze(spark, sf_dir, venues=venues)
     out, ckpt = scratch_path(spark, "stream-bars"), scratch_path(spark, "stream-ckpt")
     span = table(spark, sf_dir, "events").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
     days = (span["b"] - span["a"]).days + 2
@@ -192,6 +242,14 @@ def q_streaming_bars(spark, sf_dir):
                                            "buy_volume", "sell_volume", "trade_count")
 
 
+@register("streaming_bars_all", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}
+SELECT venue AS symbol, bucket, open, high, low, close, volume, buy_volume,
+       volume - buy_volume AS sell_volume, trade_count FROM bars""")
+def q_streaming_bars_all(spark, sf_dir):
+    """The same over every venue."""
+    return q_streaming_bars(spark, sf_dir, ALL_VENUES)
+
+
 @register("gold_from_silver", sql.episodes("15 minutes", 900, 0.01, 5)
           + "\nSELECT start_local, end_local, minutes, hours, mean_spread_pct, max_spread_pct, area_pct_minutes"
           + " FROM out ORDER BY rank_metric DESC, a LIMIT 20")
@@ -270,17 +328,46 @@ def q_bronze_coverage(spark, sf_dir):
     (tolerant scan), compare neighbouring ranges, count failed files, verdict.
     The tape source has a truncated file (not ok); the kline source has its
     first day ingested twice (an overlap)."""
+    return _coverage(spark, sf_dir, [("tape", VENUE_T)], [("kline", VENUE_K)])
+
+
+@register("bronze_coverage_all", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {DAYS_SQL.format(extra=1)},
+k AS (SELECT venue, CAST(bucket AS DATE) AS day, epoch_ms(min(bucket)) AS s, epoch_ms(max(bucket)) + 60000 AS e
+      FROM bars GROUP BY 1, 2),
+iv AS (SELECT 'tape_' || venue AS source, epoch_ms(CAST(day AS TIMESTAMP)) AS s,
+              epoch_ms(CAST(day AS TIMESTAMP)) + 86400000 AS e FROM days CROSS JOIN (SELECT DISTINCT venue FROM trades)
+       UNION ALL SELECT 'kline_' || venue, s, e FROM k
+       UNION ALL SELECT 'kline_' || venue, s, e FROM k WHERE day = (SELECT min(day) FROM days)),
+nb AS (SELECT *, LAG(e) OVER (PARTITION BY source ORDER BY s, e) AS pe FROM iv),
+v AS (SELECT source, count(*) AS intervals,
+             CAST(sum(CASE WHEN s > pe THEN 1 ELSE 0 END) AS BIGINT) AS gaps,
+             CAST(sum(CASE WHEN s < pe THEN 1 ELSE 0 END) AS BIGINT) AS "overlaps",
+             make_timestamp(min(s) * 1000) AS first_start, make_timestamp(arg_max(e, (s, e)) * 1000) AS last_end,
+             round(sum(e - s) / 1000.0 / 86400, 4) AS covered_days FROM nb GROUP BY source),
+f AS (SELECT DISTINCT source, CAST(CASE WHEN source LIKE 'tape%' THEN 1 ELSE 0 END AS BIGINT) AS failed FROM iv)
+SELECT v.source, intervals, gaps, "overlaps", first_start, last_end, covered_days, failed,
+       gaps = 0 AND "overlaps" = 0 AND failed = 0 AS ok FROM v JOIN f USING (source)""")
+def q_bronze_coverage_all(spark, sf_dir):
+    """The same for every venue as tape and as klines; each (kind, venue) is a
+    source of its own and each tape has a truncated file."""
+    return _coverage(spark, sf_dir, [(f"tape_{v}", v) for v in ALL_VENUES], [(f"kline_{v}", v) for v in ALL_VENUES])
+
+
+def _coverage(spark, sf_dir, tapes, klines):
     from tickwave.operators.quality import ms_intervals
-    tpath = _trade_bronze(spark, sf_dir, extra_days=1)
-    kpath = _kline_bronze(spark, sf_dir)
-    bad = scratch_path(spark, "bronze-bad")
-    spark.read.text(tpath, wholetext=True).limit(1).select(F.substring("value", 1, 200).alias("value")) \
-        .write.mode("overwrite").text(bad)
-    tape = read_json_docs(spark, tpath, S.ANY_ENVELOPE_DDL, tolerant=True).unionByName(
-        read_json_docs(spark, bad, S.ANY_ENVELOPE_DDL, tolerant=True, glob="*.txt"))
-    kline = read_json_docs(spark, kpath, S.ANY_ENVELOPE_DDL, tolerant=True)
-    r = envelope_ranges(tape).withColumn("source", F.lit("tape")).unionByName(
-        envelope_ranges(kline).withColumn("source", F.lit("kline")))
+    found = []
+    for source, venue in tapes:
+        tpath = _trade_bronze(spark, sf_dir, extra_days=1, venues=(venue,))
+        bad = scratch_path(spark, "bronze-bad")
+        spark.read.text(tpath, wholetext=True).limit(1).select(F.substring("value", 1, 200).alias("value")) \
+            .write.mode("overwrite").text(bad)
+        docs = read_json_docs(spark, tpath, S.ANY_ENVELOPE_DDL, tolerant=True).unionByName(
+            read_json_docs(spark, bad, S.ANY_ENVELOPE_DDL, tolerant=True, glob="*.txt"))
+        found.append(envelope_ranges(docs).withColumn("source", F.lit(source)))
+    for source, venue in klines:
+        docs = read_json_docs(spark, _kline_bronze(spark, sf_dir, (venue,)), S.ANY_ENVELOPE_DDL, tolerant=True)
+        found.append(envelope_ranges(docs).withColumn("source", F.lit(source)))
+    r = reduce(DataFrame.unionByName, found)
     iv = ms_intervals(r, keep=["source"])
     failed = r.groupBy("source").agg(F.sum(F.when(F.col("class") == "failed", 1).otherwise(0)).cast("bigint")
                                      .alias("failed"))

@@ -12,7 +12,7 @@ from tickwave.plans.fx_queries import RATES_SQL
 from tickwave.plans.planning_queries import PERIODS_SQL, EST_SQL, order_volume_sample
 from tickwave.operators.periods import adaptive_periods
 from tickwave.plans.registry import register
-from tickwave.plans.standins import VENUE_T, events_trades, table, weekday_rates
+from tickwave.plans.standins import VENUE_K, VENUE_T, events_trades, table, weekday_rates
 from tickwave.plans.gold_queries import EP_COLS, q_episodes_top20  # noqa: F401
 from tickwave.session import scratch_path
 from tickwave.sinks.writers import write_csv
@@ -111,10 +111,10 @@ def q_fx_pages_normalised(spark, sf_dir):
 SELECT venue AS symbol, date_trunc('millisecond', ts) AS ts, trade_id, price, amount, side FROM trades
 WHERE venue = 'venue_t' AND ts >= (SELECT date_trunc('day', min(ts)) FROM events)
   AND ts < (SELECT date_trunc('day', max(ts)) FROM events)""")
-def q_trade_pages_normalised(spark, sf_dir):
+def q_trade_pages_normalised(spark, sf_dir, venues=(VENUE_T,)):
     """Hourly trade pages, newest first, with the first day fetched twice ->
     half-open range filter, one row per trade id."""
-    t = events_trades(spark, sf_dir).where(F.col("venue") == VENUE_T)
+    t = events_trades(spark, sf_dir).where(F.col("venue").isin(*venues))
     tup = F.struct(epoch_ms("ts").alias("ms"), F.col("trade_id").alias("id"), "amount", "price", "side")
     pages = t.groupBy("venue", F.window("ts", "1 hour").start.alias("h")).agg(
         F.sort_array(F.collect_list(tup), asc=False).alias("_e"))
@@ -134,6 +134,14 @@ def q_trade_pages_normalised(spark, sf_dir):
     return got.select("symbol", "ts", "trade_id", "price", "amount", "side")
 
 
+@register("trade_pages_normalised_all", f"""WITH {sql.TRADES}
+SELECT venue AS symbol, date_trunc('millisecond', ts) AS ts, trade_id, price, amount, side FROM trades
+WHERE ts >= (SELECT date_trunc('day', min(ts)) FROM events) AND ts < (SELECT date_trunc('day', max(ts)) FROM events)""")
+def q_trade_pages_normalised_all(spark, sf_dir):
+    """The same over every venue."""
+    return q_trade_pages_normalised(spark, sf_dir, (VENUE_T, VENUE_K))
+
+
 def _day_ms(dt) -> int:
     import calendar
     return calendar.timegm(dt.date().timetuple()) * 1000

@@ -94,13 +94,13 @@ def kline_envelopes(klines: DataFrame, periods: DataFrame, ingestion_ts: str,
 
 
 def write_envelopes(env: DataFrame, path: str) -> None:
-    """One JSON document per period under ``year=YYYY/month=MM`` (from the
-    period start, UTC)."""
+    """One JSON document a file, under ``year=YYYY/month=MM`` (from the period
+    start, UTC); periods of several symbols may start together."""
     ts = ms_to_ts("start_ms")
     out = (env.withColumn("year", F.year(ts)).withColumn("month", F.date_format(ts, "MM"))
            .withColumn("period", F.col("start_ms")))
-    (out.repartition("period").select("metadata", "data", "year", "month", "period")
-     .write.mode("overwrite").partitionBy("year", "month", "period").json(path))
+    (out.repartition("period", "metadata.symbol").select("metadata", "data", "year", "month", "period")
+     .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("year", "month", "period").json(path))
 
 
 def candle_partitions(candles: DataFrame) -> DataFrame:
