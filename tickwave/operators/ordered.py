@@ -8,6 +8,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwave.functions.timefn import bucket_start
+from tickwave.session import materialize
+
+
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], number: str = "_n",
+             total: str = "_total", chunks: int | None = None) -> DataFrame:
+    """Rows with their place (from 0) in ``order`` among the rows of their
+    ``keys``, and the count of these rows.  No key is gathered:
+    ``repartitionByRange`` cuts the ordered rows into chunks, each
+    ``(chunk, key)`` is numbered on its own, and the rows before a chunk come
+    from a table with one row per ``(key, chunk)``."""
+    keys, order = list(keys), list(order)
+    by = [*keys, *order]
+    # the chunk id is written with the rows, so both branches read the same one
+    d = materialize((df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by))
+                    .withColumn("_chunk", F.spark_partition_id()), "numbered_chunks")
+    per = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_k"))
+    own = Window.partitionBy(*keys)
+    per = per.select(*keys, "_chunk", F.sum("_k").over(own).alias(total),
+                     (F.sum("_k").over(own.orderBy("_chunk")) - F.col("_k")).alias("_before"))
+    d = d.withColumn("_row", F.row_number().over(Window.partitionBy("_chunk", *keys).orderBy(*order)))
+    d = d.join(per, [*keys, "_chunk"])
+    return d.withColumn(number, F.col("_before") + F.col("_row") - 1).drop("_before", "_row", "_chunk")
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], ts: str, value: str,

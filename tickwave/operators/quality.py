@@ -20,8 +20,10 @@ def envelope_ranges(docs: DataFrame) -> DataFrame:
     ``range``: metadata carries ``range_start_ms/range_end_ms``; ``derived``:
     kline layout, ``(data[0][0], data[-1][6] + 1)``; ``empty``: no rows
     (``records_count = 0`` or ``data = []``); ``failed``: anything else,
-    including unreadable text."""
+    including unreadable text.  The parts of one period (``parts`` > 1) are one
+    row with the first file's name, ``failed`` if a part is missing."""
     m = F.col("metadata")
+    split = "parts" in docs.schema["metadata"].dataType.names
     has_range = m["range_start_ms"].isNotNull() & m["range_end_ms"].isNotNull()
     n = F.size(F.coalesce(F.col("data"), F.array().cast("array<array<string>>")))
     has_rows = F.col("data").isNotNull() & (n > 0)
@@ -33,16 +35,31 @@ def envelope_ranges(docs: DataFrame) -> DataFrame:
     last = F.element_at(F.col("data"), -1)
     start = F.when(cls == "range", m["range_start_ms"]).when(cls == "derived", first[0].cast("bigint"))
     end = F.when(cls == "range", m["range_end_ms"]).when(cls == "derived", last[6].cast("bigint") + 1)
-    return docs.select(F.regexp_extract("file", r"([^/]+/[^/]+/[^/]+/[^/]+)$", 1).alias("file"),
-                       cls.alias("class"), start.alias("start_ms"), end.alias("end_ms"),
-                       n.cast("bigint").alias("records"))
+    name = F.regexp_extract("file", r"([^/]+/[^/]+/[^/]+/[^/]+)$", 1).alias("file")
+    out = [name, cls.alias("class"), start.alias("start_ms"), end.alias("end_ms"), n.cast("bigint").alias("records")]
+    if not split:
+        return docs.select(*out)
+    several = (cls == "range") & (m["parts"] > 1)
+    run = F.struct(m["source"].alias("s"), m["symbol"].alias("v"), m["ingestion_timestamp_utc"].alias("t"), start.alias("a"), end.alias("b"))
+    d = docs.select(*out, F.when(several, run).alias("_run"), F.when(several, m["part"]).alias("_part"),
+                    F.when(several, m["parts"]).alias("_parts"),
+                    F.when(~F.coalesce(several, F.lit(False)), F.monotonically_increasing_id()).alias("_single"))
+    whole = F.col("_run").isNull() | (F.count_distinct("_part") == F.max("_parts"))
+    d = d.groupBy("_run", "_single").agg(
+        F.min("file").alias("file"), F.when(whole, F.min("class")).otherwise("failed").alias("class"),
+        F.when(whole, F.min("start_ms")).alias("start_ms"), F.when(whole, F.min("end_ms")).alias("end_ms"),
+        F.sum("records").alias("records"))
+    return d.select("file", "class", "start_ms", "end_ms", "records")
 
 
 def ingest_health(docs: DataFrame) -> DataFrame:
-    """Runs, 429 events and throughput per nominal request rate."""
+    """Runs, 429 events and throughput per nominal request rate; the parts of a
+    period are one run."""
     m = F.col("metadata")
+    split = "part" in docs.schema["metadata"].dataType.names
+    first = F.coalesce(m["part"], F.lit(0)) == 0 if split else F.lit(True)
     return docs.groupBy(m["nominal_rps"].alias("nominal_rps")).agg(
-        F.count(F.lit(1)).alias("runs"),
+        F.count(F.when(first, 1)).alias("runs"),
         F.sum(m["throttle_429_events"]).alias("throttle_429_events"),
         F.sum(m["pages_fetched"]).alias("pages"),
         F.sum(m["records_count"]).alias("records"),

@@ -10,6 +10,7 @@ from tickwave.functions.timefn import epoch_ms
 from tickwave.plans import silver, sql
 from tickwave.plans.fx_queries import RATES_SQL
 from tickwave.plans.planning_queries import PERIODS_SQL, EST_SQL, order_volume_sample
+from tickwave.operators.ordered import numbered
 from tickwave.operators.periods import adaptive_periods
 from tickwave.plans.registry import register
 from tickwave.plans.standins import VENUE_K, VENUE_T, events_trades, table, weekday_rates
@@ -28,6 +29,7 @@ from tickwave.sources.bronze import (
 
 # Descriptive fields of the rate pages.
 RATE_CODE, RATE_NAME, RATE_UNIT = "dolar", "Dólar observado", "Pesos"
+PAGE_ENTRIES = 100
 
 
 def _rate_envelope(spark, sf_dir, current_year: int | None = None):
@@ -112,11 +114,12 @@ SELECT venue AS symbol, date_trunc('millisecond', ts) AS ts, trade_id, price, am
 WHERE venue = 'venue_t' AND ts >= (SELECT date_trunc('day', min(ts)) FROM events)
   AND ts < (SELECT date_trunc('day', max(ts)) FROM events)""")
 def q_trade_pages_normalised(spark, sf_dir, venues=(VENUE_T,)):
-    """Hourly trade pages, newest first, with the first day fetched twice ->
-    half-open range filter, one row per trade id."""
+    """Trade pages of at most 100 entries of an hour, newest first, with the
+    first day fetched twice -> half-open range filter, one row per trade id."""
     t = events_trades(spark, sf_dir).where(F.col("venue").isin(*venues))
     tup = F.struct(epoch_ms("ts").alias("ms"), F.col("trade_id").alias("id"), "amount", "price", "side")
-    pages = t.groupBy("venue", F.window("ts", "1 hour").start.alias("h")).agg(
+    t = numbered(t.withColumn("h", F.window("ts", "1 hour").start), ["venue", "h"], ["ts", "trade_id"])
+    pages = t.groupBy("venue", "h", F.floor(F.col("_n") / PAGE_ENTRIES).alias("page")).agg(
         F.sort_array(F.collect_list(tup), asc=False).alias("_e"))
     entries = F.transform("_e", lambda x: F.array(x["ms"].cast("string"), x["amount"].cast("string"),
                                                  x["price"].cast("string"), x["side"], x["id"].cast("string")))

@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 
 from tickwave.functions.timefn import ms_to_ts
 from tickwave.operators.candles import CANDLE_COLUMNS
+from tickwave.operators.ordered import numbered
+
+# Pages of one envelope at most (100,000 trades at 100 a page, some MB of text).
+ENVELOPE_PAGES = 1000
 
 
 def _str(c) -> F.Column:
@@ -44,14 +48,18 @@ def assign_periods(rows: DataFrame, periods: DataFrame, ts_ms: str = "ts_ms",
 
 def trade_envelopes(trades: DataFrame, periods: DataFrame, ingestion_ts: str,
                     source: str = "tape", page_size: int = 100,
-                    nominal_rps: float | None = None) -> DataFrame:
-    """One envelope per period: metadata + ascending ``[ts_ms, amount, price,
+                    nominal_rps: float | None = None, pages: int = ENVELOPE_PAGES) -> DataFrame:
+    """Envelopes of a period: metadata + ascending ``[ts_ms, amount, price,
     side, trade_id]`` tuples as text.  Periods with no trade still get an
-    envelope (``records_count 0``, empty ``data``).  A period is bounded by the
-    planner (it must fit one fetch budget), which bounds the array size."""
-    t = assign_periods(trades, periods)
+    envelope (``records_count 0``, empty ``data``).  An envelope holds at most
+    ``pages`` full pages; a longer period is cut in time order into envelopes
+    numbered ``part`` of ``parts``, so no row or task grows with a period."""
+    size = page_size * pages
+    t = numbered(assign_periods(trades, periods), ["symbol", "start_ms", "end_ms"], ["ts_ms", "trade_id"])
+    t = t.withColumn("_part", F.floor(F.col("_n") / size))
     tup = F.struct("ts_ms", "trade_id", "amount", "price", "side")
-    agg = t.groupBy("symbol", "start_ms", "end_ms").agg(F.array_sort(F.collect_list(tup)).alias("_rows"))
+    agg = t.groupBy("symbol", "start_ms", "end_ms", "_part").agg(
+        F.array_sort(F.collect_list(tup)).alias("_rows"), F.ceil(F.first("_total") / size).alias("_parts"))
     env = periods.select("symbol", "start_ms", "end_ms").join(agg, ["symbol", "start_ms", "end_ms"], "left")
     rows = F.coalesce(F.col("_rows"), F.array().cast(agg.schema["_rows"].dataType))
     data = F.transform(rows, lambda x: F.array(_str(x["ts_ms"]), _str(x["amount"]), _str(x["price"]),
@@ -66,7 +74,9 @@ def trade_envelopes(trades: DataFrame, periods: DataFrame, ingestion_ts: str,
         F.lit(0).cast("bigint").alias("throttle_429_events"),
         F.lit(None).cast("double").alias("wall_clock_seconds"),
         F.lit(None).cast("double").alias("effective_rps"),
-        F.lit(nominal_rps).cast("double").alias("nominal_rps"))
+        F.lit(nominal_rps).cast("double").alias("nominal_rps"),
+        F.coalesce(F.col("_part"), F.lit(0)).cast("bigint").alias("part"),
+        F.coalesce(F.col("_parts"), F.lit(1)).cast("bigint").alias("parts"))
     return env.select("start_ms", meta.alias("metadata"), data.alias("data"))
 
 
@@ -95,11 +105,13 @@ def kline_envelopes(klines: DataFrame, periods: DataFrame, ingestion_ts: str,
 
 def write_envelopes(env: DataFrame, path: str) -> None:
     """One JSON document a file, under ``year=YYYY/month=MM`` (from the period
-    start, UTC); periods of several symbols may start together."""
+    start, UTC); periods of several symbols may start together.  The parts of a
+    period go to different tasks."""
     ts = ms_to_ts("start_ms")
     out = (env.withColumn("year", F.year(ts)).withColumn("month", F.date_format(ts, "MM"))
            .withColumn("period", F.col("start_ms")))
-    (out.repartition("period", "metadata.symbol").select("metadata", "data", "year", "month", "period")
+    part = ["metadata.part"] if "part" in env.schema["metadata"].dataType.names else []
+    (out.repartition("period", "metadata.symbol", *part).select("metadata", "data", "year", "month", "period")
      .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("year", "month", "period").json(path))
 
 

@@ -7,7 +7,7 @@ TRADE_ENVELOPE_DDL = """
 metadata STRUCT<source:STRING, ingestion_timestamp_utc:STRING, schema_version:STRING, symbol:STRING,
                 range_start_ms:BIGINT, range_end_ms:BIGINT, range_semantics:STRING, records_count:BIGINT,
                 pages_fetched:BIGINT, throttle_429_events:BIGINT, wall_clock_seconds:DOUBLE,
-                effective_rps:DOUBLE, nominal_rps:DOUBLE>,
+                effective_rps:DOUBLE, nominal_rps:DOUBLE, part:BIGINT, parts:BIGINT>,
 data ARRAY<ARRAY<STRING>>"""
 
 KLINE_ENVELOPE_DDL = """
@@ -20,7 +20,7 @@ ANY_ENVELOPE_DDL = """
 metadata STRUCT<source:STRING, ingestion_timestamp_utc:STRING, schema_version:STRING, symbol:STRING,
                 `interval`:STRING, range_start_ms:BIGINT, range_end_ms:BIGINT, range_semantics:STRING,
                 records_count:BIGINT, pages_fetched:BIGINT, throttle_429_events:BIGINT,
-                wall_clock_seconds:DOUBLE, effective_rps:DOUBLE, nominal_rps:DOUBLE>,
+                wall_clock_seconds:DOUBLE, effective_rps:DOUBLE, nominal_rps:DOUBLE, part:BIGINT, parts:BIGINT>,
 data ARRAY<ARRAY<STRING>>,
 _corrupt_record STRING"""
 
