@@ -2,21 +2,24 @@
 
 Words are the dishes.  The base is uniform over the training words and one
 unseen word; a root restaurant draws from it; one restaurant for each context
-draws from the root, so all contexts share one parent.  A context is the class
-of the word before: a hash of its last two bytes into ``CONTEXTS`` values, and one
-value for the start of a text.  Seating is sampled by Gibbs sweeps: for every
+draws from the root, so all contexts share one parent.  A context is the word
+before (its 64-bit hash, letters A-Z lower-cased), or the start of a text; a
+context without customers gives the root's probabilities.  Seating is sampled by Gibbs sweeps: for every
 (context, word) the customers are reseated one after the other, each opening a
 new table with the Chinese-restaurant probability given all other counts, and
 every table sends one customer to the root, whose dishes are reseated likewise.
 After ``BURN_IN`` sweeps the predictive probabilities are averaged over
 ``SAMPLES`` states; they give the log10 probability and perplexity of a text.
 
-Scale: everything about a word is in one shard (by word hash), and what shards
-share is one pair of counts a context, whose number is fixed.  A block is the
-tokens of a few megabytes of text; it sends each distinct (context, word) once
-with its count, and gets one probability back for it, so a very frequent word
-is one entry a block and no shard or task is hot.  Blocks, shard states and
-answers are stored tables of packed arrays; a lost executor reads them again.
+Scale: a (context, word) is in the shard of their common hash.  What shards
+share are totals of words and of contexts: a shard sends each of its words and
+contexts once with its counts to a part by the hash of the key, which adds them
+up, reseats the root's dishes and answers each shard, so neither a frequent
+word nor a frequent context makes a shard or a part hot, and only four numbers
+reach the driver.  A block is the tokens of a few megabytes of text; it sends
+each distinct (context, word) once with its count, and gets one probability
+back for it.  Blocks, shard states and answers are stored tables of packed
+arrays; a lost executor reads them again.
 """
 
 from __future__ import annotations
@@ -34,7 +37,9 @@ from tickwave.llm import words as W
 from tickwave.llm.quality_classifier import held_out
 from tickwave.session import materialize
 
+#: Totals of words and contexts are dealt over so many parts at least.
 CONTEXTS = 64
+START = np.uint64(0)
 BURN_IN, SAMPLES = 3, 3
 DISCOUNT = (0.5, 0.75)
 STRENGTH = (10.0, 10.0)
@@ -61,20 +66,17 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(t)
     r = W.runs(t, W.SPACES)
     h = W.hashes(t, r)
-    last = t.data[r.end - 1].astype(np.uint64) if len(r) else np.zeros(0, np.uint64)
-    before = np.where(r.end - r.start > 1, t.data[np.maximum(r.end - 2, 0)], 0).astype(np.uint64) if len(r) else last
-    kind = (W.mix(last * np.uint64(256) + before + np.uint64(1)) % np.uint64(CONTEXTS - 1)).astype(np.int64) + 1
     first, count = W.first_and_count(r.doc, n)
     # place every text's words and its end in one sequence
     doc = np.repeat(np.arange(n), count + 1)
     word = np.empty(len(doc), np.uint64)
-    context = np.zeros(len(doc), np.int64)  # 0: nothing before
+    context = np.full(len(doc), START)
     is_end = np.zeros(len(doc), bool)
     is_end[np.cumsum(count + 1) - 1] = True
     word[~is_end], word[is_end] = h, END
-    previous = np.zeros(len(doc), np.int64)
-    previous[~is_end] = kind
-    context[1:] = np.where(doc[1:] == doc[:-1], previous[:-1], 0)
+    previous = np.full(len(doc), START)
+    previous[~is_end] = h
+    context[1:] = np.where(doc[1:] == doc[:-1], previous[:-1], START)
     return word, context, doc
 
 
@@ -112,9 +114,9 @@ def _blocks(shards: int):
                 parts = []
                 for x, z in W.slices(b.column(2)):
                     w, c, d = tokens(b.column(2).slice(x, z - x))
-                    parts.append((w, c.astype(np.uint8), (d + x).astype(np.int32)))
+                    parts.append((w, c, (d + x).astype(np.int32)))
                 word, context, doc = (np.concatenate(x) for x in zip(*parts))
-                shard = (W.mix(word) % np.uint64(shards)).astype(np.int32)
+                shard = (W.mix(word ^ W.mix(context + np.uint64(1))) % np.uint64(shards)).astype(np.int32)
                 order = np.lexsort((context, word, shard))
                 w, c, s = word[order], context[order], shard[order]
                 new = np.concatenate(([True], (w[1:] != w[:-1]) | (c[1:] != c[:-1])))
@@ -130,36 +132,29 @@ def _blocks(shards: int):
                 cut = np.searchsorted(s, np.arange(shards + 1))
                 for k, (x, z) in enumerate(zip(cut, cut[1:])):
                     if z > x:
-                        rows.append((name, k, pack(w[x:z]), pack(c[x:z].astype(np.uint8)), pack(counts[x:z]), int(x)))
+                        rows.append((name, k, pack(w[x:z]), pack(c[x:z]), pack(counts[x:z]), int(x)))
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
                     (pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64()))], names=_PACKED)
 
     return run
 
 
-_STATE = ["shard", "words", "contexts", "counts", "tables", "root", "total", "customers", "served", "root_customers", "root_tables", "vocabulary"]
-_STATE_TYPE = ("shard int, words binary, contexts binary, counts binary, tables binary, root binary, total binary, "
-               "customers array<long>, served array<long>, root_customers long, root_tables long, vocabulary long")
-_STATE_ARROW = [pa.int32(), *[pa.binary()] * 6, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64()]
+_STATE = ["shard", "words", "contexts", "counts", "tables", "total", "seen"]
+_STATE_TYPE = "shard int, words binary, contexts binary, counts binary, tables binary, total binary, seen binary"
+_STATE_ARROW = [pa.int32(), *[pa.binary()] * 6]
 
 
-def _state_row(shard, words, contexts, counts, tables, root, total) -> tuple:
-    word = np.cumsum(np.concatenate(([False], words[1:] != words[:-1])))
-    known = np.bincount(word, counts) > 0
-    per = lambda x: np.bincount(contexts, x, CONTEXTS).astype(np.int64).tolist()
-    return (shard, pack(words), pack(contexts), pack(counts), pack(tables), pack(root), pack(total), per(counts), per(tables),
-            int(tables.sum()), int(root.sum()), int(known.sum()))
-
-
-def _state_batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_STATE_ARROW)], names=_STATE)
+def _state_table(shard: int, *arrays: np.ndarray) -> pa.Table:
+    """Words, contexts, training counts, tables and added up probabilities of a
+    shard's (word, context) in that order, and the training count of each word."""
+    return pa.Table.from_arrays([pa.array([v], t) for v, t in zip([shard, *map(pack, arrays)], _STATE_ARROW)], names=_STATE)
 
 
 def _gather(table: pa.Table) -> pa.Table:
     """All asks of one shard -> its distinct (word, context) with counts, one
     table for each word that a context has seen."""
     words = np.concatenate([unpack(x, np.uint64) for x in table["a"].to_pylist()])
-    contexts = np.concatenate([unpack(x, np.uint8) for x in table["b"].to_pylist()])
+    contexts = np.concatenate([unpack(x, np.uint64) for x in table["b"].to_pylist()])
     counts = np.concatenate([unpack(x, np.uint32) for x in table["c"].to_pylist()]).astype(np.int64)
     order = np.lexsort((contexts, words))
     words, contexts, counts = words[order], contexts[order], counts[order]
@@ -167,10 +162,7 @@ def _gather(table: pa.Table) -> pa.Table:
     counts = np.add.reduceat(counts, first)
     words, contexts = words[first], contexts[first]
     tables = (counts > 0).astype(np.int64)
-    word = np.cumsum(np.concatenate(([False], words[1:] != words[:-1])))
-    root = (np.bincount(word, tables) > 0).astype(np.int64)
-    row = _state_row(table["shard"][0].as_py(), words, contexts, counts, tables, root, np.zeros(len(words)))
-    return pa.Table.from_batches([_state_batch([row])])
+    return _state_table(table["shard"][0].as_py(), words, contexts, counts, tables, np.zeros(len(words)), np.zeros(0, np.int64))
 
 
 def reseat(customers: np.ndarray, pull: np.ndarray, discount: float, rng) -> np.ndarray:
@@ -189,40 +181,99 @@ def reseat(customers: np.ndarray, pull: np.ndarray, discount: float, rng) -> np.
     return np.minimum(tables, customers)
 
 
-def _sweep(number: int, totals: dict, keep: bool):
-    """One Gibbs sweep over shard states; with ``keep`` the predictive
-    probabilities of the state that comes in are added up first."""
+def _dealt(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the keys by part, and where each part begins and the last ends."""
+    part = (W.mix(keys + np.uint64(7)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+_OWN_TYPE = "part int, shard int, is_word boolean, k binary, a binary, b binary"
+_OWN_ARROW = [pa.int32(), pa.int32(), pa.bool_(), *[pa.binary()] * 3]
+_SUMS_TYPE = ("part int, shard int, is_word boolean, a binary, b binary, c binary, "
+              "tokens long, root_customers long, root_tables long, vocabulary long")
+_SUMS_ARROW = [pa.int32(), pa.int32(), pa.bool_(), *[pa.binary()] * 3, *[pa.int64()] * 4]
+
+
+def _own(parts: int):
+    """Shard state -> for each part the shard's contexts and words with their
+    customers (a) and tables (b) in this shard."""
     def run(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                words, contexts = unpack(r["words"], np.uint64), unpack(r["contexts"], np.uint8)
-                counts, tables, root = (unpack(r[x], np.int64) for x in ("counts", "tables", "root"))
-                total = unpack(r["total"], np.float64)
-                word = np.cumsum(np.concatenate(([False], words[1:] != words[:-1])))
-                guests = np.bincount(word, tables).astype(np.int64)
-                new_root = (STRENGTH[0] + DISCOUNT[0] * totals["root_tables"]) / (totals["vocabulary"] + 1)
-                parent = (guests - DISCOUNT[0] * root + new_root) / (STRENGTH[0] + totals["root_customers"])
-                pull = (STRENGTH[1] + DISCOUNT[1] * totals["served"][contexts]) * parent[word]
-                if keep:
-                    total = total + (counts - DISCOUNT[1] * tables + pull) / (STRENGTH[1] + totals["customers"][contexts])
-                rng = np.random.default_rng([SEED, number, r["shard"]])
-                tables = reseat(counts, pull, DISCOUNT[1], rng)
-                guests = np.bincount(word, tables).astype(np.int64)
-                root = reseat(guests, np.full(len(root), new_root), DISCOUNT[0], rng)
-                yield _state_batch([_state_row(r["shard"], words, contexts, counts, tables, root, total)])
+        for batch in batches:
+            for r in batch.to_pylist():
+                rows = []
+                weights = [unpack(r[x], np.int64) for x in ("counts", "tables")]
+                for is_word in (False, True):
+                    key, at = np.unique(unpack(r["words" if is_word else "contexts"], np.uint64), return_inverse=True)
+                    a, b = (np.bincount(at, x, len(key)).astype(np.int64) for x in weights)
+                    order, cut = _dealt(key, parts)
+                    rows += [(p, r["shard"], is_word, *(pack(x[order[i:j]]) for x in (key, a, b)))
+                             for p, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate(_OWN_ARROW)],
+                                                 names=["part", "shard", "is_word", "k", "a", "b"])
 
     return run
 
 
-def _totals(state: DataFrame) -> dict:
-    """Counts that all shards share: a pair a context and four numbers."""
-    per = state.select(F.posexplode(F.arrays_zip("customers", "served")).alias("c", "x")).groupBy("c").agg(
-        F.sum("x.customers").alias("customers"), F.sum("x.served").alias("served")).collect()
-    out = {"customers": np.zeros(CONTEXTS), "served": np.zeros(CONTEXTS)}
-    for r in per:
-        out["customers"][r["c"]], out["served"][r["c"]] = r["customers"], r["served"]
-    r = state.agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("root_customers", "root_tables", "vocabulary"))).first()
-    return out | r.asDict()
+def _summed(number: int, new_root: float):
+    """What the shards sent to one part -> to each shard the totals of its
+    contexts and words, for words also the root's tables, which are seated here;
+    and a row without shard that holds the part's share of the common numbers."""
+    def run(table: pa.Table) -> pa.Table:
+        part, rows, common = table["part"][0].as_py(), [], (0, 0, 0, 0)
+        sent = sorted(table.to_pylist(), key=lambda r: r["shard"])
+        for is_word in (False, True):
+            mine = [r for r in sent if r["is_word"] == is_word]
+            if not mine:
+                continue
+            keys = [unpack(r["k"], np.uint64) for r in mine]
+            key, at = np.unique(np.concatenate(keys), return_inverse=True)
+            a, b = (np.bincount(at, np.concatenate([unpack(r[x], np.int64) for r in mine]), len(key)).astype(np.int64) for x in "ab")
+            root = (b > 0).astype(np.int64)
+            if is_word and number:
+                root = reseat(b, np.full(len(b), new_root), DISCOUNT[0], np.random.default_rng([SEED, number, part, 1]))
+            if is_word:
+                common = (int(a.sum()), int(b.sum()), int(root.sum()), int((a > 0).sum()))
+            ends = np.cumsum([len(k) for k in keys])
+            for r, x in zip(mine, np.split(at, ends[:-1])):
+                rows.append((part, r["shard"], is_word, pack(a[x]), pack(b[x]), pack(root[x]) if is_word else None, None, None, None, None))
+        rows.append((part, None, None, None, None, None, *common))
+        return pa.Table.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate(_SUMS_ARROW)],
+                                    names=[x.split()[0] for x in _SUMS_TYPE.split(", ")])
+
+    return run
+
+
+def _sweep(number: int, parts: int, totals: dict, new_root: float, keep: bool):
+    """One Gibbs sweep over a shard's state, given its totals; with ``keep`` the
+    predictive probabilities of the state that comes in are added up first."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        r = left.to_pylist()[0]
+        words, contexts = unpack(r["words"], np.uint64), unpack(r["contexts"], np.uint64)
+        counts, tables = unpack(r["counts"], np.int64), unpack(r["tables"], np.int64)
+        total = unpack(r["total"], np.float64)
+        got = sorted(right.to_pylist(), key=lambda x: x["part"])
+
+        def shared(keys, is_word, columns):
+            key, at = np.unique(keys, return_inverse=True)
+            order, _ = _dealt(key, parts)
+            out = []
+            for c in columns:
+                v = np.empty(len(key), np.int64)
+                v[order] = np.concatenate([unpack(x[c], np.int64) for x in got if x["is_word"] == is_word])
+                out.append(v)
+            return at, out
+
+        context, (customers, served) = shared(contexts, False, "ab")
+        word, (seen, guests, root) = shared(words, True, "abc")
+        parent = (guests - DISCOUNT[0] * root + new_root) / (STRENGTH[0] + totals["root_customers"])
+        pull = (STRENGTH[1] + DISCOUNT[1] * served[context]) * parent[word]
+        if keep:
+            total = total + (counts - DISCOUNT[1] * tables + pull) / (STRENGTH[1] + customers[context])
+        tables = reseat(counts, pull, DISCOUNT[1], np.random.default_rng([SEED, number, r["shard"]]))
+        return _state_table(r["shard"], words, contexts, counts, tables, total, seen)
+
+    return run
 
 
 def _answer(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -231,18 +282,19 @@ def _answer(left: pa.Table, right: pa.Table) -> pa.Table:
     out = []
     if right.num_rows:
         r = right.to_pylist()[0]
-        words, contexts = unpack(r["words"], np.uint64), unpack(r["contexts"], np.uint8)
-        word = np.cumsum(np.concatenate(([False], words[1:] != words[:-1])))
-        count = np.bincount(word, unpack(r["counts"], np.int64)).astype(np.int64)
+        words, contexts = unpack(r["words"], np.uint64), unpack(r["contexts"], np.uint64)
+        count = unpack(r["seen"], np.int64)
         first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
         size = np.diff(np.concatenate((first, [len(words)])))
         logp = np.log10(unpack(r["total"], np.float64) / SAMPLES).astype(np.float32)
         for block, a, b, n in zip(*(left[x].to_pylist() for x in ("block", "a", "b", "n"))):
-            w, c = unpack(a, np.uint64), unpack(b, np.uint8)
+            w, c = unpack(a, np.uint64), unpack(b, np.uint64)
             k = np.searchsorted(words[first], w)
-            at = first[k]
-            while (less := contexts[at] < c).any():  # a word has at most CONTEXTS contexts, sorted
-                at = at + less
+            at, last = first[k], first[k] + size[k] - 1
+            while (open_ := at < last).any():  # a word's contexts are sorted
+                middle = (at + last) // 2
+                less = contexts[middle] < c
+                at, last = np.where(open_ & less, middle + 1, at), np.where(open_ & ~less, middle, last)
             out.append((block, n, pack(logp[at]), pack(count[k].astype(np.uint32))))
     return pa.Table.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.int64(), pa.binary(), pa.binary()))],
                                 names=["block", "at", "logp", "count"])
@@ -286,12 +338,17 @@ def score_texts(docs: DataFrame, burn_in: int = BURN_IN) -> DataFrame:
     packed = materialize(d.mapInArrow(_blocks(shards), _PACKED_TYPE), "blocks")
     asks = packed.filter("shard is not null")
     state = materialize(asks.select("shard", "a", "b", "c").groupBy("shard").applyInArrow(_gather, _STATE_TYPE), "seating")
-    totals = _totals(state)
-    train_tokens, vocabulary = int(totals["customers"].sum()), int(totals["vocabulary"])
+    parts = max(CONTEXTS, shards)
+    new_root = 0.0
     for number in range(burn_in + SAMPLES):
-        old, state = state, materialize(state.mapInArrow(_sweep(number, totals, number >= burn_in), _STATE_TYPE), "seating")
+        sums = materialize(state.mapInArrow(_own(parts), _OWN_TYPE).groupBy("part").applyInArrow(_summed(number, new_root), _SUMS_TYPE), "totals")
+        totals = sums.agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("tokens", "root_customers", "root_tables", "vocabulary"))).first().asDict()
+        new_root = (STRENGTH[0] + DISCOUNT[0] * totals["root_tables"]) / (totals["vocabulary"] + 1)
+        old, state = state, materialize(state.groupBy("shard").cogroup(sums.filter("shard is not null").groupBy("shard")).applyInArrow(
+            _sweep(number, parts, totals, new_root, number >= burn_in), _STATE_TYPE), "seating")
         files.discard(old)  # the new state is stored
-        totals = _totals(state)
+        files.discard(sums)
+    train_tokens, vocabulary = int(totals["tokens"]), int(totals["vocabulary"])
     answers = (asks.select("shard", "block", "a", "b", "n").groupBy("shard").cogroup(state.groupBy("shard"))
                .applyInArrow(_answer, "block string, at long, logp binary, count binary"))
     return packed.filter("shard is null").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
