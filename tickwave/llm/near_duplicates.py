@@ -43,10 +43,9 @@ from tickwave.session import materialize
 
 BINS, ROWS = 192, 6
 WORDS, PERCENT = 5, 85
-#: Each candidate has two bits of every coordinate compared first.  At the
-#: threshold a share of 0.075 of the bits differs on average; pairs that differ
-#: by more than this many standard deviations above it are not verified.
-DEVIATIONS = 5.5
+#: Chance, at most, that a pair at the threshold is lost by the bands, and by
+#: the comparison of two bits of every coordinate that comes before verification.
+BAND_MISS, BIT_MISS = 1e-6, 1e-9
 #: Rounds of links to bucket hubs, at most, before the rest is joined by prefixes.
 HUB_ROUNDS = 4
 #: Rarity of elements is counted in so many hashed cells (4 bytes each, sent to
@@ -60,6 +59,24 @@ PAIRS_A_ROW = 2
 BROADCAST_IDS = 2_000_000
 
 
+def bit_limit(bins: int, percent: int) -> int:
+    """Bits that may differ: the smallest number that a pair at the threshold
+    exceeds with probability below ``BIT_MISS``, by the exact distribution.  A
+    coordinate differs with probability q, and then each of its bits with 1/2."""
+    q = 1 - percent / 100
+    p = np.ones(1)
+    for _ in range(bins):
+        p = np.convolve(p, [1 - 0.75 * q, 0.5 * q, 0.25 * q])
+    return int(np.flatnonzero(np.concatenate((np.cumsum(p[::-1])[::-1][1:], [0.0])) < BIT_MISS)[0])
+
+
+def band_rows(bins: int, percent: int) -> int:
+    """Most rows a band, up to ``ROWS``, with which bands lose a pair at the
+    threshold with probability below ``BAND_MISS``."""
+    fits = [r for r in range(1, ROWS + 1) if bins % r == 0 and (1 - (percent / 100) ** r) ** (bins // r) < BAND_MISS]
+    return max(fits, default=1)
+
+
 def _seed(i: int) -> np.uint64:
     return np.uint64(0xD6E8FEB86659FD93 * i % (1 << 64))
 
@@ -174,7 +191,7 @@ def _linked(reps: DataFrame, src: DataFrame, k: int, percent: int, bins: int) ->
     shared = slots.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1").select("h")
     info = reps.select("rep", "n", "bits")
     open_ = materialize(slots.join(shared, "h").join(info, "rep").withColumn("c", F.col("rep")), "buckets")
-    limit = int(2 * bins * 0.075 + DEVIATIONS * (bins * 0.2025) ** 0.5)
+    limit = bit_limit(bins, percent)
     differ = sum((F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("bits2", F.lit(i))))
                   for i in range(2 * bins // 64)), F.lit(0))
     fits = (F.col("c") != F.col("c2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (differ <= limit)
@@ -313,7 +330,7 @@ def small_batches(spark, rows: int = 256):
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
-                    bins: int = BINS, rows: int = ROWS) -> DataFrame:
+                    bins: int = BINS, rows: int | None = None) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     Documents link when ``100 * |A & B| >= percent * |A | B|`` over their sets
@@ -325,8 +342,10 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
     An empty table gives an empty result; other columns are ignored.
 
     The set elements are 64-bit hashes of the shingles and equal sets are
-    recognised by size and 128-bit signature.
+    recognised by size and 128-bit signature.  ``rows`` a band follow from
+    ``percent`` unless given.
     """
+    rows = rows or band_rows(bins, percent)
     src = rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     repeated = materialize(src.filter("doc_id is not null").groupBy("doc_id").count()
                            .filter("count > 1").select("doc_id"), "repeated")
