@@ -124,16 +124,23 @@ def document_statistics(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("string").alias("text")).mapInArrow(W.trimmed(_run), schema)
 
 
+def sample_cells(limit: int, n: int) -> int:
+    """Of 2^20 hash cells, those that hold about ``limit`` of ``n``; one at least."""
+    return max(1, int((1 << 20) * min(1.0, limit / n)))
+
+
 def labelled_ids(labels: DataFrame, label: str, limit: int) -> DataFrame:
     """(doc_id, y) of at most about ``limit`` labelled documents, chosen by a
     hash of doc_id, so that reruns agree and the bound holds at every size."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).filter(
         F.col("y").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("y").alias("y"))
     n = max(1, known.count())
-    return known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, limit / n)))
+    return known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < sample_cells(limit, n))
 
 
 def labelled_sample(stats: DataFrame, labels: DataFrame, label: str, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """(features, label 0/1) of the sample; only these rows reach the driver."""
-    rows = stats.select("doc_id", *SHARES).join(labelled_ids(labels, label, limit), "doc_id").orderBy("doc_id", *SHARES).toPandas()
+    """(features, label 0/1) of the sample, one row a doc_id (the smallest of
+    its features); only these rows reach the driver."""
+    rows = stats.select("doc_id", *SHARES).join(labelled_ids(labels, label, limit), "doc_id")
+    rows = rows.groupBy("doc_id", "y").agg(F.min(F.struct(*SHARES)).alias("x")).select("doc_id", "x.*", "y").orderBy("doc_id").toPandas()
     return rows[SHARES].to_numpy(np.float64).reshape(len(rows), len(SHARES)), rows["y"].to_numpy(np.int64)

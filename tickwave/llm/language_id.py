@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwave.llm import words as W
+from tickwave.llm.doc_statistics import sample_cells
 from tickwave.llm.quality_classifier import held_out
 
 #: At most about this many documents a language are learned from.
@@ -171,8 +172,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Hierarchy | None:
     n = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row a language
     if not n:
         return None
-    share = F.create_map(*(x for k, v in n.items() for x in (F.lit(k), F.lit(int((1 << 20) * min(1.0, sample / v))))))
-    chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")]).select("doc_id", "lang", "text")
+    share = F.create_map(*(x for k, v in n.items() for x in (F.lit(k), F.lit(sample_cells(sample, v)))))
+    chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")])
+    # one row a doc_id, so that a repeated one is not collected whole
+    chosen = chosen.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("x")).select("doc_id", "x.lang", "x.text")
 
     def run(batches):
         for b in batches:
