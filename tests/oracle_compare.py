@@ -56,17 +56,17 @@ def rows_of(df: pd.DataFrame) -> list[tuple]:
 
 
 def compare(spark, name: str, sf_dir: str, con=None) -> dict:
-    from tickwave.plans.registry import ORACLES, QUERIES, load_all
-    load_all()
+    import __spark_entry__ as e
+    oracles = e.oracle_sql()
     t0 = time.time()
-    sdf = QUERIES[name](spark, sf_dir).toPandas()
+    sdf = e.queries()[name](spark, sf_dir).toPandas()
     t1 = time.time()
     res = {"query": name, "spark_rows": len(sdf), "spark_sec": round(t1 - t0, 2)}
-    if name not in ORACLES:
+    if name not in oracles:
         res["status"] = "no-oracle"
         return res
     con = con or duck(sf_dir)
-    odf = con.execute(ORACLES[name]).df()
+    odf = con.execute(oracles[name]).df()
     res["oracle_rows"] = len(odf)
     if sorted(sdf.columns) != sorted(odf.columns):
         res["status"] = f"columns differ: {sorted(sdf.columns)} vs {sorted(odf.columns)}"
@@ -84,9 +84,8 @@ if __name__ == "__main__":
     from tickwave.session import build_session
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = build_session()
-    from tickwave.plans.registry import QUERIES, load_all
-    load_all()
-    names = sys.argv[1:] or sorted(QUERIES)
+    import __spark_entry__ as e
+    names = sys.argv[1:] or sorted(e.queries())
     con = duck(sf)
     for n in names:
         try:

@@ -2,8 +2,8 @@
 
 import pytest
 
-from conftest import SF01
-from oracle_compare import compare
+from tests.paths import SF01
+from tests.oracle_compare import compare
 from tickwave.plans.registry import QUERIES, load_all
 from tickwave.plans.standins import table
 

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from tests.paths import SF01
 from tickwave.functions.timefn import ms_to_ts
 from tickwave.operators.bars import ohlcv_bars
 from tickwave.operators.grid import continuous_bars
@@ -89,7 +89,7 @@ def test_volume_identity_and_no_gaps(spark):
 def test_schema_contract(spark):
     from tickwave.operators.candles import CANDLE_COLUMNS, schema_matches
     from tickwave.plans.standins import events_candles
-    from conftest import SF001
+    from tests.paths import SF001
     c = events_candles(spark, SF001, "1 minute")
     assert schema_matches(c)
     assert not schema_matches(c.select(*reversed(CANDLE_COLUMNS)))

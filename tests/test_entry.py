@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from conftest import SF01
+from tests.paths import SF01
 
 
 def test_entry_smoke(spark):
@@ -28,7 +28,7 @@ def _names():
 
 @pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, name):
-    from oracle_compare import compare
+    from tests.oracle_compare import compare
     r = compare(spark, name, SF01)
     assert r["status"] in ("ok", "no-oracle"), r
     assert r["spark_rows"] > 0

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from tests.paths import SF01
 from tickwave.operators.bars import ohlcv_bars
 from tickwave.operators.candles import CANDLE_SCHEMA
 from tickwave.operators.islands import islands, islands_naive, islands_session_window

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01
+from tests.paths import SF001, SF01
 from tickwave.functions.timefn import local_date, local_wallclock
 from tickwave.operators.fx import (
     asof_backward,

@@ -5,7 +5,7 @@ from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from tests.paths import SF01
 from tickwave.operators.bars import ohlcv_bars
 from tickwave.operators.fx import convert_by_local_date, fill_daily
 from tickwave.operators.grid import continuous_bars

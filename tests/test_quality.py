@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from conftest import REF
 from tickwave.functions.timefn import ms_to_ts
 from tickwave.operators.dedup import keep_latest
 from tickwave.operators.quality import (
@@ -71,27 +70,21 @@ def test_interval_chunks_with_keys_and_hot_key(spark):
         assert got.exceptAll(want.select("src", "label", F.col("run").alias("prev_end"))).count() == 0
 
 
-def _period_file(name):
-    return os.path.join(REF, "backfill_inputs", name)
-
-
-@pytest.mark.skipif(not os.path.exists(REF), reason="reference data files not present")
-@pytest.mark.parametrize("name,rows,gaps", [
-    ("active_v2/backfill_buda_input_v2.json", 264, 0),
-    ("active_v2/backfill_buda_lote_5_2022_2026_v2.json", 100, 0),
-    ("archived_v1/backfill_buda_input.json", 219, 0),
-    ("active_v2/binance_input.json", 112, 111),
-])
-def test_period_list_tilings(spark, name, rows, gaps):
-    p = read_period_list(spark, _period_file(name))
-    ivs = p.select(ms_to_ts("start_ms").alias("start"), ms_to_ts("end_ms").alias("end"),
-                   F.col("start_ms").cast("string").alias("label"))
-    v = interval_verdict(ivs).first()
-    assert (v["intervals"], v["gaps"], v["overlaps"]) == (rows, gaps, 0)
-    if gaps:
-        closed = p.select(ms_to_ts("start_ms").alias("start"), ms_to_ts(F.col("end_ms") + 1).alias("end"),
-                          F.col("start_ms").cast("string").alias("label"))
-        assert interval_verdict(closed).first()["gaps"] == 0
+def test_period_list_tilings(spark, tmp_path):
+    """Half-open months tile a range; months that end on their last ms leave a gap each."""
+    import calendar
+    ms = lambda y, m: calendar.timegm((y, m, 1, 0, 0, 0)) * 1000
+    months = [(y, m) for y in range(2022, 2025) for m in range(1, 13)]
+    ends = [ms(y + m // 12, m % 12 + 1) for y, m in months]
+    for closed, gaps in ((0, 0), (1, 35)):
+        path = tmp_path / f"list{closed}.json"
+        path.write_text(json.dumps({"periodos": [
+            {"symbol": "s", "interval": "1m", "start_ms": ms(*p), "end_ms": e - closed} for p, e in zip(months, ends)]}))
+        p = read_period_list(spark, str(path))
+        for add, want in ((0, gaps), (closed, 0)):
+            v = interval_verdict(p.select(ms_to_ts("start_ms").alias("start"), ms_to_ts(F.col("end_ms") + add).alias("end"),
+                                          F.col("start_ms").cast("string").alias("label"))).first()
+            assert (v["intervals"], v["gaps"], v["overlaps"]) == (36, want, 0)
 
 
 def _write(path, name, text):

@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from tests.paths import SF001
 from tickwave.plans.standins import VENUE_K, VENUE_T, events_candles
 from tickwave.session import scratch_path
 from tickwave.sinks.writers import read_candles, write_candles_refresh

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from tests.paths import SF001
 from tickwave.functions.timefn import epoch_ms
 from tickwave.operators.bars import ohlcv_bars
 from tickwave.plans.standins import VENUE_T, events_trades
