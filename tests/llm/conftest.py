@@ -1,20 +1,9 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
 SF01 = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from tickwave.session import build_session
-    return build_session(master="local[4]", shuffle_partitions=8, app="tickwave-tests", driver_memory="6g")
-
-
 @pytest.fixture(scope="session")
 def sf01():
     return SF01

@@ -5,9 +5,9 @@ from collections import Counter
 import corpus_pipeline as P
 from pyspark.sql import functions as F
 
-from test_files import report
-from test_near_duplicates import brute
-from test_sql_queries import fold
+from tests.llm.test_files import report
+from tests.llm.test_near_duplicates import brute
+from tests.llm.test_sql_queries import fold
 from tickwave.llm import mixing, quality_classifier
 
 
