@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickwave.llm import arc_to_warc, decontamination, language_id, mixing, near_duplicates, personal_data, pitman_yor, quality_classifier, quality_rules, token_records
+from tickwave.llm import arc_to_warc, code_compression, decontamination, filter_audit, language_id, mixing, near_duplicates, personal_data, pitman_yor, quality_classifier, quality_rules, token_counts, token_records
 from tickwave.session import ensure_checkpoint_dir
 
 QUERIES: dict = {}
@@ -89,3 +89,18 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_quality_rules")
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op11_code_compression")
+def op11_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_compression.compress(table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_token_counts")
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@register("op13_filter_audit", filter_audit.ORACLE)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
