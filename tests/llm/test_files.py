@@ -7,12 +7,14 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tickwave.llm import arc_to_warc as A
 from tickwave.llm import files
 from tickwave.llm import token_records as T
+from tickwave.llm import words as W
 from tickwave.llm.queries import QUERIES, tokenizer_path
 
 
@@ -110,5 +112,5 @@ def test_pieces_equal_whole_texts():
     parts = [" ", "  ", "a", "'s", "\n", "\t", "é", "1", "!", " ", "word", "<|endoftext|>", "漢", " ", "\x1f"]
     enc = T.Encoder(tokenizer_path())
     texts = ["".join(parts[j] for j in rng.integers(0, len(parts), 12)) for _ in range(3000)]
-    for t, got, ids in zip(texts, enc.encode(texts), plain_ids(texts)):
+    for t, got, ids in zip(texts, enc.encode(W.texts_of(pa.array(texts))), plain_ids(texts)):
         assert np.frombuffer(got, enc.kind).tolist() == ids, t

@@ -11,16 +11,15 @@ that a checksum stored inside checked data is not itself a valid checksum.
 ``<file>.idx`` holds one little-endian uint64 record offset each, for reads in
 any order.
 
-Texts are split at single spaces and line ends between non-space characters.
-Every pre-token of a byte-level BPE ends before such a place, so pieces are
-encoded independently and equal pieces once (a bounded cache per worker); the
-ids are those of the whole text.
+Texts are cut into units that tokens never cross (:mod:`pieces`).  Of a batch's
+distinct units only those not met before are encoded (a bounded cache per
+worker), and the ids of all texts are gathered from them with numpy; the ids are
+those of the whole texts.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from functools import lru_cache
@@ -31,17 +30,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwave.llm import files
+from tickwave.llm import pieces as P
 from tickwave.llm import words as W
 from tickwave.session import materialize
 
 END = 2
-CACHE_PIECES = 1_000_000
+CACHE_UNITS = 1_000_000
 _MASK = 0xA282EAD8
 _HEAD = "<QI"
 _ID = "<qBB"
-MARKS = ".,;:!?"
-#: Other white space next to a space (or a space at an end) need not part pre-tokens.
-_SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+MARKS = b".,;:!?"
 
 
 def masked(data: bytes) -> int:
@@ -97,65 +95,70 @@ class Encoder:
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes a token: one character each
         for token, i in vocabulary.items():
             self.size[i] = len(token)
-        self.pieces: dict[str, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.marks = [t.content.encode() for t in added]
+        self.units: dict[bytes, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_new(self, new: list[str]) -> None:
-        """Pieces that begin with a space are encoded end to end and cut by byte counts."""
-        have = self.pieces
-        joined = [w for w in new if len(w) > 1 and w[0] == " " and w[-1:].strip()]
+    def _encode_new(self, new: list[bytes]) -> None:
+        """Units that begin with a space are encoded end to end and cut by byte counts."""
+        have = self.units
+        joined = [u for u in new if len(u) > 1 and u[0] == 32 and u[1] != 32]
         for i in range(0, len(joined), 512):
             some = joined[i:i + 512]
-            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, np.int64)
+            ids = np.array(self.tokenizer.encode(b"".join(some).decode(), add_special_tokens=False).ids, np.int64)
             ends = np.cumsum(self.size[ids])
-            cut = np.cumsum([len(w.encode()) for w in some])
+            cut = np.cumsum([len(u) for u in some])
             at = np.searchsorted(ends, cut)
             if at[-1] >= len(ends) or (ends[at] != cut).any():
-                have.update(zip(some, self._plain(some)))
+                have.update(zip(some, self._plain([u.decode() for u in some])))
                 continue
-            data, at = ids.astype(self.kind).tobytes(), (at + 1) * self.width
+            data, at = ids.astype(self.kind).tobytes(), ((at + 1) * self.width).tolist()
             have.update(zip(some, (data[x:y] for x, y in zip([0, *at], at))))
-        rest = [w for w in new if w not in have]
-        have.update(zip(rest, self._plain(rest)))
+        rest = [u for u in new if u not in have]
+        have.update(zip(rest, self._plain([u.decode() for u in rest])))
 
-    def _fill(self, missing: list[str]) -> None:
+    def _fill(self, missing: list[bytes]) -> None:
         # ASCII letters and the marks after them are separate pre-tokens
         parted = {}
-        for w in missing:
-            word = w.rstrip(MARKS)
-            if len(word) < len(w) and word and word[-1].isascii() and word[-1].isalpha():
-                parted[w] = word, w[len(word):]
-        new = {x for w in missing for x in parted.get(w, (w,))}
-        self._encode_new([w for w in new if w not in self.pieces])
-        for w, (word, marks) in parted.items():
-            self.pieces[w] = self.pieces[word] + self.pieces[marks]
-
-    def _join(self, parts: list[str]) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, parts)) + self.end
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+        for u in missing:
+            word = u.rstrip(MARKS)
+            if len(word) < len(u) and word[-1:].isalpha():
+                parted[u] = word, u[len(word):]
+        new = {x for u in missing for x in parted.get(u, (u,))}
+        self._encode_new([u for u in new if u not in self.units])
+        for u, (word, marks) in parted.items():
+            self.units[u] = self.units[word] + self.units[marks]
+
+    def encode(self, t: W.Texts) -> list[bytes]:
+        """The ids of every text, the end id last."""
+        def whole(i):
+            return t.data[t.offset[i]:t.offset[i + 1]].tobytes().decode()
+
         if not self.by_piece:
-            return [x + self.end for x in self._plain([t or "" for t in texts])]
-        split = [pieces_of(t) if t else [] for t in texts]
-        wanted = set().union(*split)
-        if len(self.pieces) + len(wanted) > CACHE_PIECES:
-            self.pieces.clear()
-        self._fill(list(wanted.difference(self.pieces)))
-        return [self._join(parts) for parts in split]
-
-
-def pieces_of(text: str) -> list[str]:
-    if text.split() != text.replace("\n", " ").split(" "):  # other or neighbouring white space
-        parts = _SAFE_SPACE.split(text)
-        return [parts[0], *(" " + p for p in parts[1:])]
-    parts = []
-    for line in text.split("\n"):
-        first, *others = line.split(" ")
-        parts += first, *[" " + w for w in others], "\n"
-    parts.pop()
-    return parts
+            return [x + self.end for x in self._plain([whole(i) for i in range(len(t))])]
+        r = P.units(t)
+        some, place = P.distinct(t, r)
+        if len(self.units) + len(some) > CACHE_UNITS:
+            self.units.clear()
+        if missing := [u for u in some if u not in self.units]:
+            self._fill(missing)
+        parts = [*map(self.units.__getitem__, some), self.end]
+        flat = np.frombuffer(b"".join(parts), self.kind)
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // self.width
+        first = np.searchsorted(r.doc, np.arange(1, len(t) + 1))
+        place = np.insert(place, first, len(some))  # the end id after each text's last unit
+        n = size[place]
+        stop = np.cumsum(n)
+        shift = (np.cumsum(size) - size)[place] - (stop - n)
+        data = flat[np.arange(stop[-1]) + np.repeat(shift, n)].tobytes()
+        at = [0, *(stop[first + np.arange(len(t))] * self.width).tolist()]
+        out = [data[x:y] for x, y in zip(at, at[1:])]
+        for i in P.holding(t, self.marks):
+            out[i] = self._plain([whole(i)])[0] + self.end
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -188,7 +191,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, file_bytes:
                 if out is None:
                     enc, out = encoder(tokenizer), files.Roller(folder, "tok", file_bytes)
                 part = b.slice(lo, hi - lo)
-                for doc, ids in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist())):
+                for doc, ids in zip(part.column(0).to_pylist(), enc.encode(W.texts_of(part.column(1)))):
                     if out.full():
                         finish()
                         out.begin()
