@@ -297,7 +297,7 @@ WITH d AS (
          (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
          + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT
          + 8 * regexp_matches(text, '[#$%&*|]')::INT
-         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS mask,
+         + 16 * coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false)::INT AS mask,
          coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic
   FROM d LEFT JOIN (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
                     FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id
