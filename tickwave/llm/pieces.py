@@ -6,7 +6,9 @@ marks, white space) never reach across the places where this module cuts:
 - a unit is a maximal run of non-space characters with the one plain space before it;
 - of a white-space run before a word, everything but the last character is a
   unit, and so is the last character where it isn't a plain space;
-- a white-space run at the end of a text is one unit.
+- a white-space run at the end of a text is one unit;
+- a unit ends before an ASCII mark (other than an apostrophe) that follows an
+  ASCII letter or digit.
 
 So the tokens of a text are those of its units in order, and equal units are
 looked at once a batch.  White space is what Unicode calls so.  Texts that hold
@@ -23,6 +25,12 @@ from tickwave.llm import words as W
 _TWO = [0xC285, 0xC2A0]
 _THREE = [0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080]
 
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[33:127] = ~_ALNUM[33:127]
+_MARK[ord("'")] = False
+
 _LEAD = np.zeros(256, bool)
 _LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
@@ -59,6 +67,9 @@ def units(t: W.Texts) -> W.Runs:
     """All units of the texts, in order."""
     space = spaces(t.data)
     start, end = _runs(~space, t.offset)
+    cut = np.flatnonzero(_MARK[t.data[1:]] & _ALNUM[t.data[:-1]]) + 1
+    cut = cut[~np.isin(cut, t.offset)]  # what a text begins with is no place to cut
+    start, end = np.sort(np.concatenate((start, cut))), np.sort(np.concatenate((end, cut)))
     doc = np.searchsorted(t.offset, start, "right") - 1
     joined = (start > t.offset[doc]) & (t.data[np.maximum(start - 1, 0)] == 32) if len(start) else np.zeros(0, bool)
     start = start - joined
@@ -102,3 +113,27 @@ def holding(t: W.Texts, marks: list[bytes]) -> list[int]:
                 found.add(doc)
             at = data.find(mark, at + 1)
     return sorted(found)
+
+
+class Recent:
+    """Results of the units met lately, in two generations: when the younger one
+    is full it becomes the older, so units that keep coming back stay."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def missing(self, wanted: list[bytes]) -> list[bytes]:
+        """Those of the wanted units that have to be made; the others are now young."""
+        if len(self.young) + len(wanted) > self.size:
+            self.old, self.young = self.young, {}
+        young, old, out = self.young, self.old, []
+        for u in wanted:
+            if u not in young:
+                v = old.get(u)
+                if v is None:
+                    out.append(u)
+                else:
+                    young[u] = v
+        return out

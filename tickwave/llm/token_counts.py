@@ -32,7 +32,7 @@ from tickwave.llm import pieces as P
 from tickwave.llm import words as W
 
 LIMIT = 512
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 300_000
 #: Longer units are counted each time they occur and not kept.
 CACHE_BYTES = 64
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies.
@@ -74,7 +74,7 @@ class Merger:
         self.mark_bytes = [m.encode() for m in self.marks]
         self.at_mark = re.compile("|".join(map(re.escape, self.marks)) or r"(?!)")
         self.split = regex.compile(PRE_TOKENS).findall
-        self.units: dict[bytes, int] = {}
+        self.units = P.Recent(CACHE_UNITS)
 
     def merged(self, piece: bytes) -> int:
         """Tokens of one pre-token."""
@@ -115,19 +115,14 @@ class Merger:
         total = 0
         for p in found:
             piece = p.encode()
-            n = self.units.get(piece)  # a pre-token is a unit of itself
+            n = self.units.young.get(piece)  # a pre-token is a unit of itself
             if n is None:
                 n = self.merged(piece)
-                self._keep(piece, n)
+                if len(piece) <= CACHE_BYTES:
+                    self.units.young[piece] = n
             total += n
         return total
 
-    def _keep(self, unit: bytes, n: int) -> None:
-        if len(unit) <= CACHE_BYTES:
-            if len(self.units) >= CACHE_UNITS:
-                self.units.clear()
-            self.units[unit] = n
-
     def text(self, text: str) -> int:
         """Tokens of a whole text that may hold added tokens: one each, and
         what lies between them is pre-tokenized on its own."""
@@ -137,14 +132,10 @@ class Merger:
         """Tokens of every text."""
         r = P.units(t)
         some, place = P.distinct(t, r)
-        have = self.units
-        of = np.empty(len(some), np.int64)
-        for i, unit in enumerate(some):
-            n = have.get(unit)
-            if n is None:
-                n = self.unit(unit)
-                self._keep(unit, n)
-            of[i] = n
+        made = {u: self.unit(u) for u in self.units.missing(some)}
+        have = self.units.young
+        of = np.fromiter((have[u] if u in have else made[u] for u in some), np.int64, len(some))
+        have.update((u, n) for u, n in made.items() if len(u) <= CACHE_BYTES)
         total = np.concatenate(([0], np.cumsum(of[place])))
         first = np.searchsorted(r.doc, np.arange(len(t) + 1))
         out = total[first[1:]] - total[first[:-1]]

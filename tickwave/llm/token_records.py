@@ -35,11 +35,10 @@ from tickwave.llm import words as W
 from tickwave.session import materialize
 
 END = 2
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 300_000
 _MASK = 0xA282EAD8
 _HEAD = "<QI"
 _ID = "<qBB"
-MARKS = b".,;:!?"
 
 
 def masked(data: bytes) -> int:
@@ -97,40 +96,37 @@ class Encoder:
             self.size[i] = len(token)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.marks = [t.content.encode() for t in added]
-        self.units: dict[bytes, bytes] = {}
+        self.units = P.Recent(CACHE_UNITS)
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_new(self, new: list[bytes]) -> None:
-        """Units that begin with a space are encoded end to end and cut by byte counts."""
-        have = self.units
-        joined = [u for u in new if len(u) > 1 and u[0] == 32 and u[1] != 32]
-        for i in range(0, len(joined), 512):
-            some = joined[i:i + 512]
-            ids = np.array(self.tokenizer.encode(b"".join(some).decode(), add_special_tokens=False).ids, np.int64)
+    def _joined(self, units: list[bytes], between: bytes) -> None:
+        """Units are encoded end to end, many at once, and cut by byte counts: no
+        token reaches across a unit's end or the line end put between two."""
+        have, gap = self.units.young, len(between)
+        for i in range(0, len(units), 512):
+            some = units[i:i + 512]
+            text = between.join(some).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
             ends = np.cumsum(self.size[ids])
-            cut = np.cumsum([len(u) for u in some])
-            at = np.searchsorted(ends, cut)
-            if at[-1] >= len(ends) or (ends[at] != cut).any():
+            stop = np.cumsum([len(u) + gap for u in some]) - gap
+            at = np.searchsorted(ends, stop)
+            if at[-1] >= len(ends) or (ends[at] != stop).any():
                 have.update(zip(some, self._plain([u.decode() for u in some])))
                 continue
             data, at = ids.astype(self.kind).tobytes(), ((at + 1) * self.width).tolist()
-            have.update(zip(some, (data[x:y] for x, y in zip([0, *at], at))))
-        rest = [u for u in new if u not in have]
-        have.update(zip(rest, self._plain([u.decode() for u in rest])))
+            skip = gap * self.width
+            have.update(zip(some, (data[x:y] for x, y in zip([0, *(x + skip for x in at)], at))))
 
     def _fill(self, missing: list[bytes]) -> None:
-        # ASCII letters and the marks after them are separate pre-tokens
-        parted = {}
-        for u in missing:
-            word = u.rstrip(MARKS)
-            if len(word) < len(u) and word[-1:].isalpha():
-                parted[u] = word, u[len(word):]
-        new = {x for u in missing for x in parted.get(u, (u,))}
-        self._encode_new([u for u in new if u not in self.units])
-        for u, (word, marks) in parted.items():
-            self.units[u] = self.units[word] + self.units[marks]
+        led = [u for u in missing if u[0] == 32 and len(u) > 1 and u[1] > 32]
+        bare = [u for u in missing if u[0] > 32 and u[0] < 128]
+        self._joined(led, b"")
+        self._joined(bare, b"\n")
+        have = self.units.young
+        rest = [u for u in missing if u not in have]
+        have.update(zip(rest, self._plain([u.decode() for u in rest])))
 
     def encode(self, t: W.Texts) -> list[bytes]:
         """The ids of every text, the end id last."""
@@ -141,11 +137,9 @@ class Encoder:
             return [x + self.end for x in self._plain([whole(i) for i in range(len(t))])]
         r = P.units(t)
         some, place = P.distinct(t, r)
-        if len(self.units) + len(some) > CACHE_UNITS:
-            self.units.clear()
-        if missing := [u for u in some if u not in self.units]:
+        if missing := self.units.missing(some):
             self._fill(missing)
-        parts = [*map(self.units.__getitem__, some), self.end]
+        parts = [*map(self.units.young.__getitem__, some), self.end]
         flat = np.frombuffer(b"".join(parts), self.kind)
         size = np.fromiter(map(len, parts), np.int64, len(parts)) // self.width
         first = np.searchsorted(r.doc, np.arange(1, len(t) + 1))
