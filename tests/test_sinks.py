@@ -27,7 +27,7 @@ def test_refresh_one_venue_keeps_the_other(spark):
     # refresh T from a shorter input: its later months/rows must disappear
     write_candles_refresh(c.where(F.col("timestamp") < "2024-01-10"), root, VENUE_T)
     k_after = {p: m for p, m in _files(root).items() if f"exchange={VENUE_K}" in p}
-    assert k_before == k_after
+    assert k_before == k_after and k_before
     t = read_candles(spark, root).where(F.col("exchange") == VENUE_T)
     assert t.agg(F.max("timestamp")).first()[0] < __import__("datetime").datetime(2024, 1, 10)
     assert read_candles(spark, root).where(F.col("exchange") == VENUE_K).count() == \
@@ -86,7 +86,7 @@ def test_files_are_sorted_by_time(spark, tmp_path):
     cols = [F.lit("v").alias(c) if c == "exchange" else F.lit(False).alias(c) if c == "is_interpolated" else F.lit(1.0).alias(c)
             for c in CANDLE_COLUMNS if c != "timestamp"]
     write_candles_refresh(hours.select("timestamp", *cols).orderBy(F.rand(3)), str(tmp_path), "v")
-    files = glob.glob(f"{tmp_path}/exchange=v/*/*/*.parquet")
+    files = glob.glob(f"{tmp_path}/exchange=v/snapshot=*/*/*/*/*.parquet")
     assert len(files) > 3
     for f in files:
         t = pq.read_table(f, partitioning=None)["timestamp"].to_pylist()

@@ -11,6 +11,10 @@ from tickwave.functions.timefn import LOCAL_ZONE, local_wallclock
 from tickwave.operators.islands import islands
 
 
+# Partition columns of the candle table, derived from the time.
+PARTITIONS = ("year", "month")
+
+
 def venue_spread(candles: DataFrame, premium_venue: str, base_venue: str,
                  keys: Sequence[str] = (), real_premium_only: bool = True,
                  ts: str = "timestamp", venue: str = "exchange",
@@ -20,15 +24,19 @@ def venue_spread(candles: DataFrame, premium_venue: str, base_venue: str,
     absence of liquidity, not a premium); the base side keeps every bucket.
 
     The venue filters sit on the scan (partition pruning when ``exchange`` is a
-    partition column) and the equi-join is on ``(keys, ts)``.  A base close of 0
+    partition column) and the equi-join is on ``(keys, ts)``, with ``year`` and
+    ``month`` where the candles have them: a bound on either side's months is then
+    inferred for the other, and both scans are pruned by it.  A base close of 0
     gives NULL (``try_divide``), which never passes a threshold."""
     keys = list(keys)
     p = candles.where(F.col(venue) == premium_venue)
     if real_premium_only:
         p = p.where(~F.col("is_interpolated"))
-    p = p.select(*keys, ts, F.col(close).alias("close_premium"))
-    b = candles.where(F.col(venue) == base_venue).select(*keys, ts, F.col(close).alias("close_base"))
-    j = p.join(b, [*keys, ts])
+    # a time has one year and month, so these keys change no row
+    on = [*keys, *[c for c in PARTITIONS if c in candles.columns and c not in keys], ts]
+    p = p.select(*on, F.col(close).alias("close_premium"))
+    b = candles.where(F.col(venue) == base_venue).select(*on, F.col(close).alias("close_base"))
+    j = p.join(b, on)
     return j.withColumn("spread", F.try_divide(F.col("close_premium") - F.col("close_base"),
                                                F.col("close_base")))
 

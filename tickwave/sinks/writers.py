@@ -1,25 +1,29 @@
 """Writers.
 
-Candle table layout: ``root/exchange=<venue>/year=<YYYY>/month=<MM>/`` with a
-zero-padded month directory.  Two venues share the table; a full refresh of
-one venue statically overwrites only that venue's sub-root, so the other
-venue's files are untouched and a month whose input vanished does not linger
-(dynamic partition overwrite would leave it behind).
+Candle table layout: ``root/exchange=<venue>/snapshot=<id>/year=<YYYY>/month=<MM>/part=<n>/``
+with a zero-padded month directory.  Two venues share the table; a full refresh
+of one venue writes a snapshot and then commits it (:mod:`snapshots`), so the other
+venue's files are untouched, a month whose input vanished does not linger, and a
+refresh that fails leaves the venue's rows as they were.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickwave.functions.timefn import ms_to_ts
+from tickwave.functions.timefn import bucket_start, ms_to_ts, seconds_between, width_seconds
 from tickwave.operators.candles import CANDLE_COLUMNS
 from tickwave.operators.ordered import numbered
+from tickwave.session import materialize
+from tickwave.sinks.snapshots import Commit, commit, current, expire, new_snapshot, snapshot_path
 
 # Pages of one envelope at most (100,000 trades at 100 a page, some MB of text).
 ENVELOPE_PAGES = 1000
+# Rows of one candle file at most.
+FILE_ROWS = 1_000_000
 
 
 def _str(c) -> F.Column:
@@ -120,20 +124,65 @@ def candle_partitions(candles: DataFrame) -> DataFrame:
             .withColumn("month", F.date_format("timestamp", "MM")))
 
 
+def month_parts(df: DataFrame, ts: str = "timestamp", max_rows: int = FILE_ROWS, width: str | None = None,
+                span: str = "1 hour") -> DataFrame:
+    """Adds ``part``, which cuts each ``(year, month)`` of ``df`` into consecutive
+    time ranges of at most ``max_rows`` rows; a month with no more is part 0.
+
+    With ``width`` the rows are bars of that width, one an instant, so equal time
+    ranges do and nothing is counted.  Without it the rows are counted by
+    ``span`` (a calendar-sized table), and a part takes whole spans until it is
+    full; only a span that alone has more than ``max_rows`` makes a larger part."""
+    if width is not None:
+        into = seconds_between(F.date_trunc("month", F.col(ts)).cast("timestamp_ntz"), ts)
+        return df.withColumn("part", F.floor(into / F.lit(max_rows * width_seconds(width))).cast("int"))
+    per = df.groupBy("year", "month", bucket_start(ts, span).alias("_span")).agg(F.count(F.lit(1)).alias("_k"))
+    own = Window.partitionBy("year", "month")
+    before = F.sum("_k").over(own.orderBy("_span")) - F.col("_k")
+    total, most = F.sum("_k").over(own), F.max("_k").over(own)
+    # spans whose first row falls into the same stretch of this many rows share a part
+    stretch = F.greatest(F.lit(max_rows) - most + 1, F.lit(1))
+    cut = per.select("_span", F.when(total <= max_rows, 0).otherwise(F.floor(before / stretch)).cast("int").alias("part"))
+    d = df.withColumn("_at", bucket_start(ts, span))
+    from tickwave.operators.fx import bounded_broadcast
+    return d.join(bounded_broadcast(materialize(cut, "month_parts")), F.col("_at") == F.col("_span")).drop("_at", "_span")
+
+
 def write_candles_refresh(candles: DataFrame, root: str, venue: str,
-                          observation: Observation | None = None) -> None:
-    """Deterministic full refresh of one venue: statically overwrite
-    ``root/exchange=<venue>`` with one file per ``(year, month)``, rows sorted
-    by time inside each file."""
+                          observation: Observation | None = None, width: str | None = None,
+                          max_rows: int = FILE_ROWS, figures=None) -> Commit:
+    """Full refresh of one venue as a new snapshot, committed when it is written.
+
+    Each month is cut into sorted files that don't overlap, of ``max_rows`` rows
+    at most (:func:`month_parts`); every part is a task's work of its own.  ``figures``
+    is called after the write and gives what the commit records."""
+    spark = candles.sparkSession
+    begun = current(spark, root, venue)
     df = candle_partitions(candles.where(F.col("exchange") == venue)).select(
         *[c for c in CANDLE_COLUMNS if c != "exchange"], "year", "month")
+    df = month_parts(df, max_rows=max_rows, width=width)
     if observation is not None:
         df = df.observe(observation,
                         F.count(F.lit(1)).alias("rows"),
                         F.sum(F.col("is_interpolated").cast("bigint")).alias("interpolated"),
-                        F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
-    (df.repartition("year", "month").sortWithinPartitions("year", "month", "timestamp")
-     .write.mode("overwrite").partitionBy("year", "month").parquet(f"{root}/exchange={venue}"))
+                        F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
+                        F.count(F.when(broken_candle(), 1)).alias("broken"))
+    snapshot = new_snapshot()
+    (df.repartition("year", "month", "part").sortWithinPartitions("year", "month", "part", "timestamp")
+     .write.partitionBy("year", "month", "part").parquet(snapshot_path(root, venue, snapshot)))
+    done = commit(spark, root, venue, snapshot, figures() if figures else None, begun.number if begun else 0)
+    expire(spark, root, venue)
+    return done
+
+
+def broken_candle():
+    """Whether a candle contradicts itself: high or low not around open and
+    close, a negative volume, shares of the volume that don't add up to it, or
+    trades in an interpolated bar."""
+    c = F.col
+    return ((c("high_clp") < F.greatest("open_clp", "close_clp")) | (c("low_clp") > F.least("open_clp", "close_clp"))
+            | (c("volume_btc") < 0) | (F.abs(c("volume_btc") - c("buy_volume_btc") - c("sell_volume_btc")) > 1e-6 * F.greatest(F.abs("volume_btc"), F.lit(1.0)))
+            | (c("is_interpolated") & (c("trade_count") > 0)))
 
 
 def write_candles_dynamic(candles: DataFrame, root: str) -> None:
@@ -146,7 +195,10 @@ def write_candles_dynamic(candles: DataFrame, root: str) -> None:
 
 
 def read_candles(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root)
+    """Every venue's current snapshot (a venue without one is read as plain
+    ``year=/month=`` folders)."""
+    from tickwave.sources.silver_tables import load_candles
+    return load_candles(spark, root)
 
 
 def write_rates(filled: DataFrame, path: str) -> None:
