@@ -42,3 +42,18 @@ def test_fact_conversion_is_broadcast_and_not_shuffled(spark):
 def test_fill_is_calendar_sized(spark):
     f = fill_daily(filled_rates(spark, SF01).select("date", "rate").where(~F.col("is_ffilled")))
     assert f.count() == filled_rates(spark, SF01).count()
+
+
+def test_raw_trades_are_hashed_not_sorted(spark):
+    import random
+    from tickwave.operators.bars import ohlcv_bars, packed_order
+    from tickwave.plans.standins import events_trades
+    plan = ohlcv_bars(events_trades(spark, SF01))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    rnd = random.Random(1)
+    rows = [(f"2024-01-0{rnd.randint(1, 3)} 00:00:0{rnd.randint(0, 2)}.{rnd.choice(['000001', '000002', '9'])}" if rnd.random() < 0.9 else None,
+             rnd.choice([None, 0, 1, -1, 2**63 - 1, -2**63, 7])) for _ in range(300)]
+    for kind in ("timestamp_ntz", "timestamp"):
+        df = spark.createDataFrame(rows, "t string, n long").select(F.col("t").cast(kind).alias("t"), "n")
+        by = [r["s"] for r in df.select(F.struct("t", "n").alias("s"), packed_order(df, "t", "n").alias("k")).orderBy("k").collect()]
+        assert by == [r["s"] for r in df.select(F.struct("t", "n").alias("s")).orderBy("s").collect()]

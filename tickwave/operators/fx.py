@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwave.functions.timefn import LOCAL_ZONE, bucket_start, floor_to, interval_of, local_date
+from tickwave.session import materialize
 
 # Forward-fill bound of the daily rate (days) and the most rows
-# a dimension may have to be broadcast.
+# and bytes a dimension may have to be broadcast.
 DEFAULT_MAX_BACK_DAYS = 7
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 << 20
 # UTC bucket of the zone calendar.  A bucket that straddles a local midnight
 # has a row for each of its days.
 ZONE_STEP = "15 minutes"
@@ -38,19 +40,24 @@ def latest_per_date(src: DataFrame, date: str = "fecha", value: str = "valor",
 
 
 def fill_daily(rates: DataFrame, max_back_days: int | None = DEFAULT_MAX_BACK_DAYS,
-               keys: Sequence[str] = (), date: str = "date", rate: str = "rate") -> DataFrame:
+               keys: Sequence[str] = (), date: str = "date", rate: str = "rate",
+               order: str | None = None) -> DataFrame:
     """Every calendar day from the first to the last source date, carrying the
     last published rate forward.
 
     Output ``(keys, date, rate, is_ffilled, age_days, source_date)``.  A filled
     day more than ``max_back_days`` after its source date fails the query
     (``raise_error``), so source dates ``max_back_days + 1`` apart pass and one
-    more day fails.  Nothing is extrapolated past the last source date.
+    more day fails.  Nothing is extrapolated past the last source date.  Of rows
+    with the same keys and date the one latest in ``order`` counts (without it the
+    greatest rate, as in :func:`latest_per_date`); rows without a date don't.
     """
     keys = list(keys)
+    one = F.max_by(rate, order) if order else F.max(rate)
     w = Window.partitionBy(*keys).orderBy(date)
     nxt = F.lead(date).over(w)
-    r = rates.select(*keys, date, rate).withColumn("_next", nxt)
+    r = (rates.where(F.col(date).isNotNull()).groupBy(*keys, date).agg(one.alias(rate))
+         .withColumn("_next", nxt))
     last_day = F.coalesce(F.date_sub(F.col("_next"), 1), F.col(date))
     if max_back_days is not None:
         too_long = F.datediff(F.col("_next"), F.col(date)) > max_back_days + 1
@@ -65,11 +72,14 @@ def fill_daily(rates: DataFrame, max_back_days: int | None = DEFAULT_MAX_BACK_DA
                     F.datediff("date", "source_date").alias("age_days"), "source_date")
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only after counting it; above ``max_rows`` it is left
-    to a shuffle join (AQE may still pick broadcast from runtime sizes)."""
-    n = dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
+def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``dim`` only after counting its rows and the bytes of their
+    values as text; above either bound it is left to a shuffle join (AQE may
+    still pick broadcast from runtime sizes)."""
+    size = F.octet_length(F.to_json(F.struct(F.array(*[F.col(c).cast("string") for c in dim.columns]).alias("v"))))
+    r = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).first()
+    return F.broadcast(dim) if r["n"] <= max_rows and (r["bytes"] or 0) <= max_bytes else dim
 
 
 def with_local_date(facts: DataFrame, ts: str, zone: str = LOCAL_ZONE,
@@ -98,42 +108,74 @@ def zone_calendar(daily: DataFrame, zone: str = LOCAL_ZONE, rate: str = "rate",
 
 
 def _attach_calendar(facts: DataFrame, daily: DataFrame, ts: str, zone: str, rate: str,
-                     carry: Sequence[str], how: str) -> DataFrame:
-    """Facts + ``(_ld, _rate, carry)`` by one broadcast hash probe on the UTC
-    bucket of ``ts``: the time-zone rules are evaluated per calendar bucket,
-    not per fact row."""
-    cal = bounded_broadcast(zone_calendar(daily, zone, rate, carry))
-    cal = cal.withColumnRenamed("_q", "_cq")
-    f = facts.withColumn("_q", bucket_start(ts, ZONE_STEP))
-    inside = (F.col("_q") == F.col("_cq")) & (F.col(ts) >= F.col("_s")) & (F.col(ts) < F.col("_e"))
-    return f.join(cal, inside, how).drop("_q", "_cq", "_s", "_e")
+                     carry: Sequence[str], how: str, keys: Sequence[str] = ()) -> tuple[DataFrame, str, str]:
+    """Facts + the local date, rate and ``carry`` by one broadcast hash probe on the
+    UTC bucket of ``ts``: the time-zone rules are evaluated per calendar bucket,
+    not per fact row.  Returns the names of the date and rate columns too; no
+    helper shares a name with a column of the facts.
+
+    The daily series is stored once, so counting it doesn't run its plan again.
+    A series with two rows a date (and ``keys``) would repeat facts and is refused."""
+    keys, carry = list(keys), list(carry)
+    if clash := set(carry) & set(facts.columns):
+        raise ValueError(f"facts already have {sorted(clash)}; rename them")
+    d = materialize(daily.select(*keys, "date", F.col(rate).alias("_rate"), *carry), "daily_rates")
+    twice = d.groupBy(*keys, "date").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"more than one rate for {twice[0].asDict()}; resolve repeated dates (latest_per_date) or name the series' key")
+    cal = zone_calendar(d, zone, "_rate", [*keys, *carry])
+    taken = {*facts.columns, *carry}
+    name = {c: _free(c, taken) for c in ["_ld", "_rate", "_s", "_e", "_q", *[f"_key_{k}" for k in keys]]}
+    bucket = _free("_bucket", taken)
+    cal = bounded_broadcast(cal.select(*[F.col(c).alias(name[c]) for c in ("_ld", "_rate", "_s", "_e", "_q")],
+                                       *[F.col(k).alias(name[f"_key_{k}"]) for k in keys], *carry))
+    f = facts.withColumn(bucket, bucket_start(ts, ZONE_STEP))
+    on = (F.col(bucket) == F.col(name["_q"])) & (F.col(ts) >= F.col(name["_s"])) & (F.col(ts) < F.col(name["_e"]))
+    for k in keys:
+        on &= F.col(k) == F.col(name[f"_key_{k}"])
+    j = f.join(cal, on, how).drop(bucket, name["_q"], name["_s"], name["_e"], *[name[f"_key_{k}"] for k in keys])
+    return j, name["_ld"], name["_rate"]
+
+
+def _free(name: str, taken: set[str]) -> str:
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name = "_" + name
+    return name
 
 
 def convert_by_local_date(facts: DataFrame, daily: DataFrame, ts: str,
                           price_cols: Sequence[str], zone: str = LOCAL_ZONE,
                           missing: str = "raise", rate: str = "rate",
-                          suffix: str = "", carry: Sequence[str] = ()) -> DataFrame:
+                          suffix: str = "", carry: Sequence[str] = (), keys: Sequence[str] = (),
+                          rate_as: str = "rate", date_as: str = "local_date") -> DataFrame:
     """Multiply ``price_cols`` by the rate of each row's calendar date in
     ``zone`` (not its UTC date).  One rate per row keeps low <= open,close <=
     high.  A row whose local date has no rate fails the query naming that
     date (``missing="raise"``), keeps NULL prices (``"null"``) or is left out
     (``"drop"``, an inner join).
 
+    ``keys`` are columns of both sides for several series at once (a currency,
+    say).  The rate and the date come back as ``rate_as`` and ``date_as``; facts
+    that have such columns already are refused.
+
     The rate table is re-keyed by UTC 15-minute bucket (:func:`zone_calendar`)
-    and broadcast behind a row-count check, so the fact side is neither
+    and broadcast behind a check of its size, so the fact side is neither
     shuffled nor converted row by row; only rows outside the calendar compute
     their local date directly (for the error / NULL case)."""
-    j = _attach_calendar(facts, daily, ts, zone, rate, carry, "inner" if missing == "drop" else "left")
-    j = j.withColumn("local_date", F.coalesce(F.col("_ld"), local_date(ts, zone))).drop("_ld")
-    r: Column = F.col("_rate")
+    if clash := {rate_as, date_as} & set(facts.columns):
+        raise ValueError(f"facts already have {sorted(clash)}; give rate_as and date_as other names")
+    j, ld, r_ = _attach_calendar(facts, daily, ts, zone, rate, carry, "inner" if missing == "drop" else "left", keys)
+    j = j.withColumn(date_as, F.coalesce(F.col(ld), local_date(ts, zone))).drop(ld)
+    r: Column = F.col(r_)
     if missing == "raise":
         r = F.when(r.isNull(), F.raise_error(F.concat(
-            F.lit("rate coverage gap: no rate for local date "), F.col("local_date").cast("string")))
+            F.lit("rate coverage gap: no rate for local date "), F.col(date_as).cast("string")))
             .cast("double")).otherwise(r)
-    j = j.withColumn("_rate", r)
+    j = j.withColumn(r_, r)
     for c in price_cols:
-        j = j.withColumn(c + suffix, F.col(c) * F.col("_rate"))
-    return j.withColumnRenamed("_rate", "rate")
+        j = j.withColumn(c + suffix, F.col(c) * F.col(r_))
+    return j.withColumnRenamed(r_, rate_as)
 
 
 def attach_local_date(facts: DataFrame, ts: str, days: DataFrame, zone: str = LOCAL_ZONE,
@@ -142,9 +184,9 @@ def attach_local_date(facts: DataFrame, ts: str, days: DataFrame, zone: str = LO
     the UTC-bucket calendar of ``days`` (a ``date`` column: the local days that
     matter, e.g. a rate table's range) by one broadcast hash probe; rows
     outside those days fall back to per-row conversion."""
-    d = days.select("date", F.lit(1.0).alias("rate"))
-    j = _attach_calendar(facts, d, ts, zone, "rate", (), "left")
-    return j.withColumn(out, F.coalesce(F.col("_ld"), local_date(ts, zone))).drop("_ld", "_rate")
+    d = days.select("date", F.lit(1.0).alias("rate")).distinct()
+    j, ld, r_ = _attach_calendar(facts, d, ts, zone, "rate", (), "left")
+    return j.withColumn(out, F.coalesce(F.col(ld), local_date(ts, zone))).drop(ld, r_)
 
 
 def missing_rate_dates(facts: DataFrame, daily: DataFrame, ts: str,
@@ -152,9 +194,9 @@ def missing_rate_dates(facts: DataFrame, daily: DataFrame, ts: str,
     """Local dates of facts with no rate, with how many facts each, earliest
     first (the first ``limit`` are what an error message shows).  Only the
     unmatched rows evaluate time-zone rules."""
-    j = _attach_calendar(facts.select(ts), daily.select("date", F.lit(1.0).alias("rate")), ts, zone,
-                         "rate", (), "left")
-    m = (j.where(F.col("_ld").isNull()).select(local_date(ts, zone).alias("local_date"))
+    j, ld, _ = _attach_calendar(facts.select(ts), daily.select("date", F.lit(1.0).alias("rate")).distinct(), ts, zone,
+                                "rate", (), "left")
+    m = (j.where(F.col(ld).isNull()).select(local_date(ts, zone).alias("local_date"))
          .groupBy("local_date").agg(F.count(F.lit(1)).alias("rows")))
     m = m.orderBy("local_date")
     return m.limit(limit) if limit is not None else m
@@ -171,7 +213,7 @@ def assert_rate_coverage(facts: DataFrame, daily: DataFrame, ts: str,
 
 def asof_backward(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                   values: Sequence[str], keys: Sequence[str] = (),
-                  tolerance_days: int | None = None) -> DataFrame:
+                  tolerance_days: int | None = None, order: str | None = None) -> DataFrame:
     """Backward as-of join on a DATE key: each left row gets the right row with
     the greatest ``right_on <= left_on`` (same keys), or NULLs when there is
     none or it is more than ``tolerance_days`` older.
@@ -183,10 +225,16 @@ def asof_backward(left: DataFrame, right: DataFrame, left_on: str, right_on: str
     ``(keys, day)`` against that table, broadcast behind a row-count check.
     The fact side is never windowed, sorted or shuffled, so a hot key or hot
     day costs nothing extra.  Without a tolerance the last right row serves
-    every later left day (bounded by the left side's last date)."""
+    every later left day (bounded by the left side's last date).
+
+    Of right rows with equal keys and date the one greatest in ``order``, then in
+    its values, serves.  For times of day see :func:`tickwave.operators.asof.asof_join`."""
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy(right_on)
-    r = right.select(*keys, right_on, *values).withColumn("_next", F.lead(right_on).over(w))
+    tie = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(([order] if order else []) + list(values))])
+    one = right.where(F.col(right_on).isNotNull()).groupBy(*keys, right_on).agg(F.max_by(F.struct(*values), tie).alias("_one"))
+    r = materialize(one.select(*keys, right_on, *[F.col("_one")[v].alias(v) for v in values]), "asof_days") \
+        .withColumn("_next", F.lead(right_on).over(w))
     last = F.date_sub(F.col("_next"), 1)
     if tolerance_days is not None:
         cap = F.date_add(F.col(right_on), tolerance_days)

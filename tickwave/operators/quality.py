@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwave.operators.ordered import null_safe_join
 from tickwave.session import materialize
 from tickwave.functions.timefn import ms_to_ts, seconds_between
 
@@ -99,7 +100,7 @@ def interval_scan(iv: DataFrame, keys: Sequence[str] = (), start: str = "start",
     wc = Window.partitionBy(*keys).orderBy("_chunk")
     carry = per.select(*keys, "_chunk", F.lag("_last").over(wc).alias("_carry"),
                        F.max("_m").over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_m"))
-    d = d.join(carry, [*keys, "_chunk"], "left")
+    d = null_safe_join(d, carry, [*keys, "_chunk"], "left")
     first = F.col("_first")
     return d.select(
         *[F.col(c) for c in iv.columns],

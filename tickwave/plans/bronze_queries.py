@@ -40,21 +40,33 @@ def _periods(spark, sf_dir, venues, extra_days=0):
     return reduce(DataFrame.unionByName, [day_periods(spark, sf_dir, v, extra_days) for v in venues])
 
 
+def _with_health(periods):
+    """What a fetcher would note of each period: two nominal rates, throttled
+    requests on some days, and a time that now and then is missing."""
+    day = F.floor(F.col("start_ms") / 86_400_000)
+    return (periods.withColumn("nominal_rps", F.when(day % 2 == 0, 0.5).otherwise(1.0))
+            .withColumn("throttle_429_events", (day % 3).cast("bigint"))
+            .withColumn("wall_clock_seconds", F.when(day % 5 != 0, (day % 7 + 4).cast("double"))))
+
+
 def _trade_bronze(spark, sf_dir, extra_days=0, venues=(VENUE_T,)):
     t = events_trades(spark, sf_dir).where(F.col("venue").isin(*venues))
     t = t.select(F.col("venue").alias("symbol"), epoch_ms("ts").alias("ts_ms"), "trade_id", "amount",
                  "price", "side")
     path = scratch_path(spark, "bronze-trades")
-    env = trade_envelopes(t, _periods(spark, sf_dir, venues, extra_days), INGESTED, nominal_rps=0.5)
+    env = trade_envelopes(t, _with_health(_periods(spark, sf_dir, venues, extra_days)), INGESTED)
     write_envelopes(env, path)
     return path
 
 
-def _kline_bronze(spark, sf_dir, venues=(VENUE_K,)):
+def _kline_bronze(spark, sf_dir, venues=(VENUE_K,), off_grid=False):
     b = ohlcv_bars(events_trades(spark, sf_dir).where(F.col("venue").isin(*venues)), "1 minute")
     k = b.select(F.col("venue").alias("symbol"), epoch_ms("bucket").alias("open_time_ms"),
                  (epoch_ms("bucket") + 59_999).alias("close_time_ms"),
                  "open", "high", "low", "close", "volume", "trade_count", "buy_volume")
+    if off_grid:  # every tenth minute once more, half a minute late
+        late = k.where(F.col("open_time_ms") % 600_000 == 0)
+        k = k.unionByName(late.withColumn("open_time_ms", F.col("open_time_ms") + 30_000))
     k = materialize(k, "klines-src")
     path = scratch_path(spark, "bronze-klines")
     periods = _periods(spark, sf_dir, venues)
@@ -67,12 +79,6 @@ def _kline_bronze(spark, sf_dir, venues=(VENUE_K,)):
     return path
 
 
-TRADES_BACK_SQL = f"""WITH {sql.TRADES}
-SELECT venue AS symbol, date_trunc('millisecond', ts) AS ts, trade_id, price, amount, side
-FROM trades WHERE venue = 'venue_t'"""
-
-
-@register("bronze_roundtrip_trades", TRADES_BACK_SQL)
 def q_bronze_roundtrip_trades(spark, sf_dir, venues=(VENUE_T,)):
     """Trades -> per-day envelopes (JSON, text tuples) -> read back and decode
     with strict casts: every trade returns once, at millisecond precision."""
@@ -81,23 +87,20 @@ def q_bronze_roundtrip_trades(spark, sf_dir, venues=(VENUE_T,)):
     return back.select("symbol", "ts", "trade_id", "price", "amount", "side")
 
 
-@register("bronze_roundtrip_trades_all", f"""WITH {sql.TRADES}
+@register("bronze_roundtrip_trades", f"""WITH {sql.TRADES}
 SELECT venue AS symbol, date_trunc('millisecond', ts) AS ts, trade_id, price, amount, side FROM trades""")
 def q_bronze_roundtrip_trades_all(spark, sf_dir):
     """The same over every venue."""
     return q_bronze_roundtrip_trades(spark, sf_dir, ALL_VENUES)
 
 
-@register("bronze_roundtrip_klines", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}
-SELECT venue AS symbol, bucket AS ts, open, high, low, close, volume, trade_count, buy_volume
-FROM bars WHERE venue = 'venue_k'""")
 def q_bronze_roundtrip_klines(spark, sf_dir, venues=(VENUE_K,)):
     """Klines -> envelopes (one day ingested twice) -> decode -> keep latest."""
     k, _ = silver.klines_usdt(spark, _kline_bronze(spark, sf_dir, venues))
     return k.select("symbol", "ts", "open", "high", "low", "close", "volume", "trade_count", "buy_volume")
 
 
-@register("bronze_roundtrip_klines_all", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}
+@register("bronze_roundtrip_klines", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}
 SELECT venue AS symbol, bucket AS ts, open, high, low, close, volume, trade_count, buy_volume FROM bars""")
 def q_bronze_roundtrip_klines_all(spark, sf_dir):
     """The same over every venue."""
@@ -158,17 +161,6 @@ DAYS_SQL = """days AS (SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE),
                                               INTERVAL 1 DAY)) AS DATE) AS day FROM events)"""
 
 
-@register("tolerant_scan", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {DAYS_SQL.format(extra=1)},
-t AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM trades WHERE venue = 'venue_t' GROUP BY 1),
-k AS (SELECT CAST(bucket AS DATE) AS day, count(*) AS n, epoch_ms(min(bucket)) AS s,
-             epoch_ms(max(bucket)) + 60000 AS e FROM bars WHERE venue = 'venue_k' GROUP BY 1),
-kd AS (SELECT k.* FROM k WHERE day <= (SELECT max(day) - 1 FROM days))
-SELECT 'range' AS class, epoch_ms(CAST(day AS TIMESTAMP)) AS start_ms,
-       epoch_ms(CAST(day AS TIMESTAMP)) + 86400000 AS end_ms, CAST(coalesce(t.n, 0) AS BIGINT) AS records
-FROM days LEFT JOIN t USING (day)
-UNION ALL SELECT 'derived', s, e, n FROM kd
-UNION ALL SELECT 'derived', s, e, n FROM kd WHERE day = (SELECT min(day) FROM days)
-UNION ALL SELECT 'failed', NULL, NULL, CAST(0 AS BIGINT)""")
 def q_tolerant_scan(spark, sf_dir, tape=(VENUE_T,), kline=(VENUE_K,)):
     """Scan a folder of trade envelopes (with an empty trailing period), kline
     envelopes (the first day ingested twice) and one truncated file without
@@ -184,7 +176,7 @@ def q_tolerant_scan(spark, sf_dir, tape=(VENUE_T,), kline=(VENUE_K,)):
     return envelope_ranges(docs).drop("file")
 
 
-@register("tolerant_scan_all", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {DAYS_SQL.format(extra=1)},
+@register("tolerant_scan", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {DAYS_SQL.format(extra=1)},
 t AS (SELECT venue, CAST(ts AS DATE) AS day, count(*) AS n FROM trades GROUP BY 1, 2),
 k AS (SELECT venue, CAST(bucket AS DATE) AS day, count(*) AS n, epoch_ms(min(bucket)) AS s,
              epoch_ms(max(bucket)) + 60000 AS e FROM bars GROUP BY 1, 2),
@@ -200,33 +192,26 @@ def q_tolerant_scan_all(spark, sf_dir):
     return q_tolerant_scan(spark, sf_dir, ALL_VENUES, ALL_VENUES)
 
 
-@register("ingest_health", f"""WITH {sql.TRADES}, {DAYS_SQL.format(extra=0)},
-t AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM trades WHERE venue = 'venue_t' GROUP BY 1)
-SELECT 0.5 AS nominal_rps, count(*) AS runs, CAST(0 AS BIGINT) AS throttle_429_events,
-       CAST(sum(ceil(coalesce(t.n, 0) / 100.0)) AS BIGINT) AS pages, CAST(sum(coalesce(t.n, 0)) AS BIGINT) AS records,
-       CAST(NULL AS DOUBLE) AS mean_effective_rps
-FROM days LEFT JOIN t USING (day)""")
 def q_ingest_health(spark, sf_dir, venues=(VENUE_T,)):
     """Roll-up of the ingestion metadata carried by the trade envelopes."""
     docs = read_json_docs(spark, _trade_bronze(spark, sf_dir, venues=venues), S.TRADE_ENVELOPE_DDL)
     return ingest_health(docs)
 
 
-@register("ingest_health_all", f"""WITH {sql.TRADES}, {DAYS_SQL.format(extra=0)},
+@register("ingest_health", f"""WITH {sql.TRADES}, {DAYS_SQL.format(extra=0)},
 t AS (SELECT venue, CAST(ts AS DATE) AS day, count(*) AS n FROM trades GROUP BY 1, 2),
-v AS (SELECT DISTINCT venue FROM trades)
-SELECT 0.5 AS nominal_rps, count(*) AS runs, CAST(0 AS BIGINT) AS throttle_429_events,
-       CAST(sum(ceil(coalesce(t.n, 0) / 100.0)) AS BIGINT) AS pages, CAST(sum(coalesce(t.n, 0)) AS BIGINT) AS records,
-       CAST(NULL AS DOUBLE) AS mean_effective_rps
-FROM days CROSS JOIN v LEFT JOIN t USING (venue, day)""")
+v AS (SELECT DISTINCT venue FROM trades),
+e AS (SELECT datediff('day', DATE '1970-01-01', day) AS n, ceil(coalesce(t.n, 0) / 100.0) AS pages, coalesce(t.n, 0) AS records
+      FROM days CROSS JOIN v LEFT JOIN t USING (venue, day))
+SELECT CASE WHEN n % 2 = 0 THEN 0.5 ELSE 1.0 END AS nominal_rps, count(*) AS runs, CAST(sum(n % 3) AS BIGINT) AS throttle_429_events,
+       CAST(sum(pages) AS BIGINT) AS pages, CAST(sum(records) AS BIGINT) AS records,
+       avg(CASE WHEN n % 5 <> 0 THEN pages / (n % 7 + 4) END) AS mean_effective_rps
+FROM e GROUP BY 1""")
 def q_ingest_health_all(spark, sf_dir):
     """The same over every venue."""
     return q_ingest_health(spark, sf_dir, ALL_VENUES)
 
 
-@register("streaming_bars", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}
-SELECT venue AS symbol, bucket, open, high, low, close, volume, buy_volume,
-       volume - buy_volume AS sell_volume, trade_count FROM bars WHERE venue = 'venue_t'""")
 def q_streaming_bars(spark, sf_dir, venues=(VENUE_T,)):
     """Incremental job over the landed envelopes (a few files per micro-batch)
     equals the batch bars once drained.  The watermark is the span of the tape
@@ -242,7 +227,7 @@ def q_streaming_bars(spark, sf_dir, venues=(VENUE_T,)):
                                            "buy_volume", "sell_volume", "trade_count")
 
 
-@register("streaming_bars_all", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}
+@register("streaming_bars", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}
 SELECT venue AS symbol, bucket, open, high, low, close, volume, buy_volume,
        volume - buy_volume AS sell_volume, trade_count FROM bars""")
 def q_streaming_bars_all(spark, sf_dir):
@@ -307,31 +292,6 @@ def q_fx_lookup_ms(spark, sf_dir):
 
 
 @register("bronze_coverage", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {DAYS_SQL.format(extra=1)},
-k AS (SELECT CAST(bucket AS DATE) AS day, epoch_ms(min(bucket)) AS s, epoch_ms(max(bucket)) + 60000 AS e
-      FROM bars WHERE venue = 'venue_k' GROUP BY 1),
-kd AS (SELECT * FROM k WHERE day <= (SELECT max(day) - 1 FROM days)),
-iv AS (SELECT 'tape' AS source, epoch_ms(CAST(day AS TIMESTAMP)) AS s,
-              epoch_ms(CAST(day AS TIMESTAMP)) + 86400000 AS e FROM days
-       UNION ALL SELECT 'kline', s, e FROM kd
-       UNION ALL SELECT 'kline', s, e FROM kd WHERE day = (SELECT min(day) FROM days)),
-nb AS (SELECT *, LAG(e) OVER (PARTITION BY source ORDER BY s, e) AS pe FROM iv),
-v AS (SELECT source, count(*) AS intervals,
-             CAST(sum(CASE WHEN s > pe THEN 1 ELSE 0 END) AS BIGINT) AS gaps,
-             CAST(sum(CASE WHEN s < pe THEN 1 ELSE 0 END) AS BIGINT) AS "overlaps",
-             make_timestamp(min(s) * 1000) AS first_start, make_timestamp(arg_max(e, (s, e)) * 1000) AS last_end,
-             round(sum(e - s) / 1000.0 / 86400, 4) AS covered_days FROM nb GROUP BY source),
-f AS (SELECT 'tape' AS source, CAST(1 AS BIGINT) AS failed UNION ALL SELECT 'kline', CAST(0 AS BIGINT))
-SELECT v.source, intervals, gaps, "overlaps", first_start, last_end, covered_days, failed,
-       gaps = 0 AND "overlaps" = 0 AND failed = 0 AS ok FROM v JOIN f USING (source)""")
-def q_bronze_coverage(spark, sf_dir):
-    """End-to-end Bronze check per source: classify every envelope file
-    (tolerant scan), compare neighbouring ranges, count failed files, verdict.
-    The tape source has a truncated file (not ok); the kline source has its
-    first day ingested twice (an overlap)."""
-    return _coverage(spark, sf_dir, [("tape", VENUE_T)], [("kline", VENUE_K)])
-
-
-@register("bronze_coverage_all", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {DAYS_SQL.format(extra=1)},
 k AS (SELECT venue, CAST(bucket AS DATE) AS day, epoch_ms(min(bucket)) AS s, epoch_ms(max(bucket)) + 60000 AS e
       FROM bars GROUP BY 1, 2),
 iv AS (SELECT 'tape_' || venue AS source, epoch_ms(CAST(day AS TIMESTAMP)) AS s,
@@ -347,9 +307,11 @@ v AS (SELECT source, count(*) AS intervals,
 f AS (SELECT DISTINCT source, CAST(CASE WHEN source LIKE 'tape%' THEN 1 ELSE 0 END AS BIGINT) AS failed FROM iv)
 SELECT v.source, intervals, gaps, "overlaps", first_start, last_end, covered_days, failed,
        gaps = 0 AND "overlaps" = 0 AND failed = 0 AS ok FROM v JOIN f USING (source)""")
-def q_bronze_coverage_all(spark, sf_dir):
-    """The same for every venue as tape and as klines; each (kind, venue) is a
-    source of its own and each tape has a truncated file."""
+def q_bronze_coverage(spark, sf_dir):
+    """End-to-end Bronze check per source: classify every envelope file (tolerant
+    scan), compare neighbouring ranges, count failed files, verdict.  Every venue is
+    a source as tape and one as klines; each tape has a truncated file (not ok),
+    each kline source its first day ingested twice (an overlap)."""
     return _coverage(spark, sf_dir, [(f"tape_{v}", v) for v in ALL_VENUES], [(f"kline_{v}", v) for v in ALL_VENUES])
 
 
@@ -374,3 +336,32 @@ def _coverage(spark, sf_dir, tapes, klines):
     v = interval_verdict(iv, keys=["source"], failed=failed)
     return v.select("source", "intervals", "gaps", "overlaps", "first_start", "last_end", "covered_days",
                     "failed", "ok")
+
+
+@register("silver_job_report", f"""WITH {sql.TRADES}, {sql.bars('1 minute')}, {sql.grid('1 minute')},
+kb AS (SELECT bucket FROM bars WHERE venue = 'venue_k'),
+k AS (SELECT bucket, false AS off FROM kb UNION ALL SELECT bucket, true FROM kb WHERE minute(bucket) % 10 = 0),
+first AS (SELECT CAST(min(ts) AS DATE) AS d FROM events),
+out AS (SELECT exchange AS venue, count(*) AS rows_out, CAST(count(*) FILTER (WHERE is_interpolated) AS BIGINT) AS inserted,
+               count(DISTINCT date_trunc('month', "timestamp")) AS months FROM candles GROUP BY 1),
+read AS (SELECT 'venue_t' AS venue, count(*) AS rows_in, CAST(0 AS BIGINT) AS duplicates, CAST(0 AS BIGINT) AS off_grid
+         FROM trades WHERE venue = 'venue_t'
+         UNION ALL
+         SELECT 'venue_k', count(*) + count(*) FILTER (WHERE CAST(bucket AS DATE) = d),
+                count(*) FILTER (WHERE CAST(bucket AS DATE) = d), count(*) FILTER (WHERE off) FROM k, first)
+SELECT venue, rows_in, duplicates, off_grid, rows_out, inserted, months, CAST(0 AS BIGINT) AS broken FROM read JOIN out USING (venue)""")
+def q_silver_job_report(spark, sf_dir):
+    """The reports of both Silver jobs as their commits record them: rows in,
+    duplicates, off-grid rows, rows out, inserted rows, months and broken candles."""
+    from tickwave.sinks import snapshots
+    root = scratch_path(spark, "silver-reported")
+    silver.run_trades_refresh(spark, _trade_bronze(spark, sf_dir), root, VENUE_T)
+    rates = fill_daily(event_rates(spark, sf_dir))
+    silver.run_klines_refresh(spark, _kline_bronze(spark, sf_dir, off_grid=True), rates, root, VENUE_K)
+    rows = []
+    for venue in snapshots.venues(spark, root):  # one commit a venue
+        c = snapshots.current(spark, root, venue)
+        f = c.figures
+        rows.append((venue, f["rows_in"], f["duplicates"], f["off_grid"], f["rows_out"], f["interpolated"], len(c.months), f["broken"]))
+    return spark.createDataFrame(rows, "venue string, rows_in bigint, duplicates bigint, off_grid bigint, rows_out bigint, "
+                                       "inserted bigint, months bigint, broken bigint")

@@ -12,6 +12,7 @@ from tickwave.operators.spread import episode_metrics, episode_stats, spread_epi
 from tickwave.plans import sql
 from tickwave.plans.registry import register
 from tickwave.plans.standins import VENUE_K, VENUE_T, events_candles, events_trades
+from tickwave.session import materialize
 
 EP_COLS = "start_local, end_local, minutes, hours, mean_spread_pct, max_spread_pct, area_pct_minutes"
 
@@ -111,9 +112,12 @@ SELECT exchange, "timestamp", prev_close, close_clp,
        round((close_clp / nullif(prev_close, 0) - 1) * 100, 4) AS change_pct
 FROM l WHERE abs(close_clp / nullif(prev_close, 0) - 1) > 0.10""")
 def q_jump_report(spark, sf_dir):
-    """One-bar moves above 10 %, reported, never filtered out of the table."""
-    c = events_candles(spark, sf_dir, "1 minute").select("exchange", "timestamp", "close_clp")
-    p = previous_value(c, ["exchange"], "timestamp", "close_clp", "prev_close")
+    """One-bar moves above 10 %, reported, never filtered out of the table.  A
+    filled minute repeats the close before it, so the real bars alone give every
+    move and its previous close; no grid is built."""
+    bars = materialize(ohlcv_bars(events_trades(spark, sf_dir), "1 minute").select(
+        F.col("venue").alias("exchange"), F.col("bucket").alias("timestamp"), F.col("close").alias("close_clp")), "jump_bars")
+    p = previous_value(bars, ["exchange"], "timestamp", "close_clp", "prev_close")
     ratio = F.try_divide(F.col("close_clp"), F.col("prev_close")) - 1
     return p.where(F.abs(ratio) > 0.10).select(
         "exchange", "timestamp", "prev_close", "close_clp", F.round(ratio * 100, 4).alias("change_pct"))

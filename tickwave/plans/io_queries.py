@@ -16,7 +16,7 @@ from tickwave.plans.registry import register
 from tickwave.plans.standins import VENUE_K, VENUE_T, events_trades, table, weekday_rates
 from tickwave.plans.gold_queries import EP_COLS, q_episodes_top20  # noqa: F401
 from tickwave.session import scratch_path
-from tickwave.sinks.writers import write_csv
+from tickwave.sinks.writers import write_csv, write_json
 from tickwave.sources import schemas as S
 from tickwave.sources.bronze import (
     rate_pages,
@@ -26,16 +26,19 @@ from tickwave.sources.bronze import (
     read_volume_sample,
     trade_pages,
 )
+from tickwave.sources.silver_tables import load_rates
 
 # Descriptive fields of the rate pages.
 RATE_CODE, RATE_NAME, RATE_UNIT = "dolar", "Dólar observado", "Pesos"
 PAGE_ENTRIES = 100
 
 
-def _rate_envelope(spark, sf_dir, current_year: int | None = None):
+def _rate_envelope(spark, sf_dir, current_year: int | None = None, last_year: int | None = None):
     """One rate document: metadata + ascending ``data`` (the series is one row
-    per business day, so the array is calendar-bounded)."""
+    per business day, so the array is calendar-bounded), up to ``last_year``."""
     r = weekday_rates(spark, sf_dir)
+    if last_year is not None:
+        r = r.where(F.year("fecha") <= last_year)
     doc = r.agg(
         F.array_sort(F.collect_list(F.struct(
             F.date_format("fecha", "yyyy-MM-dd").alias("fecha"), F.col("valor")))).alias("data"),
@@ -62,18 +65,31 @@ def q_fx_silver(spark, sf_dir):
     env_path = _rate_envelope(spark, sf_dir)
     out = scratch_path(spark, "silver-rates")
     silver.run_rates(silver.rates_from_envelope(spark, env_path), out)
-    return spark.read.parquet(out)
+    return load_rates(spark, out)
 
 
 @register("rate_file_check", """WITH r AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders
-      WHERE dayofweek(o_orderdate) BETWEEN 1 AND 5 GROUP BY 1)
-SELECT count(*) AS records, strftime(min(d), '%Y-%m-%d') AS date_first, strftime(max(d), '%Y-%m-%d') AS date_last,
-       true AS is_partial, true AS partial_ok, count(*) > 0 AS ok FROM r""")
+      WHERE dayofweek(o_orderdate) BETWEEN 1 AND 5 GROUP BY 1),
+now AS (SELECT year(max(o_orderdate)) AS y FROM orders),
+f AS (SELECT 'current' AS file, d, true AS flag FROM r UNION ALL
+      SELECT 'stale', d, true FROM r, now WHERE year(d) < y UNION ALL
+      SELECT 'closed', d, false FROM r, now WHERE year(d) < y)
+SELECT file, count(*) AS records, strftime(min(d), '%Y-%m-%d') AS date_first, strftime(max(d), '%Y-%m-%d') AS date_last,
+       any_value(flag) AS is_partial, any_value(flag) = (max(year(d)) = any_value(y)) AS partial_ok,
+       any_value(flag) = (max(year(d)) = any_value(y)) AS ok FROM f, now GROUP BY file""")
 def q_rate_file_check(spark, sf_dir):
-    """Rate file verdict: non-empty and the partial-year flag equals
-    ``year_end == current year`` (current year = the file's last year here)."""
-    docs = read_json_docs(spark, _rate_envelope(spark, sf_dir), S.RATE_ENVELOPE_DDL)
-    return rate_file_verdict(docs)
+    """Rate file verdicts: non-empty, and the partial-year flag holds exactly for
+    a file that ends in the current year.  That year comes from the orders, not
+    from the files: one file ends in it, one ends a year before but still says
+    that its year is partial (it fails), and one ends there and doesn't."""
+    now = table(spark, sf_dir, "orders").agg(F.max(F.year("o_orderdate"))).first()[0]
+    files = {"current": _rate_envelope(spark, sf_dir, now), "stale": _rate_envelope(spark, sf_dir, now - 1, now - 1),
+             "closed": _rate_envelope(spark, sf_dir, now, now - 1)}
+    out = None
+    for name, path in files.items():
+        v = rate_file_verdict(read_json_docs(spark, path, S.RATE_ENVELOPE_DDL), now).select(F.lit(name).alias("file"), "*")
+        out = v if out is None else out.unionByName(v)
+    return out
 
 
 def rate_file_verdict(docs, current_year=None):
@@ -109,10 +125,6 @@ def q_fx_pages_normalised(spark, sf_dir):
     return rate_pages(spark.read.schema(S.RATE_PAGE_DDL).json(path))
 
 
-@register("trade_pages_normalised", f"""WITH {sql.TRADES}
-SELECT venue AS symbol, date_trunc('millisecond', ts) AS ts, trade_id, price, amount, side FROM trades
-WHERE venue = 'venue_t' AND ts >= (SELECT date_trunc('day', min(ts)) FROM events)
-  AND ts < (SELECT date_trunc('day', max(ts)) FROM events)""")
 def q_trade_pages_normalised(spark, sf_dir, venues=(VENUE_T,)):
     """Trade pages of at most 100 entries of an hour, newest first, with the
     first day fetched twice -> half-open range filter, one row per trade id."""
@@ -137,7 +149,7 @@ def q_trade_pages_normalised(spark, sf_dir, venues=(VENUE_T,)):
     return got.select("symbol", "ts", "trade_id", "price", "amount", "side")
 
 
-@register("trade_pages_normalised_all", f"""WITH {sql.TRADES}
+@register("trade_pages_normalised", f"""WITH {sql.TRADES}
 SELECT venue AS symbol, date_trunc('millisecond', ts) AS ts, trade_id, price, amount, side FROM trades
 WHERE ts >= (SELECT date_trunc('day', min(ts)) FROM events) AND ts < (SELECT date_trunc('day', max(ts)) FROM events)""")
 def q_trade_pages_normalised_all(spark, sf_dir):
@@ -160,7 +172,7 @@ def q_period_list_roundtrip(spark, sf_dir):
                                                           x["start_ms"].alias("start_ms"),
                                                           x["end_ms"].alias("end_ms"))).alias("periodos"))
     path = scratch_path(spark, "period-list")
-    doc.coalesce(1).write.mode("overwrite").json(path)
+    write_json(doc, path)
     return read_period_list(spark, path).select("symbol", "start_ms", "end_ms")
 
 

@@ -21,8 +21,9 @@ MONTHS_SQL = """m AS (SELECT unnest(generate_series(date_trunc('month', min(o_or
                                   date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)) AS month FROM orders)"""
 
 EST_SQL = MONTHS_SQL + """,
-c AS (SELECT date_trunc('month', o_orderdate) AS month, count(*) AS n FROM orders
-      WHERE day(o_orderdate) = 15 GROUP BY 1),
+c AS (SELECT date_trunc('month', o_orderdate) AS month,
+             count(*) * (month(date_trunc('month', o_orderdate)) % 5) * (SELECT 1200000 // count(*) FROM orders) AS n
+      FROM orders WHERE day(o_orderdate) = 15 GROUP BY 1),
 s AS (SELECT CAST(year(m.month) AS INTEGER) AS year, CAST(month(m.month) AS INTEGER) AS month,
              coalesce(c.n, 0) AS trades_day_15, CAST(ceil(coalesce(c.n, 0) / 100.0) AS BIGINT) AS pages_day_15
       FROM m LEFT JOIN c ON m.month = c.month),
@@ -38,7 +39,7 @@ est2 AS (SELECT *, CAST(pages_month_est * 3.0 AS DOUBLE) AS lambda_time_est_s,
 PERIODS_SQL = EST_SQL + """,
 g AS (SELECT *, CASE WHEN lambda_time_est_s <= 400 THEN 'monthly' WHEN lambda_time_est_s <= 1000 THEN 'biweekly'
                      ELSE 'weekly' END AS granularity FROM est2),
-sd AS (SELECT g.*, unnest(CASE granularity WHEN 'monthly' THEN [1] WHEN 'biweekly' THEN [1, 16]
+sd AS (SELECT g.*, unnest(CASE WHEN granularity = 'monthly' THEN [1] WHEN granularity = 'biweekly' THEN [1, 16]
                       WHEN day(last_day(make_date(year, month, 1))) >= 29 THEN [1, 8, 15, 22, 29]
                       ELSE [1, 8, 15, 22] END)
               AS d FROM g),
@@ -58,11 +59,15 @@ def order_months(spark, sf_dir):
 
 def order_volume_sample(spark, sf_dir):
     """Day-15 counts per month (0 for a month with none), every month from the
-    first to the last order month."""
+    first to the last order month.  An order stands for as many trades as make
+    1.2 million of the whole table, times 0 to 4 by month, so that months fall on
+    every side of the planner's limits."""
     o = table(spark, sf_dir, "orders")
     d = F.to_date("o_orderdate")
     counts = o.where(F.dayofmonth(d) == SAMPLE_DAY).groupBy(F.trunc(d, "month").alias("month")) \
         .agg(F.count(F.lit(1)).alias("n"))
+    weight = o.agg(F.floor(F.lit(1_200_000) / F.count(F.lit(1))).cast("bigint")).first()[0]
+    counts = counts.withColumn("n", F.col("n") * (F.month("month") % 5) * F.lit(weight))
     m = order_months(spark, sf_dir).join(counts, "month", "left")
     n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
     s = m.select(F.year("month").alias("year"), F.month("month").alias("month"), n.alias("trades_day_15"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickwave.operators.bars import ohlcv_bars
 from tickwave.operators.fx import fill_daily
+from tickwave.operators.ordered import first_rows
 from tickwave.operators.quality import (
     coverage_span,
     interpolation_by,
@@ -270,3 +271,18 @@ def q_interval_samples(spark, sf_dir):
     cols = ["kind", "prev_label", "label", "start", "end"]
     first = lambda k, m: n.where(F.col("kind") == k).orderBy("start", "end", "label").limit(m).select(*cols)
     return first("overlap", 5).unionByName(first("gap", 10))
+
+
+@register("interval_samples_by_source", """WITH iv AS (
+  SELECT l_returnflag AS source, CAST(l_orderkey AS VARCHAR) AS label, min(l_shipdate) AS "start", max(l_shipdate) AS "end"
+  FROM lineitem GROUP BY ALL),
+nb AS (SELECT *, LAG("end") OVER w AS prev_end, LAG(label) OVER w AS prev_label FROM iv
+       WINDOW w AS (PARTITION BY source ORDER BY "start", "end", label)),
+k AS (SELECT source, CASE WHEN "start" < prev_end THEN 'overlap' ELSE 'gap' END AS kind, prev_label, label, "start", "end"
+      FROM nb WHERE "start" <> prev_end)
+SELECT source, kind, prev_label, label, "start", "end" FROM k
+QUALIFY row_number() OVER (PARTITION BY source, kind ORDER BY "start", "end", label) <= 3""")
+def q_interval_samples_by_source(spark, sf_dir):
+    """The report's samples for every source: its first 3 gaps and overlaps."""
+    n = interval_neighbours(flag_intervals(spark, sf_dir), keys=["source"]).where(F.col("kind").isNotNull())
+    return first_rows(n.select("source", "kind", "prev_label", "label", "start", "end"), ["source", "kind"], ["start", "end", "label"], 3)

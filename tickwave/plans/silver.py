@@ -30,11 +30,14 @@ from tickwave.sources.bronze import assert_rates_present, decode_klines, decode_
 
 
 def trades_to_candles(spark: SparkSession, bronze_path: str, venue: str,
-                      width: str = "1 minute") -> DataFrame:
+                      width: str = "1 minute", counts: Observation | None = None) -> DataFrame:
     """Trade envelopes of one symbol -> continuous candles for ``venue``.  The
-    candle contract has no symbol, so several symbols are refused."""
+    candle contract has no symbol, so several symbols are refused.  ``counts``
+    observes the trades read, in the same pass."""
     env = read_json_docs(spark, bronze_path, S.TRADE_ENVELOPE_DDL)
     trades = decode_trades(env).drop("file")
+    if counts is not None:
+        trades = trades.observe(counts, F.count(F.lit(1)).alias("rows_in"))
     bars = _one_symbol(materialize(ohlcv_bars(trades, width, keys=["symbol"]), "trade-bars"), venue)
     return to_unified(continuous_bars(bars, width, keys=["symbol"], materialize=False), exchange=venue)
 
@@ -55,21 +58,26 @@ def klines_usdt(spark: SparkSession, bronze_path: str) -> tuple[DataFrame, DataF
     return k.where(_on_grid()), k.where(~_on_grid())
 
 
-def _klines_latest(spark: SparkSession, bronze_path: str) -> DataFrame:
+def _klines_latest(spark: SparkSession, bronze_path: str, read: Observation | None = None) -> DataFrame:
     env = read_json_docs(spark, bronze_path, S.KLINE_ENVELOPE_DDL)
-    return keep_latest(decode_klines(env), ["symbol", "open_time_ms"], ["ingestion_ts", "file"]).drop("file")
+    k = decode_klines(env)
+    if read is not None:
+        k = k.observe(read, F.count(F.lit(1)).alias("rows_in"))
+    return keep_latest(k, ["symbol", "open_time_ms"], ["ingestion_ts", "file"]).drop("file")
 
 
 def _on_grid():
     return F.col("open_time_ms") % 60000 == 0
 
 
-def klines_real_bars(spark: SparkSession, bronze_path: str, counts: Observation | None = None) -> DataFrame:
+def klines_real_bars(spark: SparkSession, bronze_path: str, counts: Observation | None = None,
+                     read: Observation | None = None) -> DataFrame:
     """De-duplicated on-grid klines as bars, written once to the shared
     checkpoint folder (they feed the grid's branches and the coverage probe).
     ``counts`` observes in the same pass the klines left after de-duplication
-    and those among them that lie off the minute grid and are not kept."""
-    k = _klines_latest(spark, bronze_path)
+    and those among them that lie off the minute grid and are not kept; ``read``
+    observes the klines before de-duplication."""
+    k = _klines_latest(spark, bronze_path, read)
     if counts is not None:
         k = k.observe(counts, F.count(F.lit(1)).alias("klines"),
                       F.count(F.when(~_on_grid(), 1)).alias("off_grid"))
@@ -118,15 +126,24 @@ def run_klines_refresh(spark: SparkSession, bronze_path: str, daily_rates: DataF
     lose its previous data): the check needs only the real bars' first and last
     instants, and raises naming up to 10 missing Santiago dates.  The in-line
     check inside the conversion stays as a safety net."""
-    counts = Observation(f"klines_{venue}")
-    bars = klines_real_bars(spark, bronze_path, counts)
+    counts, read = Observation(f"klines_{venue}"), Observation(f"klines_read_{venue}")
+    bars = klines_real_bars(spark, bronze_path, counts, read)
     missing = [r["local_date"] for r in missing_grid_dates(bars, daily_rates).collect()]  # <= 10 rows
     if missing:
         raise ValueError("rate coverage gap; missing local dates (up to 10 shown): "
                          + ", ".join(str(d) for d in missing))
-    done = run_refresh(klines_to_candles(spark, bronze_path, daily_rates, venue, bars), silver_root, venue)
-    seen = counts.get
-    return done | {"klines": seen["klines"], "off_grid": seen["off_grid"]}
+    seen, rows_in = counts.get, read.get["rows_in"]
+    return run_refresh(klines_to_candles(spark, bronze_path, daily_rates, venue, bars), silver_root, venue,
+                       before={"rows_in": rows_in, "duplicates": rows_in - seen["klines"], "klines": seen["klines"],
+                               "off_grid": seen["off_grid"]})
+
+
+def run_trades_refresh(spark: SparkSession, bronze_path: str, silver_root: str, venue: str,
+                       width: str = "1 minute") -> dict:
+    """Job A with the same report: trade envelopes -> candles -> committed refresh."""
+    counts = Observation(f"trades_{venue}")
+    candles = trades_to_candles(spark, bronze_path, venue, width, counts)
+    return run_refresh(candles, silver_root, venue, width, before={"rows_in": counts.get["rows_in"], "duplicates": 0, "off_grid": 0})
 
 
 def rates_from_envelope(spark: SparkSession, path: str, max_back_days: int = 7) -> DataFrame:
@@ -137,16 +154,25 @@ def rates_from_envelope(spark: SparkSession, path: str, max_back_days: int = 7)
     return fill_daily(src, max_back_days)
 
 
-def run_refresh(candles: DataFrame, silver_root: str, venue: str) -> dict:
-    """Write one venue's refresh and return the run summary (one pass)."""
+def run_refresh(candles: DataFrame, silver_root: str, venue: str, width: str = "1 minute",
+                before: dict | None = None) -> dict:
+    """Write one venue's refresh and return the run report (one pass).  ``width`` is
+    the bars' width, ``before`` what was counted on the way to the candles.  The
+    commit of the refresh records the same figures: rows in, duplicates and
+    off-grid rows left out, rows out, inserted rows, months and files written and
+    candles that contradict themselves."""
     t0 = time.perf_counter()
     obs = Observation(f"refresh_{venue}")
-    write_candles_refresh(candles, silver_root, venue, obs)
-    m = obs.get
-    rows = m.get("rows") or 0
-    return {"venue": venue, "rows_out": rows, "interpolated": m.get("interpolated") or 0,
-            "pct_interpolated": round(100.0 * (m.get("interpolated") or 0) / rows, 4) if rows else 0.0,
-            "range_start": str(m.get("first")), "range_end": str(m.get("last")),
+
+    def figures() -> dict:
+        m = obs.get
+        rows, filled = m.get("rows") or 0, m.get("interpolated") or 0
+        return {**(before or {}), "rows_out": rows, "interpolated": filled,
+                "pct_interpolated": round(100.0 * filled / rows, 4) if rows else 0.0,
+                "range_start": str(m.get("first")), "range_end": str(m.get("last")), "broken": m.get("broken") or 0}
+
+    done = write_candles_refresh(candles, silver_root, venue, obs, width, figures=figures)
+    return {"venue": venue, **done.figures, "months": len(done.months), "files": done.files,
             "elapsed_seconds": round(time.perf_counter() - t0, 2)}
 
 

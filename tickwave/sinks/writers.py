@@ -57,28 +57,34 @@ def trade_envelopes(trades: DataFrame, periods: DataFrame, ingestion_ts: str,
     side, trade_id]`` tuples as text.  Periods with no trade still get an
     envelope (``records_count 0``, empty ``data``).  An envelope holds at most
     ``pages`` full pages; a longer period is cut in time order into envelopes
-    numbered ``part`` of ``parts``, so no row or task grows with a period."""
+    numbered ``part`` of ``parts``, so no row or task grows with a period.
+    ``nominal_rps``, ``throttle_429_events`` and ``wall_clock_seconds`` are taken from
+    the periods where they have such columns."""
+    noted = [c for c in ("nominal_rps", "throttle_429_events", "wall_clock_seconds") if c in periods.columns]
+    spans = periods.select("symbol", "start_ms", "end_ms")
     size = page_size * pages
-    t = numbered(assign_periods(trades, periods), ["symbol", "start_ms", "end_ms"], ["ts_ms", "trade_id"])
+    t = numbered(assign_periods(trades, spans), ["symbol", "start_ms", "end_ms"], ["ts_ms", "trade_id"])
     t = t.withColumn("_part", F.floor(F.col("_n") / size))
     tup = F.struct("ts_ms", "trade_id", "amount", "price", "side")
     agg = t.groupBy("symbol", "start_ms", "end_ms", "_part").agg(
         F.array_sort(F.collect_list(tup)).alias("_rows"), F.ceil(F.first("_total") / size).alias("_parts"))
-    env = periods.select("symbol", "start_ms", "end_ms").join(agg, ["symbol", "start_ms", "end_ms"], "left")
+    env = periods.select("symbol", "start_ms", "end_ms", *noted).join(agg, ["symbol", "start_ms", "end_ms"], "left")
     rows = F.coalesce(F.col("_rows"), F.array().cast(agg.schema["_rows"].dataType))
     data = F.transform(rows, lambda x: F.array(_str(x["ts_ms"]), _str(x["amount"]), _str(x["price"]),
                                                 x["side"], _str(x["trade_id"])))
     n = F.size(rows).cast("bigint")
+    fetched = F.ceil(n / page_size).cast("bigint")
+    note = lambda c, other: F.col(c) if c in noted else F.lit(other)
     meta = F.struct(
         F.lit(source).alias("source"), F.lit(ingestion_ts).alias("ingestion_timestamp_utc"),
         F.lit("1.0").alias("schema_version"), F.col("symbol"),
         F.col("start_ms").alias("range_start_ms"), F.col("end_ms").alias("range_end_ms"),
         F.lit("half_open_[start,end)").alias("range_semantics"), n.alias("records_count"),
-        F.ceil(n / page_size).cast("bigint").alias("pages_fetched"),
-        F.lit(0).cast("bigint").alias("throttle_429_events"),
-        F.lit(None).cast("double").alias("wall_clock_seconds"),
-        F.lit(None).cast("double").alias("effective_rps"),
-        F.lit(nominal_rps).cast("double").alias("nominal_rps"),
+        fetched.alias("pages_fetched"),
+        note("throttle_429_events", 0).cast("bigint").alias("throttle_429_events"),
+        note("wall_clock_seconds", None).cast("double").alias("wall_clock_seconds"),
+        F.try_divide(fetched.cast("double"), note("wall_clock_seconds", None).cast("double")).alias("effective_rps"),
+        note("nominal_rps", nominal_rps).cast("double").alias("nominal_rps"),
         F.coalesce(F.col("_part"), F.lit(0)).cast("bigint").alias("part"),
         F.coalesce(F.col("_parts"), F.lit(1)).cast("bigint").alias("parts"))
     return env.select("start_ms", meta.alias("metadata"), data.alias("data"))
