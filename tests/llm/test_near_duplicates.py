@@ -98,8 +98,8 @@ def test_sketch_agreement_is_close_to_similarity():
 
 def test_prefix_join_equals_brute_force(spark, monkeypatch):
     """A group of near copies around the threshold, forced through every step."""
-    monkeypatch.setattr(N, "HUB_ROUNDS", 1)
-    monkeypatch.setattr(N, "PAIRS_A_ROW", 0)
+    monkeypatch.setattr(N, "LEAST_GAIN", 0.0)  # one hub round
+    monkeypatch.setattr(N, "LISTED_ROWS", 2)
     rng = random.Random(9)
     word = lambda: "w%d" % rng.randrange(9000)
     base, rows = [word() for _ in range(150)], []
@@ -112,3 +112,46 @@ def test_prefix_join_equals_brute_force(spark, monkeypatch):
     want = brute(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
     assert len({c for _, c in want.values()}) > 3
+
+
+def test_prefix_rows_grow_with_documents(spark):
+    """Five times the documents of a group of near copies: candidates of the last
+    join stay in proportion to the rows they come from."""
+    def made(n):
+        rng = random.Random(7)
+        word = lambda: "w%d" % rng.randrange(90_000)
+        base, rows, seen = [word() for _ in range(60)], [], {}
+        for i in range(n):
+            t = list(base)
+            for _ in range(rng.randrange(0, 4)):
+                t[rng.randrange(60)] = word()
+            rows.append((i, " ".join(t)))
+        keep = N.materialize
+
+        def watch(df, name="stage"):
+            out = keep(df, name)
+            seen[name] = seen.get(name, 0) + (out.count() if name in ("pairs", "prefixes") else 0)
+            return out
+
+        N.materialize = watch
+        try:
+            got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        finally:
+            N.materialize = keep
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+        return seen
+
+    few, many = made(80), made(400)
+    assert many.get("pairs", 0) < 8 * max(few.get("pairs", 0), 80)
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    words = lambda a, n=40: " ".join(f"{a}{i}" for i in range(n))
+    rows = [(1, words("a"), "x"), (1, words("b"), "y"), (1, words("a"), "x"), (2, words("b"), "z"), (2, words("c"), "z"), (3, None, "n"),
+            (3, None, "n"), (None, words("a"), "n"), (4, words("a", 41), "w"), (5, words("d"), "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row string").withColumn("key", F.lit(1)).withColumn("row", F.lit(2))
+    out = N.drop_near_duplicates(df)
+    assert out.columns == df.columns
+    got = sorted((r.doc_id or 0, (r.text or "-")[0], r._row, r.key, r.row) for r in out.collect())
+    assert got == [(0, "a", "n", 1, 2), (1, "a", "x", 1, 2), (1, "b", "y", 1, 2), (2, "c", "z", 1, 2), (3, "-", "n", 1, 2), (5, "d", "v", 1, 2)]
+    assert N.drop_near_duplicates(df.limit(0)).count() == 0

@@ -15,9 +15,9 @@ candidate is confirmed on the documents' full shingle sets.  With 32 bands of
 Scale: documents with equal sets are collapsed to one representative before
 any pairing, so a group of copies costs one row.  Within a band bucket each
 round verifies links to one hub only, then merges components; buckets that lie
-in one component drop out.  What is left are buckets with several components.
-If their cross pairs are few they are listed; otherwise their members are
-joined by prefix filtering: a set that reaches the threshold with another one
+in one component drop out.  After the first merge, buckets of a few rows list
+their cross pairs and are settled.  Large ones go on with hubs while that merges
+much, and the members left in them are joined by prefix filtering: a set that reaches the threshold with another one
 shares one of its rarest ``n - ceil(0.85 n) + 1`` elements, whatever the order
 of rarity, at places that leave room for enough shared elements.  So a large group of near copies costs linear work, members with
 many own words pair with nobody, and no link that could join two components is
@@ -32,6 +32,7 @@ documents in some remaining pair.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwave.llm import words as W
+from tickwave.operators.ordered import numbered
 from tickwave.session import materialize
 
 BINS, ROWS = 192, 6
@@ -46,15 +48,15 @@ WORDS, PERCENT = 5, 85
 #: Chance, at most, that a pair at the threshold is lost by the bands, and by
 #: the comparison of two bits of every coordinate that comes before verification.
 BAND_MISS, BIT_MISS = 1e-6, 1e-9
-#: Rounds of links to bucket hubs, at most, before the rest is joined by prefixes.
-HUB_ROUNDS = 4
+#: Buckets with at most so many rows list their cross pairs (fewer than half as many a row).
+LISTED_ROWS = 16
+#: Hub rounds end when one leaves more than this share of the cross pairs; the rest is joined by prefixes.
+LEAST_GAIN = 0.9
 #: Rarity of elements is counted in so many hashed cells (4 bytes each, sent to
 #: every task); any order gives right results, a finer one fewer candidates.
 RARITY_CELLS = 1 << 20
 #: Cells of a set's element parities, a multiple of 64; few cells only let more pairs through.
 PARITY_CELLS = 512
-#: Cross pairs are listed as soon as there are at most so many a bucket row.
-PAIRS_A_ROW = 2
 #: Ids of documents to fetch texts for are broadcast (8 bytes each) up to here.
 BROADCAST_IDS = 2_000_000
 
@@ -196,24 +198,30 @@ def _linked(reps: DataFrame, src: DataFrame, k: int, percent: int, bins: int) ->
                   for i in range(2 * bins // 64)), F.lit(0))
     fits = (F.col("c") != F.col("c2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (differ <= limit)
     found, tested = None, None
-    turn = 0
+    turn, left, listed = 0, None, False
     while True:
         # buckets that still hold several components, and their cross pairs
         by = (open_.groupBy("h", "c").agg(F.count("*").cast("double").alias("k"))
               .groupBy("h").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("own"), F.count("*").alias("parts"))
               .filter("parts > 1"))
         by = materialize(by, "mixed")
-        sums = by.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("own")) / 2)).first()
-        if not sums[0]:
+        large = F.col("m") > LISTED_ROWS
+        sums = by.agg(F.sum("m").alias("m"), F.sum(F.when(large, (F.col("m") * F.col("m") - F.col("own")) / 2)).alias("pairs")).first()
+        if not sums["m"]:
             break
-        rest = materialize(open_.join(by.select("h"), "h", "left_semi"), "open")
-        second = rest.select("h", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "bits", "c")))
-        few = sums[1] <= PAIRS_A_ROW * sums[0]
-        last = few or turn >= HUB_ROUNDS
-        if few:
-            pairs = rest.join(second, "h").filter((F.col("rep") < F.col("rep2")) & fits)
-        elif last:
-            one, other = _prefix_rows(rest.select("rep", "n", "bits", "c").dropDuplicates(["rep"]), src, k, percent)
+        rest = materialize(open_.join(by.select("h", large.alias("large")), "h"), "open")
+        pairs = []
+        if turn and not listed:  # after one merge, small buckets are settled once and for all
+            small = rest.filter("not large")
+            second = small.select("h", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "bits", "c")))
+            pairs.append(small.join(second, "h").filter((F.col("rep") < F.col("rep2")) & fits))
+            listed = True
+        # hubs merge what is left until they hardly do any more
+        cross = sums["pairs"] or 0
+        last = bool(turn) and (not cross or (left is not None and cross > LEAST_GAIN * left))
+        left = cross if turn else None
+        if last and cross:
+            one, other = _prefix_rows(rest.filter("large").select("rep", "n", "bits", "c").dropDuplicates(["rep"]), src, k, percent)
             # at a shared token, what can be shared before it, it, and what can be after it
             most = F.least("before", "before2") + 1 + F.least("after", "after2")
             enough = (100 + percent) * most >= percent * (F.col("n") + F.col("n2"))
@@ -222,11 +230,15 @@ def _linked(reps: DataFrame, src: DataFrame, k: int, percent: int, bins: int) ->
                          for i in range(PARITY_CELLS // 64)), F.lit(0))
             both = F.col("n") + F.col("n2")
             near = (100 + percent) * (both - apart) >= 2 * percent * both
-            pairs = one.join(other, "token").filter(fits & enough & near)
-        else:
-            hub = rest.groupBy("h").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("x"), "rep", "n", "bits", "c")).alias("u"))
+            pairs.append(one.join(other, "token").filter(fits & enough & near))
+        elif not last:
+            some = rest if not turn else rest.filter("large")
+            hub = some.groupBy("h").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("x"), "rep", "n", "bits", "c")).alias("u"))
             hub = hub.select("h", *(F.col(f"u.{x}").alias(f"{x}2") for x in ("rep", "n", "bits", "c")))
-            pairs = rest.join(hub, "h").filter(fits)
+            pairs.append(some.join(hub, "h").filter(fits))
+        if not pairs:
+            break
+        pairs = reduce(DataFrame.unionByName, [p.select("rep", "rep2") for p in pairs])
         pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -239,7 +251,7 @@ def _linked(reps: DataFrame, src: DataFrame, k: int, percent: int, bins: int) ->
         if last:
             break
         new = found.withColumnRenamed("node", "rep")
-        open_ = rest.drop("c").join(new, "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
+        open_ = (rest if not listed else rest.filter("large")).drop("c", "large").join(new, "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
         turn += 1
     if found is None:
         found = reps.select(F.col("rep").alias("node"), F.col("rep").alias("component")).limit(0)
@@ -260,6 +272,8 @@ def _prefix_rows(members: DataFrame, src: DataFrame, k: int, percent: int) -> tu
     side leaves out each token's largest component, so pairs inside a large
     component are never met."""
     texts = _texts_of(members.select(F.col("rep").alias("doc_id")), src)
+    # what is known of a member joins its text, one row each, before prefix rows are made
+    told = materialize(texts.join(members.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "text", "n", "bits", "c"), "members")
 
     def cells(batches):
         seen = np.zeros(RARITY_CELLS, np.int64)
@@ -291,14 +305,16 @@ def _prefix_rows(members: DataFrame, src: DataFrame, k: int, percent: int) -> tu
                 odd = np.bincount(doc * PARITY_CELLS + cell, minlength=(hi - lo) * PARITY_CELLS) & 1
                 odd = np.packbits(odd.astype(np.uint8).reshape(hi - lo, PARITY_CELLS), axis=1).view(np.int64)
                 odd = odd[own[keep]]
+                at = pa.array(own[keep])
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(lo, hi - lo).take(pa.array(own[keep])), pa.array(h[order][keep].view(np.int64)),
+                    b.column(0).slice(lo, hi - lo).take(at), pa.array(h[order][keep].view(np.int64)),
                     pa.array(before[keep]), pa.array((n[own] - place - 1)[keep]),
-                    pa.ListArray.from_arrays(np.arange(0, odd.size + 1, odd.shape[1], dtype=np.int32), pa.array(odd.ravel()))],
-                    names=["rep", "token", "before", "after", "parity"])
+                    pa.ListArray.from_arrays(np.arange(0, odd.size + 1, odd.shape[1], dtype=np.int32), pa.array(odd.ravel())),
+                    *(b.column(j).slice(lo, hi - lo).take(at) for j in (2, 3, 4))],
+                    names=["rep", "token", "before", "after", "parity", "n", "bits", "c"])
 
-    rows = texts.mapInArrow(W.trimmed(prefixes), "rep long, token long, before long, after long, parity array<long>").join(members, "rep")
-    rows = materialize(rows, "prefixes")
+    rows = materialize(told.mapInArrow(
+        W.trimmed(prefixes), "rep long, token long, before long, after long, parity array<long>, n long, bits array<long>, c long"), "prefixes")
     by = rows.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(
         F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
     rows = rows.join(by.select("token", F.col("top.c").alias("top")), "token")
@@ -377,15 +393,30 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
 
 
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` whose document is kept, all columns; rows that share
-    a doc_id are one document, of which one row of the smallest text stays."""
-    gone = materialize(near_duplicates(docs, **how).filter("not kept").select("doc_id").distinct(), "dropped")
-    if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = materialize(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    if repeated.limit(1).count():
-        once = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-        some = out.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(once)).filter("_row = 1")
-        out = out.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(some.select(*docs.columns))
-    return out
+    """The rows of ``docs`` that are kept, all columns.
+
+    Every distinct (doc_id, text) is judged by its own text: of a component the
+    one of the smallest doc_id stays (of several texts of that id, the one whose
+    SHA-1 is smallest), of equal rows of one doc_id and text one stays.  Rows
+    without a doc_id and texts without a word are duplicates of nothing and stay,
+    the latter once a doc_id.  An empty table gives an empty result; columns of any
+    name come back as they were.
+    """
+    sha = F.sha1(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), sha.alias("sha"))
+    light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), sha.alias("sha")).filter("doc_id is not null")
+    repeated = materialize(light.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    if not repeated.limit(1).count():
+        gone = near_duplicates(docs, **how).filter("not kept").select("doc_id")
+        gone = materialize(gone, "dropped")
+        return rows.join(F.broadcast(gone) if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select("row.*")
+    # a number of its own for each (doc_id, text), in the order of ids
+    told = materialize(numbered(light.distinct(), [], ["doc_id", "sha"]).select("doc_id", "sha", F.col("_n").alias("number")), "numbers")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), sha.alias("sha"), F.col("text").cast("string").alias("text"))
+    once = texts.join(told, ["doc_id", "sha"]).groupBy("number").agg(F.min("text").alias("text"))
+    gone = near_duplicates(once.select(F.col("number").alias("doc_id"), "text"), **how).filter("not kept").select(F.col("doc_id").alias("number"))
+    gone = materialize(told.join(gone, "number").select("doc_id", "sha"), "dropped")
+    left = rows.join(gone, ["doc_id", "sha"], "left_anti")
+    many = Window.partitionBy("doc_id", "sha").orderBy(F.to_json("row"))
+    first = left.filter("doc_id is not null").withColumn("place", F.row_number().over(many)).filter("place = 1")
+    return first.select("row").unionByName(left.filter("doc_id is null").select("row")).select("row.*")
