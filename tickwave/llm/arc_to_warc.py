@@ -162,8 +162,10 @@ def write_arc(pages: DataFrame, folder: str, file_bytes: int = files.FILE_BYTES)
 
 
 def record_id(file: str, number: int) -> str:
-    """A record's id, from its archive's name and its place in it."""
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, file.rsplit('/', 1)[1] + '#' + str(number))}>"
+    """A record's id, from its archive's whole address and its place in it; the
+    address has a folder of its own for every written file, so ids of different
+    archives differ."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{number}')}>"
 
 
 def warc_date(arc_date: str) -> str:
@@ -262,7 +264,7 @@ def convert(decided: DataFrame, folder: str, file_bytes: int = files.FILE_BYTES)
                     name, count = out.begin(), 0
                     info = b"software: tickwave\r\nformat: WARC File Format 1.1\r\n"
                     out.write(member(warc_record("warcinfo", [
-                        ("WARC-Record-ID", record_id("/" + name, -1)), ("WARC-Date", warc_date(DATE)), ("WARC-Filename", name),
+                        ("WARC-Record-ID", record_id(out.file(), -1)), ("WARC-Date", warc_date(DATE)), ("WARC-Filename", name),
                         ("Content-Type", "application/warc-fields")], info)))
                 head, payload = split_http(content)
                 fields = [("WARC-Record-ID", record_id(file, number)), ("WARC-Date", warc_date(h["Archive-date"])),
