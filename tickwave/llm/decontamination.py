@@ -144,14 +144,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` without any item window, all columns."""
+    """The rows of ``docs`` without any item window, all columns.
+
+    Rows are judged by their own text, so repeated rows and null doc_ids are rows
+    like any other; a null or wordless text stays.  An empty table gives an empty
+    result, an empty benchmark keeps every row; columns of any name come back as
+    they were."""
     windows = materialize(item_windows(benchmark, window).select("words").distinct()
                           .withColumn("window", F.sha1(F.concat_ws(" ", "words"))), "item_windows")
     hit = materialize(occurrences(docs, windows).filter("start is not null").select(
         F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct(), "contaminated")
-    d = docs.withColumn("_key", F.xxhash64("text"))
-    out = d.join(_maybe_broadcast(hit, _few(hit)), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left_anti")
-    return out.select(*docs.columns)
+    d = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    out = d.join(_maybe_broadcast(hit, _few(hit)), F.col("id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k")), "left_anti")
+    return out.select("row.*")
 
 
 ORACLE = r"""

@@ -66,9 +66,16 @@ def mix_plan(docs: DataFrame, seed: int = SEED, size: Column | None = None) -> D
     """``docs`` with mix_size, mix_source_size, mix_target and mix_copies added
     (columns of those names are replaced).  ``size``: a document's size, its
     number of words by default."""
-    size = words_count("text") if size is None else size
     own = [c for c in docs.columns if c not in ("mix_size", "mix_source_size", "mix_target", "mix_copies")]
-    rows = docs.select(F.struct(*own).alias("row"), F.col("doc_id").cast("string").alias("id"),
+    return _planned(docs, seed, size).select(
+        *[F.col("row")[c].alias(c) for c in own], F.col("size").alias("mix_size"), F.col("source_size").alias("mix_source_size"),
+        F.col("target").alias("mix_target"), F.col("copies").alias("mix_copies"))
+
+
+def _planned(docs: DataFrame, seed: int, size: Column | None) -> DataFrame:
+    """Each row of ``docs`` as ``row``, with its size, source_size, target and copies."""
+    size = words_count("text") if size is None else size
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("string").alias("id"),
                        F.col("source").cast("string").alias("source"), size.alias("size"))
     per = materialize(rows.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("source_size")), "sources")
     plan = targets(per).withColumn("buckets", F.ceil(F.col("docs") / BUCKET_ROWS).cast("long"))
@@ -98,15 +105,18 @@ def mix_plan(docs: DataFrame, seed: int = SEED, size: Column | None = None) -> D
     rows = rows.withColumn("upto", upto)
     crossed = (F.floor(F.col("upto") * F.col("rate") + F.col("shift"))
                - F.floor((F.col("upto") - 1) * F.col("rate") + F.col("shift")))
-    return rows.select("row.*", F.col("size").alias("mix_size"), F.col("source_size").alias("mix_source_size"),
-                       F.col("target").alias("mix_target"),
-                       F.least(crossed, F.ceil("rate")).cast("long").alias("mix_copies"))
+    return rows.select("row", "size", "source_size", "target", F.least(crossed, F.ceil("rate")).cast("long").alias("copies"))
 
 
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mixed documents: each row of ``docs`` as often as it is taken."""
-    p = mix_plan(docs, seed).filter("mix_copies > 0")
-    return p.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select(*docs.columns)
+    """The mixed documents: each row of ``docs`` as often as it is taken.
+
+    Repeated rows and null doc_ids are rows like any other, a null source is a
+    source of its own; a text without words has size 0 and goes by its place in
+    its source.  An empty table gives an empty result; columns of any name come
+    back as they were."""
+    p = _planned(docs, seed, None).filter("copies > 0")
+    return p.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def mix_report(docs: DataFrame, seed: int = SEED) -> DataFrame:

@@ -138,7 +138,9 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
 def good_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, all columns.
 
-    Statistics for training are computed for the sampled labelled documents
+    Rows are judged by their own text (a null one is empty), so repeated rows and
+    null doc_ids are rows like any other; columns of any name come back as they
+    were, and an empty table gives an empty result.  Statistics for training are computed for the sampled labelled documents
     only; then one pass scores and filters every row where it lies."""
     known = labels.filter(~held_out(4, 2))
     some = docs.join(F.broadcast(labelled_ids(known, "quality", sample).select("doc_id")), "doc_id", "left_semi")
