@@ -32,7 +32,7 @@ from tickwave.sources.bronze import decode_trades, read_json_docs
 
 INGESTED = "2024-02-01T00:00:00+00:00"
 REINGESTED = "2024-02-02T00:00:00+00:00"
-# The venue each query's SQL fixes, and for the ``_all`` queries every venue.
+# Every venue of the stand-in tape.
 ALL_VENUES = (VENUE_T, VENUE_K)
 
 

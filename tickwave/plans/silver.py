@@ -121,9 +121,8 @@ def missing_grid_dates(bars: DataFrame, daily_rates: DataFrame, keys=("symbol",)
 
 def run_klines_refresh(spark: SparkSession, bronze_path: str, daily_rates: DataFrame,
                        silver_root: str, venue: str) -> dict:
-    """Job B.  Rate coverage is checked *before* the venue's refresh starts
-    (a static overwrite clears the venue first, so a failure mid-write would
-    lose its previous data): the check needs only the real bars' first and last
+    """Job B.  Rate coverage is checked *before* the venue's refresh starts, so that
+    nothing is written in vain: the check needs only the real bars' first and last
     instants, and raises naming up to 10 missing Santiago dates.  The in-line
     check inside the conversion stays as a safety net."""
     counts, read = Observation(f"klines_{venue}"), Observation(f"klines_read_{venue}")
