@@ -3,23 +3,28 @@
 Words are the dishes.  The base is uniform over the training words and one
 unseen word; a root restaurant draws from it; one restaurant for each context
 draws from the root, so all contexts share one parent.  A context is the word
-before (its 64-bit hash, letters A-Z lower-cased), or the start of a text; a
-context without customers gives the root's probabilities.  Seating is sampled by Gibbs sweeps: for every
-(context, word) the customers are reseated one after the other, each opening a
-new table with the Chinese-restaurant probability given all other counts, and
-every table sends one customer to the root, whose dishes are reseated likewise.
-After ``BURN_IN`` sweeps the predictive probabilities are averaged over
-``SAMPLES`` states; they give the log10 probability and perplexity of a text.
-
-Scale: a (context, word) is in the shard of their common hash.  What shards
-share are totals of words and of contexts: a shard sends each of its words and
-contexts once with its counts to a part by the hash of the key, which adds them
-up, reseats the root's dishes and answers each shard, so neither a frequent
-word nor a frequent context makes a shard or a part hot, and only four numbers
-reach the driver.  A block is the tokens of a few megabytes of text; it sends
-each distinct (context, word) once with its count, and gets one probability
-back for it.  Blocks, shard states and answers are stored tables of packed
-arrays; a lost executor reads them again.
+before (letters A-Z lower-cased), or the start of a text; a context without
+customers gives the root's probabilities.  Seating is sampled by Gibbs sweeps:
+for every (context, word) the customers are reseated one after the other, each
+opening a new table with the Chinese-restaurant probability given all other
+counts, and every table sends one customer to the root, whose dishes are
+reseated likewise.  After ``BURN_IN`` sweeps the predictive probabilities are
+averaged over ``SAMPLES`` states; they give the log10 probability and
+perplexity of a text.
+
+Scale: a block is the tokens of some megabytes of text.  It sends its distinct
+words once to the dictionary, which is dealt over parts by the words' hash and
+answers each with a number (small for frequent words) and a training count;
+after that only numbers travel, sorted and as differences.  The block then sends
+each distinct (context, word) once, with its count, to the context's shard.  A
+context of more than ``HOT`` training tokens is spread over several shards by
+its words.  So the totals of nearly all contexts stay in their shard; what
+shards share are tables of words and totals of spread contexts, which go to a
+part by the key's hash, where they are added up and the root's dishes are
+reseated.  Blocks, asks and shard states are tables bucketed by the key that
+they are grouped by: a sweep reads its state where it lies and shuffles only
+totals.  Arrays are stored as compressed byte planes; two numbers a sweep reach
+the driver.  A lost executor's work is read again from the stored tables.
 """
 
 from __future__ import annotations
@@ -35,15 +40,22 @@ from pyspark.sql import functions as F
 from tickwave.llm import files
 from tickwave.llm import words as W
 from tickwave.llm.quality_classifier import held_out
-from tickwave.session import materialize
+from tickwave.session import materialize, scratch_path
 
-#: Totals of words and contexts are dealt over so many parts at least.
-CONTEXTS = 64
-START = np.uint64(0)
+#: The dictionary and the totals are dealt over so many parts at least.
+PARTS = 64
+#: Number of the context at the start of a text; words have numbers above it.
+START = 0
 BURN_IN, SAMPLES = 3, 3
 DISCOUNT = (0.5, 0.75)
 STRENGTH = (10.0, 10.0)
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
+#: A shard holds the contexts of about so much text.
+SHARD_BYTES = 64 << 20
+#: A context is spread over one shard more for each so many training tokens.
+HOT = 1 << 16
+#: Log10 probabilities travel as whole multiples of this.
+STEP = 2.0 ** -14
 #: Customers seated one by one; later ones in blocks growing by this share,
 #: inside which the chance of a new table is held fixed.
 ONE_BY_ONE, GROWTH = 32, 0.1
@@ -52,15 +64,62 @@ SEED = 11
 
 
 def pack(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
+    """Compressed byte planes: the high bytes of small numbers cost nothing."""
+    a = np.ascontiguousarray(a)
+    planes = a.view(np.uint8).reshape(len(a), a.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def unpack(b: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
+def unpack(b: bytes, kind=np.int64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return planes.T.copy().view(kind).reshape(-1)
 
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hash, context, text index) of all tokens, an end after each text."""
+def pack_sorted(a: np.ndarray) -> bytes:
+    return pack(np.diff(a, prepend=a.dtype.type(0)))
+
+
+def unpack_sorted(b: bytes, kind=np.int64) -> np.ndarray:
+    return np.cumsum(unpack(b, kind), dtype=kind)
+
+
+def _run_starts(x: np.ndarray) -> np.ndarray:
+    """First places of the runs of equal values of a sorted array."""
+    return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
+
+
+def pack_pairs(x: np.ndarray, y: np.ndarray) -> tuple[bytes, bytes]:
+    """Pairs sorted by x and then y, as differences; y starts anew with each x."""
+    d = np.diff(y, prepend=0)
+    first = _run_starts(x)
+    d[first] = y[first]
+    return pack_sorted(x), pack(d)
+
+
+def unpack_pairs(x: bytes, y: bytes) -> tuple[np.ndarray, np.ndarray]:
+    x, d = unpack_sorted(x), unpack(y)
+    total, first = np.cumsum(d), _run_starts(x)
+    return x, total - np.repeat(total[first] - d[first], np.diff(np.append(first, len(x))))
+
+
+def bucketed(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
+    """``df`` stored in the shared folder by the hash of ``key``, so that
+    grouping by it needs no shuffle.  The table's name is given up at once; the
+    files stay."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", scratch_path(spark, name)).saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
+def _rows(schema: list[tuple[str, pa.DataType]], rows: list):
+    return [pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(schema)], [n for n, _ in schema]
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(word hash, text index) of all tokens, an end after each text."""
     t = W.texts_of(texts)
     t.data = W.FOLD[t.data]
     n = len(t)
@@ -70,18 +129,14 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     # place every text's words and its end in one sequence
     doc = np.repeat(np.arange(n), count + 1)
     word = np.empty(len(doc), np.uint64)
-    context = np.full(len(doc), START)
     is_end = np.zeros(len(doc), bool)
     is_end[np.cumsum(count + 1) - 1] = True
     word[~is_end], word[is_end] = h, END
-    previous = np.full(len(doc), START)
-    previous[~is_end] = h
-    context[1:] = np.where(doc[1:] == doc[:-1], previous[:-1], START)
-    return word, context, doc
+    return word, doc
 
 
-_PACKED = ["block", "shard", "a", "b", "c", "n"]
-_PACKED_TYPE = "block string, shard int, a binary, b binary, c binary, n long"
+_BLOCK = [("block", pa.string()), ("part", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("n", pa.int64())]
+_BLOCK_TYPE = "block string, part int, a binary, b binary, c binary, n long"
 
 
 def _larger(batches):
@@ -98,71 +153,164 @@ def _larger(batches):
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _blocks(shards: int):
-    """(doc_id, held_out, text) -> a row for each block and a row for what it
-    asks of each shard.
+def _blocks(parts: int):
+    """(doc_id, held_out, text) -> a row for each block and a row for the words
+    that it asks of each part of the dictionary.
 
     Block row: a = doc ids, null flags and held-out flags, b = tokens a text,
-    c = place of every token among the block's distinct (word, context), which
-    are ordered by shard.  Ask row: a = words, b = contexts, c = training
-    counts, in that order."""
+    c = place of every token among the block's n distinct words, which are
+    ordered by part and hash.  Word row: a = hashes, b = training counts, in
+    that order."""
     def run(batches):
         for batch in _larger(batches):
             for lo, hi in W.slices(batch.column(2), BLOCK_BYTES):
                 b = batch.slice(lo, hi - lo)
                 held = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-                parts = []
+                hashed, docs = [], []
                 for x, z in W.slices(b.column(2)):
-                    w, c, d = tokens(b.column(2).slice(x, z - x))
-                    parts.append((w, c, (d + x).astype(np.int32)))
-                word, context, doc = (np.concatenate(x) for x in zip(*parts))
-                shard = (W.mix(word ^ W.mix(context + np.uint64(1))) % np.uint64(shards)).astype(np.int32)
-                order = np.lexsort((context, word, shard))
-                w, c, s = word[order], context[order], shard[order]
-                new = np.concatenate(([True], (w[1:] != w[:-1]) | (c[1:] != c[:-1])))
-                place = np.empty(len(word), np.uint32)
-                place[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
-                del word, context, shard, order
-                w, c, s = w[new], c[new], s[new]
-                counts = np.bincount(place, weights=~held[doc], minlength=len(w)).astype(np.uint32)
+                    w, d = tokens(b.column(2).slice(x, z - x))
+                    hashed.append(w)
+                    docs.append((d + x).astype(np.int32))
+                word, doc = np.concatenate(hashed), np.concatenate(docs)
+                key, place = np.unique(word, return_inverse=True)
+                order, cut = _dealt(key, parts)
+                to = np.empty(len(key), np.int64)
+                to[order] = np.arange(len(key))
+                place = to[place]
+                key = key[order]
+                counts = np.bincount(place, weights=~held[doc], minlength=len(key)).astype(np.int64)
                 ids = b.column(0)
-                who = np.stack([ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), held.astype(np.int64)])
+                who = np.concatenate([ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), held]).astype(np.int64)
                 name = uuid.uuid4().hex
-                rows = [(name, None, pack(who), pack(np.bincount(doc, minlength=hi - lo).astype(np.int64)), pack(place), len(w))]
-                cut = np.searchsorted(s, np.arange(shards + 1))
-                for k, (x, z) in enumerate(zip(cut, cut[1:])):
-                    if z > x:
-                        rows.append((name, k, pack(w[x:z]), pack(c[x:z]), pack(counts[x:z]), int(x)))
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                    (pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64()))], names=_PACKED)
+                rows = [(name, None, pack(who), pack(np.bincount(doc, minlength=hi - lo)), pack(place), len(key))]
+                rows += [(name, p, pack_sorted(key[i:j]), pack(counts[i:j]), None, int(i)) for p, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
+                arrays, names = _rows(_BLOCK, rows)
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return run
+
+
+def _dealt(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the keys by part, and where each part begins and the last ends."""
+    part = (W.mix(keys + np.uint64(7)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+_WORD = [("block", pa.string()), ("at", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("tokens", pa.int64()), ("vocabulary", pa.int64())]
+_WORD_TYPE = "block string, at long, a binary, b binary, tokens long, vocabulary long"
+
+
+def _dictionary(parts: int):
+    """All words asked of one part -> numbers (a) and training counts (b) for
+    each block, in its order; and a row without block that holds the part's
+    training tokens and words.  Numbers are above 0, smaller for more frequent
+    words, and no two parts give the same one."""
+    def run(table: pa.Table) -> pa.Table:
+        asked = sorted(table.to_pylist(), key=lambda r: r["block"])
+        keys = [unpack_sorted(r["a"], np.uint64) for r in asked]
+        key, at = np.unique(np.concatenate(keys), return_inverse=True)
+        count = np.bincount(at, np.concatenate([unpack(r["b"]) for r in asked]), len(key)).astype(np.int64)
+        number = np.empty(len(key), np.int64)
+        number[np.argsort(-count, kind="stable")] = np.arange(len(key)) * parts + asked[0]["part"] + 1
+        rows = [(None, None, None, None, int(count.sum()), int((count > 0).sum()))]
+        for r, x in zip(asked, np.split(at, np.cumsum([len(k) for k in keys])[:-1])):
+            rows.append((r["block"], r["n"], pack(number[x]), pack(count[x]), None, None))
+        return pa.Table.from_arrays(*_rows(_WORD, rows))
 
     return run
 
 
-_STATE = ["shard", "words", "contexts", "counts", "tables", "total", "seen"]
-_STATE_TYPE = "shard int, words binary, contexts binary, counts binary, tables binary, total binary, seen binary"
-_STATE_ARROW = [pa.int32(), *[pa.binary()] * 6]
+def _known(rows: list, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and training counts of a block's words from the dictionary's answers."""
+    number, count = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for r in rows:
+        v = unpack(r["a"])
+        number[r["at"]:r["at"] + len(v)], count[r["at"]:r["at"] + len(v)] = v, unpack(r["b"])
+    return number, count
+
+
+def _pairs(block: dict, number: np.ndarray, count: np.ndarray, shards: int, hot: int):
+    """The block's distinct (word, context) by shard, word and context, whether
+    the context is spread, the shard, and each token's place among them."""
+    n, size, place = block["n"], unpack(block["b"]), unpack(block["c"])
+    before = np.concatenate(([n], place[:-1]))
+    before[np.cumsum(size)[:-1]] = n  # every text has its end, so none is empty
+    key, at = np.unique(before * (n + 1) + place, return_inverse=True)
+    word, context = number[key % (n + 1)], np.append(number, START)[key // (n + 1)]
+    spread = np.minimum(np.append(count // hot + 1, shards)[key // (n + 1)], shards).astype(np.uint64)
+    salt = W.mix(word.astype(np.uint64)) % spread
+    shard = (W.mix(W.mix(context.astype(np.uint64) + np.uint64(1)) + salt) % np.uint64(shards)).astype(np.int64)
+    order = np.lexsort((context, word, shard))
+    to = np.empty(len(key), np.int64)
+    to[order] = np.arange(len(key))
+    return word[order], context[order], spread[order] > 1, shard[order], to[at]
 
 
-def _state_table(shard: int, *arrays: np.ndarray) -> pa.Table:
-    """Words, contexts, training counts, tables and added up probabilities of a
-    shard's (word, context) in that order, and the training count of each word."""
-    return pa.Table.from_arrays([pa.array([v], t) for v, t in zip([shard, *map(pack, arrays)], _STATE_ARROW)], names=_STATE)
+_ASK = [("shard", pa.int32()), ("block", pa.string()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("spread", pa.binary()), ("n", pa.int64())]
+_ASK_TYPE = "shard int, block string, a binary, b binary, c binary, spread binary, n long"
+
+
+def _asks(shards: int, hot: int):
+    """Block and the dictionary's answers -> for each shard its words (a) and
+    contexts (b) with training counts (c), and which contexts are spread."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        block = left.to_pylist()[0]
+        word, context, spread, shard, place = _pairs(block, *_known(right.to_pylist(), block["n"]), shards, hot)
+        held = unpack(block["a"]).reshape(3, -1)[2]
+        counts = np.bincount(place, weights=np.repeat(1 - held, unpack(block["b"])), minlength=len(word)).astype(np.int64)
+        cut = np.searchsorted(shard, np.arange(shards + 1))
+        rows = [(k, block["block"], *pack_pairs(word[i:j], context[i:j]), pack(counts[i:j]), pack_sorted(np.unique(context[i:j][spread[i:j]])), int(i))
+                for k, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
+        return pa.Table.from_arrays(*_rows(_ASK, rows))
+
+    return run
+
+
+_STATE = [("shard", pa.int32()), *((x, pa.binary()) for x in ("words", "contexts", "counts", "tables", "spread")), ("samples", pa.list_(pa.binary()))]
+_STATE_TYPE = "shard int, words binary, contexts binary, counts binary, tables binary, spread binary, samples array<binary>"
 
 
 def _gather(table: pa.Table) -> pa.Table:
     """All asks of one shard -> its distinct (word, context) with counts, one
     table for each word that a context has seen."""
-    words = np.concatenate([unpack(x, np.uint64) for x in table["a"].to_pylist()])
-    contexts = np.concatenate([unpack(x, np.uint64) for x in table["b"].to_pylist()])
-    counts = np.concatenate([unpack(x, np.uint32) for x in table["c"].to_pylist()]).astype(np.int64)
+    asked = table.to_pylist()
+    pairs = [unpack_pairs(r["a"], r["b"]) for r in asked]
+    words, contexts = (np.concatenate(x) for x in zip(*pairs))
+    counts = np.concatenate([unpack(r["c"]) for r in asked])
+    spread = np.unique(np.concatenate([unpack_sorted(r["spread"]) for r in asked]))
     order = np.lexsort((contexts, words))
     words, contexts, counts = words[order], contexts[order], counts[order]
     first = np.flatnonzero(np.concatenate(([True], (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1]))))
     counts = np.add.reduceat(counts, first)
-    words, contexts = words[first], contexts[first]
-    tables = (counts > 0).astype(np.int64)
-    return _state_table(table["shard"][0].as_py(), words, contexts, counts, tables, np.zeros(len(words)), np.zeros(0, np.int64))
+    row = (asked[0]["shard"], *pack_pairs(words[first], contexts[first]), pack(counts), pack((counts > 0).astype(np.int64)), pack_sorted(spread), [])
+    return pa.Table.from_arrays(*_rows(_STATE, [row]))
+
+
+class Shard:
+    """A shard's state with its words and contexts numbered in order."""
+
+    def __init__(self, r: dict):
+        words, contexts = unpack_pairs(r["words"], r["contexts"])
+        first = _run_starts(words)
+        self.words = words[first]
+        self.word = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(words))))
+        self.contexts, self.context = np.unique(contexts, return_inverse=True)
+        self.counts, self.spread = unpack(r["counts"]), unpack_sorted(r["spread"])
+        self.spread_at = np.searchsorted(self.contexts, self.spread)
+        self.customers = np.bincount(self.context, self.counts, len(self.contexts)).astype(np.int64)
+
+    def served(self, tables: np.ndarray) -> np.ndarray:
+        return np.bincount(self.context, tables, len(self.contexts)).astype(np.int64)
+
+    def predictive(self, tables, guests, root, spread_customers, spread_tables, common):
+        """(weight of a new table, probability) of each pair in one state."""
+        new_root, root_customers = common
+        customers, served = self.customers.copy(), self.served(tables)
+        customers[self.spread_at], served[self.spread_at] = spread_customers, spread_tables
+        parent = (guests - DISCOUNT[0] * root + new_root) / (STRENGTH[0] + root_customers)
+        pull = (STRENGTH[1] + DISCOUNT[1] * served[self.context]) * parent[self.word]
+        return pull, (self.counts - DISCOUNT[1] * tables + pull) / (STRENGTH[1] + customers[self.context])
 
 
 def reseat(customers: np.ndarray, pull: np.ndarray, discount: float, rng) -> np.ndarray:
@@ -181,148 +329,136 @@ def reseat(customers: np.ndarray, pull: np.ndarray, discount: float, rng) -> np.
     return np.minimum(tables, customers)
 
 
-def _dealt(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the keys by part, and where each part begins and the last ends."""
-    part = (W.mix(keys + np.uint64(7)) % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    return order, np.searchsorted(part[order], np.arange(parts + 1))
-
-
+_OWN = [("part", pa.int32()), ("shard", pa.int32()), ("is_word", pa.bool_()), ("k", pa.binary()), ("a", pa.binary()), ("b", pa.binary())]
 _OWN_TYPE = "part int, shard int, is_word boolean, k binary, a binary, b binary"
-_OWN_ARROW = [pa.int32(), pa.int32(), pa.bool_(), *[pa.binary()] * 3]
-_SUMS_TYPE = ("part int, shard int, is_word boolean, a binary, b binary, c binary, "
-              "tokens long, root_customers long, root_tables long, vocabulary long")
-_SUMS_ARROW = [pa.int32(), pa.int32(), pa.bool_(), *[pa.binary()] * 3, *[pa.int64()] * 4]
+_SUM = [("part", pa.int32()), ("shard", pa.int32()), ("is_word", pa.bool_()), ("a", pa.binary()), ("b", pa.binary()), ("root_customers", pa.int64()), ("root_tables", pa.int64())]
+_SUM_TYPE = "part int, shard int, is_word boolean, a binary, b binary, root_customers long, root_tables long"
 
 
 def _own(parts: int):
-    """Shard state -> for each part the shard's contexts and words with their
-    customers (a) and tables (b) in this shard."""
+    """Shard state -> for each part the tables (b) of the shard's words, and the
+    customers (a) and tables (b) of its spread contexts."""
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                rows = []
-                weights = [unpack(r[x], np.int64) for x in ("counts", "tables")]
-                for is_word in (False, True):
-                    key, at = np.unique(unpack(r["words" if is_word else "contexts"], np.uint64), return_inverse=True)
-                    a, b = (np.bincount(at, x, len(key)).astype(np.int64) for x in weights)
-                    order, cut = _dealt(key, parts)
-                    rows += [(p, r["shard"], is_word, *(pack(x[order[i:j]]) for x in (key, a, b)))
+                s, tables, rows = Shard(r), unpack(r["tables"]), []
+                served = s.served(tables)[s.spread_at]
+                for is_word, key, a, b in ((False, s.spread, s.customers[s.spread_at], served),
+                                           (True, s.words, None, np.bincount(s.word, tables, len(s.words)).astype(np.int64))):
+                    order, cut = _dealt(key.astype(np.uint64), parts)
+                    rows += [(p, r["shard"], is_word, pack_sorted(key[order[i:j]]), None if is_word else pack(a[order[i:j]]), pack(b[order[i:j]]))
                              for p, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate(_OWN_ARROW)],
-                                                 names=["part", "shard", "is_word", "k", "a", "b"])
+                arrays, names = _rows(_OWN, rows)
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run
 
 
 def _summed(number: int, new_root: float):
-    """What the shards sent to one part -> to each shard the totals of its
-    contexts and words, for words also the root's tables, which are seated here;
-    and a row without shard that holds the part's share of the common numbers."""
+    """What the shards sent to one part -> to each shard, for its words, all
+    customers (a) and tables (b) of the root, seated here, and for its spread
+    contexts all customers and tables; and a row without shard that holds the
+    part's share of the root's customers and tables."""
     def run(table: pa.Table) -> pa.Table:
-        part, rows, common = table["part"][0].as_py(), [], (0, 0, 0, 0)
+        part, rows, common = table["part"][0].as_py(), [], (0, 0)
         sent = sorted(table.to_pylist(), key=lambda r: r["shard"])
         for is_word in (False, True):
             mine = [r for r in sent if r["is_word"] == is_word]
             if not mine:
                 continue
-            keys = [unpack(r["k"], np.uint64) for r in mine]
+            keys = [unpack_sorted(r["k"]) for r in mine]
             key, at = np.unique(np.concatenate(keys), return_inverse=True)
-            a, b = (np.bincount(at, np.concatenate([unpack(r[x], np.int64) for r in mine]), len(key)).astype(np.int64) for x in "ab")
-            root = (b > 0).astype(np.int64)
-            if is_word and number:
-                root = reseat(b, np.full(len(b), new_root), DISCOUNT[0], np.random.default_rng([SEED, number, part, 1]))
+            add = lambda x: np.bincount(at, np.concatenate([unpack(r[x]) for r in mine]), len(key)).astype(np.int64)  # noqa: B023, E731
+            b = add("b")
             if is_word:
-                common = (int(a.sum()), int(b.sum()), int(root.sum()), int((a > 0).sum()))
-            ends = np.cumsum([len(k) for k in keys])
-            for r, x in zip(mine, np.split(at, ends[:-1])):
-                rows.append((part, r["shard"], is_word, pack(a[x]), pack(b[x]), pack(root[x]) if is_word else None, None, None, None, None))
-        rows.append((part, None, None, None, None, None, *common))
-        return pa.Table.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate(_SUMS_ARROW)],
-                                    names=[x.split()[0] for x in _SUMS_TYPE.split(", ")])
+                root = reseat(b, np.full(len(b), new_root), DISCOUNT[0], np.random.default_rng([SEED, number, part, 1])) if number else (b > 0).astype(np.int64)
+                common = (int(b.sum()), int(root.sum()))
+                a, b = b, root
+            else:
+                a = add("a")
+            for r, x in zip(mine, np.split(at, np.cumsum([len(k) for k in keys])[:-1])):
+                rows.append((part, r["shard"], is_word, pack(a[x]), pack(b[x]), None, None))
+        rows.append((part, None, None, None, None, *common))
+        return pa.Table.from_arrays(*_rows(_SUM, rows))
 
     return run
 
 
-def _sweep(number: int, parts: int, totals: dict, new_root: float, keep: bool):
+def _sweep(number: int, parts: int, common: tuple[float, float], keep: bool, last: bool):
     """One Gibbs sweep over a shard's state, given its totals; with ``keep`` the
-    predictive probabilities of the state that comes in are added up first."""
+    state that comes in is added to the samples, with its totals; the ``last``
+    sweep only does that."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         r = left.to_pylist()[0]
-        words, contexts = unpack(r["words"], np.uint64), unpack(r["contexts"], np.uint64)
-        counts, tables = unpack(r["counts"], np.int64), unpack(r["tables"], np.int64)
-        total = unpack(r["total"], np.float64)
+        s, tables = Shard(r), unpack(r["tables"])
         got = sorted(right.to_pylist(), key=lambda x: x["part"])
 
-        def shared(keys, is_word, columns):
-            key, at = np.unique(keys, return_inverse=True)
-            order, _ = _dealt(key, parts)
-            out = []
-            for c in columns:
-                v = np.empty(len(key), np.int64)
-                v[order] = np.concatenate([unpack(x[c], np.int64) for x in got if x["is_word"] == is_word])
-                out.append(v)
-            return at, out
-
-        context, (customers, served) = shared(contexts, False, "ab")
-        word, (seen, guests, root) = shared(words, True, "abc")
-        parent = (guests - DISCOUNT[0] * root + new_root) / (STRENGTH[0] + totals["root_customers"])
-        pull = (STRENGTH[1] + DISCOUNT[1] * served[context]) * parent[word]
+        def shared(key, is_word, column):
+            order, _ = _dealt(key.astype(np.uint64), parts)
+            v = np.empty(len(key), np.int64)
+            v[order] = np.concatenate([np.zeros(0, np.int64), *(unpack(x[column]) for x in got if x["is_word"] == is_word)])
+            return v
+
+        totals = [*(shared(s.words, True, c) for c in "ab"), *(shared(s.spread, False, c) for c in "ab")]
+        pull, _ = s.predictive(tables, *totals, common)
+        samples = r["samples"]
         if keep:
-            total = total + (counts - DISCOUNT[1] * tables + pull) / (STRENGTH[1] + customers[context])
-        tables = reseat(counts, pull, DISCOUNT[1], np.random.default_rng([SEED, number, r["shard"]]))
-        return _state_table(r["shard"], words, contexts, counts, tables, total, seen)
+            samples = [*samples, r["tables"], *map(pack, totals), pack(np.array(common))]
+        if not last:
+            tables = reseat(s.counts, pull, DISCOUNT[1], np.random.default_rng([SEED, number, r["shard"]]))
+        row = (r["shard"], r["words"], r["contexts"], r["counts"], pack(tables), r["spread"], samples)
+        return pa.Table.from_arrays(*_rows(_STATE, [row]))
 
     return run
 
 
+_REPLY = [("block", pa.string()), ("at", pa.int64()), ("logp", pa.binary())]
+_REPLY_TYPE = "block string, at long, logp binary"
+
+
 def _answer(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Asks and the state of one shard -> probability and training count of
-    the word for each ask, in the asks' order."""
+    """Asks and the state of one shard -> averaged log10 probability for each
+    ask, in the asks' order, in multiples of ``STEP``."""
     out = []
     if right.num_rows:
         r = right.to_pylist()[0]
-        words, contexts = unpack(r["words"], np.uint64), unpack(r["contexts"], np.uint64)
-        count = unpack(r["seen"], np.int64)
-        first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
-        size = np.diff(np.concatenate((first, [len(words)])))
-        logp = np.log10(unpack(r["total"], np.float64) / SAMPLES).astype(np.float32)
-        for block, a, b, n in zip(*(left[x].to_pylist() for x in ("block", "a", "b", "n"))):
-            w, c = unpack(a, np.uint64), unpack(b, np.uint64)
-            k = np.searchsorted(words[first], w)
-            at, last = first[k], first[k] + size[k] - 1
-            while (open_ := at < last).any():  # a word's contexts are sorted
-                middle = (at + last) // 2
-                less = contexts[middle] < c
-                at, last = np.where(open_ & less, middle + 1, at), np.where(open_ & ~less, middle, last)
-            out.append((block, n, pack(logp[at]), pack(count[k].astype(np.uint32))))
-    return pa.Table.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.int64(), pa.binary(), pa.binary()))],
-                                names=["block", "at", "logp", "count"])
-
-
-def _score(train_tokens: int, vocabulary: int):
+        s, x = Shard(r), r["samples"]
+        total = np.zeros(len(s.counts))
+        for i in range(0, len(x), 6):
+            total += s.predictive(*map(unpack, x[i:i + 5]), unpack(x[i + 5], np.float64))[1]
+        logp = np.rint(-np.log10(total * 6 / len(x)) / STEP).astype(np.int64)
+        key = s.word * len(s.contexts) + s.context
+        for block, a, b, n in zip(*(left[c].to_pylist() for c in ("block", "a", "b", "n"))):
+            w, c = unpack_pairs(a, b)
+            at = np.searchsorted(key, np.searchsorted(s.words, w) * len(s.contexts) + np.searchsorted(s.contexts, c))
+            out.append((block, n, pack(logp[at])))
+    return pa.Table.from_arrays(*_rows(_REPLY, out))
+
+
+def _score(train_tokens: int, vocabulary: int, shards: int, hot: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        b = left.to_pylist()[0]
-        logp, count = np.zeros(b["n"]), np.zeros(b["n"], np.int64)
-        for at, x, y in zip(*(right[c].to_pylist() for c in ("at", "logp", "count"))):
-            v = unpack(x, np.float32)
-            logp[at:at + len(v)], count[at:at + len(v)] = v, unpack(y, np.uint32)
-        who = unpack(b["a"], np.int64).reshape(3, -1)
-        size, place = unpack(b["b"], np.int64), unpack(b["c"], np.uint32)
-        start = np.concatenate(([0], np.cumsum(size)[:-1]))
-        base = np.log10((count + 1) / (train_tokens + vocabulary + 1))
-        n = len(size)
-        by_doc = lambda v: np.add.reduceat(v[place], start)  # noqa: E731  every text has its end
-        score = by_doc(logp)
+        b, rows = left.to_pylist()[0], right.to_pylist()
+        number, known = _known([r for r in rows if r["logp"] is None], b["n"])
+        word, _, _, _, place = _pairs(b, number, known, shards, hot)
+        logp = np.zeros(len(word))
+        for r in rows:
+            if r["logp"] is not None:
+                v = unpack(r["logp"])
+                logp[r["at"]:r["at"] + len(v)] = -STEP * v
+        who = unpack(b["a"]).reshape(3, -1)
+        size, count = unpack(b["b"]), known[unpack(b["c"])]
+        start = np.cumsum(size) - size
+        base = np.add.reduceat(np.log10((count + 1) / (train_tokens + vocabulary + 1)), start)
+        score = np.add.reduceat(logp[place], start)  # every text has its end
         return pa.Table.from_arrays([
-            pa.array(who[0], mask=who[1].astype(bool)), pa.array(who[2].astype(bool)), pa.array(size), pa.array(by_doc((count > 0).astype(np.int64))),
-            pa.array(np.full(n, train_tokens)), pa.array(by_doc(base)), pa.array(score), pa.array(10 ** np.minimum(-score / size, 300.0))],
+            pa.array(who[0], mask=who[1].astype(bool)), pa.array(who[2].astype(bool)), pa.array(size), pa.array(np.add.reduceat((count > 0).astype(np.int64), start)),
+            pa.array(np.full(len(size), train_tokens)), pa.array(base), pa.array(score), pa.array(10 ** np.minimum(-score / size, 300.0))],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
     return run
 
 
-def score_texts(docs: DataFrame, burn_in: int = BURN_IN) -> DataFrame:
+def score_texts(docs: DataFrame, burn_in: int = BURN_IN, hot: int = HOT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     perplexity for every row of ``docs``.
 
@@ -330,27 +466,36 @@ def score_texts(docs: DataFrame, burn_in: int = BURN_IN) -> DataFrame:
     learned from).  A null or empty text is its end token alone.  Repeated
     rows count as often as they occur and give a row each.  Without training
     rows the model is its uniform base.  An empty table gives an empty result;
-    other columns are ignored.
+    other columns are ignored.  A token's log10 probability is rounded to
+    ``STEP``.
     """
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(7, 2).alias("held_out"), F.col("text").cast("string").alias("text"))
-    packed = materialize(d.mapInArrow(_blocks(shards), _PACKED_TYPE), "blocks")
-    asks = packed.filter("shard is not null")
-    state = materialize(asks.select("shard", "a", "b", "c").groupBy("shard").applyInArrow(_gather, _STATE_TYPE), "seating")
-    parts = max(CONTEXTS, shards)
+    size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+    parts = max(PARTS, shards)
+    blocks = bucketed(d.mapInArrow(_blocks(parts), _BLOCK_TYPE), "block", shards, "blocks")
+    numbered = blocks.filter("part is not null").select("part", "block", "a", "b", "n").groupBy("part").applyInArrow(_dictionary(parts), _WORD_TYPE)
+    numbered = bucketed(numbered.repartition(shards, "block"), "block", shards, "dictionary")
+    common = numbered.filter("block is null").agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in ("tokens", "vocabulary"))).first()
+    train_tokens, vocabulary = int(common[0]), int(common[1])
+    blocks, numbered = blocks.filter("part is null"), numbered.filter("block is not null").select("block", "at", "a", "b")
+    asks = blocks.groupBy("block").cogroup(numbered.groupBy("block")).applyInArrow(_asks(shards, hot), _ASK_TYPE)
+    asks = bucketed(asks.repartition(shards, "shard"), "shard", shards, "asks")
+    state = bucketed(asks.groupBy("shard").applyInArrow(_gather, _STATE_TYPE), "shard", shards, "seating")
     new_root = 0.0
     for number in range(burn_in + SAMPLES):
-        sums = materialize(state.mapInArrow(_own(parts), _OWN_TYPE).groupBy("part").applyInArrow(_summed(number, new_root), _SUMS_TYPE), "totals")
-        totals = sums.agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("tokens", "root_customers", "root_tables", "vocabulary"))).first().asDict()
-        new_root = (STRENGTH[0] + DISCOUNT[0] * totals["root_tables"]) / (totals["vocabulary"] + 1)
-        old, state = state, materialize(state.groupBy("shard").cogroup(sums.filter("shard is not null").groupBy("shard")).applyInArrow(
-            _sweep(number, parts, totals, new_root, number >= burn_in), _STATE_TYPE), "seating")
+        last = number == burn_in + SAMPLES - 1
+        sums = materialize(state.mapInArrow(_own(parts), _OWN_TYPE).groupBy("part").applyInArrow(_summed(number, new_root), _SUM_TYPE), "totals")
+        root = sums.agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in ("root_customers", "root_tables"))).first()
+        new_root = (STRENGTH[0] + DISCOUNT[0] * root[1]) / (vocabulary + 1)
+        old, state = state, bucketed(state.groupBy("shard").cogroup(sums.filter("shard is not null").groupBy("shard")).applyInArrow(
+            _sweep(number, parts, (new_root, float(root[0])), number >= burn_in, last), _STATE_TYPE), "shard", shards, "seating")
         files.discard(old)  # the new state is stored
         files.discard(sums)
-    train_tokens, vocabulary = int(totals["tokens"]), int(totals["vocabulary"])
-    answers = (asks.select("shard", "block", "a", "b", "n").groupBy("shard").cogroup(state.groupBy("shard"))
-               .applyInArrow(_answer, "block string, at long, logp binary, count binary"))
-    return packed.filter("shard is null").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(train_tokens, vocabulary), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+    replies = asks.select("shard", "block", "a", "b", "n").groupBy("shard").cogroup(state.groupBy("shard")).applyInArrow(_answer, _REPLY_TYPE)
+    none = F.lit(None).cast("binary")
+    answers = numbered.withColumn("logp", none).unionByName(replies.select("block", "at", none.alias("a"), none.alias("b"), "logp"))
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _score(train_tokens, vocabulary, shards, hot), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, perplexity double")
