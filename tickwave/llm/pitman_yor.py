@@ -42,8 +42,9 @@ from tickwave.llm import words as W
 from tickwave.llm.quality_classifier import held_out
 from tickwave.session import materialize, scratch_path
 
-#: The dictionary and the totals are dealt over so many parts at least.
-PARTS = 64
+#: The dictionary and the totals are dealt over a part for each so many shards,
+#: and over a few at least.
+SHARDS_A_PART, PARTS = 4, 12
 #: Number of the context at the start of a text; words have numbers above it.
 START = 0
 BURN_IN, SAMPLES = 3, 3
@@ -51,7 +52,7 @@ DISCOUNT = (0.5, 0.75)
 STRENGTH = (10.0, 10.0)
 BLOCK_BYTES = 16 << 20
 #: A shard holds the contexts of about so much text.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 16 << 20
 #: A context is spread over one shard more for each so many training tokens.
 HOT = 1 << 16
 #: Log10 probabilities travel as whole multiples of this.
@@ -64,15 +65,18 @@ SEED = 11
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Compressed byte planes: the high bytes of small numbers cost nothing."""
-    a = np.ascontiguousarray(a)
+    """Whole numbers from 0 up in as few bytes as the largest needs, as
+    compressed byte planes after a byte that holds the width."""
+    top = int(a.max()) if len(a) else 0
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(k).max)
+    a = np.ascontiguousarray(a.astype(kind))
     planes = a.view(np.uint8).reshape(len(a), a.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return bytes([a.itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(b: bytes, kind=np.int64) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return planes.T.copy().view(kind).reshape(-1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8).reshape(b[0], -1)
+    return planes.T.copy().view(f"u{b[0]}").reshape(-1).astype(kind)
 
 
 def pack_sorted(a: np.ndarray) -> bytes:
@@ -83,6 +87,11 @@ def unpack_sorted(b: bytes, kind=np.int64) -> np.ndarray:
     return np.cumsum(unpack(b, kind), dtype=kind)
 
 
+def _short(a: np.ndarray, limit: int) -> np.ndarray:
+    """Numbers below ``limit`` in a type that numpy sorts by radix, if they fit."""
+    return a.astype(np.uint16 if limit <= 1 << 16 else np.int64)
+
+
 def _run_starts(x: np.ndarray) -> np.ndarray:
     """First places of the runs of equal values of a sorted array."""
     return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
@@ -192,7 +201,7 @@ def _blocks(parts: int):
 
 def _dealt(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the keys by part, and where each part begins and the last ends."""
-    part = (W.mix(keys + np.uint64(7)) % np.uint64(parts)).astype(np.int64)
+    part = _short(W.mix(keys + np.uint64(7)) % np.uint64(parts), parts)
     order = np.argsort(part, kind="stable")
     return order, np.searchsorted(part[order], np.arange(parts + 1))
 
@@ -233,18 +242,25 @@ def _known(rows: list, n: int) -> tuple[np.ndarray, np.ndarray]:
 def _pairs(block: dict, number: np.ndarray, count: np.ndarray, shards: int, hot: int):
     """The block's distinct (word, context) by shard, word and context, whether
     the context is spread, the shard, and each token's place among them."""
-    n, size, place = block["n"], unpack(block["b"]), unpack(block["c"])
-    before = np.concatenate(([n], place[:-1]))
-    before[np.cumsum(size)[:-1]] = n  # every text has its end, so none is empty
-    key, at = np.unique(before * (n + 1) + place, return_inverse=True)
-    word, context = number[key % (n + 1)], np.append(number, START)[key // (n + 1)]
-    spread = np.minimum(np.append(count // hot + 1, shards)[key // (n + 1)], shards).astype(np.uint64)
-    salt = W.mix(word.astype(np.uint64)) % spread
-    shard = (W.mix(W.mix(context.astype(np.uint64) + np.uint64(1)) + salt) % np.uint64(shards)).astype(np.int64)
-    order = np.lexsort((context, word, shard))
+    n, size = block["n"], unpack(block["b"])
+    order = np.argsort(number)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.arange(1, n + 1)  # the start of a text is before all words
+    place = rank[unpack(block["c"])]
+    before = np.concatenate(([0], place[:-1]))
+    before[np.cumsum(size)[:-1]] = 0  # every text has its end, so none is empty
+    key, at = np.unique(place * (n + 1) + before, return_inverse=True)
+    word, c = number[order][key // (n + 1) - 1], key % (n + 1)
+    context = np.append(START, number[order])[c]
+    spread = np.minimum(np.append(shards, count[order] // hot + 1)[c], shards)
+    salt = np.zeros(len(key), np.uint64)
+    many = spread > 1
+    salt[many] = W.mix(word[many].astype(np.uint64)) % spread[many].astype(np.uint64)
+    shard = _short(W.mix(W.mix(context.astype(np.uint64) + np.uint64(1)) + salt) % np.uint64(shards), shards)
+    order = np.argsort(shard, kind="stable")
     to = np.empty(len(key), np.int64)
     to[order] = np.arange(len(key))
-    return word[order], context[order], spread[order] > 1, shard[order], to[at]
+    return word[order], context[order], many[order], shard[order], to[at]
 
 
 _ASK = [("shard", pa.int32()), ("block", pa.string()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("spread", pa.binary()), ("n", pa.int64())]
@@ -267,23 +283,26 @@ def _asks(shards: int, hot: int):
     return run
 
 
-_STATE = [("shard", pa.int32()), *((x, pa.binary()) for x in ("words", "contexts", "counts", "tables", "spread")), ("samples", pa.list_(pa.binary()))]
-_STATE_TYPE = "shard int, words binary, contexts binary, counts binary, tables binary, spread binary, samples array<binary>"
+_STATE_BINARY = ["words", "sizes", "contexts", "context", "counts", "tables", "spread"]
+_STATE = [("shard", pa.int32()), *((x, pa.binary()) for x in _STATE_BINARY), ("samples", pa.list_(pa.binary()))]
+_STATE_TYPE = f"shard int, {', '.join(x + ' binary' for x in _STATE_BINARY)}, samples array<binary>"
 
 
 def _gather(table: pa.Table) -> pa.Table:
-    """All asks of one shard -> its distinct (word, context) with counts, one
-    table for each word that a context has seen."""
+    """All asks of one shard -> its words with their numbers of contexts, its
+    contexts, and for each (word, context) the context's place, the training
+    count and one table if the context has seen the word."""
     asked = table.to_pylist()
     pairs = [unpack_pairs(r["a"], r["b"]) for r in asked]
-    words, contexts = (np.concatenate(x) for x in zip(*pairs))
-    counts = np.concatenate([unpack(r["c"]) for r in asked])
+    word, context = (np.concatenate(x) for x in zip(*pairs))
+    words, word = np.unique(word, return_inverse=True)
+    contexts, context = np.unique(context, return_inverse=True)
+    key, at = np.unique(word * len(contexts) + context, return_inverse=True)
+    counts = np.bincount(at, np.concatenate([unpack(r["c"]) for r in asked])).astype(np.int64)
     spread = np.unique(np.concatenate([unpack_sorted(r["spread"]) for r in asked]))
-    order = np.lexsort((contexts, words))
-    words, contexts, counts = words[order], contexts[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1]))))
-    counts = np.add.reduceat(counts, first)
-    row = (asked[0]["shard"], *pack_pairs(words[first], contexts[first]), pack(counts), pack((counts > 0).astype(np.int64)), pack_sorted(spread), [])
+    word, context = pack_pairs(key // len(contexts), key % len(contexts))
+    row = (asked[0]["shard"], pack_sorted(words), pack(np.bincount(key // len(contexts))), pack_sorted(contexts), context,
+           pack(counts), pack((counts > 0).astype(np.int64)), pack_sorted(spread), [])
     return pa.Table.from_arrays(*_rows(_STATE, [row]))
 
 
@@ -291,26 +310,37 @@ class Shard:
     """A shard's state with its words and contexts numbered in order."""
 
     def __init__(self, r: dict):
-        words, contexts = unpack_pairs(r["words"], r["contexts"])
-        first = _run_starts(words)
-        self.words = words[first]
-        self.word = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(words))))
-        self.contexts, self.context = np.unique(contexts, return_inverse=True)
-        self.counts, self.spread = unpack(r["counts"]), unpack_sorted(r["spread"])
+        self.words, self.sizes = unpack_sorted(r["words"]), unpack(r["sizes"])
+        self.spread, self.row = unpack_sorted(r["spread"]), r
+        self.first = np.cumsum(self.sizes) - self.sizes
+
+    def pairs(self) -> None:
+        """Take the (word, context) apart."""
+        r = self.row
+        self.contexts, self.counts = unpack_sorted(r["contexts"]), unpack(r["counts"])
+        d = unpack(r["context"])
+        total = np.cumsum(d)
+        self.context = total - np.repeat(total[self.first] - d[self.first], self.sizes)
         self.spread_at = np.searchsorted(self.contexts, self.spread)
-        self.customers = np.bincount(self.context, self.counts, len(self.contexts)).astype(np.int64)
 
-    def served(self, tables: np.ndarray) -> np.ndarray:
-        return np.bincount(self.context, tables, len(self.contexts)).astype(np.int64)
+    def by_word(self, tables: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(tables, self.first)
+
+    def by_context(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.context, v, len(self.contexts)).astype(np.int64)
+
+    def pull(self, tables, guests, root, spread_tables, common) -> np.ndarray:
+        """Weight of a new table for each pair."""
+        served = self.by_context(tables)
+        served[self.spread_at] = spread_tables
+        parent = (guests - DISCOUNT[0] * root + common[0]) / (STRENGTH[0] + common[1])
+        return (STRENGTH[1] + DISCOUNT[1] * served)[self.context] * np.repeat(parent, self.sizes)
 
-    def predictive(self, tables, guests, root, spread_customers, spread_tables, common):
-        """(weight of a new table, probability) of each pair in one state."""
-        new_root, root_customers = common
-        customers, served = self.customers.copy(), self.served(tables)
-        customers[self.spread_at], served[self.spread_at] = spread_customers, spread_tables
-        parent = (guests - DISCOUNT[0] * root + new_root) / (STRENGTH[0] + root_customers)
-        pull = (STRENGTH[1] + DISCOUNT[1] * served[self.context]) * parent[self.word]
-        return pull, (self.counts - DISCOUNT[1] * tables + pull) / (STRENGTH[1] + customers[self.context])
+    def weights(self, spread_customers) -> np.ndarray:
+        """Strength and customers of each pair's context."""
+        customers = self.by_context(self.counts)
+        customers[self.spread_at] = spread_customers
+        return (STRENGTH[1] + customers)[self.context]
 
 
 def reseat(customers: np.ndarray, pull: np.ndarray, discount: float, rng) -> np.ndarray:
@@ -342,9 +372,11 @@ def _own(parts: int):
         for batch in batches:
             for r in batch.to_pylist():
                 s, tables, rows = Shard(r), unpack(r["tables"]), []
-                served = s.served(tables)[s.spread_at]
-                for is_word, key, a, b in ((False, s.spread, s.customers[s.spread_at], served),
-                                           (True, s.words, None, np.bincount(s.word, tables, len(s.words)).astype(np.int64))):
+                customers = served = s.spread
+                if len(s.spread):
+                    s.pairs()
+                    customers, served = s.by_context(s.counts)[s.spread_at], s.by_context(tables)[s.spread_at]
+                for is_word, key, a, b in ((False, s.spread, customers, served), (True, s.words, None, s.by_word(tables))):
                     order, cut = _dealt(key.astype(np.uint64), parts)
                     rows += [(p, r["shard"], is_word, pack_sorted(key[order[i:j]]), None if is_word else pack(a[order[i:j]]), pack(b[order[i:j]]))
                              for p, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
@@ -391,6 +423,7 @@ def _sweep(number: int, parts: int, common: tuple[float, float], keep: bool, las
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         r = left.to_pylist()[0]
         s, tables = Shard(r), unpack(r["tables"])
+        s.pairs()
         got = sorted(right.to_pylist(), key=lambda x: x["part"])
 
         def shared(key, is_word, column):
@@ -399,14 +432,15 @@ def _sweep(number: int, parts: int, common: tuple[float, float], keep: bool, las
             v[order] = np.concatenate([np.zeros(0, np.int64), *(unpack(x[column]) for x in got if x["is_word"] == is_word)])
             return v
 
-        totals = [*(shared(s.words, True, c) for c in "ab"), *(shared(s.spread, False, c) for c in "ab")]
-        pull, _ = s.predictive(tables, *totals, common)
+        guests, root = (shared(s.words, True, c) for c in "ab")
+        customers, served = (shared(s.spread, False, c) for c in "ab")
         samples = r["samples"]
         if keep:
-            samples = [*samples, r["tables"], *map(pack, totals), pack(np.array(common))]
+            samples = [*samples, r["tables"], *map(pack, (guests, root, customers, served)), pack(np.array(common).view(np.int64))]
         if not last:
-            tables = reseat(s.counts, pull, DISCOUNT[1], np.random.default_rng([SEED, number, r["shard"]]))
-        row = (r["shard"], r["words"], r["contexts"], r["counts"], pack(tables), r["spread"], samples)
+            tables = reseat(s.counts, s.pull(tables, guests, root, served, common), DISCOUNT[1], np.random.default_rng([SEED, number, r["shard"]]))
+        row = [r["shard"], *(r[x] for x in _STATE_BINARY), samples]
+        row[1 + _STATE_BINARY.index("tables")] = pack(tables)
         return pa.Table.from_arrays(*_rows(_STATE, [row]))
 
     return run
@@ -423,11 +457,14 @@ def _answer(left: pa.Table, right: pa.Table) -> pa.Table:
     if right.num_rows:
         r = right.to_pylist()[0]
         s, x = Shard(r), r["samples"]
+        s.pairs()
         total = np.zeros(len(s.counts))
         for i in range(0, len(x), 6):
-            total += s.predictive(*map(unpack, x[i:i + 5]), unpack(x[i + 5], np.float64))[1]
-        logp = np.rint(-np.log10(total * 6 / len(x)) / STEP).astype(np.int64)
-        key = s.word * len(s.contexts) + s.context
+            tables, guests, root, customers, served, common = map(unpack, x[i:i + 6])
+            total += s.counts - DISCOUNT[1] * tables + s.pull(tables, guests, root, served, common.view(np.float64))
+        total /= s.weights(customers) * (len(x) // 6)  # customers are the same in all states
+        logp = np.rint(-np.log10(total) / STEP).astype(np.int64)
+        key = np.repeat(np.arange(len(s.words)), s.sizes) * len(s.contexts) + s.context
         for block, a, b, n in zip(*(left[c].to_pylist() for c in ("block", "a", "b", "n"))):
             w, c = unpack_pairs(a, b)
             at = np.searchsorted(key, np.searchsorted(s.words, w) * len(s.contexts) + np.searchsorted(s.contexts, c))
@@ -472,8 +509,8 @@ def score_texts(docs: DataFrame, burn_in: int = BURN_IN, hot: int = HOT) -> Data
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(7, 2).alias("held_out"), F.col("text").cast("string").alias("text"))
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
-    parts = max(PARTS, shards)
+    shards = max(1, -(-size // SHARD_BYTES))
+    parts = max(PARTS, shards // SHARDS_A_PART)
     blocks = bucketed(d.mapInArrow(_blocks(parts), _BLOCK_TYPE), "block", shards, "blocks")
     numbered = blocks.filter("part is not null").select("part", "block", "a", "b", "n").groupBy("part").applyInArrow(_dictionary(parts), _WORD_TYPE)
     numbered = bucketed(numbered.repartition(shards, "block"), "block", shards, "dictionary")
