@@ -8,7 +8,7 @@ reliable each labeler is and how likely each pattern is personal data; with
 these as soft labels a naive Bayes classifier over span features is trained,
 and candidates that it accepts are added.
 
-Scale: texts are read where they lie, only matches are shuffled.  The driver
+Scale: texts are read where they lie, in one scan; only matches are shuffled.  The driver
 sees vote patterns and feature counts, whose numbers are bounded by the
 labelers and features (at most 4 * 3^4 and a few dozen rows).
 """
@@ -16,6 +16,7 @@ labelers and features (at most 4 * 3^4 and a few dozen rows).
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,41 +72,28 @@ def _of_kind(by_kind: dict[str, Column]) -> Column:
     return out
 
 
-def _matches(kind: str, pattern: str, wide: bool) -> Column:
-    """Array of the pattern's matches with the text between them; empty unless
-    the text holds a character that every match has."""
-    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    gaps = F.split("text", pattern, -1)
+def _matches(kind: str, pattern: str) -> Column:
+    """Array of the pattern's matches; null unless the text holds a character
+    that every match has."""
     could = F.col("text").rlike("@|\\(at\\)|\\[at\\]") if kind == "email" else F.col("text").rlike("[0-9]")
-
-    def one(i):
-        after = F.get("gaps", i + 1)
-        return F.struct(F.lit(kind).alias("kind"), F.lit(wide).alias("wide"), i.alias("i"), F.get("found", i).alias("m"),
-                        F.length(F.get("gaps", i)).alias("gap"), F.right(F.get("gaps", i), F.lit(CONTEXT)).alias("left"),
-                        F.left(after, F.lit(CONTEXT)).alias("right"))
-
-    return F.when(could, found), gaps, one
+    return F.when(could, F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, kind, wide, m, left, right, start, end) of all matches."""
+    """(doc_id, key, kind, wide, m, left, right, start, end) of all matches, in
+    one scan: a text gives a row for each pattern that it matches, and only
+    that pattern takes it apart; left and right are ``CONTEXT`` characters."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    d = d.withColumn("key", F.xxhash64("text"))
-    every = None
-    cols = []
-    for wide, patterns in ((False, BASE), (True, WIDE)):
-        for kind, pattern in patterns.items():
-            found, gaps, one = _matches(kind, pattern, wide)
-            name = f"{kind}_{int(wide)}"
-            d = d.withColumn(name, found)
-            cols.append((name, gaps, one))
-    # only texts with a match are taken apart further
-    d = d.filter(" or ".join(f"size({n}) > 0" for n, _, _ in cols))
-    for name, gaps, one in cols:
-        part = d.filter(F.size(name) > 0).select("doc_id", "key", F.col(name).alias("found"), gaps.alias("gaps"))
-        part = part.select("doc_id", "key", "found", "gaps", F.explode(F.sequence(F.lit(0), F.size("found") - 1)).alias("j"))
-        part = part.select("doc_id", "key", one(F.col("j")).alias("s")).select("doc_id", "key", "s.*")
-        every = part if every is None else every.unionByName(part)
+    each = [(kind, wide, pattern) for wide, patterns in ((False, BASE), (True, WIDE)) for kind, pattern in patterns.items()]
+    found = F.array(*(F.struct(F.lit(n).alias("n"), _matches(kind, pattern).alias("found")) for n, (kind, _, pattern) in enumerate(each)))
+    every = d.select("doc_id", "text", F.explode(F.filter(found, lambda x: F.size(x["found"]) > 0)).alias("x")).select("doc_id", "text", "x.*")
+    of = lambda values: reduce(lambda c, n: c.when(F.col("n") == n, values[n]), range(1, len(each)), F.when(F.col("n") == 0, values[0]))
+    every = every.select("doc_id", F.xxhash64("text").alias("key"), of([F.lit(k) for k, _, _ in each]).alias("kind"), (F.col("n") >= len(BASE)).alias("wide"),
+                         "found", of([F.split("text", p, -1) for _, _, p in each]).alias("gaps"))
+    every = every.select("doc_id", "key", "kind", "wide", "found", "gaps", F.explode(F.sequence(F.lit(0), F.size("found") - 1)).alias("i"))
+    gap = F.get("gaps", F.col("i"))
+    every = every.select("doc_id", "key", "kind", "wide", "i", F.get("found", F.col("i")).alias("m"), F.length(gap).alias("gap"),
+                         F.right(gap, F.lit(CONTEXT)).alias("left"), F.left(F.get("gaps", F.col("i") + 1), F.lit(CONTEXT)).alias("right"))
     # equal rows give equal matches: one of each is enough
     every = every.dropDuplicates(["doc_id", "key", "kind", "wide", "i"])
     order = Window.partitionBy("doc_id", "key", "kind", "wide").orderBy("i")
@@ -226,7 +214,9 @@ def personal_data(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
 
     Counts and digest are of the base spans: leftmost non-overlapping matches
     of a kind that pass its check.  ``spans`` lists base and added spans as
-    kind:start:end in code points, by start and then kind.  A null text is
+    kind:start:end in code points, by start and then kind.  Added spans are
+    matches of ``WIDE`` (an address's name has at most 64 characters there),
+    judged by 24 characters of the match and ``CONTEXT`` around it.  A null text is
     empty.  Repeated rows, shared and null doc_ids give a row each.  An empty
     table gives an empty result; other columns are ignored.
     """
