@@ -6,7 +6,7 @@ from tickwave.operators.bars import ohlcv_bars
 from tickwave.plans.standins import VENUE_T, events_trades
 from tickwave.session import scratch_path
 from tickwave.sinks.writers import trade_envelopes, write_envelopes
-from tickwave.streaming.live_bars import current_bars, run_incremental
+from tickwave.streaming.live_bars import LateRows, current_bars, run_incremental
 
 
 def test_restart_resumes_and_equals_batch(spark):
@@ -49,3 +49,30 @@ def test_watermark_removes_old_state(spark):
     state = q.lastProgress["stateOperators"][0]
     assert state["numRowsTotal"] <= 1
     assert current_bars(spark, out).count() == 5
+
+
+def test_late_rows_are_counted(spark):
+    """A file older than the watermark gives a count and leaves the bars alone."""
+    day, minute = 86_400_000, 60_000
+    ddl = "symbol string, ts_ms long, trade_id long, amount double, price double, side string"
+    root, out, ckpt = scratch_path(spark, "l-bronze"), scratch_path(spark, "l-out"), scratch_path(spark, "l-ckpt")
+
+    def land(name, first, rows):
+        p = spark.createDataFrame([("s", first * day, (first + 1) * day)], "symbol string, start_ms long, end_ms long")
+        write_envelopes(trade_envelopes(spark.createDataFrame(rows, ddl), p, "2024-02-01T00:00:00+00:00"), f"{root}/{name}")
+
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        counts = []
+        for name, first, rows in [
+                ("a", 0, [("s", 1000, 1, 1.0, 10.0, "buy"), ("s", 5 * minute, 2, 1.0, 11.0, "buy")]),
+                ("b", 20, [("s", 20 * day + 1000, 3, 1.0, 12.0, "sell")]),
+                ("late", 0, [("s", i * minute + 2000, 4 + i, 9.0, 99.0, "buy") for i in range(3)])]:
+            land(name, first, rows)
+            counts.append(late.dropped(run_incremental(spark, root, out, ckpt)))
+    finally:
+        spark.streams.removeListener(late)
+    assert counts == [0, 0, 3]
+    got = {(r.open, r.high, r.trade_count) for r in current_bars(spark, out).collect()}
+    assert got == {(10.0, 10.0, 1), (11.0, 11.0, 1), (12.0, 12.0, 1)}

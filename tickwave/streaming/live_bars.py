@@ -12,8 +12,12 @@ bounded by the watermark, and a restart resumes from the checkpoint location
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tickwave.functions.timefn import ms_to_ts
 from tickwave.operators.bars import ohlcv_bars
@@ -32,7 +36,8 @@ def stream_trades(spark: SparkSession, bronze_path: str, max_files: int | None =
 
 def stream_bars(trades: DataFrame, width: str = "1 minute", watermark: str = "10 minutes") -> DataFrame:
     """Real bars per ``(symbol, bucket)``; rows later than the watermark are
-    dropped by Spark (their bucket has been finalised).
+    dropped by Spark (their bucket has been finalised) and counted by
+    :class:`LateRows`, if one listens.
 
     Watermarks need an instant (``TIMESTAMP``), so event time is
     ``timestamp_millis(ts_ms)``; bucket starts are turned back into UTC wall
@@ -43,6 +48,39 @@ def stream_bars(trades: DataFrame, width: str = "1 minute", watermark: str = "10
     return bars.withColumn("bucket", ms_to_ts(F.unix_millis("bucket.start")))
 
 
+class LateRows(StreamingQueryListener):
+    """Counts what the watermark drops, from the progress of every micro-batch.
+
+    Spark adds up rows of a bucket within a task before it compares them with
+    the watermark, so late trades of one bucket that arrive in one task count
+    once.  Events come some time after their batch; ``dropped`` of an ended
+    query waits until its last one is in."""
+
+    def __init__(self):
+        self._dropped = defaultdict(dict)
+        self._ended = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self._dropped[str(p.runId)][p.batchId] = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def dropped(self, query, timeout: float = 60) -> int:
+        """Rows dropped by this run of ``query`` up to now."""
+        run = str(query.runId)
+        if not query.isActive and not self._ended[run].wait(timeout):
+            raise TimeoutError(f"no end of the stream's run {run} was reported")
+        return sum(self._dropped[run].values())
+
+
 def run_incremental(spark: SparkSession, bronze_path: str, out_path: str, checkpoint: str,
                     width: str = "1 minute", watermark: str = "10 minutes",
                     max_files: int | None = None, available_now: bool = True):
