@@ -7,14 +7,16 @@ the prefix that must match has one token: the window's rarest shingle.  Only
 these anchors are joined with the documents' shingles; the anchor's place in
 the window gives the one place where the window could start (positional
 bound), the document's length says whether it fits (length bound), and the
-words of that stretch are then compared with the window's.
-
-Scale: the large side is never shuffled by word.  Document positions are
-exploded and probed against the anchors in the scan stage; what is shuffled is
-one row a document plus its verified occurrences.  Anchors are broadcast only
-while they are counted to be few (``BROADCAST_ROWS``); beyond that the same
-plan runs with a shuffle join on the shingle hash, whose hot keys adaptive
-execution splits.
+SHA-256 of that stretch's words is then compared with the window's.
+
+Scale: document positions are exploded and probed against the anchors in the
+scan stage; what is shuffled is one row a document plus its verified
+occurrences.  Anchors are broadcast only while they are counted to be few
+(``BROADCAST_ROWS``); their rows hold numbers and one digest, never words, so
+the count bounds the bytes.  Beyond that, positions (numbers only, no words)
+are joined by shuffle with the anchors, shingle counts are added up before
+they meet the tokens, and a second pass joins the candidates that pass the
+bounds with their documents, so a text travels at most once.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from tickwave.session import materialize
 
 WINDOW = 10
 SHINGLE = 3
-#: Shingles or anchors (some hundred bytes each) are broadcast up to this many.
+#: Shingles, anchors, candidates or contaminated texts are broadcast up to this many
+#: rows; each is numbers and at most one digest (under 200 bytes, so 40 MB at most).
 BROADCAST_ROWS = 200_000
 
 
@@ -42,6 +45,11 @@ def _shingle(words: str, at: Column, n: int) -> Column:
     return F.xxhash64(F.lit(n), *(F.get(F.col(words), at + j) for j in range(n)))
 
 
+def _digest(words: Column) -> Column:
+    """Identity of a window: SHA-256 of its words, which hold no blank."""
+    return F.sha2(F.concat_ws(" ", words).cast("binary"), 256)
+
+
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(item_id, words): every window of ``window`` consecutive words, or the
     whole of a shorter item.  Items without words have none."""
@@ -62,7 +70,8 @@ def occurrences(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE) ->
     """(key, doc_id, n_words, start, length, window): one row with null start
     for each row of ``docs``, and one for each verified occurrence.
 
-    ``windows`` has distinct (window, words).  ``key`` identifies the text."""
+    ``windows`` has distinct (window, words), ``window`` the words' digest.
+    ``key`` identifies the text."""
     w = windows.withColumn("length", F.size("words")).withColumn("k", F.least("length", F.lit(shingle)))
     lengths = sorted(r[0] for r in w.select("k").distinct().collect())  # at most `shingle` values
     tokens = w.withColumn("place", F.explode(F.sequence(F.lit(0), F.col("length") - F.col("k"))))
@@ -84,26 +93,28 @@ def occurrences(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE) ->
     counts = tokens.select("token").limit(0).groupBy("token").count()
     for n in lengths:
         mine = tokens.filter(F.col("k") == n).select("token").distinct()
-        counts = counts.unionByName(shingled(n).select("token").join(
-            _maybe_broadcast(mine, few), "token", "left_semi").groupBy("token").count())
+        seen = shingled(n).select("token").filter("token is not null")
+        if few:
+            part = seen.join(F.broadcast(mine), "token", "left_semi").groupBy("token").count()
+        else:  # a hot shingle is added up in each task before it is shuffled
+            part = seen.groupBy("token").count().join(mine, "token", "left_semi")
+        counts = counts.unionByName(part)
     # the rarest shingle of each window; one that no document holds rules its window out
     anchors = materialize(
         tokens.join(counts, "token", "left")
         .groupBy("window", "length", "k")
         .agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token", "place")).alias("a"))
-        .filter("a.n > 0").join(windows, "window")
-        .select("k", F.col("a.token").alias("token"), F.col("a.place").alias("place"),
-                F.col("length"), "window", "words"), "anchors")
-    few = _few(anchors)
+        .filter("a.n > 0")
+        .select("k", F.col("a.token").alias("token"), F.col("a.place").alias("place"), "length", "window"), "anchors")
+    if not _few(anchors):
+        return _occurrences_by_shuffle(whole, shingled, anchors, lengths)
 
     found = None
     for n in lengths or [shingle]:
-        a = _maybe_broadcast(anchors.filter(F.col("k") == n).drop("k"), few)
+        a = F.broadcast(anchors.filter(F.col("k") == n).drop("k"))
         hit = shingled(n).join(a, "token", "left" if found is None else "inner")
         start = F.col("pos") - F.col("place")
-        same = ((start >= 0) & (start + F.col("length") <= F.size("w"))
-                & (F.slice(F.col("w"), F.greatest(start, F.lit(0)) + 1, F.col("length")) == F.col("words")))
-        hit = hit.withColumn("same", F.coalesce(same, F.lit(False)))
+        hit = hit.withColumn("same", F.coalesce(_fits(start) & _same(start), F.lit(False)))
         hit = hit.filter(F.col("same") | (F.col("pos") == -1))
         part = hit.select("key", "doc_id", "n_words", F.when(F.col("same"), start).alias("start"),
                           F.when(F.col("same"), F.col("length")).alias("length"),
@@ -112,6 +123,38 @@ def occurrences(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE) ->
     return found
 
 
+def _fits(start: Column) -> Column:
+    """Positional and length bounds of a window that would begin at ``start``."""
+    return (start >= 0) & (start + F.col("length") <= F.col("n_words"))
+
+
+def _same(start: Column) -> Column:
+    """The words from ``start`` on are the window's."""
+    return _digest(F.slice(F.col("w"), F.greatest(start, F.lit(0)) + 1, F.col("length"))) == F.col("window")
+
+
+def _occurrences_by_shuffle(whole: DataFrame, shingled, anchors: DataFrame, lengths: list) -> DataFrame:
+    """``occurrences`` for anchors that are too many to broadcast.
+
+    Positions go to the join as numbers.  Candidates that pass the bounds are
+    stored, one row each however often a row of ``docs`` is repeated, and meet
+    their texts in a second join by (doc_id, key)."""
+    start = F.col("pos") - F.col("place")
+    near = None
+    for n in lengths:
+        places = shingled(n).filter("token is not null").select("key", "doc_id", "n_words", "pos", "token")
+        part = (places.join(anchors.filter(F.col("k") == n).drop("k"), "token").filter(_fits(start))
+                .select("key", "doc_id", start.alias("start"), "length", "window"))
+        near = part if near is None else near.unionByName(part)
+    near = materialize(near.distinct().select(F.col("key").alias("t"), F.col("doc_id").alias("d"), "start", "length", "window"),
+                       "candidates")
+    held = whole.join(_maybe_broadcast(near, _few(near)), (F.col("key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")))
+    held = held.filter(_same(F.col("start"))).select("key", "doc_id", "n_words", "start", "length", "window")
+    none = whole.select("key", "doc_id", "n_words", F.lit(None).cast("int").alias("start"),
+                        F.lit(None).cast("int").alias("length"), F.lit(None).cast("string").alias("window"))
+    return none.unionByName(held)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each row.
 
@@ -123,7 +166,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     Empty tables give an empty (or all clean) result; other columns are
     ignored.
     """
-    of_item = materialize(item_windows(benchmark, window).withColumn("window", F.sha1(F.concat_ws(" ", "words")))
+    of_item = materialize(item_windows(benchmark, window).withColumn("window", _digest(F.col("words")))
                           .distinct(), "item_windows")
     found = materialize(occurrences(docs, of_item.select("window", "words").distinct()), "occurrences")
     covered = F.flatten(F.transform("at", lambda x: F.sequence(x["start"], x["start"] + x["length"] - 1)))
@@ -151,7 +194,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     result, an empty benchmark keeps every row; columns of any name come back as
     they were."""
     windows = materialize(item_windows(benchmark, window).select("words").distinct()
-                          .withColumn("window", F.sha1(F.concat_ws(" ", "words"))), "item_windows")
+                          .withColumn("window", _digest(F.col("words"))), "item_windows")
     hit = materialize(occurrences(docs, windows).filter("start is not null").select(
         F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct(), "contaminated")
     d = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
