@@ -8,6 +8,7 @@ from tickwave.operators.bars import ohlcv_bars
 from tickwave.operators.fx import fill_daily
 from tickwave.operators.ordered import first_rows
 from tickwave.operators.quality import (
+    chunk_count,
     coverage_span,
     interpolation_by,
     interval_neighbours,
@@ -25,11 +26,17 @@ nb AS (SELECT *, LAG("end") OVER (ORDER BY "start", "end", label) AS prev_end,
               LAG(label) OVER (ORDER BY "start", "end", label) AS prev_label FROM iv)"""
 
 
+def ship_ranges(spark, sf_dir, keys):
+    """First and last ship date of every key.  Rows are dealt out evenly before they
+    are first grouped: file splits grow with the input, and so would a task's groups."""
+    li = table(spark, sf_dir, "lineitem").select(*keys, "l_shipdate")
+    return li.repartition(chunk_count(li.count()), *keys, "l_shipdate").groupBy(*keys).agg(
+        F.min("l_shipdate").alias("start"), F.max("l_shipdate").alias("end"))
+
+
 def order_intervals(spark, sf_dir):
     """One interval per order: ``[first ship date, last ship date)``."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.groupBy("l_orderkey").agg(F.min("l_shipdate").alias("start"), F.max("l_shipdate").alias("end")) \
-        .select(F.col("l_orderkey").cast("string").alias("label"), "start", "end")
+    return ship_ranges(spark, sf_dir, ["l_orderkey"]).select(F.col("l_orderkey").cast("string").alias("label"), "start", "end")
 
 
 @register("interval_gaps", f"""WITH {IV_SQL}
@@ -222,9 +229,7 @@ v AS (SELECT nb.source, count(*) AS intervals,
 
 
 def flag_intervals(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    return li.groupBy("l_returnflag", "l_orderkey").agg(
-        F.min("l_shipdate").alias("start"), F.max("l_shipdate").alias("end")).select(
+    return ship_ranges(spark, sf_dir, ["l_returnflag", "l_orderkey"]).select(
         F.col("l_returnflag").alias("source"), F.col("l_orderkey").cast("string").alias("label"), "start", "end")
 
 
