@@ -57,6 +57,9 @@ LEAST_GAIN = 0.9
 RARITY_CELLS = 1 << 20
 #: Cells of a set's element parities, a multiple of 64; few cells only let more pairs through.
 PARITY_CELLS = 512
+#: Texts are sketched, counted and compared in slices of so many bytes (about 60
+#: bytes of temporaries each): two workers share an executor's memory with a full heap.
+SLICE_BYTES = 512 << 10
 #: Ids of documents to fetch texts for are broadcast (8 bytes each) up to here.
 BROADCAST_IDS = 2_000_000
 
@@ -115,7 +118,7 @@ def _describe(k: int, bins: int, rows: int):
     def run(batches):
         for b in batches:
             ids, texts = b.column(0), b.column(1)
-            for lo, hi in W.slices(texts):
+            for lo, hi in W.slices(texts, SLICE_BYTES):
                 h, doc = shingle_sets(texts.slice(lo, hi - lo), k)
                 n = np.bincount(doc, minlength=hi - lo)
                 sig = [np.zeros(hi - lo, np.uint64) for _ in range(2)]
@@ -147,7 +150,7 @@ def _confirm(k: int, percent: int):
             size = np.diff(W.texts_of(ta).offset) + np.diff(W.texts_of(tb).offset)
             low = 0
             while low < b.num_rows:
-                high = low + max(1, int(np.searchsorted(np.cumsum(size[low:]), W.SLICE_BYTES, "right")))
+                high = low + max(1, int(np.searchsorted(np.cumsum(size[low:]), SLICE_BYTES, "right")))
                 n = min(high, b.num_rows) - low
                 both = pa.concat_arrays([x.slice(low, n).cast(pa.large_string()) for x in (ta, tb)])
                 h, doc = shingle_sets(both, k)
@@ -278,7 +281,7 @@ def _prefix_rows(members: DataFrame, src: DataFrame, k: int, percent: int) -> tu
     def cells(batches):
         seen = np.zeros(RARITY_CELLS, np.int64)
         for b in batches:
-            for lo, hi in W.slices(b.column(1)):
+            for lo, hi in W.slices(b.column(1), SLICE_BYTES):
                 h, _ = shingle_sets(b.column(1).slice(lo, hi - lo), k)
                 seen += np.bincount((h % np.uint64(RARITY_CELLS)).astype(np.int64), minlength=RARITY_CELLS)
         at = np.flatnonzero(seen)
@@ -291,7 +294,7 @@ def _prefix_rows(members: DataFrame, src: DataFrame, k: int, percent: int) -> tu
 
     def prefixes(batches):
         for b in batches:
-            for lo, hi in W.slices(b.column(1)):
+            for lo, hi in W.slices(b.column(1), SLICE_BYTES):
                 h, doc = shingle_sets(b.column(1).slice(lo, hi - lo), k)
                 order = np.lexsort((h, rarity[(h % np.uint64(RARITY_CELLS)).astype(np.int64)], doc))
                 first, n = W.first_and_count(doc, hi - lo)

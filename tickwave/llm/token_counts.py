@@ -147,6 +147,7 @@ class Merger:
 @lru_cache(maxsize=2)
 def merger(path: str) -> Merger:
     """One merger a worker process, so that its cache serves all its tasks."""
+    W.KEPT["merger"] = merger.cache_clear
     return Merger(path)
 
 
@@ -172,4 +173,4 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
                     [part.column(0), pa.array(np.diff(t.offset)), pa.array(n), pa.array(n > limit)],
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return rows.mapInArrow(W.trimmed(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return rows.mapInArrow(W.trimmed(run, "merger"), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

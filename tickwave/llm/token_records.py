@@ -158,6 +158,7 @@ class Encoder:
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder a worker process, so that its cache serves all its tasks."""
+    W.KEPT["encoder"] = encoder.cache_clear
     return Encoder(path)
 
 
@@ -198,7 +199,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, file_bytes:
                 [pa.array([r[j] for r in rows_out], t) for j, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))],
                 names=["file", "part", "number", "records", "ids"])
 
-    return materialize(ordered.mapInArrow(W.trimmed(run), "file string, part long, number long, records long, ids long"), "token_manifest")
+    return materialize(ordered.mapInArrow(W.trimmed(run, "encoder"), "file string, part long, number long, records long, ids long"), "token_manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
@@ -227,7 +228,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                             got = ([], [], [], [])
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in got], names=NAMES)
 
-    return m.mapInArrow(W.trimmed(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return m.mapInArrow(W.trimmed(run, "encoder"), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 NAMES = ["doc_id", "start", "n_tokens", "ids_crc32"]

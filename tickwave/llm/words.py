@@ -53,9 +53,21 @@ def give_back() -> None:
         libc.malloc_trim(0)
 
 
-def trimmed(run):
-    """``run`` for mapInArrow, with :func:`give_back` at the end of each task."""
+#: What worker processes keep between tasks for the next ones of one operator,
+#: by its name: the function that drops it.
+KEPT: dict = {}
+
+
+def trimmed(run, keeps: str = ""):
+    """``run`` for mapInArrow, with :func:`give_back` at the end of each task.  Only
+    what the operator ``keeps`` is kept from earlier tasks: a worker that turns to
+    other work first drops what the last one left, so their memory doesn't add up."""
     def whole(batches):
+        others = [drop for name, drop in KEPT.items() if name != keeps]
+        for drop in others:
+            drop()
+        if others:
+            give_back()
         try:
             yield from run(batches)
         finally:
