@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from tickwave.llm import words as W
 
+#: Texts are described in slices of so many bytes (about 100 bytes of temporaries
+#: each): two workers share an executor's memory with a full heap.
+SLICE_BYTES = 256 << 10
+
 
 def _member(chars: bytes) -> np.ndarray:
     m = np.zeros(256, bool)
@@ -102,7 +106,7 @@ def describe_texts(texts: pa.Array) -> dict[str, np.ndarray]:
 def _run(batches):
     for b in batches:
         ids, texts = b.column(0), b.column(1)
-        for lo, hi in W.slices(texts):
+        for lo, hi in W.slices(texts, SLICE_BYTES):
             s = describe_texts(texts.slice(lo, hi - lo))
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(lo, hi - lo), *(pa.array(s[c].astype(np.int64)) for c in COUNTS),

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwave.llm import words as W
-from tickwave.llm.doc_statistics import SHARES, describe_texts, document_statistics, labelled_ids, labelled_sample
+from tickwave.llm.doc_statistics import SHARES, SLICE_BYTES, describe_texts, document_statistics, labelled_ids, labelled_sample
 from tickwave.session import materialize
 
 #: At most about this many labelled documents are fitted on.
@@ -150,7 +150,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, thr
     def run(batches):
         for b in batches:
             texts = b.column(place)
-            for lo, hi in W.slices(texts):
+            for lo, hi in W.slices(texts, SLICE_BYTES):
                 s = describe_texts(texts.slice(lo, hi - lo))
                 score = model.score(np.stack([s[c] for c in SHARES], 1).astype(np.float64))
                 yield b.slice(lo, hi - lo).filter(pa.array(score >= threshold))

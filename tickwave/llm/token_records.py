@@ -12,7 +12,7 @@ that a checksum stored inside checked data is not itself a valid checksum.
 any order.
 
 Texts are cut into units that tokens never cross (:mod:`pieces`).  Of a batch's
-distinct units only those not met before are encoded (a bounded cache per
+distinct units only those not met lately are encoded (a table of fixed size per
 worker), and the ids of all texts are gathered from them with numpy; the ids are
 those of the whole texts.
 """
@@ -35,7 +35,11 @@ from tickwave.llm import words as W
 from tickwave.session import materialize
 
 END = 2
-CACHE_UNITS = 300_000
+#: Rows of a worker's table of units.
+TABLE_UNITS = 1 << 19
+#: Texts are encoded in slices of so many bytes (about 90 bytes of temporaries
+#: each): two workers share an executor's memory with a full heap.
+SLICE_BYTES = 256 << 10
 _MASK = 0xA282EAD8
 _HEAD = "<QI"
 _ID = "<qBB"
@@ -96,15 +100,15 @@ class Encoder:
             self.size[i] = len(token)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.marks = [t.content.encode() for t in added]
-        self.units = P.Recent(CACHE_UNITS)
+        self.units = P.Table(TABLE_UNITS, self.kind)
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined(self, units: list[bytes], between: bytes) -> None:
+    def _joined(self, units: list[bytes], between: bytes, have: dict) -> None:
         """Units are encoded end to end, many at once, and cut by byte counts: no
         token reaches across a unit's end or the line end put between two."""
-        have, gap = self.units.young, len(between)
+        gap = len(between)
         for i in range(0, len(units), 512):
             some = units[i:i + 512]
             text = between.join(some).decode()
@@ -119,14 +123,29 @@ class Encoder:
             skip = gap * self.width
             have.update(zip(some, (data[x:y] for x, y in zip([0, *(x + skip for x in at)], at))))
 
-    def _fill(self, missing: list[bytes]) -> None:
-        led = [u for u in missing if u[0] == 32 and len(u) > 1 and u[1] > 32]
-        bare = [u for u in missing if u[0] > 32 and u[0] < 128]
-        self._joined(led, b"")
-        self._joined(bare, b"\n")
-        have = self.units.young
-        rest = [u for u in missing if u not in have]
+    def _made(self, units: list[bytes]) -> list[bytes]:
+        """The ids of distinct units."""
+        have: dict[bytes, bytes] = {}
+        self._joined([u for u in units if u[0] == 32 and len(u) > 1 and u[1] > 32], b"", have)
+        self._joined([u for u in units if u[0] > 32 and u[0] < 128], b"\n", have)
+        rest = [u for u in units if u not in have]
         have.update(zip(rest, self._plain([u.decode() for u in rest])))
+        return [have[u] for u in units]
+
+    def _ids(self, t: W.Texts, r: W.Runs, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct units and the end id; where those of each begin, and how many."""
+        rows, hit = self.units.find(t, r, h)
+        known, size = np.flatnonzero(hit), rows["n"].astype(np.int64)
+        found = rows["ids"][known][np.arange(P.UNIT_IDS) < size[known, None]]
+        new = np.flatnonzero(~hit)
+        parts = self._made(P.bytes_of(t, W.Runs(r.doc[new], r.start[new], r.end[new])))
+        made = np.frombuffer(b"".join(parts), self.kind)
+        size[new] = np.fromiter(map(len, parts), np.int64, len(parts)) // self.width
+        self.units.keep(rows[new], h[new], size[new], made)
+        order = np.concatenate((known, new))
+        begin = np.empty(len(size), np.int64)
+        begin[order] = np.cumsum(size[order]) - size[order]
+        return np.concatenate((found, made, [END])).astype(self.kind), np.append(begin, len(found) + len(made)), np.append(size, 1)
 
     def encode(self, t: W.Texts) -> list[bytes]:
         """The ids of every text, the end id last."""
@@ -136,17 +155,13 @@ class Encoder:
         if not self.by_piece:
             return [x + self.end for x in self._plain([whole(i) for i in range(len(t))])]
         r = P.units(t)
-        some, place = P.distinct(t, r)
-        if missing := self.units.missing(some):
-            self._fill(missing)
-        parts = [*map(self.units.young.__getitem__, some), self.end]
-        flat = np.frombuffer(b"".join(parts), self.kind)
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) // self.width
+        some, h, place = P.firsts(t, r)
+        flat, begin, size = self._ids(t, some, h)
         first = np.searchsorted(r.doc, np.arange(1, len(t) + 1))
         place = np.insert(place, first, len(some))  # the end id after each text's last unit
         n = size[place]
         stop = np.cumsum(n)
-        shift = (np.cumsum(size) - size)[place] - (stop - n)
+        shift = begin[place] - (stop - n)
         data = flat[np.arange(stop[-1]) + np.repeat(shift, n)].tobytes()
         at = [0, *(stop[first + np.arange(len(t))] * self.width).tolist()]
         out = [data[x:y] for x, y in zip(at, at[1:])]
@@ -182,7 +197,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, file_bytes:
                 out.close()
 
         for b in batches:
-            for lo, hi in W.slices(b.column(1)):
+            for lo, hi in W.slices(b.column(1), SLICE_BYTES):
                 if out is None:
                     enc, out = encoder(tokenizer), files.Roller(folder, "tok", file_bytes)
                 part = b.slice(lo, hi - lo)
